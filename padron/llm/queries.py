@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from padron.llm import langid, license_index, ordinal_toxicity, secret_automata
+from padron.llm import langid, license_index, oph_minhash, ordinal_toxicity, phrase_index, secret_automata, sentence_spans
 from padron.llm.common import table
 
 
@@ -17,6 +17,18 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_automata.scan(documents, secret_automata.train(documents))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.match(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oph_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scan_licenses(spark, table(spark, sf_dir, "documents"))
 
@@ -26,7 +38,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op3_secret_scan, op9_license_scan, op10_toxicity)}
+    return {f.__name__: f for f in (op1_language_id, op3_secret_scan, op5_decontamination, op6_minhash, op8_sentence_spans, op9_license_scan, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
