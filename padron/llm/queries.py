@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from padron.llm import langid, license_index, oph_minhash, ordinal_toxicity, phrase_index, secret_automata, sentence_spans
+from padron.llm import hilbert_packing, langid, license_index, oph_minhash, ordinal_toxicity, phrase_index, secret_automata, sentence_spans, suffix_dedup
 from padron.llm.common import table
 
 
@@ -12,11 +12,19 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return secret_automata.scan(documents, secret_automata.train(documents))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_index.match(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,7 +46,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op3_secret_scan, op5_decontamination, op6_minhash, op8_sentence_spans, op9_license_scan, op10_toxicity)}
+    return {f.__name__: f for f in (op1_language_id, op2_suffix_dedup, op3_secret_scan, op4_packing, op5_decontamination, op6_minhash, op8_sentence_spans, op9_license_scan, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
