@@ -1,20 +1,57 @@
-"""A corpus-cleaning pipeline: toxicity, near-duplicates, benchmark leaks, secrets, packing."""
+"""A corpus-cleaning pipeline: toxicity, near-duplicates, benchmark leaks, secrets, packing.
+
+Every stage takes the documents that its predecessor kept and applies its operator
+to all of them; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from padron.llm import ordinal_toxicity
+from padron.llm import hilbert_packing, oph_minhash, ordinal_toxicity, phrase_index, secret_automata
 from padron.llm.common import materialize, table
 
 
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs whose id is not in ids(doc_id); rows with a null id stay."""
+    return docs.join(ids.where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model, learned from the labels of this input, does not reject."""
     model = ordinal_toxicity.train(docs, table(spark, sf_dir, "labels"))
     return ordinal_toxicity.score(docs, model).where("not rejected").select(*[f"`{c}`" for c in docs.columns])
 
 
-STAGES = [("toxicity", drop_toxic)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id."""
+    return _without(docs, oph_minhash.near_duplicates(spark, docs).where("not kept").select("doc_id"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return _without(docs, phrase_index.match(spark, docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, every found credential replaced by a mark."""
+    return secret_automata.redact(docs, secret_automata.train(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed along the curve."""
+    return hilbert_packing.pack(spark, docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("secrets", redact_secrets),
+    ("packing", pack),
+]
+
+#: SQL can express neither the learned models nor the tokenizer.
 ORACLE_SQL = None
 
 
