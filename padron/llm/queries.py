@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from padron.llm import hilbert_packing, langid, license_index, oph_minhash, ordinal_toxicity, phrase_index, secret_automata, sentence_spans, suffix_dedup
+from padron.llm import hilbert_packing, langid, license_index, nn_descent, oph_minhash, ordinal_toxicity, phrase_index, secret_automata, sentence_spans, suffix_dedup
 from padron.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oph_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.remove_repeats(spark, table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op2_suffix_dedup, op3_secret_scan, op4_packing, op5_decontamination, op6_minhash, op8_sentence_spans, op9_license_scan, op10_toxicity)}
+    return {f.__name__: f for f in (op1_language_id, op2_suffix_dedup, op3_secret_scan, op4_packing, op5_decontamination, op6_minhash, op7_nn_descent, op8_sentence_spans, op9_license_scan, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
