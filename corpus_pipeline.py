@@ -13,8 +13,8 @@ from padron.llm.common import materialize, table
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs whose id is not in ids(doc_id); rows with a null id stay."""
-    return docs.join(ids.where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """docs whose id is not in ids(doc_id); rows with a null id stay. The ids grow with the corpus, so they are not broadcast."""
+    return docs.join(ids.where("doc_id is not null").distinct().hint("merge"), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
