@@ -240,7 +240,7 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "piece", "n", "part", "body"])
 
-    pieces = docs.select("id", "th", "text").join(owned, ["id", "th"]).select("text", "pieces").mapInArrow(cut, "anchor long, piece long, n int, part int, body binary")
+    pieces = docs.select("id", "th", "text").join(owned.hint("merge"), ["id", "th"]).select("text", "pieces").mapInArrow(cut, "anchor long, piece long, n int, part int, body binary")
 
     def decide(batches):
         held, size, key = [], 0, None
@@ -292,7 +292,7 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
         spans = spans.union(met.select("anchor", "piece", F.col("at").alias("a"), F.col("at").alias("z")))
     by_piece = spans.groupBy("anchor", "piece").agg(F.collect_list(F.struct("a", "z")).alias("spans"))
     by_doc = live.join(by_piece, ["anchor", "piece"]).groupBy("id", "th").agg(F.collect_set(F.struct("first", "spans")).alias("found"))
-    joined = docs.join(by_doc, ["id", "th"], "left").select("doc_id", "text", "found")
+    joined = docs.join(by_doc.hint("merge"), ["id", "th"], "left").select("doc_id", "text", "found")
 
     def remove(batches):
         for b in batches:
