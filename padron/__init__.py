@@ -1,0 +1 @@
+"""Registry analytics on Spark: sources, cleaning, quality rules, merges, diffs, queries and exports."""
