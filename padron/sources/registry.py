@@ -108,6 +108,8 @@ def with_views(sql: str) -> str:
         return sql
     head = ", ".join(f"{v} as ({VIEWS[v]})" for v in order)
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {head}, {body[15:]}"
     if body.lower().startswith("with "):
         return f"with {head}, {body[5:]}"
     return f"with {head} {body}"
