@@ -244,7 +244,7 @@ def scorer(languages: list[str], prob: np.ndarray, vocabulary: str):
     def predict(texts: list[bytes | None]):
         ids, starts, at = [], [], 0
         for t in texts:
-            own = [table[w] for w in split_words(t)] if t else []
+            own = [table[w] for w in split_words(t)] if t and languages else []
             ids.append(np.array(own, np.int64))
             starts.append(at)
             at += len(own)
