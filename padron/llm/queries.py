@@ -53,5 +53,41 @@ def queries():
     return {f.__name__: f for f in (op1_language_id, op2_suffix_dedup, op3_secret_scan, op4_packing, op5_decontamination, op6_minhash, op7_nn_descent, op8_sentence_spans, op9_license_scan, op10_toxicity)}
 
 
+# DuckDB's lower() folds more than A-Z
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_OP5 = f"""with d as (select doc_id, coalesce({_WORDS}, []) as ws from documents),
+i as (select item_id, {_WORDS} as ws from benchmark where text is not null),
+w as (select distinct item_id, least(len(ws), 10) as n, array_to_string(ws[p : p + least(len(ws), 10) - 1], ' ') as gram
+    from (select item_id, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) as p from i where len(ws) > 0)),
+g as (select doc_id, p, n, array_to_string(ws[p : p + n - 1], ' ') as gram
+    from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as p from d cross join (select distinct n from w) where len(ws) >= n)),
+h as (select doc_id, p, g.n, item_id from g join w on g.gram = w.gram and g.n = w.n),
+c as (select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + n)) as q from h) group by doc_id),
+k as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct doc_id, cast(item_id as string) as id from h) group by doc_id)
+select d.doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join c on d.doc_id = c.doc_id left join k on d.doc_id = k.doc_id"""
+
+_OP6 = f"""with recursive w as (select doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+'), []) as ws from documents),
+s as (select distinct doc_id, sh from (select doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) end) as sh from w)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+l as (select x.doc_id as a, y.doc_id as b from s x join s y on x.sh = y.sh and x.doc_id <> y.doc_id join n p on p.doc_id = x.doc_id join n q on q.doc_id = y.doc_id
+    group by x.doc_id, y.doc_id, p.n, q.n having 100 * count(*) >= 85 * (p.n + q.n - count(*))),
+r(doc_id, node) as (select doc_id, doc_id from documents union select r.doc_id, l.b from r join l on l.a = r.node),
+c as (select doc_id, min(node) as component_id from r group by doc_id)
+select c.doc_id, coalesce(n, 0) as n_shingles, component_id, component_id = c.doc_id as kept from c left join n on c.doc_id = n.doc_id"""
+
+_OP7 = """with recursive e as (select vec_id, cast(embedding as double[]) as v from embeddings where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select x.vec_id as a, y.vec_id as b from e x join e y on x.vec_id <> y.vec_id and len(x.v) = len(y.v) where list_cosine_similarity(x.v, y.v) >= 0.95),
+r(vec_id, node) as (select vec_id, vec_id from embeddings union select r.vec_id, l.b from r join l on l.a = r.node),
+c as (select vec_id, min(node) as component_id from r group by vec_id)
+select c.vec_id, (select count(*) from l where l.a = c.vec_id) as n_links, component_id, component_id = c.vec_id as kept from c"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the operators that SQL can express; the others learn models, tokenize or cut texts and are
+    tested against brute force, round trips or held-out accuracy."""
+    return {"op5_decontamination": _OP5, "op6_minhash": _OP6, "op7_nn_descent": _OP7}
