@@ -39,6 +39,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Whole texts go to Python in Arrow batches of at most so many rows, unless the user has set a number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,6 +1,6 @@
 """Sequence packing along a space-filling curve.
 
-Documents get a vector of hashed words, projected to a few dimensions and placed on
+Documents get a vector of hashed byte strings, projected to a few dimensions and placed on
 a Hilbert curve. Range-sorting by the curve's key brings similar documents next to
 each other; each partition then cuts its stream of tokens into sequences.
 """
@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm.common import WORD_TABLE, mix64, shuffle_partitions
+from padron.llm.common import mix64, shuffle_partitions, small_batches
 
 LENGTH, END = 2048, 1
 DIMENSIONS, BITS = 4, 12
@@ -71,30 +71,24 @@ def token_ids(text: str | None, path: str) -> np.ndarray:
     return np.array(ids, np.uint32)
 
 
-class _Directions(dict):
-    """A fixed pseudo-random direction for each word, from a hash of the word."""
-
-    def __missing__(self, w):
-        if len(self) > 500_000:
-            self.clear()
-        h = mix64(np.full(DIMENSIONS, zlib.crc32(w) + (len(w) << 32), np.uint64) + np.arange(DIMENSIONS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        self[w] = v = tuple(1.0 if x >> np.uint64(63) else -1.0 for x in h)
-        return v
-
-
-_directions = _Directions()
+#: The hashed vector's size, and a fixed direction of signs for each of its entries.
+BUCKETS = 1024
+_SIGNS = np.where(mix64(np.arange(BUCKETS * DIMENSIONS, dtype=np.uint64) + np.uint64(41)) >> np.uint64(63), 1.0, -1.0).reshape(BUCKETS, DIMENSIONS)
 
 
 def coordinates(text: bytes | None) -> np.ndarray:
-    """The document's hashed word vector, projected and scaled to 0 ... 2^BITS - 1 in each dimension.
+    """The document's hashed vector, projected and scaled to 0 ... 2^BITS - 1 in each dimension.
 
-    Every word counts once: a sum of n fixed signs has a spread of sqrt(n), which
-    scales it before the normal distribution makes the cells evenly full.
+    The vector counts the text's four-byte strings by hash. At length 1, a sum over
+    random signs has a spread of 1, so the normal distribution's curve makes the
+    cells evenly full.
     """
-    words = set(text.translate(WORD_TABLE).split()) if text else ()
-    if not words:
+    if not text:
         return np.zeros(DIMENSIONS, np.int64)
-    total = np.array([_directions[w] for w in words]).sum(0) / len(words) ** 0.5
+    b = np.frombuffer(text.lower().ljust(4, b"\0"), np.uint8).astype(np.uint32)
+    g = b[:-3] | b[1:-2] << np.uint32(8) | b[2:-1] << np.uint32(16) | b[3:] << np.uint32(24)
+    counts = np.bincount((g * np.uint32(0x9E3779B1)) >> np.uint32(22), minlength=BUCKETS).astype(float)
+    total = counts @ _SIGNS / np.sqrt(counts @ counts)
     # a smooth map of the real line onto (0, 1), close to the normal distribution's
     share = 1 / (1 + np.exp(-1.702 * total))
     return np.minimum((share * 2**BITS).astype(np.int64), 2**BITS - 1)
@@ -159,6 +153,7 @@ def pack(spark: SparkSession, documents: DataFrame, tokenizer: str | None = None
     gives no pieces. Columns other than doc_id and text are not looked at.
     """
     path = tokenizer or default_tokenizer()
+    small_batches(spark)
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(shuffle_partitions(spark), -(-size // PARTITION_BYTES))
     # the range exchange moves texts, not ids: its sampling runs the keys only, and texts compress better
