@@ -72,7 +72,7 @@ def anchors(text: bytes) -> list[tuple[int, int, int, int]]:
     return [(int(a), xxhash.xxh3_64_intdigest(text[i : j + SPAN]) - (1 << 63), int(i), int(j)) for a, i, j in zip(own, first, last)]
 
 
-def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(t: np.ndarray, depth: int, key: np.ndarray | None = None) -> np.ndarray:
     """Suffixes of t (symbols 0 to 511) sorted by their first `depth` symbols or more.
 
     Larsson-Sadakane: groups of equal prefixes are refined by the rank of the
@@ -80,7 +80,7 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     than one member are sorted again.
     """
     n = len(t)
-    key = packed(t)
+    key = packed(t) if key is None else key
     sa = np.argsort(key, kind="stable")
     k = key[sa]
     fresh = np.concatenate([[True], k[1:] != k[:-1]])
@@ -109,13 +109,14 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
 def packed(t: np.ndarray) -> np.ndarray:
     """_SYMBOLS symbols from each place on as one number; ends read as 0."""
     wide = np.concatenate([t.astype(np.uint64), np.zeros(_SYMBOLS, np.uint64)])
-    key = np.zeros(len(t), np.uint64)
-    for i in range(_SYMBOLS):
-        key = (key << np.uint64(9)) | wide[i : i + len(t)]
+    key = wide[: len(t)].copy()
+    for i in range(1, _SYMBOLS):
+        key <<= np.uint64(9)
+        key |= wide[i : i + len(t)]
     return key
 
 
-def common_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, windows: np.ndarray, cap: int) -> np.ndarray:
+def common_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, windows: np.ndarray, cap: int, key: np.ndarray | None = None) -> np.ndarray:
     """For each place in sa, the common prefix with its predecessor, up to cap; only of suffixes at
     the window starts starts[k] + 0 ... windows[k] - 1 of each piece.
 
@@ -127,7 +128,7 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, windows:
     n = len(t)
     rank = np.empty(n, np.int64)
     rank[sa] = np.arange(n)
-    key = np.concatenate([packed(t), np.zeros(cap + _SYMBOLS + 1, np.uint64)])
+    key = np.concatenate([packed(t) if key is None else key, np.zeros(cap + _SYMBOLS + 1, np.uint64)])
     wide = np.concatenate([t, np.zeros(cap + _SYMBOLS + 1, t.dtype)])
     lcp = np.zeros(n + 1, np.int64)
     h = np.zeros(len(starts), np.int64)
@@ -162,8 +163,9 @@ def shard(pieces: list[bytes], counts: list[int], digests: bool):
     inside[starts + lengths] = False
     t[inside] = np.frombuffer(b"".join(pieces), np.uint8).astype(np.uint16) + 1
     windows = lengths - SPAN + 1
-    sa = suffix_array(t, SPAN)
-    lcp = common_prefixes(t, sa, starts, windows, SPAN)
+    key = packed(t)
+    sa = suffix_array(t, SPAN, key)
+    lcp = common_prefixes(t, sa, starts, windows, SPAN, key)
     twice = np.zeros(len(t), bool)
     same = lcp[1:-1] >= SPAN
     twice[sa[1:][same]] = True
@@ -216,12 +218,14 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "piece", "first", "last", "id", "th"])
 
     places = docs.select("id", "th", "text").where(F.octet_length("text") >= SPAN).mapInArrow(find, "anchor long, piece long, first int, last int, id long, th int")
-    repeated = places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # what meets a hot anchor or piece is written first: a join of two plain exchanges can split a hot key
+    repeated = materialize(places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     live = materialize(places.join(repeated, "anchor"))
 
     contents = live.groupBy("anchor", "piece").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "last")).alias("owner"))
-    size = contents.groupBy("anchor").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts"))
-    contents = contents.join(size, "anchor").select("owner.*", F.struct("anchor", "piece", F.least("n", F.lit(2)).cast("int").alias("n"), F.when(F.col("parts") > 1, F.pmod("piece", "parts")).otherwise(-1).cast("int").alias("part"), F.col("owner.first").alias("first"), F.col("owner.last").alias("last")).alias("c"))
+    size = materialize(contents.groupBy("anchor").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")).where("parts > 1"))
+    part = F.coalesce(F.pmod("piece", "parts"), F.lit(-1)).cast("int")
+    contents = contents.join(size, "anchor", "left").select("owner.*", F.struct("anchor", "piece", F.least("n", F.lit(2)).cast("int").alias("n"), part.alias("part"), F.col("owner.first").alias("first"), F.col("owner.last").alias("last")).alias("c"))
     owned = contents.groupBy("id", "th").agg(F.collect_list("c").alias("pieces"))
 
     def cut(batches):
@@ -290,7 +294,7 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
 
         met = split.repartition(int(-(-n_split // MERGE_ROWS)) + 1, "digest").mapInArrow(merge, "anchor long, piece long, at int")
         spans = spans.union(met.select("anchor", "piece", F.col("at").alias("a"), F.col("at").alias("z")))
-    by_piece = spans.groupBy("anchor", "piece").agg(F.collect_list(F.struct("a", "z")).alias("spans"))
+    by_piece = materialize(spans.groupBy("anchor", "piece").agg(F.collect_list(F.struct("a", "z")).alias("spans")))
     by_doc = live.join(by_piece, ["anchor", "piece"]).groupBy("id", "th").agg(F.collect_set(F.struct("first", "spans")).alias("found"))
     joined = docs.join(by_doc.hint("merge"), ["id", "th"], "left").select("doc_id", "text", "found")
 
