@@ -73,8 +73,9 @@ def duplicate_spans(documents: DataFrame) -> DataFrame:
 
     body = documents.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text"))
     places = body.mapInArrow(run, "doc_id long, row long, hash long, first int, last int")
-    # partial minima and counts leave the map side: a run in a third of all rows is one row a task
-    heads = places.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("head")).where("n > 1").select("hash", "head")
+    # partial minima and counts leave the map side: a run in a third of all rows is one row a task. They are
+    # written before the join: two plain exchanges can split a hot hash
+    heads = materialize(places.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("head")).where("n > 1").select("hash", "head"))
     return places.join(heads, "hash").where(~F.struct("doc_id", "row", "first").eqNullSafe(F.col("head"))).select("doc_id", "row", "first", "last")
 
 
