@@ -11,8 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from padron.llm.common import WORD_TABLE
+from padron.llm.common import WORD_TABLE, small_batches
 
 #: Grades 0 (clean) to 3, and the expected severity from which a document is rejected.
 GRADES, REJECT = 4, 0.4
@@ -59,19 +60,16 @@ def sample(documents: DataFrame, labels: DataFrame, per_class: int) -> list[tupl
     return sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()), key=lambda r: (r[1], r[0]))
 
 
-def grade(rows: list[tuple[bytes, int]], sets: list[set[bytes]]) -> np.ndarray:
+def grade(toxic: np.ndarray, at: list[np.ndarray], words: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> np.ndarray:
     """Severity grades of a labelled sample: 0 without the label, else 1 to 3 by thirds of the
-    share of words that speak for the label (log odds above 2 within the sample)."""
-    toxic = np.array([r[1] > 0 for r in rows])
-    counts = [{}, {}]
-    for s, t in zip(sets, toxic):
-        own = counts[int(t)]
-        for w in s:
-            own[w] = own.get(w, 0) + 1
+    share of words that speak for the label (log odds above 2 within the sample).
+
+    at: each text's feature numbers; words: which features are words; pos, neg: texts of either class with a feature.
+    """
     n0, n1 = max(1, (~toxic).sum()), max(1, toxic.sum())
-    speaks = {w for w, c in counts[1].items() if w[:1] != b"\0" and c >= 3 and np.log((c + 0.5) / n1 / ((counts[0].get(w, 0) + 0.5) / n0)) > 2}
-    share = np.array([len(s & speaks) / max(1, sum(w[:1] != b"\0" for w in s)) if t else 0.0 for s, t in zip(sets, toxic)])
-    out = np.zeros(len(rows), int)
+    speaks = words & (pos >= 3) & (np.log((pos + 0.5) / n1) - np.log((neg + 0.5) / n0) > 2)
+    share = np.array([speaks[a].sum() / max(1, words[a].sum()) if t else 0.0 for a, t in zip(at, toxic)])
+    out = np.zeros(len(at), int)
     if toxic.any():
         cuts = np.quantile(share[toxic], [1 / 3, 2 / 3])
         out[toxic] = 1 + np.searchsorted(cuts, share[toxic], side="right")
@@ -82,32 +80,31 @@ def fit(rows: list[tuple[bytes, int]], max_features: int = 20_000, min_docs: int
     """Fit shared weights and ordered thresholds by full-batch Adam on a bounded sample.
 
     rows: (text, label). A feature is used if its presence and the label depend on
-    each other (chi-square of min_chi2 or more), the max_features strongest at most. An empty or one-class sample gives a model that
-    scores everything 0 and rejects nothing.
+    each other (chi-square of min_chi2 or more), the max_features strongest at most.
+    An empty or one-class sample gives a model that scores everything 0 and
+    rejects nothing.
     """
     none = Model({}, np.zeros(0), np.arange(GRADES - 1) + 8.0)
-    labels = {r[1] > 0 for r in rows}
-    if len(labels) < 2:
+    toxic = np.array([r[1] > 0 for r in rows])
+    if toxic.all() or not toxic.any():
         return none
-    sets = [features(r[0]) for r in rows]
-    y = grade(rows, sets)
-    toxic = y > 0
-    pos, neg = {}, {}
-    for s, t in zip(sets, toxic):
-        own = pos if t else neg
-        for w in s:
-            own[w] = own.get(w, 0) + 1
-    n1, n0 = toxic.sum(), (~toxic).sum()
-
-    def chi2(a, b):
-        n, k = n1 + n0, a + b
-        return n * (a * (n0 - b) - b * (n1 - a)) ** 2 / max(1, k * (n - k) * n1 * n0)
-
-    gap = sorted((-chi2(float(pos.get(w, 0)), float(neg.get(w, 0))), w) for w in pos.keys() | neg.keys() if pos.get(w, 0) + neg.get(w, 0) >= min_docs)
-    index = {w: i for i, (c, w) in enumerate(gap[:max_features]) if -c >= min_chi2}
-    at = [np.fromiter((index[w] for w in s if w in index), np.int64) for s in sets]
+    number: dict[bytes, int] = {}
+    at = [np.array([number.setdefault(w, len(number)) for w in features(t)], np.int32) for t, _ in rows]
+    pos, neg = (np.bincount(np.concatenate([a for a, t in zip(at, toxic) if t == want] or [np.zeros(0, np.int32)]), minlength=len(number)) for want in (True, False))
+    names = list(number)
+    words = np.array([w[:1] != b"\0" for w in names], bool)
+    y = grade(toxic, at, words, pos, neg)
+    n1, n0 = float(toxic.sum()), float((~toxic).sum())
+    n, k = n1 + n0, (pos + neg).astype(float)
+    chi2 = n * (pos * (n0 - neg) - neg * (n1 - pos)) ** 2 / np.maximum(1, k * (n - k) * n1 * n0)
+    chosen = [i for i in np.lexsort((np.arange(len(names)), -chi2)) if chi2[i] >= min_chi2 and k[i] >= min_docs][:max_features]
+    place = np.full(len(names), -1)
+    place[chosen] = np.arange(len(chosen))
+    index = {names[i]: j for j, i in enumerate(chosen)}
+    del number, names
+    at = [place[a][place[a] >= 0] for a in at]
     row = np.repeat(np.arange(len(rows)), [len(a) for a in at])
-    col = np.concatenate(at) if len(row) else np.zeros(0, np.int64)
+    col = np.concatenate(at).astype(np.int64)
     balance = np.where(toxic, 0.3 / n1, 0.7 / n0)
     w = np.zeros(len(index))
     # thresholds: the first is free, each step up is the exponential of a free value
@@ -137,7 +134,7 @@ def fit(rows: list[tuple[bytes, int]], max_features: int = 20_000, min_docs: int
     return Model(index, w, theta[0] + np.concatenate([[0.0], np.cumsum(np.exp(theta[1:]))]))
 
 
-def train(documents: DataFrame, labels: DataFrame, per_class: int = 3000, **args) -> Model:
+def train(documents: DataFrame, labels: DataFrame, per_class: int = 2500, **args) -> Model:
     """A model from at most about per_class labelled documents of each label value."""
     return fit(sample(documents, labels, per_class), **args)
 
@@ -151,23 +148,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     named like the three new ones are replaced. One pass, no shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # max_features words at most
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("severity", "p_toxic", "rejected")]
+    text = kept.index("text")
 
     def run(batches):
         for b in batches:
-            for a in range(0, b.num_rows, 2048):
-                part = b.slice(a, 2048)
-                texts = part.column(part.num_columns - 1).to_pylist()
-                expected, p = shared.value.severity(texts)
-                arrays = [pa.array(expected), pa.array(p[:, 0]), pa.array(expected >= REJECT)] + part.columns[:-1]
+            for a in range(0, b.num_rows, 1000):
+                part = b.slice(a, 1000)
+                expected, p = shared.value.severity(part.column(text).cast(pa.binary()).to_pylist())
+                arrays = [pa.array(expected), pa.array(p[:, 0]), pa.array(expected >= REJECT)] + part.columns
                 yield pa.RecordBatch.from_arrays(arrays, ["severity", "p_toxic", "rejected", *kept])
 
-    body = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("binary").alias("_bytes"))
-    fields = "severity double, p_toxic double, rejected boolean"
-    from pyspark.sql import types as T
-
-    schema = T.StructType(T._parse_datatype_string(fields).fields + [docs.schema[c] for c in kept])
-    return body.mapInArrow(run, schema)
+    fields = T._parse_datatype_string("severity double, p_toxic double, rejected boolean").fields
+    body = docs.select(*[F.col(f"`{c}`") for c in kept])
+    return body.mapInArrow(run, T.StructType(fields + [docs.schema[c] for c in kept]))
 
 
 def toxicity(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:

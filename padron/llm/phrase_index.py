@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm.common import WORD_TABLE, materialize
+from padron.llm.common import WORD_TABLE, materialize, small_batches
 
 WINDOW = 10
 #: Rarest distinct terms of a window whose postings are intersected.
@@ -143,6 +143,7 @@ def match(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> Da
     match nothing; items that repeat an id count once. Repeated document rows
     each get a row; columns other than doc_id, text and item_id are not looked at.
     """
+    small_batches(spark)
     # equal texts share a key, and so their postings
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("doc_key"), F.col("text").cast("binary").alias("text"))
     hits = None
