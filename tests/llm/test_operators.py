@@ -335,6 +335,31 @@ def test_sentence_spans(spark, texts):
     assert by_row(sentence_spans.remove_repeats(spark, documents(spark, rows))) == brute_spans(rows)
 
 
+def test_repeated_passages_of_over_50_words_are_caught(spark):
+    """Every 51 words that two documents share touch a removed part of the later one, however they are punctuated."""
+    rng = np.random.default_rng(8)
+    draw = lambda n: [f"v{x}" for x in rng.integers(0, 10**6, n)]
+    rows, where = [], {}
+    for k in range(60):
+        passage = draw(51 + k % 5)
+        for at in ([], [20], [25, 40], [10, 11, 12, 50])[k % 4]:
+            passage[at] += "."
+        for i in (2 * k, 2 * k + 1):
+            before, after = draw(rng.integers(0, 40)), draw(rng.integers(0, 40))
+            rows.append((i, " ".join(before + passage + after)))
+            where[i] = len(before), passage
+    whole = [(500, "One short title"), (501, "One short title"), (502, "Two. Words."), (503, "Two. Words."), (504, " ".join(draw(20)) + ". " + " ".join(draw(20)) + ". End. Of it.")]
+    rows += whole + [(505, whole[-1][1]), (506, "One short title and more")]
+    got = {r["doc_id"]: r for r in sentence_spans.remove_repeats(spark, documents(spark, rows)).collect()}
+    for k in range(60):
+        assert got[2 * k]["kept_text"] == rows[2 * k][1]
+        _, passage = where[2 * k + 1]
+        kept = set(got[2 * k + 1]["kept_text"].split())
+        assert len([w for w in passage if w not in kept]) >= 19
+        assert set(rows[2 * k + 1][1].split()) - set(passage) <= kept
+    assert [got[i]["kept_text"] for i in (501, 503, 505, 506)] == ["", "", "", "One short title and more"]
+
+
 def test_sentences_join_to_the_text():
     for t in (b"A b. C!! d\n\n e? f", b"", b"...", b"no end", b"\n\n"):
         assert b"".join(sentence_spans.sentences(t)) == t
