@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from padron.llm import hilbert_packing, oph_minhash, ordinal_toxicity, phrase_index, secret_automata
 from padron.llm.common import materialize, table
 
+#: Jaccard similarity of word shingles, in percent, from which the near-duplicate stage links documents.
+NEAR_PERCENT = 80
+
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs whose id is not in ids(doc_id); rows with a null id stay. The ids grow with the corpus, so they are not broadcast."""
@@ -25,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id."""
-    return _without(docs, oph_minhash.near_duplicates(spark, docs).where("not kept").select("doc_id"))
+    return _without(docs, oph_minhash.near_duplicates(spark, docs, NEAR_PERCENT).where("not kept").select("doc_id"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

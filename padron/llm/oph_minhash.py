@@ -20,7 +20,7 @@ from padron.llm.common import connected_components, materialize, mix64, small_ba
 
 WORDS = 5
 BINS, BANDS = 128, 32
-#: Linked if 100 * intersection >= PERCENT * union.
+#: Linked if 100 * intersection >= percent * union; the percent of op6.
 PERCENT = 85
 #: Members of a hub that one group compares at most; larger stars are split.
 STAR = 2000
@@ -112,8 +112,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     return body.mapInArrow(run, "doc_id long, n_shingles long, fingerprint binary, bands array<long>")
 
 
-def confirm(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """The edges (hub, node) whose full sets pass the threshold. texts: (node, text).
+def confirm(edges: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The edges (hub, node) whose full sets pass the threshold of percent. texts: (node, text).
 
     Each member's text goes to its hub's group once, and the hub's text once to
     every part of STAR members; the parts stream through in order, so a hub of any
@@ -137,11 +137,11 @@ def confirm(edges: DataFrame, texts: DataFrame) -> DataFrame:
                 if key != (hub, part):
                     continue
                 small, large = (own, s) if len(own) <= len(s) else (s, own)
-                if 100 * len(small) < PERCENT * len(large):
+                if 100 * len(small) < percent * len(large):
                     continue
                 at = np.searchsorted(large, small)
                 both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                if 100 * both >= PERCENT * (len(own) + len(s) - both):
+                if 100 * both >= percent * (len(own) + len(s) - both):
                     hubs.append(hub)
                     nodes.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(nodes, pa.int64())], ["a", "b"])
@@ -149,8 +149,8 @@ def confirm(edges: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "side", "node").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of documents(doc_id, text).
+def near_duplicates(spark: SparkSession, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row of documents(doc_id, text), linked from percent on.
 
     Documents with equal sets form a class first, without pairs. Rows without
     words or with a null id link with nothing; a null id is kept with a null
@@ -184,7 +184,7 @@ def near_duplicates(spark: SparkSession, documents: DataFrame) -> DataFrame:
         edges = materialize(edges)
         if edges.isEmpty():
             break
-        found = materialize(confirm(edges, texts))
+        found = materialize(confirm(edges, texts, percent))
         tested = edges if tested is None else tested.union(edges)
         links = found if links is None else links.union(found)
         joined = materialize(connected_components(spark, links))

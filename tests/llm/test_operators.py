@@ -288,6 +288,17 @@ def test_a_split_star_confirms_the_same_links(spark, texts, monkeypatch):
     assert by_row(oph_minhash.near_duplicates(spark, docs)) == whole
 
 
+def test_the_pipeline_drops_near_copies_from_80_percent(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(104)]
+    swap = lambda *at: " ".join("new" + w if i in at else w for i, w in enumerate(words))
+    # 90 of 110 shingles are shared, then 85 of 115
+    docs = documents(spark, [(1, " ".join(words)), (2, swap(20, 60)), (3, swap(10, 40, 80))])
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 3]
+    assert oph_minhash.near_duplicates(spark, docs).where("kept").count() == 3
+
+
 # ---- 7 ----
 
 
