@@ -1,8 +1,8 @@
 """Sequence packing along a space-filling curve.
 
 Documents get a vector of hashed byte strings, projected to a few dimensions and placed on
-a Hilbert curve. Range-sorting by the curve's key brings similar documents next to
-each other; each partition then cuts its stream of tokens into sequences.
+a Hilbert curve. Sorting by ranges of the curve's key brings similar documents next to
+each other; each range, of about equal bytes, then cuts its stream of tokens into sequences.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ from padron.llm.common import mix64, shuffle_partitions, small_batches
 
 LENGTH, END = 2048, 1
 DIMENSIONS, BITS = 4, 12
-#: Bytes of text a partition of the sorted stream holds on average.
+#: Bytes of text a range of the curve holds, and cells of the curve whose bytes are counted.
 PARTITION_BYTES = 24_000_000
+CELL_BITS = 14
 
 
 def default_tokenizer() -> str:
@@ -138,6 +139,30 @@ def with_curve_key(docs: DataFrame) -> DataFrame:
     return body.mapInArrow(run, "doc_id long, text binary, curve long")
 
 
+def ranges(cells: dict[int, int], parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first range, number of ranges) of every cell of the curve, in order, with about equal bytes in each range.
+
+    cells: bytes by cell. A cell heavier than a range is dealt to several of its own.
+    """
+    n = 1 << CELL_BITS
+    size = np.zeros(n)
+    size[list(cells)] = list(cells.values())
+    target = max(1.0, size.sum() / parts)
+    first, count = np.zeros(n, np.int64), np.ones(n, np.int64)
+    at, held = 0, 0.0
+    for c in range(n):
+        if size[c] > target:
+            at += held > 0
+            first[c], count[c] = at, int(np.ceil(size[c] / target))
+            at, held = at + int(count[c]), 0.0
+            continue
+        if held + size[c] > target:
+            at, held = at + 1, 0.0
+        first[c] = at
+        held += size[c]
+    return first, count
+
+
 def last_lengths(n: int) -> list[int]:
     """A stream's last n < LENGTH tokens as sequences of powers of two, which need no padding."""
     return [1 << i for i in range(n.bit_length() - 1, -1, -1) if n >> i & 1]
@@ -154,10 +179,18 @@ def pack(spark: SparkSession, documents: DataFrame, tokenizer: str | None = None
     """
     path = tokenizer or default_tokenizer()
     small_batches(spark)
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(shuffle_partitions(spark), -(-size // PARTITION_BYTES))
-    # the range exchange moves texts, not ids: its sampling runs the keys only, and texts compress better
-    ordered = with_curve_key(documents).repartitionByRange(parts, "curve", "doc_id", F.xxhash64("text")).sortWithinPartitions("curve", "doc_id", F.xxhash64("text"))
+    placed = with_curve_key(documents)
+    cell = F.shiftright("curve", DIMENSIONS * BITS - CELL_BITS).cast("int")
+    # a row of each cell comes back; a row without text counts for something too
+    weighed = placed.groupBy(cell.alias("cell")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64).alias("bytes")).collect()
+    cells = {r["cell"]: r["bytes"] for r in weighed}
+    parts = max(shuffle_partitions(spark), -(-sum(cells.values()) // PARTITION_BYTES))
+    first, count = ranges(cells, parts)
+    table = spark.createDataFrame(pa.table({"cell": pa.array(np.arange(len(first)), pa.int32()), "first": pa.array(first), "count": pa.array(count)}))
+    # 2^CELL_BITS rows at any size; copies of one text and id in a heavy cell are told apart by where they were read
+    salt = F.xxhash64("curve", "doc_id", F.spark_partition_id())
+    dealt = placed.withColumn("cell", cell).join(F.broadcast(table), "cell").withColumn("range", (F.col("first") + F.pmod(salt, "count")).cast("int"))
+    ordered = dealt.select("doc_id", "text", "curve", "range").repartitionById(int((first + count).max()), "range").sortWithinPartitions("curve", "doc_id", F.xxhash64("text"))
 
     def run(batches):
         sequence, held, pending = TaskContext.get().partitionId() << 40, 0, []

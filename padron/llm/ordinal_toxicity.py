@@ -43,11 +43,12 @@ class Model:
         return float(self.weights[at].sum()) if at else 0.0
 
 
-def sample(documents: DataFrame, labels: DataFrame, per_class: int) -> list[tuple[bytes, int]]:
+def sample(documents: DataFrame, labels: DataFrame, per_class: int, max_bytes: int = 100_000) -> list[tuple[bytes, int]]:
     """At most about per_class texts of each label value, drawn by a hash of the id.
 
     Rows with null id, text or label are left out; an id labelled twice counts
-    with its larger label.
+    with its larger label, an id with several texts with the one of smallest hash.
+    Texts of more than max_bytes are scored but not learned from.
     """
     y = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in y.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -56,7 +57,9 @@ def sample(documents: DataFrame, labels: DataFrame, per_class: int) -> list[tupl
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, per_class / n)))])
     drawn = y.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < F.element_at(share, F.col("toxic")) * 1_000_003)
     drawn = F.broadcast(drawn)  # at most about per_class rows of each of the few label values
-    rows = documents.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(drawn, "doc_id").select("text", "toxic").toArrow()
+    body = documents.where("text is not null").where(F.octet_length("text") <= max_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    # one text of each id: partial minima, so an id repeated in many rows stays small
+    rows = body.join(drawn, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("text", "toxic").toArrow()
     return sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()), key=lambda r: (r[1], r[0]))
 
 

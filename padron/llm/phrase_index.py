@@ -2,7 +2,8 @@
 
 Training token postings (term, document, position) are stored for the terms that
 the benchmark's windows need: of each window its rarest terms, by counts over the
-whole corpus. Postings are shifted by the term's offset in the item; where the
+whole corpus. Windows, counts and places of terms are tables, so a benchmark of any
+size takes the same two passes over the texts. Postings are shifted by the term's offset in the item; where the
 lists of a window's rare terms meet on one document and one shift, the window is a
 candidate, and its words are then compared one by one in the whole document.
 Proximity matches use the same lists with a tolerance on the shift.
@@ -11,41 +12,33 @@ Proximity matches use the same lists with a tolerance on the shift.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm.common import WORD_TABLE, materialize, small_batches
+from padron.llm.common import WORD_TABLE, discard, keyed, materialize, own_id, small_batches
+from padron.llm.oph_minhash import WordHashes
 
 WINDOW = 10
 #: Rarest distinct terms of a window whose postings are intersected.
 TERMS = 3
-#: Benchmark words that one pass holds in memory; a larger benchmark takes more passes.
-BLOCK_WORDS = 1_000_000
+#: Words that a task counts before it passes the counts on.
+COUNTED = 500_000
+#: Terms that are sent to all tasks; with more, all postings are written and joined with the terms.
+BROADCAST_TERMS = 1_000_000
 
+_words = WordHashes()
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.translate(WORD_TABLE).split() if text else []
+
+def _term(w: bytes) -> int:
+    return _words[w] - (1 << 63)
 
 
-def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS):
-    """Items (item_id, words) in blocks of bounded size, by id. Items without words are left out."""
-    block, size = [], 0
-    rows = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
-    for r in rows.orderBy("item_id", "text").toLocalIterator():
-        words = words_of(bytes(r["text"]))
-        if not words:
-            continue
-        block.append((r["item_id"], words))
-        size += len(words)
-        if size >= block_words:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def words_of(text: bytes | None) -> list[bytes]:
+    return text.translate(WORD_TABLE).split() if text else []
 
 
 def windows_of(words: list[bytes]) -> list[tuple[int, int]]:
@@ -54,86 +47,123 @@ def windows_of(words: list[bytes]) -> list[tuple[int, int]]:
     return [(0, n)] if n < WINDOW else [(i, WINDOW) for i in range(n - WINDOW + 1)]
 
 
-def term_counts(docs: DataFrame, items: list) -> dict[bytes, int]:
-    """Occurrences of each benchmark word in all documents: one row a word comes back."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast({w for _, words in items for w in words})
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """(item_id, item, text): item tells different texts of one id apart. Null ids and null texts are left out."""
+    rows = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("item"), F.col("text").cast("binary").alias("text"))
+    return rows.dropDuplicates(["item_id", "item"])
+
+
+def window_terms(items: DataFrame) -> DataFrame:
+    """(item_id, item, start, term, word, offset): the distinct words of each window, with their first places in the item."""
 
     def run(batches):
-        seen: dict[bytes, int] = {}
-        known = vocabulary.value
         for b in batches:
-            for t in b.column(1).to_pylist():
-                for w in words_of(t):
-                    if w in known:
-                        seen[w] = seen.get(w, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+            cols: list[list] = [[] for _ in range(6)]
+            for item_id, item, text in zip(*[c.to_pylist() for c in b.columns]):
+                words = words_of(text)
+                for start, length in windows_of(words) if words else ():
+                    first: dict[bytes, int] = {}
+                    for i in range(start, start + length):
+                        first.setdefault(words[i], i)
+                    for w, i in first.items():
+                        for c, v in zip(cols, (item_id, item, start, _term(w), w, i)):
+                            c.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["item_id", "item", "start", "term", "word", "offset"])
 
-    rows = docs.mapInArrow(run, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    return {bytes(r["term"]): r["n"] for r in rows}
+    return items.mapInArrow(run, "item_id long, item long, start int, term long, word binary, offset int")
 
 
-def rare_offsets(words: list[bytes], start: int, length: int, counts: dict[bytes, int]) -> tuple[int, ...]:
-    """Where in the item the TERMS rarest distinct words of a window stand (first place each)."""
-    first: dict[bytes, int] = {}
-    for i in range(start, start + length):
-        first.setdefault(words[i], i)
-    return tuple(first[w] for w in sorted(first, key=lambda w: (counts.get(w, 0), w))[:TERMS])
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(term, n): occurrences of each word in all documents."""
 
+    def run(batches):
+        seen: Counter = Counter()
 
-def postings(docs: DataFrame, terms: set[bytes]) -> DataFrame:
-    """The positional index of the given terms: (term, doc_key, position), stored in the shared folder."""
-    wanted = docs.sparkSession.sparkContext.broadcast(terms)
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array([_term(w) for w in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
 
-    def run(batches):
-        known = wanted.value
         for b in batches:
-            ids, places, hashes = [], [], []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words = words_of(t)
-                if known.isdisjoint(words):
-                    continue
-                for i, w in enumerate(words):
-                    if w in known:
-                        ids.append(d)
-                        places.append(i)
-                        hashes.append(xxhash.xxh3_64_intdigest(w) - (1 << 63))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(ids, pa.int64()), pa.array(places, pa.int32())], ["term", "doc_key", "position"])
+            for t in b.column(0).to_pylist():
+                seen.update(words_of(t))
+                if len(seen) > COUNTED:
+                    yield rows()
+                    seen.clear()
+        yield rows()
 
-    return materialize(docs.mapInArrow(run, "term long, doc_key long, position int"))
+    return docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def _term_id(w: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(w) - (1 << 63)
+def postings(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The positional index (term, id, th, position) of the terms of places, stored in the shared folder.
+
+    One row a document without a term carries its number of words.
+    """
+    wanted = None
+    if places.select("word").distinct().count() <= BROADCAST_TERMS:
+        wanted = docs.sparkSession.sparkContext.broadcast({bytes(r["word"]) for r in places.select("word").distinct().collect()})
+
+    def run(batches):
+        known = wanted.value if wanted is not None else None
+        for b in batches:
+            for a in range(0, b.num_rows, 500):
+                part = b.slice(a, 500)
+                rows, at, terms, sizes = [], [], [], []
+                for k, t in enumerate(part.column(2).to_pylist()):
+                    words = words_of(t)
+                    sizes.append(len(words))
+                    if known is not None and known.isdisjoint(words):
+                        continue
+                    own = [i for i, w in enumerate(words) if w in known] if known is not None else range(len(words))
+                    rows += [k] * len(own)
+                    at += own
+                    terms += [_term(words[i]) for i in own]
+                rows = pa.array(list(range(len(sizes))) + rows, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([None] * len(sizes) + terms, pa.int64()), part.column(0).take(rows), part.column(1).take(rows), pa.array(sizes + at, pa.int32())], ["term", "id", "th", "position"]
+                )
+
+    found = docs.mapInArrow(run, "term long, id long, th long, position int")
+    if wanted is None:
+        found = found.join(places.select("term").distinct().hint("merge"), "term", "left_semi").unionByName(found.where("term is null"))
+    return materialize(found)
+
+
+def rarest(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(item_id, item, start, offsets, terms, words): of each window the places of its TERMS rarest words, rarest first.
+
+    Windows with a word that no document holds cannot occur and are left out.
+    """
+    windows = materialize(window_terms(items))
+    # written first: the join can then split a word that many windows hold
+    counts = materialize(term_counts(docs).join(windows.select("term").distinct().hint("merge"), "term", "left_semi"))
+    ranked = windows.join(counts, "term", "left").groupBy("item_id", "item", "start").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "offset", "term"))).alias("all"))
+    chosen = ranked.where(F.col("all")[0]["n"] > 0).withColumn("best", F.slice("all", 1, TERMS))
+    out = materialize(chosen.select("item_id", "item", "start", F.col("best.offset").alias("offsets"), F.col("best.term").alias("terms"), F.col("best.word").alias("words")))
+    discard(windows, counts)
+    return out
 
 
-def candidates(spark: SparkSession, docs: DataFrame, items: list, slack: int = 0) -> DataFrame:
-    """(doc_key, item, shift): alignments at which all rare terms of some window meet.
+def candidates(docs: DataFrame, items: DataFrame, slack: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Alignments (id, th, item_id, item, shift) at which all rare terms of some window meet, and the postings.
 
-    docs: (doc_key, text as bytes). shift is the item's word 0 in the document's
-    words; with slack, terms may stand so many words off their places.
+    docs: keyed rows. shift is the item's word 0 in the document's words; with
+    slack, terms may stand so many words off their places.
     """
-    counts = term_counts(docs, items)
-    rows, needed, sets = [], set(), []
-    for k, (_, words) in enumerate(items):
-        for start, length in windows_of(words):
-            offsets = rare_offsets(words, start, length, counts)
-            if all(counts.get(words[o], 0) for o in offsets):
-                sets.append((k, sorted(offsets)))
-                rows += [(k, o) for o in offsets]
-                needed |= {words[o] for o in offsets}
-    if not rows:
-        return spark.createDataFrame([], "doc_key long, item int, shift int")
-    rows = sorted(set(rows))
-    # where the selected terms stand in the items: a few rows for each benchmark word
-    places = pa.table({"term": pa.array([_term_id(items[k][1][o]) for k, o in rows], pa.int64()), "item": pa.array([k for k, _ in rows], pa.int32()), "offset": pa.array([o for _, o in rows], pa.int32())})
-    windows = sorted({(k, tuple(o)) for k, o in sets})
-    asked = pa.table({"item": pa.array([k for k, _ in windows], pa.int32()), "offsets": pa.array([list(o) for _, o in windows], pa.list_(pa.int32()))})
-    shifted = postings(docs, needed).join(spark.createDataFrame(places), "term").select("doc_key", "item", (F.col("position") - F.col("offset")).alias("shift"), "offset")
+    windows = rarest(docs, items)
+    places = materialize(windows.select("item_id", "item", F.explode(F.arrays_zip("terms", "words", "offsets")).alias("p")).select("item_id", "item", F.col("p.terms").alias("term"), F.col("p.words").alias("word"), F.col("p.offsets").alias("offset")).distinct())
+    index = postings(docs, places)
+    shifted = index.where("term is not null").join(places.drop("word"), "term").select("id", "th", "item_id", "item", (F.col("position") - F.col("offset")).alias("shift"), "offset")
     if slack:
         shifted = shifted.withColumn("shift", F.explode(F.sequence(F.col("shift") - slack, F.col("shift") + slack)))
-    met = shifted.groupBy("doc_key", "item", "shift").agg(F.collect_set("offset").alias("met")).where(F.size("met") >= (1 if any(len(o) == 1 for _, o in windows) else 2))
-    full = met.join(spark.createDataFrame(asked).groupBy("item").agg(F.collect_list("offsets").alias("asked")), "item")
-    return full.where(F.exists("asked", lambda o: F.size(F.array_except(o, F.col("met"))) == 0)).select("doc_key", "item", "shift").distinct()
+    # an alignment has as many places as its item has chosen words at most
+    met = shifted.groupBy("id", "th", "item_id", "item", "shift").agg(F.collect_set("offset").alias("met"))
+    least = windows.select(F.min(F.size("offsets"))).first()[0] or 1
+    met = met.where(F.size("met") >= least)
+    asked = windows.select("item_id", "item", F.col("offsets")[0].alias("offset"), "offsets").distinct()
+    full = met.withColumn("offset", F.explode("met")).join(asked, ["item_id", "item", "offset"])
+    full = full.where(F.size(F.array_except("offsets", "met")) == 0)
+    return full.select("id", "th", "item_id", "item", "shift").distinct(), index
 
 
 def match(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -144,20 +174,9 @@ def match(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> Da
     each get a row; columns other than doc_id, text and item_id are not looked at.
     """
     small_batches(spark)
-    # equal texts share a key, and so their postings
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("doc_key"), F.col("text").cast("binary").alias("text"))
-    hits = None
-    for items in item_blocks(benchmark):
-        found = verified(docs.select("doc_key", "text"), candidates(spark, docs.select("doc_key", "text"), items), items)
-        hits = found if hits is None else hits.union(found)
-    if hits is None:
-        hits = spark.createDataFrame([], "doc_key long, item_id long, start int, end int")
-    by_doc = hits.groupBy("doc_key").agg(F.collect_set(F.struct("item_id", "start", "end")).alias("hits"))
-
-    def count(batches):
-        for b in batches:
-            n = [len(words_of(t)) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], ["doc_id", "doc_key", "n_words"])
+    docs, items = keyed(documents), materialize(items_of(benchmark))
+    found, index = candidates(docs, items)
+    by_doc = verified(docs, materialize(found), items).groupBy("id", "th").agg(F.collect_set(F.struct("item_id", "start", "end")).alias("hits"))
 
     def combine(batches):
         for b in batches:
@@ -176,50 +195,47 @@ def match(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> Da
                 ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
-    counted = docs.mapInArrow(count, "doc_id long, doc_key long, n_words long")
-    joined = counted.join(by_doc, "doc_key", "left").select("doc_id", "n_words", F.col("hits.item_id").alias("ids"), F.col("hits.start").alias("starts"), F.col("hits.end").alias("ends"))
+    counted = index.where("term is null").select("id", "th", F.col("position").cast("long").alias("n_words"))
+    joined = counted.join(by_doc, ["id", "th"], "left").select(own_id().alias("doc_id"), "n_words", F.col("hits.item_id").alias("ids"), F.col("hits.start").alias("starts"), F.col("hits.end").alias("ends"))
     return joined.mapInArrow(combine, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def verified(docs: DataFrame, found: DataFrame, items: list) -> DataFrame:
-    """(doc_key, item_id, start, end): runs of document words that equal at least a window of the item.
+def verified(docs: DataFrame, found: DataFrame, items: DataFrame) -> DataFrame:
+    """(id, th, item_id, start, end): runs of document words that equal at least a window of the item.
 
     Only documents with candidates are read again, whole; a document has at most
     as many alignments as words, times the places where an item repeats itself.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(items)  # a block of items, BLOCK_WORDS words and one item at most
-    by_doc = found.groupBy("doc_key").agg(F.collect_list(F.struct("item", "shift")).alias("found"))
-    joined = docs.join(by_doc, "doc_key").select("doc_key", "text", F.col("found.item").alias("items"), F.col("found.shift").alias("shifts"))
+    shifts = found.groupBy("id", "th", "item_id", "item").agg(F.collect_set("shift").alias("shifts"))
+    by_doc = shifts.join(items.withColumnRenamed("text", "own"), ["item_id", "item"]).groupBy("id", "th").agg(F.collect_list(F.struct("item_id", "own", "shifts")).alias("found"))
+    joined = docs.join(by_doc.hint("merge"), ["id", "th"]).select("id", "th", "text", "found")
 
     def verify(batches):
-        items = shared.value
         for b in batches:
-            out: list[list] = [[] for _ in range(4)]
-            for key, t, which, shifts in zip(*[c.to_pylist() for c in b.columns]):
+            out: list[list] = [[] for _ in range(5)]
+            for d, th, t, found in zip(*[c.to_pylist() for c in b.columns]):
                 words = words_of(t)
-                for k, shift in zip(which, shifts):
-                    item_id, own = items[k]
-                    lo, hi = max(0, -shift), min(len(own), len(words) - shift)
-                    need, run = min(WINDOW, len(own)), 0
-                    for i in range(lo, hi + 1):
-                        if i < hi and own[i] == words[i + shift]:
-                            run += 1
-                            continue
-                        if run >= need:
-                            for c, v in zip(out, (key, item_id, shift + i - run, shift + i)):
-                                c.append(v)
-                        run = 0
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())], ["doc_key", "item_id", "start", "end"])
-
-    return joined.mapInArrow(verify, "doc_key long, item_id long, start int, end int")
+                for f in found:
+                    own = words_of(f["own"])
+                    need = min(WINDOW, len(own))
+                    for shift in f["shifts"]:
+                        lo, hi, run = max(0, -shift), min(len(own), len(words) - shift), 0
+                        for i in range(lo, hi + 1):
+                            if i < hi and own[i] == words[i + shift]:
+                                run += 1
+                                continue
+                            if run >= need:
+                                for c, v in zip(out, (d, th, f["item_id"], shift + i - run, shift + i)):
+                                    c.append(v)
+                            run = 0
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["id", "th", "item_id", "start", "end"])
+
+    return joined.mapInArrow(verify, "id long, th long, item_id long, start int, end int")
 
 
 def proximity(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, slack: int = 2) -> DataFrame:
     """(doc_id, item_id, shift) where a window's rare terms stand within slack words of their places."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_key"), F.col("text").cast("binary").alias("text"))
-    out = spark.createDataFrame([], "doc_id long, item_id long, shift int")
-    for items in item_blocks(benchmark):
-        ids = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(items)], "item int, item_id long")
-        found = candidates(spark, docs, items, slack).join(ids, "item")
-        out = out.union(found.groupBy(F.col("doc_key").alias("doc_id"), "item_id").agg(F.min("shift").alias("shift")))
-    return out
+    small_batches(spark)
+    found, _ = candidates(keyed(documents), materialize(items_of(benchmark)), slack)
+    return found.groupBy("id", "item_id").agg(F.min("shift").alias("shift")).select(own_id().alias("doc_id"), "item_id", "shift")

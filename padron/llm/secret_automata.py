@@ -1,10 +1,12 @@
 """Secret scanning with probabilistic automata learned from known credentials.
 
 Fixed base patterns find credentials of known form. A bounded sample of what they
-find trains one automaton for each kind: a prefix tree whose states are merged
-while their outgoing frequencies are statistically compatible. Every other
-candidate token is scored by the likelihood of its format under each automaton
-against ordinary text, so that credentials without a telling context are found too.
+find trains one automaton for each kind: a prefix tree whose states are merged where
+their next symbols, their endings and the lengths that are left agree statistically.
+One more automaton learns ordinary tokens of the same corpus. Every other token of 8
+or more symbols is scored whole by the likelihood of its format, its end included,
+under each kind against ordinary text, so that credentials without a telling context
+are found too.
 """
 
 from __future__ import annotations
@@ -15,11 +17,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from padron.llm.common import small_batches
+from padron.llm.common import materialize, small_batches
 
 KINDS = ("assign", "access", "hex", "model")
 # The base patterns are fixed values; `assign` runs on lower-cased bytes, which
@@ -27,11 +30,23 @@ KINDS = ("assign", "access", "hex", "model")
 ASSIGN = re.compile(rb"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([a-z0-9+/_.=-]+)")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
-ALPHABET = 64
-#: Symbols of a token that are scored: beyond this a format no longer changes.
-SCORED = 128
+
+#: A run of credential symbols; its parts between / . = + and between all separators are judged as well.
+RUN = re.compile(rb"[A-Za-z0-9+/_.=-]{8,}")
+PART, ATOM = re.compile(rb"[A-Za-z0-9_-]{8,}"), re.compile(rb"[A-Za-z0-9]{8,}")
+SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+_CODE = np.full(256, len(SYMBOLS) - 1, np.int64)
+_CODE[list(SYMBOLS)] = np.arange(len(SYMBOLS))
+
+#: Learning only: longer tokens are scored whole but not learned from; distinct examples that make a kind.
+LONGEST, FEWEST = 256, 20
+#: Visits both states need before their symbols are compared, and levels of significance tried.
+VISITS, ALPHAS, FOLDS = 12, (0.2, 0.02), 3
+#: Added to each symbol's count; share of a kind's own examples that its threshold lets through; bits over ordinary text.
+SMOOTH, ACCEPT, MARGIN = 0.1, 0.97, 10.0
+#: Runs whose verdict a worker keeps; tokens scored at once.
+CACHE_RUNS, SCORE_BLOCK, WIDE = 300_000, 4096, 64
 
 
 def base_spans(text: bytes) -> list[tuple[int, int, int]]:
@@ -51,46 +66,90 @@ def value_of(text: bytes, kind: int, start: int, end: int) -> bytes:
 
 
 class Automaton:
-    """Deterministic probabilistic automaton: counts of symbols, of endings and of visits for each state."""
+    """Deterministic probabilistic automaton over SYMBOLS.
 
-    def __init__(self):
-        self.next: list[dict[int, int]] = [{}]
-        self.count: list[dict[int, int]] = [{}]
-        self.end, self.visits = [0], [0]
+    For each state: successors and counts by symbol, endings, visits, and how many
+    visits had how many symbols left (which tells positions of a fixed format apart
+    where the symbols are all alike).
+    """
+
+    def __init__(self, tokens=()):
+        self.next: list[dict[int, int]] = []
+        self.count: list[dict[int, int]] = []
+        self.left: list[dict[int, int]] = []
+        self.end: list[int] = []
+        self.visits: list[int] = []
+        self._state()
+        for t in tokens:
+            self.add(t)
+
+    def _state(self) -> int:
+        self.next.append({})
+        self.count.append({})
+        self.left.append({})
+        self.end.append(0)
+        self.visits.append(0)
+        return len(self.next) - 1
 
     def add(self, token: bytes):
-        at = 0
-        self.visits[0] += 1
-        for c in token[:SCORED]:
+        at, left = 0, len(token)
+        for c in _CODE[np.frombuffer(token, np.uint8)].tolist():
+            self.visits[at] += 1
+            self.left[at][left] = self.left[at].get(left, 0) + 1
             self.count[at][c] = self.count[at].get(c, 0) + 1
             if c not in self.next[at]:
-                self.next.append({})
-                self.count.append({})
-                self.end.append(0)
-                self.visits.append(0)
-                self.next[at][c] = len(self.next) - 1
+                self.next[at][c] = self._state()
             at = self.next[at][c]
-            self.visits[at] += 1
+            left -= 1
+        self.visits[at] += 1
+        self.left[at][0] = self.left[at].get(0, 0) + 1
         self.end[at] += 1
 
+    def length_gap(self, a: int, b: int) -> float:
+        """Kolmogorov-Smirnov distance of the lengths that are left; 2 if no length is shared."""
+        x, y, nx, ny = self.left[a], self.left[b], self.visits[a], self.visits[b]
+        if x.keys().isdisjoint(y):
+            return 2.0
+        sx = sy = 0
+        far = 0.0
+        for k in sorted(x.keys() | y.keys()):
+            sx += x.get(k, 0)
+            sy += y.get(k, 0)
+            far = max(far, abs(sx / nx - sy / ny))
+        return far
+
     def compatible(self, a: int, b: int, alpha: float) -> bool:
-        """Whether no symbol's frequency, here and below, differs by more than the Hoeffding bound."""
+        """Whether no symbol's or ending's frequency, here and below, differs by more than the
+        Hoeffding bound; states with fewer than VISITS visits show nothing."""
+        factor = math.sqrt(0.5 * math.log(2 / alpha))
         stack = [(a, b)]
         while stack:
             a, b = stack.pop()
             na, nb = self.visits[a], self.visits[b]
-            if not na or not nb:
+            if na < VISITS or nb < VISITS or a == b:
                 continue
-            bound = math.sqrt(0.5 * math.log(2 / alpha)) * (1 / math.sqrt(na) + 1 / math.sqrt(nb))
+            bound = factor * (1 / math.sqrt(na) + 1 / math.sqrt(nb))
             if abs(self.end[a] / na - self.end[b] / nb) > bound:
                 return False
-            for c in self.count[a].keys() | self.count[b].keys():
-                if abs(self.count[a].get(c, 0) / na - self.count[b].get(c, 0) / nb) > bound:
+            x, y = self.count[a], self.count[b]
+            for c in x.keys() | y.keys():
+                if abs(x.get(c, 0) / na - y.get(c, 0) / nb) > bound:
                     return False
                 if c in self.next[a] and c in self.next[b]:
                     stack.append((self.next[a][c], self.next[b][c]))
         return True
 
+    def distance(self, a: int, b: int, alpha: float) -> float | None:
+        """How unlike state b is to the settled state a; None if the difference is significant."""
+        gap, na, nb = self.length_gap(a, b), self.visits[a], self.visits[b]
+        if gap > 1 or gap > math.sqrt(0.5 * math.log(2 / alpha)) * math.sqrt((na + nb) / (na * nb)):
+            return None
+        if not self.compatible(a, b, alpha):
+            return None
+        spare = SMOOTH * (len(SYMBOLS) + 1)
+        bits = -sum(n * math.log2((self.count[a].get(c, 0) + SMOOTH) / (na + spare)) for c, n in self.count[b].items())
+        return gap * 10 + bits / nb
+
     def fold(self, into: int, other: int):
         """Add the tree below `other` to `into`."""
         stack = [(into, other)]
@@ -98,161 +157,283 @@ class Automaton:
             a, b = stack.pop()
             self.end[a] += self.end[b]
             self.visits[a] += self.visits[b]
-            for c, n in self.count[b].items():
-                self.count[a][c] = self.count[a].get(c, 0) + n
+            for mine, new in ((self.count[a], self.count[b]), (self.left[a], self.left[b])):
+                for c, n in new.items():
+                    mine[c] = mine.get(c, 0) + n
             for c, t in self.next[b].items():
                 if c in self.next[a]:
                     stack.append((self.next[a][c], t))
                 else:
                     self.next[a][c] = t
 
-    def infer(self, alpha: float = 0.05) -> "Automaton":
-        """Merge states, in breadth-first order of the prefix tree, into settled compatible ones."""
+    def infer(self, alpha: float) -> "Automaton":
+        """Merge states, the most visited first, each into the settled state it is most like, or settle it."""
         settled = [0]
-        seen = {0}
-        queue = [(0, c) for c in sorted(self.next[0])]
-        while queue:
-            parent, c = queue.pop(0)
-            child = self.next[parent][c]
-            if child in seen:
-                continue
-            for r in settled:
-                if self.compatible(r, child, alpha):
-                    self.next[parent][c] = r
-                    before = set(self.next[r])
-                    self.fold(r, child)
-                    queue += [(r, s) for s in sorted(set(self.next[r]) - before)]
-                    break
-            else:
+        is_settled = {0}
+        while True:
+            open_ = [(-self.visits[t], r, c, t) for r in settled for c, t in self.next[r].items() if t not in is_settled]
+            if not open_:
+                break
+            _, parent, symbol, child = min(open_)
+            best = min(((d, r) for r in settled if (d := self.distance(r, child, alpha)) is not None), default=None)
+            if best is None:
                 settled.append(child)
-                seen.add(child)
-                queue += [(child, s) for s in sorted(self.next[child])]
-        return self
-
-    def table(self):
-        """For scoring: per state, symbol -> (next state, log2 probability), and the unseen symbol's."""
-        out = []
-        for s in range(len(self.next)):
-            total = self.visits[s] + 0.5 * (ALPHABET + 1)
-            out.append({c: (self.next[s].get(c, 0), math.log2((n + 0.5) / total)) for c, n in self.count[s].items()} | {-1: (0, math.log2(0.5 / total))})
+                is_settled.add(child)
+            else:
+                self.next[parent][symbol] = best[1]
+                self.fold(best[1], child)
+        return self.reachable(settled)
+
+    def reachable(self, settled: list[int]) -> "Automaton":
+        """Only the settled states, numbered anew; the root stays 0."""
+        number = {s: i for i, s in enumerate(settled)}
+        out = Automaton()
+        for s in settled[1:]:
+            out._state()
+        for s, i in number.items():
+            out.next[i] = {c: number[t] for c, t in self.next[s].items()}
+            out.count[i], out.left[i], out.end[i], out.visits[i] = self.count[s], self.left[s], self.end[s], self.visits[s]
+        return out
+
+
+class Table:
+    """An automaton for scoring: successor and log2 probability by state and symbol, and of the end.
+
+    A symbol that a state has not seen leads where most of its visits go on.
+    """
+
+    def __init__(self, a: Automaton):
+        n, k = len(a.next), len(SYMBOLS)
+        self.next = np.zeros((n, k), np.int64)
+        self.bits = np.zeros((n, k))
+        self.end = np.zeros(n)
+        for s in range(n):
+            total = math.log2(a.visits[s] + SMOOTH * (k + 1))
+            onward: dict[int, int] = {}
+            for c, m in a.count[s].items():
+                t = a.next[s][c]
+                onward[t] = onward.get(t, 0) + m
+            self.next[s] = max(onward, key=lambda t: (onward[t], -t)) if onward else s
+            self.bits[s] = math.log2(SMOOTH) - total
+            for c, m in a.count[s].items():
+                self.next[s, c] = a.next[s][c]
+                self.bits[s, c] = math.log2(m + SMOOTH) - total
+            self.end[s] = math.log2(a.end[s] + SMOOTH) - total
+
+    def log2(self, tokens: list[bytes]) -> np.ndarray:
+        """log2 probability of each whole token, its end included."""
+        out = np.zeros(len(tokens))
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        order = np.argsort(-sizes, kind="stable")
+        wide = int((sizes > WIDE).sum())
+        for i in order[:wide]:  # long ones one by one
+            at, total, step, bits = 0, 0.0, self.next, self.bits
+            for c in _CODE[np.frombuffer(tokens[i], np.uint8)].tolist():
+                total += bits[at, c]
+                at = step[at, c]
+            out[i] = total + self.end[at]
+        for a in range(wide, len(order), SCORE_BLOCK):
+            block = order[a : a + SCORE_BLOCK]
+            width = int(sizes[block[0]])
+            grid = _CODE[np.frombuffer(b"".join(tokens[i].ljust(width, b"-") for i in block), np.uint8).reshape(len(block), width)]
+            at, total = np.zeros(len(block), np.int64), np.zeros(len(block))
+            lengths = sizes[block]
+            for j in range(width):
+                live = int(np.searchsorted(-lengths, -j))  # lengths fall, those above j stand first
+                total[:live] += self.bits[at[:live], grid[:live, j]]
+                at[:live] = self.next[at[:live], grid[:live, j]]
+            out[block] = total + self.end[at]
         return out
 
 
-def log_likelihood(table, token: bytes) -> float:
-    """Mean log2 probability of a symbol."""
-    at, total = 0, 0.0
-    token = token[:SCORED]
-    for c in token:
-        row = table[at]
-        at, p = row.get(c) or row[-1]
-        total += p
-    return total / len(token)
+def infer_checked(tokens: list[bytes], alphas=ALPHAS) -> tuple[Automaton, np.ndarray]:
+    """The automaton of the tokens and, for each token, the mean log2 probability of a symbol that an
+    automaton of the other folds gives it. The level of significance is the one with the best such mean."""
+    best = None
+    size = np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1
+    for alpha in alphas:
+        held = np.zeros(len(tokens))
+        for f in range(FOLDS):
+            own = np.arange(len(tokens)) % FOLDS == f
+            model = Table(Automaton([t for t, o in zip(tokens, own) if not o]).infer(alpha))
+            held[own] = model.log2([t for t, o in zip(tokens, own) if o])
+        if best is None or held.sum() > best[0]:
+            best = held.sum(), alpha, held / size
+    return Automaton(tokens).infer(best[1]), best[2]
 
 
 class Models:
-    """Automata by kind with their thresholds, and one automaton of ordinary long tokens."""
-
-    def __init__(self, tables: dict, thresholds: dict, ordinary):
-        self.tables, self.thresholds, self.ordinary = tables, thresholds, ordinary
-
-    def score(self, token: bytes) -> float:
-        """Largest margin of a kind's format likelihood over its threshold and over ordinary text, in bits a symbol."""
-        plain = log_likelihood(self.ordinary, token)
-        best = -1e9
-        for k, t in self.tables.items():
-            p = log_likelihood(t, token)
-            best = max(best, min(p - self.thresholds[k], p - plain - 0.5))
-        return best
+    """Tables by kind with their thresholds, and the table of ordinary tokens."""
+
+    def __init__(self, tables: dict[str, Table], thresholds: dict[str, float], ordinary: Table | None, states: dict[str, int]):
+        self.tables, self.thresholds, self.ordinary, self.states = tables, thresholds, ordinary, states
+
+    def accepted(self, tokens: list[bytes], plain: np.ndarray | None = None, margin: float = MARGIN) -> np.ndarray:
+        """Tokens whose mean log2 probability reaches a kind's threshold and whose probability under that
+        kind is at least margin bits above that of ordinary text (plain, where it is given)."""
+        out = np.zeros(len(tokens), bool)
+        if not tokens or not self.tables:
+            return out
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1
+        # without ordinary tokens all symbols and the end are alike
+        if plain is None:
+            plain = self.ordinary.log2(tokens) if self.ordinary else -size * math.log2(len(SYMBOLS) + 1)
+        for kind, table in self.tables.items():
+            p = table.log2(tokens)
+            out |= (p / size >= self.thresholds[kind]) & (p - plain >= margin)
+        return out
 
 
 def learn(positives: dict[str, list[bytes]], ordinary: list[bytes]) -> Models:
-    """One automaton for each kind with at least 5 distinct examples. A kind's threshold is the
-    likelihood that 95 of 100 of its examples reach."""
-    plain = Automaton()
-    for t in sorted(set(ordinary)):
-        plain.add(t)
-    tables, thresholds = {}, {}
+    """One automaton for each kind with at least FEWEST distinct examples. A kind's threshold is what
+    ACCEPT of its examples reach under automata that have not seen them."""
+    tables, thresholds, states = {}, {}, {}
     for kind, tokens in sorted(positives.items()):
-        tokens = sorted(set(tokens))
-        if len(tokens) < 5:
-            continue
-        a = Automaton()
-        for t in tokens:
-            a.add(t)
-        tables[kind] = a.infer().table()
-        thresholds[kind] = float(np.quantile([log_likelihood(tables[kind], t) for t in tokens], 0.05))
-    return Models(tables, thresholds, plain.infer().table() if ordinary else [{-1: (0, -math.log2(ALPHABET))}])
-
-
-def candidates(text: bytes, taken: list[tuple[int, int, int]]):
-    """Long tokens with a digit and a letter that no base span touches: (start, end)."""
-    busy = sorted((s, e) for _, s, e in taken)
-    i = 0
-    for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        while i < len(busy) and busy[i][1] <= s:
-            i += 1
-        if i < len(busy) and busy[i][0] < e:
-            continue
-        token = m[0]
-        stripped = token.strip(b"=-_/+")
-        if not stripped.isalpha() and re.search(rb"[0-9]", stripped) and re.search(rb"[A-Za-z]", stripped) and len(set(stripped)) >= 6:
-            yield s, e
-
-
-def sample(docs: DataFrame, per_kind: int, ordinary: int):
-    """A bounded sample: at most per_kind distinct credentials of each base kind, and ordinary long tokens."""
+        # by hash, so that neighbours in order of name do not share a fold
+        tokens = sorted({t for t in tokens if len(t) <= LONGEST}, key=lambda t: (xxhash.xxh3_64_intdigest(t), t))
+        if len(tokens) >= FEWEST:
+            automaton, held = infer_checked(tokens)
+            tables[kind], states[kind] = Table(automaton), len(automaton.next)
+            thresholds[kind] = float(np.quantile(held, 1 - ACCEPT))
+    plain = sorted({t for t in ordinary if len(t) <= LONGEST}, key=lambda t: (xxhash.xxh3_64_intdigest(t), t))
+    if not plain or not tables:
+        return Models(tables, thresholds, None, states)
+    # bare credentials are among the drawn tokens: those that a kind explains better than the other tokens do go
+    kinds, gone = Models(tables, thresholds, None, states), True
+    while gone and plain:
+        _, held = infer_checked(plain, ALPHAS[:1])
+        ok = kinds.accepted(plain, held * (np.fromiter(map(len, plain), np.int64, len(plain)) + 1), MARGIN / 2)
+        plain, gone = [t for t, out in zip(plain, ok) if not out], ok.any()
+    table = None
+    if plain:
+        automaton = Automaton(plain).infer(ALPHAS[0])
+        table, states["ordinary"] = Table(automaton), len(automaton.next)
+    return Models(tables, thresholds, table, states)
+
+
+def parts_of(run: bytes) -> list[tuple[int, int]]:
+    """(start, end) within a run of what is judged: the run without punctuation at its ends, then its
+    parts between / . = +, then those between all separators; 8 symbols at least, each once."""
+    start = len(run) - len(run.lstrip(b"._-/+="))
+    whole = (start, len(run.rstrip(b"._-/+")))
+    if run.isalnum():
+        return [whole]
+    found = [whole, *(m.span() for m in PART.finditer(run)), *(m.span() for m in ATOM.finditer(run))]
+    return [s for s in dict.fromkeys(found) if s[1] - s[0] >= 8]
+
+
+class Judge(dict):
+    """For each run of symbols seen by a worker, the spans in it that the models accept."""
+
+    def __init__(self, models: Models):
+        super().__init__()
+        self.models = models
+
+    def settle(self, runs: set[bytes]):
+        """Judge all runs that are not known yet."""
+        if len(self) > CACHE_RUNS:
+            self.clear()
+        fresh = [r for r in runs if r not in self]
+        parts = [parts_of(r) for r in fresh]
+        ok = self.models.accepted([r[a:b] for r, p in zip(fresh, parts) for a, b in p]).tolist()
+        i = 0
+        for r, p in zip(fresh, parts):
+            taken: list[tuple[int, int]] = []
+            for span, good in zip(p, ok[i : i + len(p)]):
+                # larger parts come first, and no part is taken twice
+                if good and not any(span[0] < e and s < span[1] for s, e in taken):
+                    taken.append(span)
+            i += len(p)
+            self[r] = sorted(taken)
+
+
+def model_spans(text: bytes, judge: Judge, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Accepted spans of the text, those left out that touch a base span. The text's runs are settled."""
+    busy = sorted((s, e) for _, s, e in base)
+    starts, out = np.array([s for s, _ in busy]), []
+    for m in RUN.finditer(text):
+        for a, b in judge[m[0]]:
+            s, e = m.start() + a, m.start() + b
+            # base spans of different kinds may overlap: look at all that start before e
+            if not any(x < e and s < y for x, y in busy[: int(np.searchsorted(starts, e))]):
+                out.append((3, s, e))
+    return out
+
+
+def scan_texts(texts: list[bytes | None], judge: Judge) -> list[tuple[list, list]]:
+    """(base spans, model spans) of each whole text, in bytes."""
+    base = [base_spans(t) if t else [] for t in texts]
+    if not judge.models.tables:
+        return [(b, []) for b in base]
+    runs = [RUN.findall(t) if t else [] for t in texts]
+    judge.settle({r for own in runs for r in own})
+    return [(b, model_spans(t, judge, b) if any(map(judge.__getitem__, own)) else []) for t, b, own in zip(texts, base, runs)]
+
+
+class Smallest:
+    """The k distinct values of smallest hash among all that are added."""
+
+    def __init__(self, k: int):
+        self.k, self.held, self.bound = k, {}, 1 << 64
+
+    def add(self, value: bytes):
+        h = xxhash.xxh3_64_intdigest(value)
+        if h <= self.bound:
+            self.held[value] = h
+            if len(self.held) > 4 * self.k + 1000:
+                self.cut()
+
+    def cut(self):
+        best = sorted(self.held.items(), key=lambda x: (x[1], x[0]))[: self.k]
+        self.held = dict(best)
+        if len(best) == self.k and best:
+            self.bound = best[-1][1]
+        return best
+
+
+def sample(docs: DataFrame, per_kind: int, ordinary: int) -> dict[str, list[bytes]]:
+    """At most per_kind distinct credentials of each base kind, and ordinary tokens drawn from all texts:
+    those of smallest hash, kept by each task and then over all tasks."""
 
     def run(batches):
+        kept = {k: Smallest(per_kind) for k in KINDS[:3]} | {"ordinary": Smallest(ordinary)}
         for b in batches:
-            kinds, values = [], []
             for t in b.column(0).to_pylist():
                 spans = base_spans(t)
                 for k, s, e in spans:
-                    kinds.append(KINDS[k])
-                    values.append(value_of(t, k, s, e))
+                    kept[KINDS[k]].add(value_of(t, k, s, e))
                 if spans:
-                    free = [m[0] for m in CANDIDATE.finditer(t) if not re.search(rb"[0-9]", m[0])][:2]
-                    kinds += ["ordinary"] * len(free)
-                    values += free
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.binary())], ["kind", "value"])
+                    # what the base patterns found is not ordinary
+                    for _, s, e in sorted(spans, key=lambda x: -x[2]):
+                        t = t[:s] + b" " + t[e:]
+                add = kept["ordinary"].add
+                for r in RUN.findall(t):
+                    if r.isalnum():
+                        add(r)
+                    else:
+                        for x, y in parts_of(r):
+                            add(r[x:y])
+        for kind, own in kept.items():
+            rows = own.cut()
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(rows), pa.string()), pa.array([h - (1 << 63) for _, h in rows], pa.int64()), pa.array([v for v, _ in rows], pa.binary())], ["kind", "h", "value"])
 
     small_batches(docs.sparkSession)
-    found = docs.where("text is not null").select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "kind string, value binary").distinct()
-    # a bottom-k sample by hash: merged from partial ones, so no task gathers a kind whole
-    ranked = found.withColumn("h", F.xxhash64("value"))
-    parts = []
-    for kind, n in (("assign", per_kind), ("access", per_kind), ("hex", per_kind), ("ordinary", ordinary)):
-        parts.append(ranked.where(F.col("kind") == kind).orderBy("h", "value").limit(n).select("kind", "value"))
+    body = docs.where("text is not null").select(F.col("text").cast("binary").alias("text"))
+    found = materialize(body.mapInArrow(run, "kind string, h long, value binary").distinct())
+    parts = [found.where(F.col("kind") == k).orderBy("h", "value").limit(n).select("kind", "value") for k, n in (*((k, per_kind) for k in KINDS[:3]), ("ordinary", ordinary))]
     out: dict[str, list[bytes]] = {}
-    ranked.persist()
-    try:
-        for p in parts:
-            for r in p.collect():
-                out.setdefault(r["kind"], []).append(bytes(r["value"]))
-    finally:
-        ranked.unpersist()
+    for r in parts[0].union(parts[1]).union(parts[2]).union(parts[3]).collect():
+        out.setdefault(r["kind"], []).append(bytes(r["value"]))
     return out
 
 
-def train(docs: DataFrame, per_kind: int = 300, ordinary: int = 600) -> Models:
-    """Automata from at most per_kind base credentials of each kind found in docs(text)."""
+def train(docs: DataFrame, per_kind: int = 600, ordinary: int = 2000) -> Models:
+    """Automata from at most per_kind base credentials of each kind and so many ordinary tokens of docs(text)."""
     found = sample(docs, per_kind, ordinary)
     plain = found.pop("ordinary", [])
     return learn(found, plain)
 
 
-def scan_text(text: bytes | None, models: Models) -> tuple[list, list]:
-    """Base spans and model spans of a whole text as (kind number, start, end), in bytes."""
-    if not text:
-        return [], []
-    base = base_spans(text)
-    more = []
-    if models.tables:
-        more = [(3, s, e) for s, e in candidates(text, base) if models.score(text[s:e]) >= 0]
-    return base, more
-
-
 def to_code_points(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     if not spans or text.isascii():
         return spans
@@ -265,7 +446,7 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, models: Models) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, n_model, base_sha256, spans) for each row of docs(doc_id, text).
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_model) for each row of docs(doc_id, text).
 
     Null and empty texts count as empty: no spans and the hash of the empty
     string. Repeated rows get a row each; other columns are not looked at.
@@ -275,22 +456,27 @@ def scan(docs: DataFrame, models: Models) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches):
+        judge = Judge(shared.value)
         for b in batches:
-            n, sha, all_spans = [[], [], [], []], [], []
-            for t in b.column(1).to_pylist():
-                base, more = scan_text(t, shared.value)
-                base, more = to_code_points(t or b"", base), to_code_points(t or b"", more)
-                for k in range(4):
-                    n[k].append(sum(x[0] == k for x in base) if k < 3 else len(more))
-                sha.append(hashlib.sha256(written(base).encode()).hexdigest())
-                all_spans.append(written(base + more))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(x, pa.int64()) for x in n], pa.array(sha, pa.string()), pa.array(all_spans, pa.string())],
-                ["doc_id", "n_assign", "n_access", "n_hex", "n_model", "base_sha256", "spans"],
-            )
+            for a in range(0, b.num_rows, 500):
+                part = b.slice(a, 500)
+                texts = part.column(1).to_pylist()
+                n, sha, all_spans = [[], [], [], []], [], []
+                for t, (base, more) in zip(texts, scan_texts(texts, judge)):
+                    base, more = to_code_points(t or b"", base), to_code_points(t or b"", more)
+                    for k in range(3):
+                        n[k].append(sum(x[0] == k for x in base))
+                    n[3].append(len(more))
+                    sha.append(hashlib.sha256(written(base).encode()).hexdigest())
+                    all_spans.append(written(base + more))
+                counts = [pa.array(x, pa.int64()) for x in n]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *counts[:3], pa.array(sha, pa.string()), pa.array(all_spans, pa.string()), counts[3]],
+                    ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model"],
+                )
 
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return body.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_model long, base_sha256 string, spans string")
+    return body.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_model long")
 
 
 def redact(docs: DataFrame, models: Models, mark: str = "<SECRET>") -> DataFrame:
@@ -303,18 +489,20 @@ def redact(docs: DataFrame, models: Models, mark: str = "<SECRET>") -> DataFrame
     small_batches(docs.sparkSession)
 
     def clean(batches):
+        judge = Judge(shared.value)
         for b in batches:
-            out = []
-            for t in b.column(0).to_pylist():
-                base, more = scan_text(t, shared.value)
-                at, parts = 0, []
-                for _, s, e in sorted(base + more, key=lambda x: x[1]):
-                    if s >= at:
-                        parts += [t[at:s], mark.encode()]
-                    at = max(at, e)
-                out.append(t if t is None or not parts else b"".join([*parts, t[at:]]))
-            text = pa.array([None if t is None else t.decode("utf-8", "replace") for t in out], pa.string())
-            yield pa.RecordBatch.from_arrays([text, *b.columns[1:]], ["text", *b.schema.names[1:]])
+            for a in range(0, b.num_rows, 500):
+                part = b.slice(a, 500)
+                texts, out = part.column(0).to_pylist(), []
+                for t, (base, more) in zip(texts, scan_texts(texts, judge)):
+                    at, pieces = 0, []
+                    for _, s, e in sorted(base + more, key=lambda x: x[1]):
+                        if s >= at:
+                            pieces += [t[at:s], mark.encode()]
+                        at = max(at, e)
+                    out.append(t if t is None or not pieces else b"".join([*pieces, t[at:]]))
+                text = pa.array([None if t is None else t.decode("utf-8", "replace") for t in out], pa.string())
+                yield pa.RecordBatch.from_arrays([text, *part.columns[1:]], ["text", *part.schema.names[1:]])
 
     rest = [c for c in docs.columns if c != "text"]
     schema = T.StructType([T.StructField("text", T.StringType()), *[docs.schema[c] for c in rest]])

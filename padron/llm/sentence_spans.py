@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm.common import materialize, mix64
+from padron.llm.common import discard, materialize, mix64
 from padron.llm.oph_minhash import WordHashes
 
 MIN_SENTENCES, MIN_WORDS = 2, 16
@@ -25,19 +25,19 @@ PIECE = 16
 _SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?]+|\n|$)\s*")
 _WORD = re.compile(rb"\S+")
 _HALF = np.uint64(0xFFFFFFFF)
-_BASE, _WHOLE = 0x9E3779B97F4A7C15, np.uint64(0x5851F42D4C957F2D)
+_BASES, _WHOLE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95), np.uint64(0x5851F42D4C957F2D)
 
 _words = WordHashes()
-_tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_tables = [np.ones(1, np.uint64)] * 4
 
 
 def _powers(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, n at least; up to a stated size they are kept."""
+    """Powers of each base and of its inverse modulo 2^64, n at least; up to a stated size they are kept."""
     if len(_tables[0]) >= n:
         return _tables
     size = 1 << (n - 1).bit_length()
     out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+    for base in (x for b in _BASES for x in (b, pow(b, -1, 1 << 64))):
         x = np.full(size, base, np.uint64)
         x[0] = 1
         out.append(np.cumprod(x, dtype=np.uint64))
@@ -113,11 +113,11 @@ def sentences(text: bytes | None) -> list[bytes]:
     return out
 
 
-def _runs(units: _Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, first, last) of the runs."""
+def _runs(units: _Units) -> tuple[np.ndarray, ...]:
+    """(text, hash, check, first, last) of the runs; hash and check are two polynomials, 128 bits together."""
     k = np.arange(len(units.starts))
     if not len(k):
-        return k, k, k, k
+        return k, k, k, k, k
     edges, text = np.append(units.starts, units.n), units.text
     # the first part with which the run has enough words, and the last from which it has
     stop = np.maximum(np.searchsorted(edges, edges[:-1] + MIN_WORDS) - 1, k + MIN_SENTENCES - 1)
@@ -130,17 +130,20 @@ def _runs(units: _Units) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     whole = ~ahead[low]
     i = np.concatenate([k[ahead], start[behind], low[whole]])
     j = np.concatenate([stop[ahead], k[behind], high[whole]])
-    # a polynomial over the hashes of the words, taken from prefix sums
-    power, back = _powers(units.n)
-    sums = np.append(np.uint64(0), np.cumsum(units.hashes * power[: units.n], dtype=np.uint64))
+    # polynomials over the hashes of the words, taken from prefix sums
+    tables = _powers(units.n)
     a, b = edges[i], edges[j + 1]
-    h = mix64((sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64))
-    at = len(h) - int(whole.sum())
-    h[at:] = mix64(h[at:] + _WHOLE)
-    return text[i], h.view(np.int64), units.place[i], units.place[j]
+    at = len(i) - int(whole.sum())
+    both = []
+    for power, back in (tables[:2], tables[2:]):
+        sums = np.append(np.uint64(0), np.cumsum(units.hashes * power[: units.n], dtype=np.uint64))
+        h = mix64((sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64))
+        h[at:] = mix64(h[at:] + _WHOLE)
+        both.append(h.view(np.int64))
+    return text[i], *both, units.place[i], units.place[j]
 
 
-def runs(parts: list[bytes]) -> list[tuple[int, int, int]]:
+def runs(parts: list[bytes]) -> list[tuple[tuple[int, int], int, int]]:
     """(hash, first, last) of the shortest run from each part and of the shortest run up to each part.
 
     A part that any longer run holds stands in one of these within that run, so
@@ -148,8 +151,8 @@ def runs(parts: list[bytes]) -> list[tuple[int, int, int]]:
     which only whole copies share. Parts without a word do not count. Runs compare
     lower-cased words (A-Z), so spacing does not matter.
     """
-    _, h, i, j = _runs(_Units([parts]))
-    return list(zip(h.tolist(), i.tolist(), j.tolist()))
+    _, h, c, i, j = _runs(_Units([parts]))
+    return list(zip(zip(h.tolist(), c.tolist()), i.tolist(), j.tolist()))
 
 
 def duplicate_spans(documents: DataFrame) -> DataFrame:
@@ -164,16 +167,20 @@ def duplicate_spans(documents: DataFrame) -> DataFrame:
         for b in batches:
             for a in range(0, b.num_rows, 200):
                 ids, rows, texts = b.slice(a, 200).columns
-                at, hashes, firsts, lasts = _runs(_Units([_split(t) for t in texts.to_pylist()]))
+                at, hashes, checks, firsts, lasts = _runs(_Units([_split(t) for t in texts.to_pylist()]))
                 at = pa.array(at)
-                yield pa.RecordBatch.from_arrays([ids.take(at), rows.take(at), pa.array(hashes, pa.int64()), pa.array(firsts.astype(np.int32)), pa.array(lasts.astype(np.int32))], ["doc_id", "row", "hash", "first", "last"])
+                yield pa.RecordBatch.from_arrays([ids.take(at), rows.take(at), pa.array(hashes, pa.int64()), pa.array(checks, pa.int64()), pa.array(firsts.astype(np.int32)), pa.array(lasts.astype(np.int32))], ["doc_id", "row", "hash", "check", "first", "last"])
 
     body = documents.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text"))
-    places = body.mapInArrow(run, "doc_id long, row long, hash long, first int, last int")
+    # the texts are cut once; what is written are places
+    places = materialize(body.mapInArrow(run, "doc_id long, row long, hash long, check long, first int, last int"))
     # partial minima and counts leave the map side: a run in a third of all rows is one row a task. They are
     # written before the join: two plain exchanges can split a hot hash
-    heads = materialize(places.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("head")).where("n > 1").select("hash", "head"))
-    return places.join(heads, "hash").where(~F.struct("doc_id", "row", "first").eqNullSafe(F.col("head"))).select("doc_id", "row", "first", "last")
+    heads = materialize(places.groupBy("hash", "check").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("head")).where("n > 1").select("hash", "check", "head"))
+    later = places.join(heads, ["hash", "check"]).where(~F.struct("doc_id", "row", "first").eqNullSafe(F.col("head"))).select("doc_id", "row", "first", "last")
+    spans = materialize(later.distinct())
+    discard(places, heads)
+    return spans
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -183,7 +190,7 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
     before all others. Equal rows (same id and text) are one place and are treated
     alike. Columns other than doc_id and text are not looked at.
     """
-    spans = materialize(duplicate_spans(documents).distinct())
+    spans = duplicate_spans(documents)
     # a document has as many spans as sentences at most
     by_row = spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     body = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text"))

@@ -6,8 +6,9 @@ smallest-hashed gram, chosen by content alone, so equal windows share it. Window
 with the same anchor are cut out as one piece of text; identical pieces enter once
 with their number. Pieces are dealt to shards by anchor, each shard builds a suffix
 array by Larsson-Sadakane refinement and common prefixes by Kasai's rule, and
-anchors too large for one shard are split, their window classes being merged
-across shards by binary search in sorted digests.
+anchors too large for one shard are split. Of a split anchor each shard gives its
+different windows once, as digests; those that several shards hold go back to them,
+and each shard finds them among its windows by binary search.
 """
 
 from __future__ import annotations
@@ -20,20 +21,22 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm.common import materialize, mix64
+from padron.llm.common import discard, keyed, materialize, mix64, own_id
 
 SPAN, GRAM = 400, 32
 #: Bytes of pieces in one suffix array; anchors with more pieces than SPLIT are dealt to several.
 SHARD_BYTES, SPLIT = 3_000_000, 4000
-#: Window digests that one merging task searches.
-MERGE_ROWS = 2_000_000
-_R = 0x9E3779B97F4A7C15
+#: Windows of one piece at most.
+PIECE_WINDOWS = 4096
+_R, _S = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: A digest of a window in a shard: two numbers of 64 bits, compared as bytes.
+_DIGEST = np.dtype("V16")
 _SYMBOLS = 7  # of 9 bits in the first sort key: a byte, or the end of a piece
 
 
-def rolling(x: np.ndarray, sizes: tuple[int, ...]) -> dict[int, np.ndarray]:
+def rolling(x: np.ndarray, sizes: tuple[int, ...], r: int = _R) -> dict[int, np.ndarray]:
     """Polynomial hashes of all substrings of power-of-two sizes, by doubling."""
-    h, size, out, r = x.astype(np.uint64) + np.uint64(1), 1, {}, _R
+    h, size, out = x.astype(np.uint64) + np.uint64(1), 1, {}
     while True:
         if size in sizes:
             out[size] = h
@@ -44,9 +47,10 @@ def rolling(x: np.ndarray, sizes: tuple[int, ...]) -> dict[int, np.ndarray]:
         size *= 2
 
 
-def anchors(text: bytes) -> list[tuple[int, int, int, int]]:
-    """(anchor hash, piece digest, first, last): windows first..last share the anchor; the piece is
-    text[first : last + SPAN]."""
+def anchors(text: bytes) -> list[tuple[int, int, int, int, int]]:
+    """(anchor hash, piece digest, first, last, times): windows first..last share the anchor; the piece is
+    text[first : last + SPAN]. Where an anchor repeats from window to window, as in periodic text, they are
+    pieces of PIECE_WINDOWS windows at most, and times is 2."""
     n = len(text) - SPAN + 1
     if n <= 0:
         return []
@@ -64,12 +68,23 @@ def anchors(text: bytes) -> list[tuple[int, int, int, int]]:
     tail = np.minimum.accumulate(grid[:, ::-1], 1)[:, ::-1].ravel()
     best = np.minimum(tail[:n], head[w - 1 : w - 1 + n])
     first = np.concatenate([[0], np.flatnonzero(best[1:] != best[:-1]) + 1])
-    last = np.append(first[1:], n) - 1
     # the anchor's place, from its low bits and the window's start
     off = (low - (best[first] & low)).astype(np.int64) - (first & 0xFFFFFF)
     at = first + np.where(off < 0, off + (1 << 24), off)
     own = h[at].view(np.int64)
-    return [(int(a), xxhash.xxh3_64_intdigest(text[i : j + SPAN]) - (1 << 63), int(i), int(j)) for a, i, j in zip(own, first, last)]
+    times = np.ones(len(own), np.int64)
+    same = np.append(False, own[1:] == own[:-1])
+    if same.any():
+        # neighbours with one anchor hash become one stretch, which is then cut anew
+        lead = np.flatnonzero(~same)
+        times = 1 + (np.diff(np.append(lead, len(own))) > 1)
+        own, first = own[lead], first[lead]
+        stop = np.append(first[1:], n)
+        pieces = -(-(stop - first) // PIECE_WINDOWS)
+        step = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        own, times, first = np.repeat(own, pieces), np.repeat(times, pieces), np.repeat(first, pieces) + step * PIECE_WINDOWS
+    last = np.append(first[1:], n) - 1
+    return [(int(a), xxhash.xxh3_64_intdigest(text[i : j + SPAN]) - (1 << 63), int(i), int(j), int(n)) for a, i, j, n in zip(own, first, last, times)]
 
 
 def suffix_array(t: np.ndarray, depth: int, key: np.ndarray | None = None) -> np.ndarray:
@@ -155,7 +170,7 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, windows:
 
 
 def shard(pieces: list[bytes], counts: list[int], digests: bool):
-    """Which windows of each piece repeat: a list of boolean arrays; and the digests of all windows."""
+    """Which windows of each piece repeat: a list of boolean arrays; and the digests of all windows, 128 bits each."""
     lengths = np.array([len(p) for p in pieces])
     t = np.zeros(int(lengths.sum()) + len(pieces), np.uint16)
     starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
@@ -174,11 +189,14 @@ def shard(pieces: list[bytes], counts: list[int], digests: bool):
     if not digests:
         return out, None
     h = rolling(t, (16, 128, 256))
-    d = []
-    for s, w in zip(starts, windows):
-        i = np.arange(s, s + w)
-        d.append(mix64(mix64(mix64(h[256][i]) + h[128][i + 256]) + h[16][i + 384]).view(np.int64))
-    return out, d
+    i = np.concatenate([np.arange(a, a + w) for a, w in zip(starts, windows)])
+    parts = h[256][i], h[128][i + 256], h[16][i + 384]
+    d = [mix64(mix64(mix64(parts[0]) + parts[1]) + parts[2])]
+    # the second half of a digest hashes the bytes with another base
+    other = rolling(t, (16, 128, 256), _S)
+    parts = other[256][i], other[128][i + 256], other[16][i + 384]
+    d.append(mix64(mix64(mix64(parts[0]) + parts[1]) + parts[2]))
+    return out, np.stack(d, 1)
 
 
 def runs_of(flags: np.ndarray) -> tuple[list[int], list[int]]:
@@ -186,14 +204,62 @@ def runs_of(flags: np.ndarray) -> tuple[list[int], list[int]]:
     return np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist()
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """doc_id, the key of the row (id, and a hash that tells rows sharing an id apart) and its bytes."""
-    return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
-        F.hash("text").alias("th"),
-        F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"),
-    )
+def across_shards(split: DataFrame) -> DataFrame:
+    """(anchor, piece, a, z): runs of windows of split anchors that another shard of the anchor holds as well.
+
+    split: (anchor, part, piece, digests), parts of an anchor whole. A shard sends each
+    different window once, so a window that all pieces share is one row a shard; shards are
+    counted by partial aggregates. The shared digests stream back ahead of the shard's pieces.
+    """
+
+    def different(batches):
+        seen, key = None, None
+
+        def rows():
+            d = np.unique(np.concatenate(seen))
+            halves = d.view(np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(d), key[0])), pa.array(np.full(len(d), key[1], np.int32)), pa.array(halves[:, 0]), pa.array(halves[:, 1])], ["anchor", "part", "d1", "d2"])
+
+        for b in batches:
+            for anchor, part, digests in zip(*[c.to_pylist() for c in b.columns]):
+                if key != (anchor, part):
+                    if seen:
+                        yield rows()
+                    seen, key = [], (anchor, part)
+                seen.append(np.frombuffer(digests, _DIGEST))
+        if seen:
+            yield rows()
+
+    once = materialize(split.select("anchor", "part", "digests").repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(different, "anchor long, part int, d1 long, d2 long"))
+    shared = materialize(once.groupBy("anchor", "d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "d1", "d2"))
+    back = once.join(shared, ["anchor", "d1", "d2"]).withColumn("chunk", F.pmod("d1", F.lit(64)))
+    back = back.groupBy("anchor", "part", "chunk").agg(F.collect_list(F.struct("d1", "d2")).alias("known"))
+    none = F.lit(None)
+    rows = back.select("anchor", "part", F.lit(0).alias("side"), none.cast("long").alias("piece"), none.cast("binary").alias("digests"), F.col("known.d1").alias("d1"), F.col("known.d2").alias("d2"))
+    rows = rows.union(split.select("anchor", "part", F.lit(1), "piece", "digests", none.cast("array<long>"), none.cast("array<long>")))
+
+    def search(batches):
+        known, key, ordered = [], None, None
+        for b in batches:
+            cols: list[list] = [[] for _ in range(4)]
+            for anchor, part, side, piece, digests, d1, d2 in zip(*[c.to_pylist() for c in b.columns]):
+                if key != (anchor, part):
+                    known, key, ordered = [], (anchor, part), None
+                if side == 0:
+                    known.append(np.ascontiguousarray(np.stack([d1, d2], 1).astype(np.int64)).view(_DIGEST).ravel())
+                    continue
+                if ordered is None:
+                    ordered = np.sort(np.concatenate(known)) if known else np.zeros(0, _DIGEST)
+                if not len(ordered):
+                    continue
+                own = np.frombuffer(digests, _DIGEST)
+                at = np.searchsorted(ordered, own)
+                for a, z in zip(*runs_of(ordered[np.minimum(at, len(ordered) - 1)] == own)):
+                    for c, v in zip(cols, (anchor, piece, a, z)):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["anchor", "piece", "a", "z"])
+
+    return rows.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "side").mapInArrow(search, "anchor long, piece long, a int, z int")
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -209,18 +275,20 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
         for b in batches:
             for a in range(0, b.num_rows, 500):
                 part = b.slice(a, 500)
-                cols: list[list] = [[] for _ in range(6)]
+                cols: list[list] = [[] for _ in range(7)]
                 for d, th, t in zip(*[c.to_pylist() for c in part.columns]):
                     for row in anchors(t):
                         for c, v in zip(cols, (*row, d, th)):
                             c.append(v)
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "piece", "first", "last", "id", "th"])
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "piece", "first", "last", "times", "id", "th"])
 
-    places = docs.select("id", "th", "text").where(F.octet_length("text") >= SPAN).mapInArrow(find, "anchor long, piece long, first int, last int, id long, th int")
+    # the texts are cut once; what is written are places
+    places = materialize(docs.select("id", "th", "text").where(F.octet_length("text") >= SPAN).mapInArrow(find, "anchor long, piece long, first int, last int, times int, id long, th long"))
     # what meets a hot anchor or piece is written first: a join of two plain exchanges can split a hot key
-    repeated = materialize(places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    live = materialize(places.join(repeated, "anchor"))
+    repeated = materialize(places.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor"))
+    live = materialize(places.drop("times").join(repeated, "anchor"))
+    discard(places, repeated)
 
     contents = live.groupBy("anchor", "piece").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "last")).alias("owner"))
     size = materialize(contents.groupBy("anchor").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")).where("parts > 1"))
@@ -251,18 +319,20 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
 
         def flush():
             flags, digests = shard([x[4] for x in held], [x[2] for x in held], any(x[3] >= 0 for x in held))
-            cols: list[list] = [[] for _ in range(5)]
-            for k, (x, f) in enumerate(zip(held, flags)):
+            cols: list[list] = [[] for _ in range(6)]
+            at = 0
+            for x, f in zip(held, flags):
                 a, z = runs_of(f)
-                open_ = None
-                if x[3] >= 0:
-                    open_ = digests[k].tolist()
-                if a or open_:
-                    for c, v in zip(cols, (x[0], x[1], a, z, open_)):
+                own = None
+                if digests is not None:
+                    own = digests[at : at + len(f)].tobytes() if x[3] >= 0 else None
+                    at += len(f)
+                if a or own:
+                    for c, v in zip(cols, (x[0], x[1], x[3], a, z, own)):
                         c.append(v)
             held.clear()
             ints = pa.list_(pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), ints, ints, pa.list_(pa.int64())))], ["anchor", "piece", "starts", "ends", "digests"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), ints, ints, pa.binary()))], ["anchor", "piece", "part", "starts", "ends", "digests"])
 
         for b in batches:
             for x in zip(*[c.to_pylist() for c in b.columns]):
@@ -277,26 +347,14 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    decided = materialize(pieces.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "piece").mapInArrow(decide, "anchor long, piece long, starts array<int>, ends array<int>, digests array<long>"))
-
-    # windows of split anchors: equal digests in two shards are repeats
-    split = decided.where("digests is not null").select("anchor", "piece", F.posexplode("digests").alias("at", "digest"))
-    n_split = decided.where("digests is not null").agg(F.sum(F.size("digests"))).first()[0] or 0
+    decided = materialize(pieces.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "piece").mapInArrow(decide, "anchor long, piece long, part int, starts array<int>, ends array<int>, digests binary"))
     spans = decided.select("anchor", "piece", F.explode(F.arrays_zip("starts", "ends")).alias("s")).select("anchor", "piece", F.col("s.starts").alias("a"), F.col("s.ends").alias("z"))
-    if n_split:
-        def merge(batches):
-            rows = pa.Table.from_batches(list(batches))
-            if rows.num_rows:
-                d = rows.column("digest").to_numpy()
-                ordered = np.sort(d)
-                twice = np.searchsorted(ordered, d, "right") - np.searchsorted(ordered, d, "left") > 1
-                yield from rows.filter(pa.array(twice)).select(["anchor", "piece", "at"]).combine_chunks().to_batches()
-
-        met = split.repartition(int(-(-n_split // MERGE_ROWS)) + 1, "digest").mapInArrow(merge, "anchor long, piece long, at int")
-        spans = spans.union(met.select("anchor", "piece", F.col("at").alias("a"), F.col("at").alias("z")))
+    split = decided.where("digests is not null").select("anchor", "part", "piece", "digests")
+    if not split.isEmpty():
+        spans = spans.union(across_shards(split))
     by_piece = materialize(spans.groupBy("anchor", "piece").agg(F.collect_list(F.struct("a", "z")).alias("spans")))
     by_doc = live.join(by_piece, ["anchor", "piece"]).groupBy("id", "th").agg(F.collect_set(F.struct("first", "spans")).alias("found"))
-    joined = docs.join(by_doc.hint("merge"), ["id", "th"], "left").select("doc_id", "text", "found")
+    joined = docs.join(by_doc.hint("merge"), ["id", "th"], "left").select(own_id().alias("doc_id"), "text", "found")
 
     def remove(batches):
         for b in batches:

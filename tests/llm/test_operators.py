@@ -35,17 +35,44 @@ def by_row(df):
 # ---- 1 ----
 
 
-def test_forward_sums_all_segmentations():
+def test_forward_sums_all_segmentations(monkeypatch):
+    """Against sums over all ways to cut a word; long words are read in stretches, over which pieces reach."""
     lat = langid.lattice(langid.default_vocabulary())
     prob = np.random.default_rng(0).random((2, len(lat.pieces))) / 100
     at = {p: i for i, p in enumerate(lat.pieces)}
 
-    def total(w, k):
-        return 1.0 if not w else sum(prob[k, at[w[:n]]] * total(w[n:], k) for n in range(1, min(len(w), langid.MAX_PIECE) + 1) if w[:n] in at)
-
-    words = [b" the", b" b", b" thing", b"\xc3\xa9t"]
-    got = langid.forward(lat, words, prob)
-    want = np.log([[total(w, k) for k in range(2)] for w in words])
+    def totals(w):
+        """log of the sum over all segmentations, by a plain recursion from the front, exact integers scaled."""
+        out = []
+        for k in range(2):
+            sums = [1.0] + [0.0] * len(w)
+            for j in range(1, len(w) + 1):
+                sums[j] = sum(sums[i] * prob[k, at[w[i:j]]] * 50 ** (j - i) for i in range(j) if w[i:j] in at)
+            out.append(np.log(sums[-1]) - len(w) * np.log(50))
+        return out
+
+    def cuts(w, k):
+        return 1.0 if not w else sum(prob[k, at[w[:n]]] * cuts(w[n:], k) for n in range(1, len(w) + 1) if w[:n] in at)
+
+    short = [b" the", b" b", b" thing", b"\xc3\xa9t", b" representative"]
+    want = np.log([[cuts(w, k) for k in range(2)] for w in short])
+    assert np.allclose(langid.forward(lat, short, prob), want) and np.allclose([totals(w) for w in short], want)
+    long = [b" " + b"internationalization" * 5, b" " + "überraschung".encode() * 9, b" x" * 60, b" " + b"abc" * 80]
+    assert max(map(len, lat.pieces)) > 24
+    for stretch in (1 << 16, 16):
+        monkeypatch.setattr(langid, "STRETCH", stretch)
+        got = [langid.long_forward(lat, w, np.log(prob).T) for w in short + long]
+        assert np.allclose(got, [totals(w) for w in short + long])
+
+
+def test_long_words_are_learned_like_short_ones():
+    lat = langid.lattice(langid.default_vocabulary())
+    prob = np.random.default_rng(1).random((2, len(lat.pieces))) / 100
+    weight = np.array([[2.0, 1.0]])
+    want = langid.expected_counts(lat, [b" thinking"], weight, prob)
+    piece, flow = langid.long_counts(lat, b" thinking", weight[0], np.log(prob).T)
+    got = np.zeros_like(want)
+    np.add.at(got.T, piece, flow)
     assert np.allclose(got, want)
 
 
@@ -226,11 +253,12 @@ def test_proximity_allows_slack(spark):
     assert [(r["doc_id"], r["item_id"]) for r in found] == [(1, 7)]
 
 
-def test_a_benchmark_in_several_blocks(spark, texts, monkeypatch):
+def test_more_terms_than_are_sent_to_all_tasks(spark, texts, monkeypatch):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = documents(spark, texts)
     whole = by_row(phrase_index.match(spark, docs, bench))
-    monkeypatch.setattr(phrase_index, "item_blocks", lambda b, f=phrase_index.item_blocks: f(b, 600))
+    monkeypatch.setattr(phrase_index, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(phrase_index, "COUNTED", 50)
     assert by_row(phrase_index.match(spark, docs, bench)) == whole
 
 
