@@ -74,14 +74,25 @@ def window_terms(items: DataFrame) -> DataFrame:
     return items.mapInArrow(run, "item_id long, item long, start int, term long, word binary, offset int")
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(term, n): occurrences of each word in all documents."""
+def sent_to_all(words: DataFrame):
+    """The different words of words(word) as a broadcast set, None if there are more than BROADCAST_TERMS."""
+    different = words.select("word").distinct()
+    if different.count() > BROADCAST_TERMS:
+        return None
+    return words.sparkSession.sparkContext.broadcast({bytes(r["word"]) for r in different.collect()})
+
+
+def term_counts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(term, n): occurrences of the words asked(term, word), and maybe of others, in all documents."""
+    wanted = sent_to_all(asked)
 
     def run(batches):
         seen: Counter = Counter()
+        known = wanted.value if wanted is not None else seen
 
         def rows():
-            return pa.RecordBatch.from_arrays([pa.array([_term(w) for w in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+            own = [w for w in seen if w in known]
+            return pa.RecordBatch.from_arrays([pa.array([_term(w) for w in own], pa.int64()), pa.array([seen[w] for w in own], pa.int64())], ["term", "n"])
 
         for b in batches:
             for t in b.column(0).to_pylist():
@@ -99,9 +110,7 @@ def postings(docs: DataFrame, places: DataFrame) -> DataFrame:
 
     One row a document without a term carries its number of words.
     """
-    wanted = None
-    if places.select("word").distinct().count() <= BROADCAST_TERMS:
-        wanted = docs.sparkSession.sparkContext.broadcast({bytes(r["word"]) for r in places.select("word").distinct().collect()})
+    wanted = sent_to_all(places)
 
     def run(batches):
         known = wanted.value if wanted is not None else None
@@ -136,7 +145,7 @@ def rarest(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     windows = materialize(window_terms(items))
     # written first: the join can then split a word that many windows hold
-    counts = materialize(term_counts(docs).join(windows.select("term").distinct().hint("merge"), "term", "left_semi"))
+    counts = materialize(term_counts(docs, windows).join(windows.select("term").distinct().hint("merge"), "term", "left_semi"))
     ranked = windows.join(counts, "term", "left").groupBy("item_id", "item", "start").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "offset", "term"))).alias("all"))
     chosen = ranked.where(F.col("all")[0]["n"] > 0).withColumn("best", F.slice("all", 1, TERMS))
     out = materialize(chosen.select("item_id", "item", "start", F.col("best.offset").alias("offsets"), F.col("best.term").alias("terms"), F.col("best.word").alias("words")))
