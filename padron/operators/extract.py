@@ -10,6 +10,7 @@ import re
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from padron.functions import clean
@@ -186,15 +187,62 @@ def edges_from_lists(df: DataFrame, id: str, codes: str, run_id: str) -> DataFra
     return df.select(id, F.explode(F.array_distinct(codes)).alias("ec_clave"), F.lit(run_id).alias("run_id"))
 
 
-# Classes of the parts of a listed item, by component.
-V1_PARTS = {"ec_standard": {"ec-code": "code", "ec-title": "title", "sector": "sector", "nivel": "level", "fecha": "publication_date"}}
+# Classes of the element that holds a listed item, by component (whole, or part of a class).
+V1_CONTAINERS = {
+    "ec_standard": ("estandar-item", "ec-item"),
+    "certificador": ("oec-item", "certificador"),
+    "center": ("ce-item", "centro-evaluacion"),
+    "course": ("curso-item", "course"),
+}
+# Field, its classes, and the texts that tell it where no class does.
+V1_PARTS = {
+    "ec_standard": {"code": (("ec-code",), ("EC",)), "title": (("ec-title", "titulo-estandar"), ()), "sector": (("sector", "sector-productivo"), ()), "level": (("nivel",), ("Nivel",)), "publication_date": (("fecha", "fecha-publicacion"), ("Publicación",))},
+    "certificador": {"name": (("oec-name", "nombre"), ()), "code": (("oec-code",), ("OC",)), "phone": (("telefono",), ("Tel",)), "address": (("direccion", "address"), ())},
+    "center": {"name": (("ce-name", "nombre"), ()), "code": (("ce-code",), ("CE",)), "certificador": (("oec-parent",), ("OC",)), "phone": (("telefono",), ("Tel",)), "address": (("direccion", "address"), ())},
+    "course": {"name": (("curso-name", "titulo"), ()), "ec_code": ((), ("EC",)), "duration": (("duracion",), ("horas",)), "modality": (("modalidad",), ("Presencial", "Línea"))},
+}
+#: Fields of which one must be filled.
+V1_KEYS = ("code", "name", "ec_code")
 
 
 def extract_v1_items(cells: DataFrame, component: str) -> DataFrame:
-    """Items of the older shape: parts with known classes, grouped by the element that holds them."""
-    parts = V1_PARTS[component]
-    own = cells.filter(F.col("kind") == "class").groupBy("page_id", "block").agg(*[F.max(F.when(F.array_contains(F.split("css_class", " "), c), F.col("text"))).alias(f) for c, f in parts.items()])
-    return own.filter("code is not null").withColumn("type", F.lit(component)).drop("block")
+    """Items of the older shape: the parts inside each container, by class, else by a text that they hold, and mail links.
+
+    What stands outside of any container of the component is left out. Parts without
+    a class of this component are looked at in spans with a class only.
+    """
+    css = F.col("css_class")
+    holds = F.lit(False)
+    for c in V1_CONTAINERS[component]:
+        holds = holds | css.contains(c)
+    box = (F.col("kind") == "class") & holds
+    # a div with a class starts a block: the blocks of a page are known by whether they begin a container
+    blocks = cells.filter("block >= 0").groupBy("page_id", "block").agg(F.max(box).alias("begins"), F.min(F.when(F.col("kind") == "class", css)).alias("classes"))
+    inner = F.lit(False)
+    for classes, _ in V1_PARTS[component].values():
+        for c in classes:
+            inner = inner | F.array_contains(F.split("classes", " "), c)
+    order = W.partitionBy("page_id").orderBy("block")
+    # a block that is neither a container nor a part ends the one before
+    state = F.when(F.col("begins"), F.col("block")).when(inner, F.lit(None)).otherwise(F.lit(-1))
+    item = blocks.select("page_id", "block", F.last(state, ignorenulls=True).over(order).alias("item"))
+    own = cells.filter("kind in ('class', 'link')").join(item.filter("item >= 0"), ["page_id", "block"])
+    fields = []
+    for f, (classes, marks) in V1_PARTS[component].items():
+        kind = (F.col("kind") == "class") & ~box
+        by_class = F.max(F.when(kind & F.arrays_overlap(F.split(css, " "), F.array(*[F.lit(c) for c in classes])), F.col("text"))) if classes else F.lit(None).cast("string")
+        plain = kind
+        for other, _ in V1_PARTS[component].values():
+            for c in other:
+                plain = plain & ~F.array_contains(F.split(css, " "), c)
+        marked = F.lit(False)
+        for m in marks:
+            marked = marked | F.col("text").contains(m)
+        fields.append(F.coalesce(by_class, F.max(F.when(plain & marked, F.col("text")))).alias(f))
+    mail = F.max(F.when((F.col("kind") == "link") & F.col("href").startswith("mailto:"), F.regexp_extract("href", "^mailto:([^?]*)", 1))).alias("email")
+    out = own.groupBy("page_id", "item").agg(*fields, mail)
+    key = [k for k in V1_KEYS if k in out.columns]
+    return out.filter(F.coalesce(*[F.nullif(F.trim(k), F.lit("")) for k in key]).isNotNull()).withColumn("type", F.lit(component)).drop("item")
 
 
 EXTRACTORS = {"ec": extract_ec, "cert": extract_cert, "centro": extract_centro, "sector": extract_sector_comite}

@@ -30,10 +30,10 @@ def extract_links(pages: DataFrame) -> DataFrame:
     return hrefs.select("page_id", "url", absolute(F.col("url"), F.col("href")).alias("target")).filter("target is not null")
 
 
-def in_scope(links: DataFrame, hosts: list[str], visited: DataFrame | None = None) -> DataFrame:
-    """Links to allowed hosts that are not files and were not visited. visited(target)."""
+def in_scope(links: DataFrame, hosts: DataFrame, visited: DataFrame | None = None) -> DataFrame:
+    """Links to allowed hosts(host) that are not files and were not visited. visited(target)."""
     host = F.regexp_extract("target", r"^https?://([^/?#]+)", 1)
-    out = links.filter(host.isin(hosts) & ~F.col("target").rlike(_BINARY))
+    out = links.filter(~F.col("target").rlike(_BINARY)).withColumn("host", host).join(hosts.select("host"), "host", "left_semi").select(*links.columns)
     return out.join(visited.select("target"), "target", "left_anti") if visited is not None else out
 
 

@@ -28,11 +28,13 @@ def a2(r):
     return scans.scan_projected(r.spark, f"{r.dir}/part.parquet", ["p_partkey", "p_name"])
 
 
-@query("A3_scan_json_items", "select ec_clave, cast(null as string) as cert_id, titulo as title from ec where comite_id = 3 union all select null, cert_id, nombre_legal from cert")
+@query("A3_scan_json_items", "select ec_clave, cast(null as string) as cert_id, titulo as title from ec union all select null, cert_id, nombre_legal from cert")
 def a3(r):
     path = sinks.scratch(r.spark, "items")
-    ec = r.ec.filter("comite_id = 3").agg(F.collect_list(F.struct("ec_clave", C("titulo").alias("title"))).alias("ec"))  # a small derived file
-    ec.crossJoin(r.cert.agg(F.collect_list(F.struct("cert_id", C("nombre_legal").alias("title"))).alias("cert"))).write.json(path)
+    # objects with lists of at most a hundred items each, in as many files as there are tasks
+    for name, df, key, title in (("ec", r.ec, "ec_clave", "titulo"), ("cert", r.cert, "cert_id", "nombre_legal")):
+        part = F.expr(f"substr({key}, 1, length({key}) - 2)")
+        df.groupBy(part.alias("part")).agg(F.collect_list(F.struct(key, C(title).alias("title"))).alias(name)).select(name).write.mode("append").json(path)
     return scans.scan_json_items(r.spark, path).select("ec_clave", "cert_id", "title")
 
 
@@ -40,7 +42,7 @@ def a3(r):
 def a4(r):
     path = sinks.scratch(r.spark, "csv")
     sinks.write_csv(r.items.filter("title <> ''").select("item_id", F.coalesce("type", F.lit("(none)")).alias("type"), C("title").alias("title")), path)
-    return scans.scan_csv_items(r.spark, path)
+    return scans.scan_csv_items(r.spark, path, multi_line=True)
 
 
 @query("A5_scan_baseline", "select ec_clave, titulo, vigente, sector_id, nivel from ec")
@@ -65,7 +67,7 @@ def _captures(r):
     path = sinks.scratch(r.spark, "captures")
     log = r.request_log.select((C("event_id") % 2).cast("string").alias("session"), C("path").alias("request_url"), "method", C("duration").alias("duration_ms"))
     for s in ("1", "0"):
-        log.filter(C("session") == s).coalesce(1).write.mode("append").json(path)
+        log.filter(C("session") == s).repartition(3).write.mode("append").json(path)
     return path
 
 
@@ -103,7 +105,7 @@ def b1(r):
 def b2(r):
     path = sinks.scratch(r.spark, "csv")
     sinks.write_csv(r.cert, path, ["cert_id", "tipo", "nombre_legal", "siglas", "estado", "estado_inegi", "estatus"])
-    return scans.scan_csv_items(r.spark, path)
+    return scans.scan_csv_items(r.spark, path, multi_line=True)
 
 
 @query("B3_write_parquet", "select cert_id, ec_clave, acreditado_desde from ece_ec")
@@ -124,7 +126,7 @@ def b4(r):
 def b5(r):
     path = sinks.scratch(r.spark, "v1")
     sinks.write_csv_v1(r.centros.select("centro_id", "nombre"), path, "centros", "20240101_000000")
-    return scans.scan_csv_items(r.spark, f"{path}/centros_20240101_000000")
+    return scans.scan_csv_items(r.spark, f"{path}/centros_20240101_000000", multi_line=True)
 
 
 @query("B6_write_bundle", " union all ".join(f"select '{f}' as format, '{t}' as entity, count(*) as n from {t}" for f in ("json", "csv", "parquet") for t in ("sectores", "comites", "cert")))

@@ -106,10 +106,11 @@ def h14(r):
     return r.items.select("item_id", clean.first_number(C("duration")).alias("hours"), clean.first_number(C("title"), -1).alias("n"))
 
 
-@query("H15_ec_codes_in_text", "select sector_id, array_to_string(list_sort(list(distinct ec_clave)), ',') as codes from ec where length(ec_clave) = 6 and comite_id < 2 group by sector_id")
+@query("H15_ec_codes_in_text", "select substr(ec_clave, 1, length(ec_clave) - 2) as part, array_to_string(list_sort(list(distinct substr(ec_clave, 1, 6))), ',') as codes from ec group by 1")
 def h15(r):
-    text = r.ec.filter("length(ec_clave) = 6 and comite_id < 2").groupBy("sector_id").agg(F.concat_ws(" y ", F.collect_list("ec_clave"), F.collect_list("ec_clave")).alias("t"))
-    return text.select("sector_id", F.array_join(clean.ec_codes_in_text(C("t")), ",").alias("codes"))
+    # texts of at most a hundred codes each
+    text = r.ec.groupBy(F.expr("substr(ec_clave, 1, length(ec_clave) - 2)").alias("part")).agg(F.concat_ws(" y ", F.collect_list("ec_clave"), F.collect_list("ec_clave")).alias("t"))
+    return text.select("part", F.array_join(clean.ec_codes_in_text(C("t")), ",").alias("codes"))
 
 
 @query("H16_id_from_url", "select page_id, nullif(regexp_extract(url, 'page=(\\d+)', 1), '') as page, nullif(regexp_extract(url, '[?&]ref=([^&#]+)', 1), '') as ref from pages")
@@ -133,9 +134,9 @@ def h19(r):
     return r.pages.select("page_id", clean.url_hash(C("url")).alias("u"), clean.page_hash(C("html")).alias("p"), clean.page_hash(C("html"), short=True).alias("s"))
 
 
-@query("H20_json_fields", "select cert_id, case when n > 0 then concat('[\"', array_to_string(codes, '\",\"'), '\"]') end as codes from (select c.cert_id, count(ec_clave) as n, list(ec_clave order by ec_clave) filter (ec_clave is not null) as codes from cert c left join ece_ec x on c.cert_id = x.cert_id and acreditado_desde < date '1995-03-01' group by c.cert_id)")
+@query("H20_json_fields", "select cert_id, case when n > 0 then concat('[\"', array_to_string(codes, '\",\"'), '\"]') end as codes from (select c.cert_id, count(ec_clave) as n, list(ec_clave order by ec_clave) filter (ec_clave is not null) as codes from cert c left join ece_ec x on c.cert_id = x.cert_id group by c.cert_id)")
 def h20(r):
-    few = r.ece_ec.filter("acreditado_desde < date '1995-03-01'").groupBy("cert_id").agg(F.sort_array(F.collect_list("ec_clave")).alias("codes"))
+    few = r.ece_ec.groupBy("cert_id").agg(F.sort_array(F.collect_list("ec_clave")).alias("codes"))
     return clean.json_fields(r.cert.select("cert_id").join(few, "cert_id", "left"), ["codes"])
 
 

@@ -18,16 +18,22 @@ def _page(df, url, *parts):
     return df.select(F.xxhash64(url).alias("page_id"), url.alias("url"), F.concat(F.lit("<html><head><title>T</title></head><body>"), *parts, F.lit("</body></html>")).alias("html"))
 
 
+def _hundred(key):
+    """The code without its last two digits."""
+    return F.expr(f"substr({key}, 1, length({key}) - 2)").alias("part")
+
+
 def _ec_pages(r):
     detail = _page(r.ec, F.concat(F.lit("https://example.org/ec/"), C("ec_clave")), F.lit("<table>"), _row("Código", C("ec_clave")), _row("Nivel", C("nivel")), _row("Duración", F.concat(C("duracion_horas").cast("string"), F.lit(" horas"))), _row("Vigente", F.when(C("vigente"), "Sí").otherwise("No")), _row("Versión", F.lit("v 2.00")), F.lit("</table>"))
     line = F.concat(F.lit("<tr><td>"), C("ec_clave"), F.lit('</td><td><a href="/ec/'), C("ec_clave"), F.lit('">'), C("titulo"), F.lit("</a></td></tr>"))
-    groups = r.ec.groupBy("comite_id").agg(F.array_join(F.sort_array(F.collect_list(line)), "").alias("rows"))
-    listing = _page(groups, F.concat(F.lit("https://example.org/list/"), C("comite_id").cast("string")), F.lit("<table><tr><th>Código</th><th>Título</th></tr>"), C("rows"), F.lit('</table><a href="?p=2">Siguiente</a>'))
+    # pages of at most a hundred rows
+    groups = r.ec.groupBy("comite_id", _hundred("ec_clave")).agg(F.array_join(F.sort_array(F.collect_list(line)), "").alias("rows"))
+    listing = _page(groups, F.concat(F.lit("https://example.org/list/"), C("comite_id").cast("string"), F.lit("/"), C("part")), F.lit("<table><tr><th>Código</th><th>Título</th></tr>"), C("rows"), F.lit('</table><a href="?p=2">Siguiente</a>'))
     return detail.unionByName(listing)
 
 
 def _cert_pages(r):
-    codes = r.ece_ec.filter("length(ec_clave) = 6 and acreditado_desde < date '1995-06-01'").groupBy("cert_id").agg(F.sort_array(F.collect_list("ec_clave")).alias("codes"))
+    codes = r.ece_ec.groupBy("cert_id").agg(F.sort_array(F.collect_list("ec_clave")).alias("codes"))
     df = r.cert.join(codes, "cert_id", "left").withColumn("codes", F.coalesce("codes", F.array().cast("array<string>")))
     modal = F.concat(F.lit("<script>var modalData = "), F.to_json(F.struct("cert_id", C("codes").alias("estandares"), F.array(F.create_map(F.lit("correo"), F.lit("x"))).alias("contactos"))), F.lit(";</script>"))
     return _page(df, F.concat(F.lit("https://example.org/cert/"), C("cert_id")), F.lit("<table>"), _row("Cédula", C("cert_id")), _row("Nombre", C("nombre_legal")), _row("Estatus", C("estatus")), _row("Estado", F.lit("Nuevo León")), _row("Teléfono", C("telefono")), _row("Correo", F.upper("correo")), _row("Domicilio", F.concat(F.lit("Calle 1, C.P. "), C("cp"))), F.lit("</table>"), modal)
@@ -44,7 +50,7 @@ def k2(r):
     return extract.extract_ec(extract.html_cells(_ec_pages(r))).select("ec_clave", "titulo", "nivel", "duracion_horas", "vigente", "version")
 
 
-@query("K3_extract_cert", "select c.cert_id, tipo, nombre_legal, estatus, correo, telefono, cp, '19' as estado_inegi, coalesce(x.codes, '') as codes from cert c left join (select cert_id, string_agg(ec_clave, ',' order by ec_clave) as codes from ece_ec where length(ec_clave) = 6 and acreditado_desde < date '1995-06-01' group by cert_id) x on c.cert_id = x.cert_id")
+@query("K3_extract_cert", "select c.cert_id, tipo, nombre_legal, estatus, correo, telefono, cp, '19' as estado_inegi, coalesce(x.codes, '') as codes from cert c left join (select cert_id, string_agg(ec_clave, ',' order by ec_clave) as codes from ece_ec group by cert_id) x on c.cert_id = x.cert_id")
 def k3(r):
     out = extract.extract_cert(extract.html_cells(_cert_pages(r)))
     return out.select("cert_id", "tipo", "nombre_legal", "estatus", "correo", "telefono", "cp", "estado_inegi", F.array_join("codes", ",").alias("codes"))
@@ -74,19 +80,45 @@ def k7(r):
     return r.items.select("item_id", extract.first_non_empty(C("title"), C("name"), C("code")).alias("v"))
 
 
-@query("K8_edges_from_lists", "select distinct cert_id, ec_clave, 'R1' as run_id from ece_ec where acreditado_desde < date '1996-01-01'")
+@query("K8_edges_from_lists", "select distinct cert_id, ec_clave, 'R1' as run_id from ece_ec")
 def k8(r):
-    lists = r.ece_ec.filter("acreditado_desde < date '1996-01-01'").groupBy("cert_id").agg(F.concat(F.collect_list("ec_clave"), F.collect_list("ec_clave")).alias("codes"))
+    lists = r.ece_ec.groupBy("cert_id").agg(F.concat(F.collect_list("ec_clave"), F.collect_list("ec_clave")).alias("codes"))
     return extract.edges_from_lists(lists, "cert_id", "codes", "R1")
 
 
+def _listed(df, key, *parts):
+    """Listing pages of at most a hundred cards, each in a container, with look-alikes outside of any."""
+    card = F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    decoy = F.lit('<div class="menu"><span class="ec-code">EC9999</span><span class="oec-code">OC999</span><h3 class="nombre">Menú</h3><a href="mailto:menu@x.mx">m</a></div>')
+    return _page(df.groupBy(_hundred(key)).agg(F.array_join(F.collect_list(card), "").alias("cards")), C("part"), decoy, C("cards"), F.lit('<div class="pie"><span class="telefono">000</span></div>'))
+
+
 @query("K9_extract_v1_items", "select 'ec_standard' as type, ec_clave as code, titulo as title, nivel as level from ec")
 def k9(r):
-    card = F.concat(F.lit('<div class="estandar-item"><span class="ec-code">'), C("ec_clave"), F.lit('</span><h3 class="ec-title">'), C("titulo"), F.lit('</h3><span class="nivel">'), C("nivel"), F.lit("</span></div>"))
-    pages = _page(r.ec.groupBy("comite_id").agg(F.array_join(F.collect_list(card), "").alias("cards")), C("comite_id").cast("string"), C("cards"))
+    pages = _listed(r.ec, "ec_clave", '<div class="lista estandar-item"><span class="ec-code">', C("ec_clave"), '</span><h3 class="ec-title">', C("titulo"), '</h3><span class="nivel">', C("nivel"), "</span></div>")
     return extract.extract_v1_items(extract.html_cells(pages), "ec_standard").select("type", "code", "title", "level")
 
 
+@query("K9_v1_certificador", "select 'certificador' as type, cert_id as code, nombre_legal as name, coalesce(correo, '') as email, coalesce(telefono, '') as phone, concat('Calle 1, C.P. ', cp) as address from cert where tipo = 'OC'")
+def k9b(r):
+    # the code has no class of its own, it is told by its text
+    mail = F.when(C("correo").isNotNull(), F.concat(F.lit('<a href="mailto:'), C("correo"), F.lit('">Correo</a>')))
+    pages = _listed(r.cert.filter("tipo = 'OC'"), "cert_id", '<div class="oec-item"><h3 class="oec-name">', C("nombre_legal"), '</h3><span class="x">', C("cert_id"), "</span>", mail, '<span class="telefono">', C("telefono"), '</span><div class="direccion">Calle 1, C.P. ', C("cp"), "</div></div>")
+    return extract.extract_v1_items(extract.html_cells(pages), "certificador").select("type", "code", "name", *[F.coalesce(c, F.lit("")).alias(c) for c in ("email", "phone", "address")])
+
+
+@query("K9_v1_center", "select 'center' as type, centro_id as code, nombre as name, certificador_id as certificador, concat(centro_id, '@c.mx') as email from centros")
+def k9c(r):
+    pages = _listed(r.centros, "centro_id", '<div class="centro-evaluacion-mx"><h3 class="nombre">', C("nombre"), '</h3><span class="ce-code">', C("centro_id"), '</span><span class="oec-parent">', C("certificador_id"), '</span><a href="mailto:', C("centro_id"), '@c.mx">c</a></div>')
+    return extract.extract_v1_items(extract.html_cells(pages), "center").select("type", "code", "name", "certificador", "email")
+
+
+@query("K9_v1_course", "select 'course' as type, concat('Curso de ', titulo) as name, ec_clave as ec_code, concat(cast(duracion_horas as string), ' horas') as duration, case when vigente then 'Presencial' else 'En Línea' end as modality from ec")
+def k9d(r):
+    pages = _listed(r.ec, "ec_clave", '<div class="curso-item"><h3 class="curso-name">Curso de ', C("titulo"), '</h3><span class="c1">', C("ec_clave"), '</span><span class="c2">', C("duracion_horas"), ' horas</span><span class="c3">', F.when(C("vigente"), "Presencial").otherwise("En Línea"), "</span></div>")
+    return extract.extract_v1_items(extract.html_cells(pages), "course").select("type", "name", "ec_code", "duration", "modality")
+
+
 # ---- L ----
 
 _HOST = "regexp_extract(url, '^(https?://[^/?#]+)', 1)"
@@ -98,9 +130,9 @@ def l1(r):
     return linkgraph.extract_links(r.pages).select("page_id", "target")
 
 
-@query("L2_should_follow", f"select distinct target from {_LINKS} where regexp_extract(target, '^https?://([^/?#]+)', 1) in (select regexp_extract(url, '^https?://([^/?#]+)', 1) from pages where page_id < 5) and target not like '%the%'")
+@query("L2_should_follow", f"select distinct target from {_LINKS} where regexp_extract(target, '^https?://([^/?#]+)', 1) in (select regexp_extract(url, '^https?://([^/?#]+)', 1) from pages where url like '%/en/%') and target not like '%the%'")
 def l2(r):
-    hosts = [x[0] for x in r.pages.filter("page_id < 5").select(F.regexp_extract("url", r"^https?://([^/?#]+)", 1)).distinct().collect()]
+    hosts = r.pages.filter("url like '%/en/%'").select(F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("host")).distinct()
     links = linkgraph.extract_links(r.pages).select("target").distinct()
     return linkgraph.in_scope(links, hosts, links.filter("target like '%the%'"))
 
@@ -151,7 +183,7 @@ def l9(r):
 def l10(r):
     pages = _ec_pages(r)
     found = linkgraph.next_page(extract.html_cells(pages)).join(pages.select("page_id", "url"), "page_id")
-    return found.select("target", F.regexp_extract("url", r"/list/(\d+)", 1).cast("bigint").alias("comite_id"))
+    return found.select(F.concat(F.lit("https://example.org/list/"), F.regexp_extract("target", r"(\?p=2)$", 1)).alias("target"), F.regexp_extract("url", r"/list/(\d+)", 1).cast("bigint").alias("comite_id")).distinct()
 
 
 @query("L11_endpoint_registry", "select distinct method, path as url from request_log where path like '%/api/%'")

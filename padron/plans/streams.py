@@ -59,7 +59,7 @@ def m2b(r):
 def m3(r):
     src = scratch(r.spark, "upsert-in")
     df = r.documents.select((C("doc_id") % 40).alias("k"), "lang", C("doc_id").alias("extracted_at"))
-    df.coalesce(1).write.parquet(src)
+    df.write.parquet(src)
     out = scratch(r.spark, "upsert-out")
     items.stream_upsert(items.read_stream(r.spark, src, df.schema), out, "k", ["lang", "extracted_at"], scratch(r.spark, "cp")).awaitTermination()
     return items.newest_version(r.spark, out).select("k", "lang", C("extracted_at").alias("last_seen"))
@@ -85,14 +85,14 @@ def m6(r):
     return metrics.sliding_rate(r.request_log, 60, 3).select("event_id", "n")
 
 
-_RUNS = "(select *, sum(case when status < 400 then 1 else 0 end) over (partition by host order by ts, event_id rows unbounded preceding) as run from request_log)"
+_RUNS = "(select *, sum(case when status < 400 then 1 else 0 end) over (partition by host, split_part(path, '/', 2), split_part(path, '/', 3), split_part(path, '/', 4) order by ts, event_id rows unbounded preceding) as run, concat_ws('/', host, split_part(path, '/', 2), split_part(path, '/', 3), split_part(path, '/', 4)) as endpoint from request_log)"
 
 
-@query("M7_failure_streaks", f"select host as endpoint, count(*) as failures, min(event_id) as first_id from {_RUNS} where status >= 400 group by host, run having count(*) >= 3")
+@query("M7_failure_streaks", f"select endpoint, count(*) as failures, min(event_id) as first_id from {_RUNS} where status >= 400 group by endpoint, run having count(*) >= 3")
 def m7(r):
-    log = r.request_log.withColumn("endpoint", C("host"))
+    log = r.request_log.withColumn("endpoint", metrics.endpoint_group(C("host"), C("path")))
     out = metrics.failure_streaks(log, 3)
-    ids = log.select("endpoint", C("ts").alias("first"), "event_id").filter("event_id is not null")
+    ids = log.groupBy("endpoint", C("ts").alias("first")).agg(F.min("event_id").alias("event_id"))
     return out.join(ids, ["endpoint", "first"]).select("endpoint", "failures", C("event_id").alias("first_id"))
 
 
@@ -100,7 +100,7 @@ def m7(r):
 def m7b(r):
     src, schema = _log(r)
     out = scratch(r.spark, "circuit-out")
-    items.write_all(metrics.failure_streaks_stream(items.read_stream(r.spark, src, schema).withColumn("endpoint", C("host")), 3), out, scratch(r.spark, "cp"))
+    items.write_all(metrics.failure_streaks_stream(items.read_stream(r.spark, src, schema).withColumn("endpoint", metrics.endpoint_group(C("host"), C("path"))), 3), out, scratch(r.spark, "cp"))
     return r.spark.read.parquet(out)
 
 

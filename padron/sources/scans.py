@@ -19,17 +19,19 @@ def scan_projected(spark: SparkSession, path: str, cols: list[str]) -> DataFrame
     return spark.read.parquet(path).select(*cols)
 
 
-def scan_json_items(spark: SparkSession, path: str) -> DataFrame:
-    """A list of items, or an object of lists of items, as one item set."""
-    df = spark.read.option("multiLine", True).json(path)
+def scan_json_items(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Items, or objects of lists of items, as one item set. One JSON value a line, so that files can be split;
+    multi_line reads files that hold one value over many lines."""
+    df = spark.read.option("multiLine", multi_line).json(path)
     lists = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)]
     if len(lists) < len(df.columns) or not lists:
         return df
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.select(F.explode(c).alias("r")).select("r.*") for c in lists])
 
 
-def scan_csv_items(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
+def scan_csv_items(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """multi_line is for values with line ends; files can be split only without it."""
+    return spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
 
 
 def scan_baseline(spark: SparkSession, path: str, entity: str) -> DataFrame:
@@ -41,12 +43,12 @@ def scan_crawl_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_captures(spark: SparkSession, path: str, session: str | None = None) -> DataFrame:
-    """Captures of a session, or of the newest file."""
-    df = spark.read.schema(SCHEMAS["captures"]).json(path).withColumn("_at", F.struct("_metadata.file_modification_time", "_metadata.file_path"))
+    """Captures of a session, or of the session that was written last, with all its files."""
+    df = spark.read.schema(SCHEMAS["captures"]).json(path)
     if session is not None:
-        return df.filter(F.col("session") == session).drop("_at")
-    newest = df.agg(F.max("_at").alias("_at"))
-    return df.join(F.broadcast(newest), "_at", "left_semi").drop("_at")  # one row
+        return df.filter(F.col("session") == session)
+    newest = df.agg(F.max_by("session", F.struct("_metadata.file_modification_time", "_metadata.file_path")).alias("session"))
+    return df.join(F.broadcast(newest), "session", "left_semi").select(*df.columns)  # one row
 
 
 #: What the addresses of each component's pages hold.
