@@ -44,7 +44,7 @@ def page(df: DataFrame, keys: list[str], skip: int, limit: int) -> DataFrame:
     return df.orderBy(*keys).offset(skip).limit(limit)
 
 
-EC_LIST = ["ec_clave", "titulo", "vigente", "sector_id", "comite_id", "nivel", "duracion_horas"]
+EC_LIST = ["ec_clave", "titulo", "version", "vigente", "sector", "sector_id", "nivel", "duracion_horas", "last_seen"]
 
 
 def list_ec(df, vigente=None, sector_id=None, search=None, skip=0, limit=100):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from padron.operators import changes, exports
 from padron.plans.catalog import query
+from padron.schemas import DIFF_FIELDS_CERT, DIFF_FIELDS_EC
 from padron.sources import scans, sinks
 
 C = F.col
@@ -161,11 +162,12 @@ def b11(r):
     return r.spark.read.parquet(sinks.merge_sink(path, batch, "ec_clave", ["titulo"], now)).select("ec_clave", "titulo")
 
 
-@query("B12_write_capture_analysis", "select method, count(*) as n from request_log group by method")
+@query("B12_write_capture_analysis", "select method, count(*) as n, count(distinct path) as paths from request_log where path like '%/api/%' group by method")
 def b12(r):
     path = sinks.scratch(r.spark, "analysis")
     sinks.write_capture_analysis(r.request_log, path)
-    return r.spark.read.json(f"{path}/totals").select("method", "n")
+    captures = r.spark.read.json(f"{path}/captures").groupBy("method").agg(F.count_distinct("path").alias("paths"))
+    return r.spark.read.json(f"{path}/totals").join(captures, "method").select("method", "n", "paths")
 
 
 @query("B13_append_entities", "select ec_clave, coalesce(case when comite_id = 1 then null else vigente end, true) as vigente from ec")
@@ -209,9 +211,44 @@ def j1(r):
     return _diff(r).select("ec_clave", "op")
 
 
-@query("J2_field_changes_ec", f"select ec_clave, 'titulo' as field, old_titulo as before, new_titulo as after from ({_ops()}) where op = 'modified' and old_titulo is distinct from new_titulo union all select ec_clave, 'vigente', cast(old_vigente as string), cast(new_vigente as string) from ({_ops()}) where op = 'modified' and old_vigente is distinct from new_vigente")
+# the fields that the history lacks, as functions of those it has; equal content hashes stand for equal rows
+_EC_MORE = {
+    "comite_id": "sector_id * 5 + case when version = 'R' then 1 else 0 end", "descripcion": "case when sector_id = 1 then concat('D', version) else 'D' end",
+    "duracion_horas": "case when nivel = '2' and version = 'N' then 20 else 10 end", "tipo_norma": "case when sector_id = 2 then version end",
+    "fecha_publicacion": "case when sector_id = 3 then cast(first_seen as date) end", "fecha_vigencia": "case when nivel = '5' then cast(last_seen as date) end",
+    "perfil_evaluador": "case when nivel = '1' then concat('P', version) end", "content_hash": "case when sector_id = 0 then md5(ec_clave) when nivel = '3' then md5(version) end",
+}
+_CERT_MORE = {
+    "siglas": "concat('S', version)", "domicilio_texto": "case when estatus = 'Vigente' then concat('Calle ', cert_id) end", "municipio": "case when tipo = 'OC' then version end",
+    "telefono": "case when version = 'A' then '55' else '56' end", "correo": "concat(lower(cert_id), '@cert.mx')", "sitio_web": "case when version <> 'N' then cert_id end",
+    "representante_legal": "case when cert_id like '%1' then version end", "content_hash": "case when cert_id like '%7' then md5(cert_id) end",
+}
+
+
+def _full(table, more):
+    return f"(select *, {', '.join(f'{e} as {f}' for f, e in more.items())} from {table})"
+
+
+def _changes_sql(table, key, fields, more):
+    one = "select {k}, '{f}' as field, cast(old_{f} as string) as before, cast(new_{f} as string) as after from m where old_{f} is distinct from new_{f}"
+    sides = ", ".join(f"b.{f} as old_{f}, a.{f} as new_{f}" for f in fields)
+    t1, t2 = (_snap(t, _full(table, more), key) for t in (_T1, _T2))
+    return f"with m as (select a.{key}, {sides} from {t1} b join {t2} a on a.{key} = b.{key} where not coalesce(a.content_hash = b.content_hash, false)) " + " union all ".join(one.format(k=key, f=f) for f in fields)
+
+
+def _changes(df, key, fields, more):
+    full = df.withColumns({f: F.expr(e) for f, e in more.items()})
+    return changes.diff(full, _T1, _T2, key, fields, "version", hash="content_hash").select(key, F.explode("changes").alias("c")).select(key, "c.*")
+
+
+@query("J2_field_changes_ec", _changes_sql("ec_history", "ec_clave", DIFF_FIELDS_EC, _EC_MORE))
 def j2(r):
-    return _diff(r).select("ec_clave", F.explode("changes").alias("c")).select("ec_clave", "c.*")
+    return _changes(r.ec_history, "ec_clave", DIFF_FIELDS_EC, _EC_MORE)
+
+
+@query("J3_field_changes_cert_fields", _changes_sql("cert_history", "cert_id", DIFF_FIELDS_CERT, _CERT_MORE))
+def j3a(r):
+    return _changes(r.cert_history, "cert_id", DIFF_FIELDS_CERT, _CERT_MORE)
 
 
 _CERT = "select cert_id, tipo, nombre_legal, estatus, estado, version, first_seen, last_seen from cert_history"

@@ -11,9 +11,14 @@ from padron.plans.catalog import query
 # ---- C ----
 
 
-@query("C1_list_ec", "select ec_clave, titulo, vigente, sector_id, comite_id, nivel, duracion_horas from ec where vigente = true and sector_id = 1 and (ec_clave ilike '%a%' or titulo ilike '%a%') order by ec_clave limit 100 offset 20")
+@query("C1_list_ec", """select e.ec_clave, e.titulo, h.version, e.vigente, s.nombre as sector, e.sector_id, e.nivel, e.duracion_horas, h.last_seen
+    from ec e left join sectores s on s.sector_id = e.sector_id
+    left join (select ec_clave, version, last_seen, row_number() over (partition by ec_clave order by last_seen desc, version desc) as rn from ec_history) h on h.ec_clave = e.ec_clave and rn = 1
+    where e.vigente = true and e.sector_id = 1 and (e.ec_clave ilike '%a%' or e.titulo ilike '%a%') order by e.ec_clave limit 100 offset 20""")
 def c1(r):
-    return listing.list_ec(r.ec, vigente=True, sector_id=1, search="a", skip=20)
+    newest = choose.latest(r.ec_history, ["ec_clave"], "last_seen", "version").select("ec_clave", "version", "last_seen")
+    ec = r.ec.join(r.sectores.withColumnRenamed("nombre", "sector"), "sector_id", "left").join(newest, "ec_clave", "left")
+    return listing.list_ec(ec, vigente=True, sector_id=1, search="a", skip=20)
 
 
 @query("C2_list_cert", "select cert_id, tipo, nombre_legal, siglas, estatus, estado, estado_inegi from cert where tipo = 'ECE' and estatus = 'Vigente' and (cert_id ilike '%1%' or nombre_legal ilike '%1%' or siglas ilike '%1%') order by cert_id limit 100")

@@ -60,7 +60,7 @@ KEYS = {"ec": ["ec_clave"], "cert": ["cert_id"], "centros": ["centro_id"], "sect
 #: Columns of the reduced snapshots kept as baselines.
 BASELINE_COLUMNS = {"ec": ["ec_clave", "titulo", "vigente", "sector_id", "nivel"], "cert": ["cert_id", "tipo", "nombre_legal", "estado_inegi", "estatus"]}
 
-#: Column order of the CSV exports.
+# Column order of the CSV exports.
 CSV_COLUMNS = {
     "ec": ["ec_clave", "titulo", "vigente", "sector_id", "comite_id", "nivel", "duracion_horas"],
     "cert": ["cert_id", "tipo", "nombre_legal", "siglas", "estado", "estado_inegi", "estatus"],
@@ -69,7 +69,7 @@ CSV_COLUMNS = {
     "comites": ["comite_id", "nombre", "sector_id"],
 }
 
-#: Fields that make a record modified.
+# Fields that make a record modified.
 DIFF_FIELDS_EC = ["titulo", "version", "vigente", "sector_id", "comite_id", "descripcion", "nivel", "duracion_horas", "tipo_norma", "fecha_publicacion", "fecha_vigencia", "perfil_evaluador"]
 DIFF_FIELDS_CERT = ["tipo", "nombre_legal", "siglas", "estatus", "domicilio_texto", "estado", "municipio", "telefono", "correo", "sitio_web", "representante_legal"]
 

@@ -74,7 +74,7 @@ VIEWS = {
         concat('Calle ', cast(doc_id as string), case when doc_id % 2 = 0 then ', C.P. 0' else ' ' end, cast(1000 + doc_id % 9000 as string)) as address,
         text, lang, source from documents""",
     "request_log": """select event_id, ts, user_id, concat('host', cast(user_id % 10 as string), '.example.org') as host,
-        concat('/api/', event_type, '/', cast(user_id % 3 as string), '/x') as path, case when event_type in ('view', 'click') then 'GET' else 'POST' end as method,
+        concat(case when user_id % 4 = 0 then '/static/' else '/api/' end, event_type, '/', cast(user_id % 3 as string), '/x') as path, case when event_type in ('view', 'click') then 'GET' else 'POST' end as method,
         event_type as component, case when event_type = 'error' then 500 else 200 end as status, value as duration, props from events""",
     "runs": """select concat('H', cast(user_id as string), '_', cast(cast(ts as date) as string)) as harvest_id, case when user_id % 2 = 0 then 'harvest' else 'probe' end as mode,
         min(ts) as start_time, max(ts) as end_time, sum(case when event_type = 'error' then 1 else 0 end) as errors,
