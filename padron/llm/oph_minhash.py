@@ -122,7 +122,8 @@ def confirm(edges: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataF
     every part of STAR members; the parts stream through in order, so a hub of any
     number of members takes bounded memory.
     """
-    stars = edges.groupBy("hub").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
+    # written first: the join can then split a hub of many members
+    stars = materialize(edges.groupBy("hub").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts")))
     # xxhash64 and hash (Murmur3) differ, so parts do not follow the exchange's own dealing
     members = edges.join(stars, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node", F.lit(1).alias("side"))
     hubs = stars.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("hub").alias("node"), F.lit(0).alias("side"))
