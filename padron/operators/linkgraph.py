@@ -87,11 +87,13 @@ def bfs_depth(links: DataFrame, root, max_depth: int = 5) -> DataFrame:
     return seen
 
 
-def crawl_map(pages: DataFrame, depths: DataFrame) -> DataFrame:
-    """One row of each address: hashes, title, type, depth and parent (null if not reached)."""
+def crawl_map(pages: DataFrame, depths: DataFrame, status: DataFrame | None = None, **rules) -> DataFrame:
+    """One row of each address: hashes, title, type, depth and parent (null if not reached), and the status of
+    its fetch from status(page_id, status). rules are those of classify."""
     one = pages.groupBy("url").agg(F.min_by(F.struct("page_id", "html"), "page_id").alias("p")).select("url", "p.*")
-    out = one.select("page_id", "url", F.md5("url").alias("url_hash"), F.md5("html").alias("content_hash"), page_title(F.col("html")).alias("title"), classify(F.col("url"), F.col("html")).alias("type"), F.length("html").alias("content_length"))
-    return out.join(depths.withColumnRenamed("node", "page_id"), "page_id", "left")
+    out = one.select("page_id", "url", F.md5("url").alias("url_hash"), F.md5("html").alias("content_hash"), page_title(F.col("html")).alias("title"), classify(F.col("url"), F.col("html"), **rules).alias("type"), F.length("html").alias("content_length"))
+    out = out.join(depths.withColumnRenamed("node", "page_id"), "page_id", "left")
+    return out.join(status, "page_id", "left") if status is not None else out
 
 
 def degrees(links: DataFrame) -> DataFrame:

@@ -142,12 +142,13 @@ def l3(r):
     return r.pages.select("page_id", linkgraph.page_title(C("html")).alias("title"))
 
 
+_RULES = {"urls": (("english", ("/en/",)), ("german", ("/de/",))), "texts": (("licence", "licen"),)}
 _CLASS = "case when url like '%/en/%' then 'english' when url like '%/de/%' then 'german' when contains(lower(html), 'licen') then 'licence' else 'general' end"
 
 
 @query("L4_classify_page", f"select page_id, {_CLASS} as type from (select page_id, lower(url) as url, html from pages)")
 def l4(r):
-    return r.pages.select("page_id", linkgraph.classify(C("url"), C("html"), (("english", ("/en/",)), ("german", ("/de/",))), (("licence", "licen"),)).alias("type"))
+    return r.pages.select("page_id", linkgraph.classify(C("url"), C("html"), **_RULES).alias("type"))
 
 
 @query("L5_classify_simple", "select page_id, case when contains(lower(html), 'estándar') or contains(lower(html), 'estandar') then 'ec_standard' when contains(lower(html), 'certificador') then 'certificador' when contains(lower(html), 'centro') then 'center' when contains(lower(html), 'curso') then 'course' else 'unknown' end as type from pages")
@@ -163,10 +164,16 @@ def l6(r):
     return linkgraph.bfs_depth(r.links, 0, 6).withColumn("parent", F.coalesce("parent", F.lit(-1)))
 
 
-@query("L7_crawl_map", "select url, md5(url) as url_hash, trim(regexp_extract(min_by(html, page_id), '<title>(.*?)</title>', 1)) as title from pages group by url")
+_MAP = f"""{_BFS.replace("b.depth < 6", "b.depth < 3").replace(" select d.node, d.depth, coalesce", ", t as (select d.node, d.depth, coalesce", 1)})
+    select u.url, md5(u.url) as url_hash, md5(html) as content_hash, trim(regexp_extract(html, '<title>(.*?)</title>', 1)) as title, {_CLASS.replace("url like", "lower(u.url) like")} as type, length(html) as content_length, coalesce(t.depth, -1) as depth, coalesce(t.parent, -1) as parent, f.status
+    from (select url, min(page_id) as page_id, min_by(html, page_id) as html from pages group by url) u left join t on t.node = u.page_id left join fetch_log f on f.page_id = u.page_id and f.fetch = 0"""
+
+
+@query("L7_crawl_map", _MAP)
 def l7(r):
-    depths = linkgraph.bfs_depth(r.links, 0, 3)
-    return linkgraph.crawl_map(r.pages, depths).select("url", "url_hash", "title")
+    depths = linkgraph.bfs_depth(r.links, 0, 3).withColumn("parent", F.coalesce("parent", F.lit(-1)))
+    status = r.fetch_log.filter("fetch = 0").select("page_id", "status")
+    return linkgraph.crawl_map(r.pages, depths, status, **_RULES).select("url", "url_hash", "content_hash", "title", "type", "content_length", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("depth", "parent")], "status")
 
 
 @query("L8_in_out_links", "select node, coalesce(o.n, 0) as n_out, coalesce(i.n, 0) as n_in from (select src as node, count(*) as n from links group by src) o full join (select dst as node, count(*) as n from links group by dst) i using (node)")
@@ -174,9 +181,12 @@ def l8(r):
     return linkgraph.degrees(r.links)
 
 
-@query("L9_page_signals", "select page_id, contains(lower(html), '<form') as has_form, contains(lower(html), '<script') as has_script, regexp_matches(lower(html), 'ajax|xmlhttprequest|fetch\\(') as has_ajax from pages")
+_TERMS = ("licen", "the ", "und ")
+
+
+@query("L9_page_signals", "select page_id, contains(lower(html), '<form') as has_form, contains(lower(html), '<script') as has_script, regexp_matches(lower(html), 'ajax|xmlhttprequest|fetch\\(') as has_ajax, concat_ws(',', " + ", ".join(f"case when contains(lower(html), '{t}') then '{t}' end" for t in _TERMS) + ") as topics from pages")
 def l9(r):
-    return linkgraph.page_signals(r.pages).drop("topics")
+    return linkgraph.page_signals(r.pages, _TERMS)
 
 
 @query("L10_next_page_edges", "select distinct concat('https://example.org/list/', '?p=2') as target, comite_id from ec")
