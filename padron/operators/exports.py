@@ -31,6 +31,13 @@ def denormalize_cert(cert: DataFrame, ec: DataFrame, lists: DataFrame) -> DataFr
     return cert.join(codes.groupBy("cert_id").agg(F.sort_array(F.collect_list(F.struct("ec_clave", "titulo"))).alias("estandares")), "cert_id", "left")
 
 
+def bundle_shapes(ec: DataFrame, cert: DataFrame, ece_ec: DataFrame, centros: DataFrame, centro_ec: DataFrame) -> dict[str, DataFrame]:
+    """The graph and the nested documents that go with an export, by folder."""
+    nodes, edges = graph_nodes_edges(ec, cert, ece_ec)
+    lists = ece_ec.groupBy("cert_id").agg(F.collect_list("ec_clave").alias("codes"))
+    return {"graph/nodes": nodes, "graph/edges": edges, "denormalized/ec": denormalize_ec(ec, cert, ece_ec, centros, centro_ec), "denormalized/cert": denormalize_cert(cert, ec, lists)}
+
+
 def location_dim(cert: DataFrame, centros: DataFrame) -> DataFrame:
     cols = ["estado", "estado_inegi", "municipio", "cp"]
     return cert.select(*cols).unionByName(centros.select(*cols)).distinct().withColumn("location_id", stable_id(F.lit(None).cast("string"), *[F.col(c) for c in cols]))

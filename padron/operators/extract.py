@@ -15,29 +15,34 @@ from pyspark.sql import functions as F
 
 from padron.functions import clean
 
-CELLS = "page_id long, url string, kind string, block int, row int, col int, label string, text string, href string, css_class string"
+CELLS = "page_id long, url string, kind string, block int, row int, col int, label string, text string, href string, css_class string, inside array<int>"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _SPACE = re.compile(r"\s+")
 
 
 class _Cells(HTMLParser):
-    """Collects (kind, block, row, col, label, text, href, css_class)."""
+    """Collects (kind, block, row, col, label, text, href, css_class, inside); inside holds the blocks of the open tables and divs with a class."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.out: list[list] = []
         self.open: list[tuple[str, list]] = []  # elements whose text is wanted
+        self.scopes: list[tuple[str, int | None]] = []  # open tables and divs with the blocks that they begin
         self.block = self.row = self.col = -1
         self.label = None
 
+    def _record(self, kind, label=None, text="", href=None, css=None):
+        return [kind, self.block, self.row, self.col, label, text, href, css, [b for _, b in self.scopes if b is not None]]
+
     def _begin(self, tag, kind, href=None, css=None):
-        rec = [kind, self.block, self.row, self.col, self.label, "", href, css]
-        self.open.append((tag, rec))
+        self.open.append((tag, self._record(kind, self.label, "", href, css)))
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         if tag == "table":
             self.block, self.row = self.block + 1, -1
+            self.scopes.append((tag, self.block))
+            self.out.append(self._record("table", css=a.get("class")))
         elif tag == "tr":
             self.row, self.col, self.label = self.row + 1, -1, None
         elif tag in ("td", "th"):
@@ -54,7 +59,13 @@ class _Cells(HTMLParser):
         if a.get("class") and tag in ("div", "span", "p", "li", "h1", "h2", "h3"):
             if tag == "div":
                 self.block += 1
+                self.scopes.append((tag, self.block))
             self._begin(tag, "class", css=a["class"])
+        elif tag == "div":
+            self.scopes.append((tag, None))
+        for name, value in attrs:
+            if name.startswith("data-") and name.endswith("id") and value:
+                self.out.append(self._record("data", name, value))
 
     def handle_data(self, data):
         script = self.open and self.open[-1][0] == "script"
@@ -64,6 +75,11 @@ class _Cells(HTMLParser):
     def handle_endtag(self, tag):
         if tag in _VOID:
             return
+        if tag in ("div", "table") and any(t == tag for t, _ in self.scopes):
+            while self.scopes.pop()[0] != tag:
+                pass
+        if tag == "table":
+            self.row = self.col = -1
         while any(t == tag for t, _ in self.open):
             t, rec = self.open.pop()
             if rec[0] != "script":
@@ -87,7 +103,7 @@ def cells_of(html: str | None) -> list[tuple]:
 
 def html_cells(pages: DataFrame) -> DataFrame:
     """The cells of pages(page_id, url, html): table cells with the header or term before them as
-    label, links, headings, titles, scripts and elements with a class."""
+    label, links, headings, titles, scripts, tables, ids in data attributes and elements with a class."""
     import pandas as pd
 
     names = [c.split()[0] for c in CELLS.split(", ")]
@@ -108,6 +124,84 @@ CENTRO_LABELS = {"clave": "centro_id", "nombre": "nombre", "certificador": "cert
 SECTOR_LABELS = {"sector": "nombre", "comité": "nombre_comite", "descripción": "descripcion", "número de estándares": "num_estandares", "correo": "email", "teléfono": "phone"}
 
 
+# Per component the columns of its listing table, the class of its card and the class (or tag) of each part of a card.
+LISTINGS = {
+    "cert": (("nombre_legal", "siglas", "estado", "estatus"), "certificador-card", {"nombre_legal": "cert-name", "siglas": "cert-siglas", "estado": "cert-estado", "estatus": "cert-status"}),
+    "centro": (("nombre", "cert_nombre", "estado", "municipio"), "centro-card", {"nombre": "centro-name", "cert_nombre": "cert-name", "estado": "estado", "municipio": "municipio"}),
+    "sector": (("nombre", "num_comites", "num_estandares"), "sector-card", {"nombre": "h3"}),
+    "comite": (("nombre", "sector_nombre", "num_estandares"), "comite-item", {"nombre": "comite-item"}),
+}
+# Parts of the address that tell what a listing holds.
+EC_LISTINGS = (("ESLACT", "active"), ("ESLINACT", "inactive"), ("ESLHIST", "historical"), ("ECNew", "new"))
+CERT_LISTINGS = (("comp=ECE", "ECE"), ("comp=OC", "OC"))
+
+
+def told_by_url(url: Column, marks, default: str) -> Column:
+    """The name of the first mark that the address holds."""
+    return F.coalesce(*[F.when(url.contains(mark), name) for mark, name in marks], F.lit(default))
+
+
+def listed(cells: DataFrame, component: str) -> DataFrame:
+    """Entries of listing pages: (page_id, url, form, id, fields of LISTINGS).
+
+    Of each page the first form that has entries counts: rows of tables of class `table`
+    but their first, cards, and (centres) links to a centre. The id is the id=... of a link
+    in the entry, else (cards: before it) a data attribute of the entry. Entries without an
+    id stay for certifiers and centres and go for sectors and committees.
+    """
+    columns, card, parts = LISTINGS[component]
+    css = F.coalesce("css_class", F.lit(""))
+    classes = F.split(css, " ")
+    by_page = cells.repartition("page_id")
+    linked = F.nullif(F.regexp_extract(F.coalesce("href", F.lit("")), "id=([^&]+)", 1), F.lit(""))
+    first_link, first_data = F.min(F.when(F.col("kind") == "link", linked)), F.min(F.when(F.col("kind") == "data", F.col("text")))
+    table = F.max((F.col("kind") == "table") & F.array_contains(classes, "table")).over(W.partitionBy("page_id", "block"))
+    rows = by_page.withColumn("table", table).filter("table and row > 0").groupBy("page_id", "url", "block", "row").agg(
+        F.count_if(F.col("kind") == "cell").alias("cells"), F.coalesce(first_link, first_data).alias("id"),
+        *[F.max(F.when((F.col("kind") == "cell") & (F.col("col") == i), F.col("text"))).alias(c) for i, c in enumerate(columns)])
+    forms = rows.filter("cells > 0").select("page_id", "url", F.lit(0).alias("rank"), "id", *columns)
+
+    def part(c):
+        return F.array_contains(classes, c) if c != "h3" else (F.col("kind") == "heading") & (css == c)
+
+    owned = by_page.filter("kind in ('class', 'heading', 'link', 'data')").withColumn("owner", F.explode("inside"))
+    boxes = owned.groupBy("page_id", "url", "owner").agg(
+        F.max((F.col("kind") == "class") & (F.col("block") == F.col("owner")) & F.array_contains(classes, card)).alias("card"), F.coalesce(first_data, first_link).alias("id"),
+        *[(F.max(F.when(part(parts[c]), F.col("text"))) if c in parts else F.lit(None).cast("string")).alias(c) for c in columns])
+    forms = forms.unionByName(boxes.filter("card").select("page_id", "url", F.lit(1).alias("rank"), "id", *columns))
+    if component == "centro":
+        links = by_page.filter("kind = 'link' and href like '%CENTRO%'").select("page_id", "url", F.lit(2).alias("rank"), linked.alias("id"), *[(F.col("text") if c == "nombre" else F.lit(None).cast("string")).alias(c) for c in columns])
+        forms = forms.unionByName(links.filter("id is not null"))
+    best = forms.withColumn("best", F.min("rank").over(W.partitionBy("page_id"))).filter("rank = best")
+    form = F.element_at(F.array(*[F.lit(f) for f in ("table", "card", "link")]), F.col("rank") + 1)
+    texts = [(clean.first_number(F.col(c)) if c.startswith("num_") else F.nullif(F.trim(c), F.lit(""))).alias(c) for c in columns]
+    out = best.select("page_id", "url", form.alias("form"), "id", *texts)
+    if component in ("sector", "comite"):
+        out = out.withColumn("id", F.col("id").try_cast("int")).filter("id is not null")
+    return out
+
+
+def list_cert(cells: DataFrame) -> DataFrame:
+    """Listed certifiers, with their kind from the address."""
+    return listed(cells, "cert").withColumnRenamed("id", "cert_id").withColumn("tipo", told_by_url(F.col("url"), CERT_LISTINGS, "UNKNOWN"))
+
+
+def list_centro(cells: DataFrame) -> DataFrame:
+    """Listed centres; those of one certifier's list carry its id, from the address."""
+    owner = F.when(F.col("url").contains("CERT_CENTROS"), F.nullif(F.regexp_extract("url", "id=([^&]+)", 1), F.lit("")))
+    return listed(cells, "centro").withColumnRenamed("id", "centro_id").withColumn("cert_id", owner)
+
+
+def list_sector(cells: DataFrame) -> DataFrame:
+    return listed(cells, "sector").withColumnRenamed("id", "sector_id")
+
+
+def list_comite(cells: DataFrame) -> DataFrame:
+    """Listed committees; those of one sector's list carry its id, from the address."""
+    owner = F.when(F.col("url").contains("SECTOR_COMITES"), F.regexp_extract("url", "id=([0-9]+)", 1).try_cast("int"))
+    return listed(cells, "comite").withColumnRenamed("id", "comite_id").withColumn("sector_id", owner)
+
+
 def first_non_empty(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in cols])
 
@@ -139,11 +233,18 @@ def _codes(df, column="estandares"):
 
 
 def extract_ec(cells: DataFrame) -> DataFrame:
-    """Standards from listing rows (code, title) and detail pages."""
-    listing = listing_rows(cells, ["ec_clave", "titulo"]).filter(F.col("ec_clave").rlike(r"^EC\d{4,}$")).select("ec_clave", "titulo")
+    """Standards from listing rows (code, title, kind of listing) and detail pages.
+
+    Listings whose address tells their kind decide whether a standard is in force; a
+    standard of several listings takes the first of EC_LISTINGS.
+    """
+    kind = told_by_url(F.col("url"), EC_LISTINGS, "unknown")
+    order = F.array_position(F.array(*[F.lit(name) for _, name in EC_LISTINGS], F.lit("unknown")), kind)
+    rows = listing_rows(cells, ["ec_clave", "titulo"]).filter(F.col("ec_clave").rlike(r"^EC\d{4,}$"))
+    listing = rows.groupBy("ec_clave").agg(F.min(F.struct(order.alias("o"), "titulo", kind.alias("listing_type"))).alias("r")).select("ec_clave", "r.titulo", "r.listing_type")
     detail = detail_fields(cells, EC_LABELS).filter("ec_clave is not null").drop("page_id")
-    out = merge_listing_detail(listing.dropDuplicates(["ec_clave"]), detail.dropDuplicates(["ec_clave"]), "ec_clave")
-    return out.withColumns({"duracion_horas": clean.first_number(F.col("duracion")), "fecha_publicacion": clean.parse_date_iso(F.col("fecha_publicacion")), "vigente": F.lower("vigente").isin("sí", "si", "true"), "version": clean.version_number(F.col("version"))}).drop("duracion")
+    out = merge_listing_detail(listing, detail.dropDuplicates(["ec_clave"]), "ec_clave")
+    return out.withColumns({"duracion_horas": clean.first_number(F.col("duracion")), "fecha_publicacion": clean.parse_date_iso(F.col("fecha_publicacion")), "vigente": F.when(F.coalesce("listing_type", F.lit("unknown")) == "unknown", F.lower("vigente").isin("sí", "si", "true")).otherwise(F.col("listing_type") == "active"), "version": clean.version_number(F.col("version"))}).drop("duracion")
 
 
 def modal_json(cells: DataFrame) -> DataFrame:
@@ -153,22 +254,34 @@ def modal_json(cells: DataFrame) -> DataFrame:
     return found.select("page_id", F.from_json("json", "cert_id string, estandares array<string>, contactos array<map<string,string>>").alias("m")).select("page_id", "m.*")
 
 
+def modal_html(cells: DataFrame) -> DataFrame:
+    """Codes in spans of class `ec-code` inside a `modal-estandares`: (page_id, html_codes)."""
+    spans = cells.filter("kind = 'class'").withColumn("owner", F.explode("inside"))
+    box = F.max((F.col("block") == F.col("owner")) & (F.col("css_class") == "modal-estandares"))
+    code = F.when((F.col("css_class") == "ec-code") & F.trim("text").rlike(r"^EC\d{4,}$"), F.trim("text"))
+    found = spans.groupBy("page_id", "owner").agg(box.alias("box"), F.collect_set(code).alias("codes")).filter("box")
+    return found.groupBy("page_id").agg(F.array_distinct(F.flatten(F.collect_list("codes"))).alias("html_codes"))
+
+
 def extract_cert(cells: DataFrame) -> DataFrame:
-    """Certifiers from detail pages, with the codes and contacts of the modal script; the state's code is computed last."""
+    """Certifiers from detail pages, with the codes and contacts of the modal script, or the codes of the modal's
+    HTML where the script has none; the state's code is computed last."""
     from padron.operators.joins import state_code
 
     detail = _codes(detail_fields(cells, CERT_LABELS).filter("cert_id is not null"))
     modal = modal_json(cells).select("page_id", F.col("estandares").alias("modal_codes"), "contactos")
-    out = detail.join(modal, "page_id", "left").withColumns({
-        "codes": F.array_sort(F.array_distinct(F.concat("codes", F.coalesce("modal_codes", F.array().cast("array<string>"))))),
+    none = F.array().cast("array<string>")
+    in_modal = F.when(F.size(F.coalesce("modal_codes", none)) > 0, F.col("modal_codes")).otherwise(F.coalesce("html_codes", none))
+    out = detail.join(modal, "page_id", "left").join(modal_html(cells), "page_id", "left").withColumns({
+        "codes": F.array_sort(F.array_distinct(F.concat("codes", in_modal))),
         "tipo": F.regexp_extract("cert_id", r"^(ECE|OC)", 1), "telefono": clean.normalize_phone_v2(F.col("telefono")), "correo": clean.email_norm(F.col("correo")),
         "sitio_web": clean.website_scheme(F.col("sitio_web")), "cp": clean.postal_code(F.lit(None).cast("string"), F.col("domicilio_texto")), "fecha_acreditacion": clean.parse_date_iso(F.col("fecha_acreditacion")),
     })
-    return state_code(out.drop("estandares", "modal_codes", "page_id"), "estado")
+    return state_code(out.drop("estandares", "modal_codes", "html_codes", "page_id"), "estado")
 
 
 def extract_centro(cells: DataFrame) -> DataFrame:
-    """Centres from detail pages and from cards (an element of class `centro-item` with parts by class)."""
+    """Centres from detail pages; those of listings come from list_centro."""
     detail = _codes(detail_fields(cells, CENTRO_LABELS).filter("centro_id is not null"))
     return detail.withColumns({"modalidades": clean.split_modalities(F.col("modalidades")), "telefono": clean.normalize_phone_v2(F.col("telefono")), "correo": clean.email_norm(F.col("correo"))}).drop("estandares", "page_id")
 
@@ -245,7 +358,10 @@ def extract_v1_items(cells: DataFrame, component: str) -> DataFrame:
     return out.filter(F.coalesce(*[F.nullif(F.trim(k), F.lit("")) for k in key]).isNotNull()).withColumn("type", F.lit(component)).drop("item")
 
 
-EXTRACTORS = {"ec": extract_ec, "cert": extract_cert, "centro": extract_centro, "sector": extract_sector_comite}
+EXTRACTORS = {
+    "ec": extract_ec, "cert": extract_cert, "centro": extract_centro, "sector": extract_sector_comite,
+    "cert_list": list_cert, "centro_list": list_centro, "sector_list": list_sector, "comite_list": list_comite,
+}
 
 
 def register_extractor(kind: str, extract) -> None:

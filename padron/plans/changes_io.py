@@ -130,6 +130,10 @@ def b5(r):
     return scans.scan_csv_items(r.spark, f"{path}/centros_20240101_000000", multi_line=True)
 
 
+_KNOWN = "from ece_ec where ec_clave in (select ec_clave from ec) and cert_id in (select cert_id from cert)"
+_SHAPES = f"select 'graph' as format, 'nodes' as entity, (select count(*) from ec) + (select count(*) from cert) as n union all select 'graph', 'edges', count(*) {_KNOWN} union all select 'denormalized', 'ec', count(*) from ec union all select 'denormalized', 'cert', count(*) from cert union all select 'nested', 'ec', count(*) {_KNOWN} union all select 'nested', 'cert', count(*) {_KNOWN}"
+
+
 @query("B6_write_bundle", " union all ".join(f"select '{f}' as format, '{t}' as entity, count(*) as n from {t}" for f in ("json", "csv", "parquet") for t in ("sectores", "comites", "cert")))
 def b6(r):
     path = sinks.scratch(r.spark, "bundle")
@@ -138,6 +142,19 @@ def b6(r):
     return reduce(DataFrame.unionByName, [f(f"{path}/{k}/{t}").agg(F.lit(k).alias("format"), F.lit(t).alias("entity"), F.count("*").alias("n")) for k, f in read.items() for t in ("sectores", "comites", "cert")])
 
 
+@query("B6_bundle_shapes", _SHAPES)
+def b6b(r):
+    path = sinks.scratch(r.spark, "bundle")
+    sinks.write_bundle({"sectores": r.sectores}, path, ("json",), exports.bundle_shapes(r.ec, r.cert, r.ece_ec, r.centros, r.centro_ec))
+
+    def total(folder, fmt, entity, n):
+        return r.spark.read.json(f"{path}/{folder}").agg(F.lit(fmt).alias("format"), F.lit(entity).alias("entity"), n.alias("n"))
+
+    sizes = {"ec": "certificadores", "cert": "estandares"}
+    rows = [total(f"{f}/{e}", f, e, F.count("*")) for f, e in (("graph", "nodes"), ("graph", "edges"), ("denormalized", "ec"), ("denormalized", "cert"))]
+    return reduce(DataFrame.unionByName, rows + [total(f"denormalized/{e}", "nested", e, F.sum(F.size(F.coalesce(c, F.array()))).cast("long")) for e, c in sizes.items()])
+
+
 @query("B7_write_baseline", "select cert_id, tipo, nombre_legal, estado_inegi, estatus from cert")
 def b7(r):
     path = sinks.scratch(r.spark, "baseline")

@@ -69,6 +69,75 @@ def k5(r):
     return extract.extract_sector_comite(extract.html_cells(pages)).select("comite_id", "nombre", "num_estandares", "contacto.email")
 
 
+def _entries(df, url, entry, before="", after=""):
+    """Listing pages with the entries of each address, between look-alikes that are no entries."""
+    decoys = F.lit('<table class="menu"><tr><td>Menú</td></tr><tr><td><a href="?id=M1">uno</a></td><td>x</td></tr></table><div class="panel" data-id="P1"><h3>Panel</h3><span class="estado">x</span></div>')
+    pages = df.groupBy(url.alias("address")).agg(F.array_join(F.collect_list(entry), "").alias("entries"))
+    return _page(pages, C("address"), decoys, F.lit(before), C("entries"), F.lit(after), F.lit('<a href="/pie?x=9">pie</a>'))
+
+
+def _html(*parts):
+    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+
+
+def _hundreds(address, key):
+    return F.concat(F.lit(f"https://example.org/{address}&part="), F.expr(f"substr({key}, 1, length({key}) - 2)"))
+
+
+_TABLE = ('<table class="table"><tr><th>A</th><th>B</th><th>C</th><th>D</th></tr>', "</table>")
+
+
+@query("K2_listing_type", "select ec_clave, case when vigente then 'active' else 'historical' end as listing_type, vigente from ec")
+def k2b(r):
+    # what is in force stands in two listings, of which the first counts
+    row = _html("<tr><td>", C("ec_clave"), "</td><td>", C("titulo"), "</td></tr>")
+    now, old = _hundreds("?list=ESLACT", "ec_clave"), _hundreds("?list=ESLHIST", "ec_clave")
+    pages = _entries(r.ec.filter("vigente"), now, row, *_TABLE).unionByName(_entries(r.ec, old, row, *_TABLE))
+    return extract.extract_ec(extract.html_cells(pages)).select("ec_clave", "listing_type", "vigente")
+
+
+@query("K3_list_cert", "select cert_id, tipo, nombre_legal, siglas, estado, estatus, case when tipo = 'OC' then 'card' else 'table' end as form from cert")
+def k3b(r):
+    row = _html("<tr><td>", C("nombre_legal"), "</td><td>", C("siglas"), "</td><td>", C("estado"), "</td><td>", C("estatus"), '</td><td><a href="/ver?x=1&id=', C("cert_id"), '&z=2">ver</a></td></tr>')
+    card = _html('<div class="certificador-card" data-cert-id="', C("cert_id"), '"><h3 class="cert-name">', C("nombre_legal"), '</h3><div class="datos"><span class="cert-siglas">', C("siglas"), '</span><span class="cert-estado">', C("estado"), '</span></div><span class="cert-status">', C("estatus"), "</span></div>")
+    tables = _entries(r.cert.filter("tipo = 'ECE'"), _hundreds("?comp=ECE", "cert_id"), row, *_TABLE)
+    cards = _entries(r.cert.filter("tipo = 'OC'"), _hundreds("?comp=OC", "cert_id"), card)
+    return extract.list_cert(extract.html_cells(tables.unionByName(cards))).select("cert_id", "tipo", "nombre_legal", "siglas", "estado", "estatus", "form")
+
+
+@query("K3_modal_html", "select cert_id, string_agg(ec_clave, ',' order by ec_clave) as codes from ece_ec group by cert_id")
+def k3c(r):
+    codes = r.ece_ec.groupBy("cert_id").agg(F.array_join(F.transform(F.collect_list("ec_clave"), lambda c: F.concat(F.lit('<p><span class="ec-code"> '), c, F.lit(" </span></p>"))), "").alias("spans"))
+    pages = _page(codes, F.concat(F.lit("https://example.org/cert/"), C("cert_id")), F.lit("<table>"), _row("Cédula", C("cert_id")), F.lit('</table><span class="ec-code">EC9998</span><div class="modal-estandares"><div class="lista">'), C("spans"), F.lit('<span class="ec-code">EC12</span></div></div><div class="otro"><span class="ec-code">EC9999</span></div>'))
+    return extract.extract_cert(extract.html_cells(pages)).select("cert_id", F.array_join("codes", ",").alias("codes"))
+
+
+@query("K4_list_centro", "select centro_id, nombre, case when right(centro_id, 1) in ('0', '1', '2') then null else estado end as estado, case when right(centro_id, 1) in ('0', '1', '2') then null else municipio end as municipio, case when right(centro_id, 1) in ('0', '1', '2') then 'link' when right(centro_id, 1) in ('3', '4', '5') then 'card' else 'table' end as form, case when right(centro_id, 1) in ('6', '7', '8', '9') then certificador_id end as cert_id from centros")
+def k4b(r):
+    df = r.centros.withColumn("k", F.expr("right(centro_id, 1)").cast("int"))
+    link = _html('<p><a href="?controller=CENTRO&id=', C("centro_id"), '">', C("nombre"), "</a></p>")
+    card = _html('<div class="centro-card"><h3 class="centro-name">', C("nombre"), '</h3><span class="estado">', C("estado"), '</span><div class="mas"><span class="municipio">', C("municipio"), '</span><a href="?id=', C("centro_id"), '">ver</a></div></div>')
+    row = _html('<tr data-centro-id="', C("centro_id"), '"><td>', C("nombre"), "</td><td>", C("certificador_id"), "</td><td>", C("estado"), "</td><td>", C("municipio"), "</td></tr>")
+    owner = F.concat(F.lit("https://example.org/?list=CERT_CENTROS&id="), C("certificador_id"), F.lit("&part="), F.expr("substr(centro_id, 1, length(centro_id) - 2)"))
+    pages = [_entries(df.filter("k < 3"), _hundreds("?list=L", "centro_id"), link), _entries(df.filter("k between 3 and 5"), _hundreds("?list=C", "centro_id"), card), _entries(df.filter("k > 5"), owner, row, *_TABLE)]
+    out = extract.list_centro(extract.html_cells(pages[0].unionByName(pages[1]).unionByName(pages[2])))
+    return out.select("centro_id", "nombre", "estado", "municipio", "form", "cert_id")
+
+
+@query("K5_list_sector_comite", "select cast(comite_id as int) as id, nombre, cast(sector_id as int) as sector_id, -1 as num_comites, cast(length(nombre) as int) as num_estandares, 'table' as form from comites union all select cast(sector_id as int), nombre, -1, -1, -1, 'card' from sectores union all select cast(s.sector_id as int), nombre, -1, cast(n as int), 7, 'table' from sectores s join (select sector_id, count(*) as n from comites group by sector_id) c on s.sector_id = c.sector_id")
+def k5b(r):
+    row = _html("<tr><td>", C("nombre"), "</td><td>s</td><td>", F.length("nombre"), ' estándares</td><td><a href="?id=', C("comite_id"), '">ver</a></td></tr>')
+    card = _html('<div class="panel sector-card" data-sector-id="', C("sector_id"), '"><h3>', C("nombre"), "</h3></div>")
+    counts = r.sectores.join(r.comites.groupBy("sector_id").agg(F.count("*").alias("n")), "sector_id")
+    counted = _html('<tr data-id="', C("sector_id"), '"><td>', C("nombre"), "</td><td>", C("n"), " comités</td><td>7</td></tr>")
+    owner = F.concat(F.lit("https://example.org/?list=SECTOR_COMITES&id="), C("sector_id").cast("string"))
+    cells = extract.html_cells(_entries(r.comites, owner, row, *_TABLE))
+    sectors = extract.html_cells(_entries(r.sectores, F.lit("https://example.org/?list=SECTORES&p=1"), card).unionByName(_entries(counts, F.lit("https://example.org/?list=SECTORES&p=2"), counted, *_TABLE)))
+    none = F.lit(-1)
+    out = extract.list_comite(cells).select(C("comite_id").alias("id"), "nombre", "sector_id", none.alias("num_comites"), "num_estandares", "form")
+    return out.unionByName(extract.list_sector(sectors).select(C("sector_id").alias("id"), "nombre", none.alias("sector_id"), *[F.coalesce(c, none).alias(c) for c in ("num_comites", "num_estandares")], "form"))
+
+
 @query("K6_merge_listing_detail", "select cert_id, case when siglas = 'S1' then upper(nombre_legal) else nombre_legal end as nombre_legal, estatus from cert")
 def k6(r):
     listing = r.cert.filter("siglas = 'S1'").select("cert_id", F.upper("nombre_legal").alias("nombre_legal"))

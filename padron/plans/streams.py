@@ -72,6 +72,18 @@ def m4(r):
     return ok.select("event_id", F.lit(False).alias("late")).unionByName(late.select("event_id", F.lit(True).alias("late")))
 
 
+@query("M4_late_items_stream", "select event_id, event_id % 3 = 0 and event_id % 10 <> 0 and ts < (select max(ts) from events where event_id % 3 <> 0) - interval 24 hours as late from events")
+def m4b(r):
+    src, out, cp = (scratch(r.spark, n) for n in ("late-in", "late-out", "cp"))
+    df = r.events.select("event_id", C("ts").cast("timestamp").alias("extracted_at"), F.when(C("event_id") % 10 != 0, F.md5("props")).alias("content_hash"))
+    # a third of the rows comes after the others
+    for part in ("event_id % 3 <> 0", "event_id % 3 = 0"):
+        df.filter(part).write.mode("append").parquet(src)
+        items.late_stream(items.read_stream(r.spark, src, df.schema), out, cp).awaitTermination()
+    read = {late: r.spark.read.schema("event_id long").parquet(f"{out}/{name}") for name, late in (("in_time", False), ("late", True))}
+    return read[False].select("event_id", F.lit(False).alias("late")).unionByName(read[True].select("event_id", F.lit(True).alias("late")))
+
+
 @query("M5_tumbling_rate", "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H') as start, user_id, count(*) as n, count(*) > 1 as over from events group by 1, 2")
 def m5(r):
     src, schema = _log(r)
@@ -85,6 +97,15 @@ def m6(r):
     return metrics.sliding_rate(r.request_log, 60, 3).select("event_id", "n")
 
 
+@query("M6_sliding_rate_stream", "select host, strftime(start, '%Y-%m-%d %H:%M:%S') as start, count(*) as n, count(*) > 2 as over from (select host, time_bucket(interval 5 seconds, ts) - k * interval 5 seconds as start from request_log cross join range(12) g(k)) where start + interval 60 seconds <= (select max(ts) - interval 60 seconds from request_log) group by 1, 2")
+def m6b(r):
+    # windows that the watermark has closed
+    src, schema = _log(r)
+    out = scratch(r.spark, "sliding-out")
+    items.write_all(metrics.sliding_rate_stream(items.read_stream(r.spark, src, schema), 2), out, scratch(r.spark, "cp"))
+    return r.spark.read.parquet(out).withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+
+
 _RUNS = "(select *, sum(case when status < 400 then 1 else 0 end) over (partition by host, split_part(path, '/', 2), split_part(path, '/', 3), split_part(path, '/', 4) order by ts, event_id rows unbounded preceding) as run, concat_ws('/', host, split_part(path, '/', 2), split_part(path, '/', 3), split_part(path, '/', 4)) as endpoint from request_log)"
 
 

@@ -68,8 +68,10 @@ register_writer("csv", lambda df, path, entity: write_csv(df, path, [c for c in
 register_writer("parquet", lambda df, path, entity: write_parquet(df, path))
 
 
-def write_bundle(frames: dict[str, DataFrame], directory: str, formats=("json", "csv", "parquet")) -> None:
-    """All tables in all formats; each table is computed once."""
+def write_bundle(frames: dict[str, DataFrame], directory: str, formats=("json", "csv", "parquet"), shapes: dict[str, DataFrame] | None = None) -> None:
+    """All tables in all formats, each table computed once; shapes (graph, nested documents) as JSON under their names."""
+    for name, df in (shapes or {}).items():
+        write_json_records(df, f"{directory}/{name}")
     for name, df in frames.items():
         df.persist()
         try:

@@ -76,6 +76,25 @@ def split_late(df: DataFrame, newest, delay: str = "24 hours", time: str = "extr
     return df.filter(~F.coalesce(late, F.lit(False))), df.filter(late)
 
 
+def late_stream(df: DataFrame, path: str, checkpoint: str, delay: str = "24 hours", time: str = "extracted_at") -> StreamingQuery:
+    """split_late over a stream: rows in time go to path/in_time, late ones to the side table path/late.
+
+    As with a watermark, a batch is judged by the newest time of the batches before it,
+    which stands in path/newest; a batch that runs again writes the same files again.
+    """
+
+    def split(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        before = spark.read.parquet(f"{path}/newest/batch={n - 1}").first()[0] if n else None
+        in_time, late = split_late(batch, before, delay, time)
+        in_time.write.mode("overwrite").parquet(f"{path}/in_time/batch={n}")
+        late.write.mode("overwrite").parquet(f"{path}/late/batch={n}")
+        newest = batch.agg(F.greatest(F.max(F.col(time).cast("timestamp")), F.lit(before).cast("timestamp")).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{path}/newest/batch={n}")
+
+    return df.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def write_all(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Run a stream over all that is there into Parquet files, and wait."""
     if mode == "append":
