@@ -133,3 +133,18 @@ def test_circuit(spark, tmp_path):
     items.write_all(s, f"{tmp_path}/out", f"{tmp_path}/cp")
     states = [r["state"] for r in spark.read.parquet(f"{tmp_path}/out").orderBy("at").collect()]
     assert states == ["open", "half-open", "open", "half-open", "closed"] or sorted(states) == sorted(["open", "half-open", "open", "half-open", "closed"])
+
+
+def test_listings_of_odd_pages(spark):
+    from padron.operators import extract
+
+    card = '<div class="centro-card" data-centro-id="CE1"><div class="x"><h3 class="centro-name">Uno</h3></div></div>'
+    pages = spark.createDataFrame([
+        (1, "u?list=CERT_CENTROS&id=OC7", card + '<span class="municipio">outside</span>'),
+        (2, "u", '<table class="table"><tr><td>head</td></tr><tr><td>Dos</td></tr></table>' + card),  # rows come before cards, an id may be missing
+        (3, "u", '<div class="centro-card"><h3 class="centro-name">Tres'),  # never closed
+        (4, "u", None), (5, "u", ""), (6, "u", "</div></table></div>"),
+    ], "page_id long, url string, html string")
+    got = extract.list_centro(extract.html_cells(pages)).select("page_id", "form", "centro_id", "nombre", "municipio", "cert_id").collect()
+    assert sorted(map(tuple, got)) == [(1, "card", "CE1", "Uno", None, "OC7"), (2, "table", None, "Dos", None, None), (3, "card", None, "Tres", None, None)]
+    assert extract.list_sector(extract.html_cells(pages)).count() == 0
