@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from padron.operators import changes, exports
 from padron.plans.catalog import query
-from padron.schemas import DIFF_FIELDS_CERT, DIFF_FIELDS_EC
+from padron.schemas import DIFF_FIELDS_CERT, DIFF_FIELDS_EC, V1_COLUMNS
 from padron.sources import scans, sinks
 
 C = F.col
@@ -29,6 +29,20 @@ def a2(r):
     return scans.scan_projected(r.spark, f"{r.dir}/part.parquet", ["p_partkey", "p_name"])
 
 
+_V1_TYPES = {"ec_standards": "ec_standard", "certificadores": "certificador", "evaluation_centers": "center", "courses": "course"}
+
+
+@query("A2_scan_v1", " union all ".join(f"select '{t}' as entity, {len(V1_COLUMNS[t])} as columns, url, {'name' if t == 'courses' else 'code'} as label, {V1_COLUMNS[t][1 if t != 'courses' else 3]} as field from items where type = '{k}'" for t, k in _V1_TYPES.items()))
+def a2b(r):
+    path = sinks.scratch(r.spark, "v1")
+    for t, kind in _V1_TYPES.items():
+        # tables with more columns than are read
+        df = r.items.filter(C("type") == kind)
+        df.withColumns({c: F.lit(None).cast("string") for c in V1_COLUMNS[t] if c not in df.columns}).write.parquet(f"{path}/{t}")
+    tables = scans.scan_v1(r.spark, path)
+    return reduce(DataFrame.unionByName, [df.select(F.lit(t).alias("entity"), F.lit(len(df.columns)).alias("columns"), "url", C("name" if t == "courses" else "code").alias("label"), C(df.columns[1 if t != "courses" else 3]).alias("field")) for t, df in tables.items()])
+
+
 @query("A3_scan_json_items", "select ec_clave, cast(null as string) as cert_id, titulo as title from ec union all select null, cert_id, nombre_legal from cert")
 def a3(r):
     path = sinks.scratch(r.spark, "items")

@@ -83,3 +83,11 @@ STATES = (
 STATE_CODES = tuple((name, f"{i:02d}") for i, name in enumerate(STATES, 1))
 # Short forms of state names.
 STATE_ALIASES = {"cdmx": "Ciudad de México", "mexico": "Estado de México", "edomex": "Estado de México", "nl": "Nuevo León", "bc": "Baja California", "bcs": "Baja California Sur", "qroo": "Quintana Roo", "qro": "Querétaro"}
+
+# Columns of the tables of the older shape, in the order of its exports.
+V1_COLUMNS = {
+    "ec_standards": ["code", "title", "sector", "level", "publication_date", "status", "url", "first_seen", "last_seen"],
+    "certificadores": ["code", "name", "rfc", "contact_email", "contact_phone", "address", "city", "state", "status", "url", "first_seen", "last_seen"],
+    "evaluation_centers": ["code", "name", "certificador_code", "contact_email", "contact_phone", "address", "city", "state", "status", "url", "first_seen", "last_seen"],
+    "courses": ["name", "ec_code", "duration_hours", "modality", "start_date", "end_date", "provider_name", "city", "state", "url", "first_seen", "last_seen"],
+}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from padron.schemas import SCHEMAS
+from padron.schemas import SCHEMAS, V1_COLUMNS
 
 
 def scan_entity(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def scan_projected(spark: SparkSession, path: str, cols: list[str]) -> DataFrame
     return spark.read.parquet(path).select(*cols)
 
 
+def scan_v1(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+    """The four tables of the older shape below directory, each with its fixed columns only."""
+    return {name: scan_projected(spark, f"{directory}/{name}", cols) for name, cols in V1_COLUMNS.items()}
+
+
 def scan_json_items(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Items, or objects of lists of items, as one item set. One JSON value a line, so that files can be split;
     multi_line reads files that hold one value over many lines."""
