@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from padron.llm import hilbert_packing, langid, license_index, nn_descent, oph_minhash, ordinal_toxicity, phrase_index, secret_automata, sentence_spans, suffix_dedup
+from padron.llm import hilbert_packing, langid, lexical_search, license_index, merkle_manifest, nn_descent, oph_minhash, ordinal_toxicity, pattern_packing, phrase_index, secret_automata, sentence_spans, suffix_dedup
 from padron.llm.common import table
 
 
@@ -49,8 +49,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verify(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_language_id, op2_suffix_dedup, op3_secret_scan, op4_packing, op5_decontamination, op6_minhash, op7_nn_descent, op8_sentence_spans, op9_license_scan, op10_toxicity)}
+    own = op1_language_id, op2_suffix_dedup, op3_secret_scan, op4_packing, op5_decontamination, op6_minhash, op7_nn_descent, op8_sentence_spans, op9_license_scan, op10_toxicity
+    return {f.__name__: f for f in (*own, op11_merkle_manifest, op12_lexical_search, op13_pattern_packing)}
 
 
 # DuckDB's lower() folds more than A-Z
@@ -86,8 +99,42 @@ r(vec_id, node) as (select vec_id, vec_id from embeddings union select r.vec_id,
 c as (select vec_id, min(node) as component_id from r group by vec_id)
 select c.vec_id, (select count(*) from l where l.a = c.vec_id) as n_links, component_id, component_id = c.vec_id as kept from c"""
 
+_FIELD = "coalesce(strlen({0}) || ':' || {0}, '-')"
+_CRC = """list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::ubigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::ubigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end))"""
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(f"cast({c} as varchar)") for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_OP11 = f"""with recursive d as (select doc_id, coalesce('=' || lang, '') as grp, {_leaf("n_chars")} as leaf, {_leaf("n_chars + 1")} as raised, n_chars is not null and xor({_CRC}, 4294967295::ubigint) % 7 = 0 as tampered from documents),
+n as (select *, row_number() over (partition by grp order by doc_id nulls first, leaf) - 1 as i from d),
+t(grp, lvl, i, h) as (select grp, 0, i, leaf from n
+    union all select grp, lvl + 1, i // 2, sha256(string_agg(h, '' order by i)) from (select *, count(*) over (partition by grp) as c from t) where c > 1 group by grp, lvl, i // 2),
+s as (select grp, max(lvl) as top, arg_max(h, lvl) as subroot from t group by grp),
+g as (select *, row_number() over (order by grp) - 1 as i from s),
+u(lvl, i, h) as (select 0, i, subroot from g union all select lvl + 1, i // 2, sha256(string_agg(h, '' order by i)) from (select *, count(*) over () as c from u) where c > 1 group by lvl, i // 2),
+r as (select max(lvl) as top, arg_max(h, lvl) as root from u),
+steps as (select n.grp, n.i as leaf_i, l as step, (n.i >> l) & 1 as is_right, t.h as sibling from n join s on s.grp = n.grp, lateral (select unnest(range(0, s.top)) as l) x left join t on t.grp = n.grp and t.lvl = l and t.i = xor(n.i >> l, 1)
+    union all select n.grp, n.i, g.top + l, (g.i >> l) & 1, u.h from n join g on g.grp = n.grp, r, lateral (select unnest(range(0, r.top)) as l) x left join u on u.lvl = l and u.i = xor(g.i >> l, 1)),
+w as (select grp, leaf_i, sha256(coalesce(string_agg(sibling, '' order by step), '')) as proof_sha256, list(case when sibling is null then 'N' when is_right = 1 then 'L' || sibling else 'R' || sibling end order by step) as path from steps group by grp, leaf_i),
+o as (select n.doc_id, n.leaf, s.subroot, r.root, coalesce(w.proof_sha256, sha256('')) as proof_sha256,
+    list_reduce(list_prepend(case when n.tampered then n.raised else n.leaf end, coalesce(w.path, [])), lambda h, p: sha256(case p[1] when 'L' then p[2:] || h when 'R' then h || p[2:] else h end)) as folded_root
+    from n join s on s.grp = n.grp cross join r left join w on w.grp = n.grp and w.leaf_i = n.i)
+select *, folded_root = root as verified from o"""
+
+_OP12 = f"""with d as (select row_number() over () as r, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as ws from documents where text is not null),
+c as (select cast(count(*) as bigint) as n, cast(sum(len(ws)) as bigint) as total from d where len(ws) > 0),
+p as (select r, doc_id, term, count(*) as tf, any_value(size) as size from (select r, doc_id, len(ws) as size, unnest(ws) as term from d) group by r, doc_id, term),
+q as (select distinct item_id, unnest(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from benchmark where item_id is not null and text is not null),
+f as (select term, count(*) as df from p where term in (select term from q) group by term),
+w as (select term, cast(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) as bigint) as weight from f, c),
+s as (select item_id, r, doc_id, cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * size * n) // total)))) as bigint) as score from q join w using (term) join p using (term), c group by item_id, r, doc_id)
+select item_id, cast(rank as int) as rank, doc_id, score from (select *, row_number() over (partition by item_id order by score desc, doc_id nulls first) as rank from s where score > 0) where rank <= 50"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the operators that SQL can express; the others learn models, tokenize or cut texts and are
     tested against brute force, round trips or held-out accuracy."""
-    return {"op5_decontamination": _OP5, "op6_minhash": _OP6, "op7_nn_descent": _OP7}
+    return {"op5_decontamination": _OP5, "op6_minhash": _OP6, "op7_nn_descent": _OP7, "op11_merkle_manifest": _OP11, "op12_lexical_search": _OP12}
