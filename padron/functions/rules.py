@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The forms of codes and contact fields.
@@ -194,6 +194,22 @@ def quality_gate(report: DataFrame, min_rate: float = 0.95) -> DataFrame:
     return report.filter("type = '(all)'").select("rate", (F.col("rate") >= min_rate).alias("passed"))
 
 
+def written_with_report(df: DataFrame, write, types=tuple(RAW_RULES), by: str = "type") -> DataFrame:
+    """quality_report() of what write(df) writes, counted while it is written: the gate costs no pass of its own.
+
+    df has errors. A type that is none of `types` counts as (other), a null one as (none); types without rows are left out.
+    """
+    seen = Observation("quality")
+    ok = F.size("errors") == 0
+    kinds = {**{t: F.col(by) == t for t in types}, "(none)": F.col(by).isNull(), "(other)": F.col(by).isNotNull() & ~F.col(by).isin(*types), "(all)": F.lit(True)}
+    counts = [F.count_if(c).alias(f"total {t}") for t, c in kinds.items()] + [F.count_if(c & ok).alias(f"valid {t}") for t, c in kinds.items()]
+    write(df.observe(seen, *counts))
+    got = seen.get
+    rows = [(t, got[f"total {t}"], got[f"valid {t}"]) for t in kinds if got[f"total {t}"]]
+    out = df.sparkSession.createDataFrame(rows, "type string, total long, valid long")
+    return out.withColumn("invalid", F.col("total") - F.col("valid")).withColumn("rate", F.round(F.col("valid") / F.col("total"), 6))
+
+
 def item_gate(df: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
     """Rows that may leave extraction, and the others with their errors."""
     checked = with_errors(df, required_fields(df, entity) + {"ec_standard": rules_ec, "certificador": lambda d: [one_of("tipo", TIPOS)], "centro": lambda d: [], "sector": rules_sector, "comite": rules_comite}[entity](df))

@@ -137,22 +137,6 @@ def sum_by(df, keys, column):
     return df.groupBy(*keys).agg(F.sum(column).alias("total"))
 
 
-def quantiles(df, keys, column, q, edges):
-    """Quantile from counts below fixed edges, linear within a bucket; and the exact one.
-
-    As with histogram counters, values above the last edge give the last edge.
-    """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n"), F.expr(f"percentile({column}, {q})").alias("exact"), *[F.count_if(F.col(column) <= e).alias(f"le{i}") for i, e in enumerate(edges)])
-    rank = F.col("n") * q
-    out = F.lit(float(edges[-1]))
-    for i in reversed(range(len(edges))):
-        lo = float(edges[i - 1]) if i else 0.0
-        below = F.col(f"le{i - 1}") if i else F.lit(0)
-        inside = F.col(f"le{i}") - below
-        out = F.when(F.col(f"le{i}") >= rank, F.when(inside == 0, F.lit(lo)).otherwise(lo + (float(edges[i]) - lo) * (rank - below) / inside)).otherwise(out)
-    return counts.select(*keys, F.round(out, 6).alias("bucketed"), F.round("exact", 6).alias("exact"))
-
-
 def hit_ratio(df, keys, hit):
     return df.groupBy(*keys).agg(F.round(F.try_divide(F.lit(100.0) * F.count_if(hit), F.count("*")), 4).alias("hit_pct"))
 

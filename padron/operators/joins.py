@@ -146,9 +146,34 @@ def snapshot_at(df: DataFrame, t) -> DataFrame:
     return df.filter((F.col("first_seen") <= F.lit(t)) & (F.col("last_seen") >= F.lit(t)))
 
 
-def snapshots_at(df: DataFrame, moments: DataFrame) -> DataFrame:
-    """Rows valid at each of moments(t): a range join with a short list of times."""
-    return df.join(F.broadcast(moments), (F.col("first_seen") <= F.col("t")) & (F.col("last_seen") >= F.col("t")))
+#: An interval is cut into so many bins at most; longer ones go to the next level, whose bins are so many times as wide.
+BINS, LEVELS = 16, 6
+
+
+def snapshots_at(df: DataFrame, moments: DataFrame, days: int = 30) -> DataFrame:
+    """Rows valid at each of moments(t), of any number: an equi-join on bins of time, then the exact bounds.
+
+    An interval lies in the bins of the lowest level at which it covers no more than BINS of them, so long
+    ones make few rows as well; a moment lies in one bin of every level. Rows without both bounds are valid at no
+    moment; repeated moments and rows count each.
+    """
+    step = days * 86_400_000_000.0
+
+    def micros(c):
+        return F.unix_micros(F.col(c).cast("timestamp"))
+
+    def bin_of(at, level):
+        return F.floor(at / (F.lit(step) * F.pow(F.lit(float(BINS)), level))).cast("long")
+
+    span = (micros("last_seen") - micros("first_seen")) / step
+    level = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        level = F.when(span <= float(BINS) ** (k + 1), k).otherwise(level)
+    held = df.filter("first_seen <= last_seen").withColumn("_level", level.cast("int"))
+    held = held.withColumn("_bin", F.explode(F.sequence(bin_of(micros("first_seen"), F.col("_level")), bin_of(micros("last_seen"), F.col("_level")))))
+    asked = moments.filter("t is not null").withColumn("_level", F.explode(F.array(*[F.lit(k) for k in range(LEVELS)]))).withColumn("_bin", bin_of(micros("t"), F.col("_level")))
+    met = held.join(asked, ["_level", "_bin"]).filter((F.col("first_seen") <= F.col("t")) & (F.col("last_seen") >= F.col("t")))
+    return met.drop("_level", "_bin")
 
 
 def cert_state_standards(cert, ece_ec):

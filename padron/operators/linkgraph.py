@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from padron.sources.storage import shared_dir
+
 _BINARY = r"(?i)\.(pdf|jpe?g|png|gif|zip|docx?|xlsx?)([?#]|$)"
 
 # Page types by address, then by phrases of the text.
@@ -63,7 +63,7 @@ def classify_simple(html: Column) -> Column:
 def _checkpoint(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not getattr(sc, "_padron_checkpoints", False):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-padron-"))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
         sc._padron_checkpoints = True
     return df.checkpoint()
 

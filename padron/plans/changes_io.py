@@ -11,6 +11,7 @@ from padron.operators import changes, exports
 from padron.plans.catalog import query
 from padron.schemas import DIFF_FIELDS_CERT, DIFF_FIELDS_EC, V1_COLUMNS
 from padron.sources import scans, sinks
+from padron.sources.merge_table import MergeTable
 
 C = F.col
 
@@ -185,12 +186,17 @@ def b8(r):
     return r.spark.read.json(path).select("type", "total")
 
 
-@query("B11_merge_sink", "select ec_clave, titulo from ec where comite_id < 10 union all select ec_clave, 'new' from ec where comite_id in (10, 11)")
+_B11 = """select ec_clave, case when comite_id < 8 then titulo when comite_id in (10, 11) then 'new' else concat(titulo, ' v2') end as titulo,
+    case when comite_id in (10, 11) then '2021' else '2020' end as first_year, case when comite_id < 8 then '2020' else '2021' end as last_year from ec where comite_id < 12"""
+
+
+@query("B11_merge_sink", _B11)
 def b11(r):
-    path, now = sinks.scratch(r.spark, "target"), F.lit("2021-01-01").cast("timestamp")
-    r.ec.filter("comite_id < 10").select("ec_clave", "titulo", now.alias("first_seen"), now.alias("last_seen")).write.parquet(path)
-    batch = r.ec.filter("comite_id in (10, 11)").select("ec_clave", F.lit("new").alias("titulo"))
-    return r.spark.read.parquet(sinks.merge_sink(path, batch, "ec_clave", ["titulo"], now)).select("ec_clave", "titulo")
+    table = MergeTable(r.spark, sinks.scratch(r.spark, "target"), "ec_clave", ["titulo"], buckets=16)
+    table.merge(r.ec.filter("comite_id < 10").select("ec_clave", "titulo"), F.lit("2020-01-01").cast("timestamp"))
+    old, new = r.ec.filter("comite_id in (8, 9)").select("ec_clave", F.concat("titulo", F.lit(" v2")).alias("titulo")), r.ec.filter("comite_id in (10, 11)").select("ec_clave", F.lit("new").alias("titulo"))
+    out = sinks.merge_sink(table, old.unionByName(new), F.lit("2021-01-01").cast("timestamp"))
+    return out.select("ec_clave", "titulo", F.date_format("first_seen", "yyyy").alias("first_year"), F.date_format("last_seen", "yyyy").alias("last_year"))
 
 
 @query("B12_write_capture_analysis", "select method, count(*) as n, count(distinct path) as paths from request_log where path like '%/api/%' group by method")

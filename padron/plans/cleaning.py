@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from padron.functions import clean, rules
 from padron.operators.choose import error_examples, top_errors
 from padron.plans.catalog import query
+from padron.sources.sinks import write_parquet
+from padron.sources.storage import scratch
 
 C = F.col
 _COLLAPSED = "trim(regexp_replace({c}, '\\s+', ' ', 'g'))"
@@ -213,7 +215,7 @@ def _form(c, p):
     return f"({c} is not null and trim({c}) <> '' and not regexp_matches({c}, '{p}'))"
 
 
-_RAW = {
+RAW = {
     "ec_standard": [("code:required", _BLANK.format(c="code")), ("code:format", _form("code", r"^EC\d{4}(\.\d{2})?$")), ("title:required", _BLANK.format(c="title")), ("level:number", "level is not null and try_cast(level as int) is null")],
     "certificador": [("code:format", _form("code", r"^OC\d{3,4}$")), ("name:required", _BLANK.format(c="name")), ("contact_email:format", _form("contact_email", rules.EMAIL)), ("rfc:format", _form("rfc", rules.RFC))],
     "center": [("code:format", _form("code", r"^CE\d{4,5}$")), ("name:required", _BLANK.format(c="name")), ("certificador_code:required", _BLANK.format(c="certificador_code"))],
@@ -222,7 +224,7 @@ _RAW = {
 
 
 def _raw(i, name, kind, make):
-    @query(f"{i}_{name}", _sql("item_id", f"items where type = '{kind}'", _RAW[kind]))
+    @query(f"{i}_{name}", _sql("item_id", f"items where type = '{kind}'", RAW[kind]))
     def run(r):
         df = r.items.filter(C("type") == kind)
         return _flags(df, make(df), "item_id")
@@ -317,7 +319,7 @@ def i15(r):
     return _flags(r.items, rules.rules_component(r.items), "item_id")
 
 
-_BAD = " or ".join(f"(type = '{k}' and ({' or '.join(c for _, c in v)}))" for k, v in _RAW.items())
+_BAD = " or ".join(f"(type = '{k}' and ({' or '.join(c for _, c in v)}))" for k, v in RAW.items())
 _CHECKED = f"(select item_id, coalesce(type, '(none)') as type, not coalesce(({_BAD}), false) and type is not null as ok from items)"
 
 
@@ -333,7 +335,7 @@ def i17(r):
     return rules.coverage_expectations(table_counts({t: getattr(r, t) for t in rules.MINIMUMS}))
 
 
-_ERRS = " union all ".join(f"select lpad(cast(item_id as string), 8, '0') as key, '{n.split(':')[0]}' as field, '{n.split(':')[1]}' as message from items where type = '{k}' and ({c})" for k, v in _RAW.items() for n, c in v) + " union all select lpad(cast(item_id as string), 8, '0'), 'type', 'unknown type' from items where type is null"
+_ERRS = " union all ".join(f"select lpad(cast(item_id as string), 8, '0') as key, '{n.split(':')[0]}' as field, '{n.split(':')[1]}' as message from items where type = '{k}' and ({c})" for k, v in RAW.items() for n, c in v) + " union all select lpad(cast(item_id as string), 8, '0'), 'type', 'unknown type' from items where type is null"
 
 
 def _errors(r):
@@ -355,6 +357,15 @@ def i20(r):
     return rules.quality_gate(rules.quality_report(rules.raw_errors(r.items)))
 
 
+@query("I20_gate_in_flight", f"select type, count(*) as total, count(*) filter (ok) as valid, count(*) filter (not ok) as invalid, round(count(*) filter (ok) / cast(count(*) as double), 6) as rate, (select count(*) from items) as written from (select * from {_CHECKED} union all select item_id, '(all)', ok from {_CHECKED}) group by type")
+def i20b(r):
+    # the report of what is written, without a second pass over it
+    path = scratch(r.spark, "gated")
+    report = rules.written_with_report(rules.raw_errors(r.items), lambda df: write_parquet(df, path))
+    written = r.spark.read.parquet(path).agg(F.count("*").alias("written"))
+    return report.crossJoin(F.broadcast(written))  # one row
+
+
 @query("I21_driver_item_gate", "select ec_clave, regexp_matches(ec_clave, '^EC\\d{4}$') and length(titulo) between 10 and 500 as kept from ec")
 def i21(r):
     ok, rejects = rules.item_gate(r.ec, "ec_standard")

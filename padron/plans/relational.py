@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from padron.operators import aggregates as agg
 from padron.operators import choose, joins, listing, sets
 from padron.plans.catalog import query
+from padron.streaming import metrics
 
 # ---- C ----
 
@@ -193,9 +194,10 @@ def d16(r):
     return joins.snapshot_at(r.ec_history, "1996-01-01").select("ec_clave", "version", "titulo")
 
 
-@query("D16_snapshots_at", "select cast(t as timestamp) as t, count(*) as n from ec_history join (select timestamp '1996-01-01 00:00:00' as t union all select timestamp '1999-01-01 00:00:00' union all select timestamp '2001-01-01 00:00:00') m on first_seen <= t and last_seen >= t group by t")
+@query("D16_snapshots_at", "select t, count(*) as n from ec_history join (select distinct cast(o_orderdate as timestamp) + interval 12 hours as t from orders) m on first_seen <= t and last_seen >= t group by t")
 def d16b(r):
-    moments = r.spark.sql("select explode(array(timestamp '1996-01-01', timestamp '1999-01-01', timestamp '2001-01-01')) as t")
+    # every day on which there was an order
+    moments = r.orders.select((F.col("o_orderdate").cast("timestamp") + F.expr("interval 12 hours")).alias("t")).distinct()
     return joins.snapshots_at(r.ec_history, moments).groupBy("t").agg(F.count("*").alias("n"))
 
 
@@ -326,11 +328,23 @@ _EDGES = (0.5, 1.0, 5.0, 10.0, 50.0, 100.0, 500.0)
 
 @query("E22_latency_quantile", """select component, cast(round(case when le0 >= r then case when le0 = 0 then 0 else 0.5 * r / le0 end when le1 >= r then 0.5 + 0.5 * (r - le0) / (le1 - le0)
     when le2 >= r then 1 + 4 * (r - le1) / (le2 - le1) when le3 >= r then 5 + 5 * (r - le2) / (le3 - le2) when le4 >= r then 10 + 40 * (r - le3) / (le4 - le3)
-    when le5 >= r then 50 + 50 * (r - le4) / (le5 - le4) when le6 >= r then 100 + 400 * (r - le5) / (le6 - le5) else 500 end, 6) as double) as bucketed, round(exact, 6) as exact
+    when le5 >= r then 50 + 50 * (r - le4) / (le5 - le4) when le6 >= r then 100 + 400 * (r - le5) / (le6 - le5) else 500 end, 6) as double) as bucketed
     from (select component, cast(count(*) as double) * 0.95 as r, count(*) filter (duration <= 0.5) as le0, count(*) filter (duration <= 1) as le1, count(*) filter (duration <= 5) as le2, count(*) filter (duration <= 10) as le3,
-    count(*) filter (duration <= 50) as le4, count(*) filter (duration <= 100) as le5, count(*) filter (duration <= 500) as le6, quantile_cont(duration, 0.95) as exact from request_log group by component)""")
+    count(*) filter (duration <= 50) as le4, count(*) filter (duration <= 100) as le5, count(*) filter (duration <= 500) as le6 from request_log group by component)""")
 def e22(r):
-    return agg.quantiles(r.request_log, ["component"], "duration", 0.95, _EDGES)
+    by_host = metrics.latency_summaries(r.request_log.withColumn("ts", F.col("ts").cast("timestamp")), ("component", "host"), bounds=_EDGES)
+    return metrics.merge_summaries(by_host, ["component"], bounds=_EDGES).select("component", F.round(metrics.bucket_quantile(0.95, _EDGES), 6).alias("bucketed"))
+
+
+@query("E22_latency_sketch", "select component, q, count(*) as n, true as within from request_log cross join (select unnest([50, 95]) as q) group by component, q")
+def e22b(r):
+    # the sketch's own answer is not SQL's: that its rank lies within two percent of the one asked for is
+    log = r.request_log.withColumn("ts", F.col("ts").cast("timestamp"))
+    merged = metrics.merge_summaries(metrics.latency_summaries(log, ("component", "host")), ["component"])
+    asked = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), metrics.sketch_quantile(q / 100).alias("v")) for q in (50, 95)]))
+    found = merged.select("component", asked.alias("a")).select("component", "a.*")
+    ranks = log.join(found, "component").groupBy("component", "q").agg(F.count("*").alias("n"), (F.count_if(F.col("duration") < F.col("v")) / F.count("*")).alias("lo"), (F.count_if(F.col("duration") <= F.col("v")) / F.count("*")).alias("hi"))
+    return ranks.select("component", "q", "n", ((100 * F.col("lo") - 2 <= F.col("q")) & (100 * F.col("hi") + 2 >= F.col("q"))).alias("within"))
 
 
 @query("E23_hit_ratio", "select host, round(100.0 * count(*) filter (component = 'view') / count(*), 4) as hit_pct from request_log group by host")

@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from padron.functions.clean import iso_dates
 from padron.operators.listing import apply_filters
 from padron.schemas import BASELINE_COLUMNS, CSV_COLUMNS
+from padron.sources.merge_table import MergeTable
+from padron.sources.storage import scratch
 
 WRITERS = {}
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors see: below spark.checkpoint.dir, or a temporary one if that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = getattr(spark.sparkContext, "_padron_scratch", None)
-        if base is None:
-            base = spark.sparkContext._padron_scratch = "file://" + tempfile.mkdtemp(prefix="spark-padron-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def register_writer(fmt: str, write) -> None:
     """Add or replace a format: write(df, path, entity)."""
     WRITERS[fmt] = write
@@ -69,16 +58,18 @@ register_writer("parquet", lambda df, path, entity: write_parquet(df, path))
 
 
 def write_bundle(frames: dict[str, DataFrame], directory: str, formats=("json", "csv", "parquet"), shapes: dict[str, DataFrame] | None = None) -> None:
-    """All tables in all formats, each table computed once; shapes (graph, nested documents) as JSON under their names."""
+    """All tables in all formats, each table computed once: Parquet is written first, into the bundle or the shared
+    folder, and the other formats read it. shapes (graph, nested documents) go as JSON under their names."""
     for name, df in (shapes or {}).items():
         write_json_records(df, f"{directory}/{name}")
     for name, df in frames.items():
-        df.persist()
-        try:
-            for fmt in formats:
-                WRITERS[fmt](df, f"{directory}/{fmt}/{name}", name)
-        finally:
-            df.unpersist()
+        spark = df.sparkSession
+        once = f"{directory}/parquet/{name}" if "parquet" in formats else scratch(spark, "bundle")
+        WRITERS["parquet"](df, once, name)
+        stored = spark.read.schema(df.schema).parquet(once)
+        for fmt in formats:
+            if fmt != "parquet":
+                WRITERS[fmt](stored, f"{directory}/{fmt}/{name}", name)
 
 
 def write_baseline(frames: dict[str, DataFrame], path: str) -> None:
@@ -98,14 +89,10 @@ def write_diff(diffs: dict[str, DataFrame], path: str, keys: dict[str, str]) ->
     out.filter("op <> 'unchanged'").write.mode("overwrite").partitionBy("entity", "op").json(path)
 
 
-def merge_sink(target_path: str, batch: DataFrame, key: str, fields: list[str], now) -> str:
-    """Rewrite a Parquet table with batch merged in; returns the folder of the new version."""
-    from padron.operators.joins import upsert
-
-    spark = batch.sparkSession
-    version = f"{target_path}-{uuid.uuid4().hex}"
-    upsert(spark.read.parquet(target_path), batch, key, fields, now).write.parquet(version)
-    return version
+def merge_sink(target: MergeTable, batch: DataFrame, now) -> DataFrame:
+    """Merge batch into a table, of which only the buckets of its keys are rewritten; the table as it then is."""
+    target.merge(batch, now)
+    return target.rows()
 
 
 def write_capture_analysis(df: DataFrame, path: str) -> None:

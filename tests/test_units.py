@@ -124,15 +124,15 @@ def test_stream_dedup_equals_batch(spark, tmp_path):
 
 
 def test_circuit(spark, tmp_path):
-    at = [(i, "e", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), st) for i, (s, st) in enumerate([(0, 500), (1, 500), (2, 500), (3, 200), (400, 500), (800, 200)])]
+    at = [(i, "e", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), st) for i, (s, st) in enumerate([(0, 500), (1, 500), (2, 500), (3, 200), (400, 500), (800, 200), (9000, 200)])]
     df = spark.createDataFrame(at, "event_id int, endpoint string, ts timestamp, status int")
     one = metrics.failure_streaks(df, 3).collect()
     assert [(r["failures"], r["opened"].second) for r in one] == [(3, 2)]
     df.coalesce(1).write.parquet(f"{tmp_path}/in")
-    s = metrics.failure_streaks_stream(items.read_stream(spark, f"{tmp_path}/in", df.schema), 3)
-    items.write_all(s, f"{tmp_path}/out", f"{tmp_path}/cp")
-    states = [r["state"] for r in spark.read.parquet(f"{tmp_path}/out").orderBy("at").collect()]
-    assert states == ["open", "half-open", "open", "half-open", "closed"] or sorted(states) == sorted(["open", "half-open", "open", "half-open", "closed"])
+    with metrics.state_store(spark):
+        items.write_all(metrics.failure_streaks_stream(items.read_stream(spark, f"{tmp_path}/in", df.schema), 3), f"{tmp_path}/out", f"{tmp_path}/cp")
+    states = [(r["state"], (r["at"] - dt.datetime(2024, 1, 1)).seconds) for r in spark.read.parquet(f"{tmp_path}/out").orderBy("at").collect()]
+    assert states == [("open", 2), ("half-open", 302), ("open", 400), ("half-open", 700), ("closed", 800)]
 
 
 def test_listings_of_odd_pages(spark):
@@ -148,3 +148,200 @@ def test_listings_of_odd_pages(spark):
     got = extract.list_centro(extract.html_cells(pages)).select("page_id", "form", "centro_id", "nombre", "municipio", "cert_id").collect()
     assert sorted(map(tuple, got)) == [(1, "card", "CE1", "Uno", None, "OC7"), (2, "table", None, "Dos", None, None), (3, "card", None, "Tres", None, None)]
     assert extract.list_sector(extract.html_cells(pages)).count() == 0
+
+
+def files_below(path):
+    import os
+
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_a_merge_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    from padron.sources.merge_table import MergeTable
+
+    table = MergeTable(spark, f"file://{tmp_path}/t", "k", ["a", "b"], buckets=8)
+    now = [F.lit(f"2024-01-0{d}").cast("timestamp") for d in range(1, 5)]
+    batch = lambda rows: spark.createDataFrame(rows, "k string, a string, b string")
+    assert table.rows() is None and table.merge(batch([]), now[0]) == 0 and table.versions() == []
+    table.merge(batch([(f"k{i}", str(i), None) for i in range(100)]), now[0])
+    first = files_below(f"{tmp_path}/t/data")
+    assert table.merge(batch([("k7", None, "new")]), now[1]) == 1
+    second = files_below(f"{tmp_path}/t/data")
+    # the files of one bucket are new, all others are untouched, and the bucket's old version still stands for a replay
+    assert len(second.keys() - first.keys()) == 1 and all(second[f] == t for f, t in first.items())
+    got = {r["k"]: r for r in table.rows().collect()}
+    assert len(got) == 100 and (got["k7"]["a"], got["k7"]["b"], got["k7"]["first_seen"].day, got["k7"]["last_seen"].day) == ("7", "new", 1, 2)
+    # a batch that runs again writes the same version again
+    before = sorted(map(tuple, table.rows().collect()))
+    assert table.merge(batch([("k7", None, "new")]), now[1], version=1) == 1 and sorted(map(tuple, table.rows().collect())) == before
+    assert [r["b"] for r in table.rows(["k7", "none"]).collect()] == ["new"]
+    for d in (2, 3):
+        table.merge(batch([("k7", None, f"v{d}")]), now[d])
+    # no more than two versions of a bucket and two commits are left
+    own = {f.split("bucket=")[1].split("/")[1] for f in files_below(f"{tmp_path}/t/data") if f"{f.split('bucket=')[1].split('/')[0]}" == next(iter(second.keys() - first.keys())).split("bucket=")[1].split("/")[0]}
+    assert own == {"version=2", "version=3"} and table.versions() == [2, 3]
+    assert {r["b"] for r in table.rows().filter("k = 'k7'").collect()} == {"v3"}
+
+
+def test_merge_table_of_odd_rows(spark, tmp_path):
+    from padron.sources.merge_table import MergeTable
+
+    table = MergeTable(spark, f"file://{tmp_path}/t", "k", ["a"], buckets=4)
+    rows = spark.createDataFrame([("x", "1", 1), ("x", "2", 1), ("", None, 1), ("long" * 5000, "3", 1)], "k string, a string, bucket int")
+    table.merge(rows, F.lit("2024-01-01").cast("timestamp"))
+    assert sorted(map(tuple, table.rows().select("k", "a").collect())) == sorted([("x", "2"), ("", None), ("long" * 5000, "3")])
+
+
+RAW_ITEMS = "type string, code string, title string, name string, ec_code string, level string, duration string, certificador_code string, extracted_at timestamp"
+
+
+def raw_items(spark, path, rows):
+    at = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(*r, at + dt.timedelta(minutes=i)) for i, r in enumerate(rows)], RAW_ITEMS)
+    df = df.withColumns({c: F.lit(None).cast("string") for c in ("contact_email", "rfc", "url")})
+    df.coalesce(1).write.mode("append").parquet(path)
+    return df
+
+
+def test_item_stream_sends_every_item_to_a_sink(spark, tmp_path):
+    from padron.sources.merge_table import MergeTable
+
+    src, out, cp = (f"file://{tmp_path}/{n}" for n in ("in", "out", "cp"))
+    ec = ("ec_standard", "EC0001", "A title", None, None, "3", None, None)
+    course = ("course", None, "Course", "Name", "EC0001", None, "20 horas", None)
+    rows = [ec, ec, ("ec_standard", "EC1", "bad code", None, None, "x", None, None), course, (None, "EC0002", "untyped", None, None, None, None, None), ("other", "x", None, None, None, None, None, None),
+            ("center", None, None, "no code", None, None, None, "OC001"), ("course", None, "Course", "Other", "EC9999", None, None, None), ("other", "x", None, None, None, None, None, None)]
+    df = raw_items(spark, src, rows)
+    run = lambda: items.item_stream(items.read_stream(spark, src, df.schema), out, cp)
+    query = run()
+    query.awaitTermination()
+    report = items.flow_report(query)
+    tables = lambda: (
+        [tuple(r) for r in MergeTable(spark, f"{out}/ec_standard", "code", [], 16).rows().select("code", "title").orderBy("code").collect()],
+        sorted(tuple(r) for r in spark.read.parquet(f"{out}/courses").select("name", "ec_code", "ec_ref").collect()),
+        sorted((r["type"] or "", sorted(e["field"] for e in r["errors"])) for r in spark.read.parquet(f"{out}/rejects").collect()),
+    )
+    want = [("EC0001", "A title")], [("Name", "EC0001", "EC0001"), ("Other", "EC9999", None)], sorted([("ec_standard", ["code", "level"]), ("", ["type"]), ("other", ["type"]), ("other", ["type"]), ("center", ["code"])])
+    assert tables() == want
+    # 9 in: 1 merged, 2 appended, 5 rejected (equal ones each), 1 repeated
+    assert report == {"rows": 9, "rejects": 5, "repeated": 1, "late": 0}
+    assert {r["way"]: r["n"] for r in spark.read.parquet(f"{out}/outcomes").groupBy("way").agg(F.sum("n").alias("n")).collect()} == {"upsert": 1, "append": 2, "reject": 5}
+    # the last batch runs again, as after a failure before it was committed: every sink is as it was
+    import os
+
+    for d in ("commits",):
+        last = max(int(f) for f in os.listdir(f"{tmp_path}/cp/{d}") if f.isdigit())
+        os.remove(f"{tmp_path}/cp/{d}/{last}")
+        crc = f"{tmp_path}/cp/{d}/.{last}.crc"
+        if os.path.exists(crc):
+            os.remove(crc)
+    run().awaitTermination()
+    assert tables() == want
+    # a later batch changes the standard, repeats a course and fills no other sink
+    raw_items(spark, src, [("ec_standard", "EC0001", "A new title", None, None, "3", None, None), course])
+    run().awaitTermination()
+    assert tables() == ([("EC0001", "A new title")], *want[1:])
+
+
+def test_circuit_waits_for_the_watermark(spark, tmp_path):
+    """Shuffled rows in several batches give what a plain replay in order of time gives."""
+    import random
+
+    rng = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    rows, at = [], {g: 0 for g in "abc"}
+    for i in range(240):
+        g = rng.choice("abc")
+        at[g] += rng.choice((1, 5, 60, 400))
+        rows.append((i, g, start + dt.timedelta(seconds=at[g]), rng.choice((200, 500, 500, 503))))
+    rows.append((999, "d", start + dt.timedelta(days=2), 200))  # moves the watermark past all others
+    want = []
+    for g in "abc":
+        mode, failures, until = "closed", 0, None
+        for _, _, t, status in sorted((r for r in rows if r[1] == g), key=lambda r: (r[2], r[0])):
+            if mode == "open" and t >= until:
+                mode = "half-open"
+                want.append((g, until, mode))
+            if mode == "open":
+                continue
+            if status < 400:
+                if mode == "half-open":
+                    want.append((g, t, "closed"))
+                mode, failures = "closed", 0
+                continue
+            failures += 1
+            if failures >= 3 or mode == "half-open":
+                mode, failures, until = "open", 0, t + dt.timedelta(seconds=300)
+                want.append((g, t, "open"))
+        if mode == "open":
+            want.append((g, until, "half-open"))  # without a further request
+    late = rows.pop()
+    rng.shuffle(rows)
+    schema = "event_id int, endpoint string, ts timestamp, status int"
+    for k in range(3):
+        spark.createDataFrame(rows[k::3], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    run = lambda: items.write_all(metrics.failure_streaks_stream(items.read_stream(spark, f"{tmp_path}/in", schema, 1), 3, delay="1 day"), f"{tmp_path}/out", f"{tmp_path}/cp")
+    with metrics.state_store(spark):
+        run()
+        spark.createDataFrame([late], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        run()
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == sorted(want) and {s for _, _, s in want} == {"open", "half-open", "closed"}
+
+
+def test_sliding_rate_and_streaks_equal_one_level(spark):
+    """Cut into small slices, both give what one pass over each whole key gives."""
+    from pyspark.sql import Window as W
+
+    log = spark.range(600).select(F.col("id").alias("event_id"), (F.col("id") % 3).cast("string").alias("host"), F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("id"), F.lit(900))).alias("ts"), F.when(F.xxhash64("id") % 4 == 0, 200).otherwise(500).alias("status"))
+    plain = log.withColumn("at", F.unix_micros("ts")).withColumn("n", F.count("*").over(W.partitionBy("host").orderBy("at").rangeBetween(-60_000_000, 0)))
+    got = metrics.sliding_rate(log, 60, 3, slices=1)
+    assert sorted(map(tuple, got.select("event_id", "n").collect())) == sorted(map(tuple, plain.select("event_id", "n").collect()))
+    cut, whole = (sorted(map(tuple, metrics.failure_streaks(log, 4, "host", slice=n).collect())) for n in (20, 10**8))
+    assert cut == whole and len(whole) > 20
+    odd = spark.createDataFrame([(1, "h", None, 500), (2, None, dt.datetime(2024, 1, 1), 500)], "event_id int, host string, ts timestamp, status int")
+    assert sorted((r["event_id"], r["n"]) for r in metrics.sliding_rate(odd, 60, 3).collect()) == [(1, 0), (2, 1)]
+    assert metrics.failure_streaks(odd, 1, "host").count() == 0
+
+
+def test_sketches_merge_within_their_error(spark):
+    log = spark.range(20_000).select(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("host"), (F.pmod(F.xxhash64("id"), F.lit(100_000)) / 1000).alias("duration"), F.lit(200).alias("status"))
+    parts = metrics.latency_summaries(log)
+    assert parts.count() > 60
+    for q in (0.5, 0.95):
+        v = metrics.merge_summaries(parts).select(metrics.sketch_quantile(q)).first()[0]
+        share = log.filter(F.col("duration") <= v).count() / 20_000
+        assert abs(share - q) < 0.02
+        hist = metrics.merge_summaries(parts).select(metrics.bucket_quantile(q)).first()[0]
+        assert hist == 10.0  # beyond the last bound
+    few = spark.createDataFrame([(dt.datetime(2024, 1, 1), "a", 0.3, 200), (dt.datetime(2024, 1, 1), "a", None, 500)], "ts timestamp, host string, duration double, status int")
+    r = metrics.latency_summaries(few).first()
+    assert (r["n"], r["bad"], r["total"], list(r["below"])) == (2, 1, 0.3, [0, 1, 1, 1, 1, 1])
+    assert metrics.latency_summaries(few.limit(0)).count() == 0
+
+
+def test_snapshots_of_many_moments_are_an_equi_join(spark):
+    base = dt.datetime(2000, 1, 1)
+    rows = [(i, base + dt.timedelta(hours=i), base + dt.timedelta(hours=i) + dt.timedelta(days=d)) for i in range(60) for d in (0, 1, 40, 700, 30_000)] + [(99, None, base), (98, base, None), (97, base + dt.timedelta(days=1), base)]
+    df = spark.createDataFrame(rows, "k int, first_seen timestamp, last_seen timestamp")
+    asked = [base + dt.timedelta(hours=7 * i) for i in range(1200)] + [base, None]
+    out = joins.snapshots_at(df, spark.createDataFrame([(t,) for t in asked], "t timestamp"))
+    plan = out._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    got = out.groupBy("t").count().collect()
+    want = {}
+    for t in asked:
+        n = sum(1 for _, a, z in rows if t and a and z and a <= t <= z)
+        if n:
+            want[t] = want.get(t, 0) + n
+    assert {r["t"]: r["count"] for r in got} == want
+
+
+def test_gate_counts_while_writing(spark, tmp_path):
+    df = spark.createDataFrame([("ec_standard", "EC0001", "t", "1"), ("ec_standard", "X", "t", "1"), (None, "x", "y", "1"), ("zzz", "x", "y", "1")], "type string, code string, title string, level string")
+    df = df.withColumns({c: F.lit(None).cast("string") for c in ("name", "contact_email", "rfc", "certificador_code", "ec_code", "duration")})
+    checked = rules.raw_errors(df)
+    report = {r["type"]: (r["total"], r["valid"]) for r in rules.written_with_report(checked, lambda d: d.write.parquet(f"{tmp_path}/x")).collect()}
+    assert report == {"ec_standard": (2, 1), "(none)": (1, 0), "(other)": (1, 0), "(all)": (4, 1)}
+    assert spark.read.parquet(f"{tmp_path}/x").count() == 4
+    assert rules.quality_gate(rules.written_with_report(checked.filter("code = 'EC0001'"), lambda d: d.write.parquet(f"{tmp_path}/y"))).first()["passed"]
