@@ -45,7 +45,7 @@ def group_key(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
 
 
-def append_all(digests: list[str], alone: bool, shift: int = SHIFT) -> tuple[list[list[str]], str]:
+def append_all(digests: list[str], alone: bool, shift: int) -> tuple[list[list[str]], str]:
     """Append the nodes of a block in turn: every node's witness up to the block's root, and the root.
 
     A step of a witness is L or R and the digest of the sibling on that side, or N where a
@@ -109,6 +109,7 @@ def _closed(nodes: DataFrame, several: DataFrame) -> DataFrame:
     """
     names = [c for c in nodes.columns if c != "grp"]
     flagged = nodes.join(several.select("grp", F.lit(True).alias("_several")), "grp", "left").withColumn("_block", F.shiftright("idx", SHIFT))
+    shift = SHIFT
     dealt = flagged.repartition("grp", "_block").sortWithinPartitions("grp", "_block", "idx")
 
     def run(batches):
@@ -117,7 +118,7 @@ def _closed(nodes: DataFrame, several: DataFrame) -> DataFrame:
 
         def done():
             rows = pa.Table.from_batches(held).combine_chunks()
-            steps, root = append_all(rows.column("digest").to_pylist(), not rows.column("_several")[0].as_py())
+            steps, root = append_all(rows.column("digest").to_pylist(), not rows.column("_several")[0].as_py(), shift)
             rows = rows.drop_columns(["_several", "_block"])
             rows = rows.append_column("steps", pa.array(steps, pa.list_(pa.string()))).append_column("block_root", pa.array([root] + [None] * (len(steps) - 1), pa.string()))
             return rows.to_batches()
@@ -144,7 +145,7 @@ def _closed(nodes: DataFrame, several: DataFrame) -> DataFrame:
 @dataclass
 class Manifest:
     """levels[0] has the leaves (grp, idx, digest, payload), each next one the blocks' roots below it, all
-    with their witnesses within the block (steps); the last level has one node a group."""
+    with their witnesses within the block (steps); the last level, never that of the leaves, has one node a group."""
 
     levels: list[DataFrame]
 
@@ -201,7 +202,7 @@ def append(manifest: Manifest | None, rows: DataFrame, order: list[str]) -> Mani
             changed_level = _closed(again.select(*changed.columns).unionByName(changed), _several(before.select("grp", "idx").unionByName(changed.select("grp", "idx"))))
             level = materialize(kept.unionByName(changed_level.drop("block_root")))
         levels.append(level)
-        if level.where("idx > 0").isEmpty() and depth + 1 >= len(old):
+        if depth and depth + 1 >= len(old) and level.where("idx > 0").isEmpty():
             return Manifest(levels)
         changed = changed_level.where("block_root is not null").select("grp", F.shiftright("idx", SHIFT).alias("idx"), F.col("block_root").alias("digest"))
 

@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from padron.llm.common import materialize, small_batches
 
 LENGTH, END = 2048, 0
-#: Steps of the least squares fit.
+#: Steps of the least squares fit, and the least lengths that a pattern's longest part may have to exceed.
 STEPS = 300
+LEAST = (0, LENGTH // 2, LENGTH * 3 // 5)
 #: Words whose ids a task remembers.
 REMEMBERED = 500_000
 #: Signs that are looked up apart from the word before them.
@@ -249,13 +250,25 @@ def best_fit(counts: np.ndarray) -> list[tuple[list[tuple[int, int]], int]]:
 
 
 def plan(counts: np.ndarray) -> list[tuple[list[tuple[int, int]], int]]:
-    """Kinds of sequences, each a list of (length, copies), with their numbers; every document of counts has a place."""
+    """Kinds of sequences, each a list of (length, copies), with their numbers; every document of counts has a place.
+
+    Where long documents are many, patterns of short ones alone use up what would fill the long ones' gaps. So of the
+    fitted patterns those are taken whose longest part exceeds one of LEAST, whichever leaves the fewest sequences
+    once the residual is placed.
+    """
     kinds = [([(LENGTH, 1)], int(counts[LENGTH]))] if counts[LENGTH] else []
     short = counts.copy()
     short[LENGTH] = 0
     ways = patterns(short)
-    exact, left = rounded(fit(short, ways), ways, short)
-    return kinds + exact + best_fit(left)
+    x = fit(short, ways)
+    best = None
+    for least in LEAST:
+        exact, left = rounded(np.where(ways[:, 0] > least, x, 0), ways, short)
+        made = exact + best_fit(left)
+        n = sum(m for _, m in made)
+        if best is None or n < best[0]:
+            best = n, made
+    return kinds + best[1]
 
 
 def places(kinds: list[tuple[list[tuple[int, int]], int]]) -> dict[str, np.ndarray]:
