@@ -29,7 +29,7 @@ LENGTH, END = 2048, 0
 STEPS = 300
 LEAST = (0, LENGTH // 2, LENGTH * 3 // 5)
 #: Words whose ids a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 #: Signs that are looked up apart from the word before them.
 ENDINGS = frozenset(".,;:!?|")
 #: The first letter beyond Latin ones.
