@@ -12,6 +12,7 @@ are found too.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 
@@ -39,12 +40,16 @@ SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-
 _CODE = np.full(256, len(SYMBOLS) - 1, np.int64)
 _CODE[list(SYMBOLS)] = np.arange(len(SYMBOLS))
 
-#: Learning only: longer tokens are scored whole but not learned from; distinct examples that make a kind.
-LONGEST, FEWEST = 256, 20
+#: Learning only: longer tokens are scored whole but not learned from; a kind needs an example for each fold.
+LONGEST, FEWEST = 256, 3
 #: Visits both states need before their symbols are compared, and levels of significance tried.
 VISITS, ALPHAS, FOLDS = 12, (0.2, 0.02), 3
 #: Added to each symbol's count; share of a kind's own examples that its threshold lets through; bits over ordinary text.
 SMOOTH, ACCEPT, MARGIN = 0.1, 0.97, 10.0
+#: Visits of each state that come from the kind's symbols as a whole.
+PRIOR = 20.0
+_LETTER = re.compile(rb"[A-Za-z]")
+_WORD = re.compile(rb"[A-Za-z]?[a-z]+|[A-Z]+")
 #: Runs whose verdict a worker keeps; tokens scored at once.
 CACHE_RUNS, SCORE_BLOCK, WIDE = 300_000, 4096, 64
 
@@ -150,11 +155,12 @@ class Automaton:
         bits = -sum(n * math.log2((self.count[a].get(c, 0) + SMOOTH) / (na + spare)) for c, n in self.count[b].items())
         return gap * 10 + bits / nb
 
-    def fold(self, into: int, other: int):
-        """Add the tree below `other` to `into`."""
-        stack = [(into, other)]
+    def fold(self, into: int, other: int) -> list[int]:
+        """Add the tree below `other` to `into`; the states that it was added to."""
+        stack, touched = [(into, other)], []
         while stack:
             a, b = stack.pop()
+            touched.append(a)
             self.end[a] += self.end[b]
             self.visits[a] += self.visits[b]
             for mine, new in ((self.count[a], self.count[b]), (self.left[a], self.left[b])):
@@ -165,23 +171,33 @@ class Automaton:
                     stack.append((self.next[a][c], t))
                 else:
                     self.next[a][c] = t
+        return touched
 
     def infer(self, alpha: float) -> "Automaton":
         """Merge states, the most visited first, each into the settled state it is most like, or settle it."""
-        settled = [0]
-        is_settled = {0}
-        while True:
-            open_ = [(-self.visits[t], r, c, t) for r in settled for c, t in self.next[r].items() if t not in is_settled]
-            if not open_:
-                break
-            _, parent, symbol, child = min(open_)
+        settled, is_settled = [0], {0}
+        open_: list[tuple[int, int, int, int]] = []
+
+        def offer(states):
+            for r in states:
+                if r in is_settled:
+                    for c, t in self.next[r].items():
+                        if t not in is_settled:
+                            heapq.heappush(open_, (-self.visits[t], r, c, t))
+
+        offer([0])
+        while open_:
+            visits, parent, symbol, child = heapq.heappop(open_)
+            if child in is_settled or self.next[parent].get(symbol) != child or -visits != self.visits[child]:
+                continue  # it was settled or merged, or has gained visits and was offered anew
             best = min(((d, r) for r in settled if (d := self.distance(r, child, alpha)) is not None), default=None)
             if best is None:
                 settled.append(child)
                 is_settled.add(child)
+                offer([child])
             else:
                 self.next[parent][symbol] = best[1]
-                self.fold(best[1], child)
+                offer(self.fold(best[1], child))
         return self.reachable(settled)
 
     def reachable(self, settled: list[int]) -> "Automaton":
@@ -202,23 +218,31 @@ class Table:
     A symbol that a state has not seen leads where most of its visits go on.
     """
 
-    def __init__(self, a: Automaton):
+    def __init__(self, a: Automaton, weight: float = 0.0):
+        """weight: so many visits of each state are taken from the automaton's symbols as a whole, which tell more than
+        a state's own where examples are few."""
         n, k = len(a.next), len(SYMBOLS)
         self.next = np.zeros((n, k), np.int64)
         self.bits = np.zeros((n, k))
         self.end = np.zeros(n)
+        share = np.full(k + 1, SMOOTH)
         for s in range(n):
-            total = math.log2(a.visits[s] + SMOOTH * (k + 1))
+            for c, m in a.count[s].items():
+                share[c] += m
+            share[k] += a.end[s]
+        share *= weight / share.sum()
+        for s in range(n):
+            total = math.log2(a.visits[s] + SMOOTH * (k + 1) + weight)
             onward: dict[int, int] = {}
             for c, m in a.count[s].items():
                 t = a.next[s][c]
                 onward[t] = onward.get(t, 0) + m
             self.next[s] = max(onward, key=lambda t: (onward[t], -t)) if onward else s
-            self.bits[s] = math.log2(SMOOTH) - total
+            self.bits[s] = np.log2(SMOOTH + share[:k]) - total
             for c, m in a.count[s].items():
                 self.next[s, c] = a.next[s][c]
-                self.bits[s, c] = math.log2(m + SMOOTH) - total
-            self.end[s] = math.log2(a.end[s] + SMOOTH) - total
+                self.bits[s, c] = math.log2(m + SMOOTH + share[c]) - total
+            self.end[s] = math.log2(a.end[s] + SMOOTH + share[k]) - total
 
     def log2(self, tokens: list[bytes]) -> np.ndarray:
         """log2 probability of each whole token, its end included."""
@@ -255,7 +279,7 @@ def infer_checked(tokens: list[bytes], alphas=ALPHAS) -> tuple[Automaton, np.nda
         held = np.zeros(len(tokens))
         for f in range(FOLDS):
             own = np.arange(len(tokens)) % FOLDS == f
-            model = Table(Automaton([t for t, o in zip(tokens, own) if not o]).infer(alpha))
+            model = Table(Automaton([t for t, o in zip(tokens, own) if not o]).infer(alpha), PRIOR)
             held[own] = model.log2([t for t, o in zip(tokens, own) if o])
         if best is None or held.sum() > best[0]:
             best = held.sum(), alpha, held / size
@@ -270,7 +294,8 @@ class Models:
 
     def accepted(self, tokens: list[bytes], plain: np.ndarray | None = None, margin: float = MARGIN) -> np.ndarray:
         """Tokens whose mean log2 probability reaches a kind's threshold and whose probability under that
-        kind is at least margin bits above that of ordinary text (plain, where it is given)."""
+        kind is at least margin bits above that of ordinary text (plain, where it is given). Words and numbers are
+        never among them, however much they are like a kind: see is_plain()."""
         out = np.zeros(len(tokens), bool)
         if not tokens or not self.tables:
             return out
@@ -281,9 +306,16 @@ class Models:
         for kind, table in self.tables.items():
             p = table.log2(tokens)
             out |= (p / size >= self.thresholds[kind]) & (p - plain >= margin)
+        for i in np.flatnonzero(out):
+            out[i] = not is_plain(tokens[i])
         return out
 
 
+def is_plain(token: bytes) -> bool:
+    """Words and numbers, also several with separators between them: never a credential by their looks alone."""
+    return not _LETTER.search(token) or all(_WORD.fullmatch(p) or p.isdigit() for p in re.split(rb"[+/_.=-]+", token) if p)
+
+
 def learn(positives: dict[str, list[bytes]], ordinary: list[bytes]) -> Models:
     """One automaton for each kind with at least FEWEST distinct examples. A kind's threshold is what
     ACCEPT of its examples reach under automata that have not seen them."""
@@ -293,22 +325,24 @@ def learn(positives: dict[str, list[bytes]], ordinary: list[bytes]) -> Models:
         tokens = sorted({t for t in tokens if len(t) <= LONGEST}, key=lambda t: (xxhash.xxh3_64_intdigest(t), t))
         if len(tokens) >= FEWEST:
             automaton, held = infer_checked(tokens)
-            tables[kind], states[kind] = Table(automaton), len(automaton.next)
-            thresholds[kind] = float(np.quantile(held, 1 - ACCEPT))
+            tables[kind], states[kind] = Table(automaton, PRIOR), len(automaton.next)
+            # of few examples the least tells little, so two deviations below the mean are let through as well
+            thresholds[kind] = float(min(np.quantile(held, 1 - ACCEPT), held.mean() - 2 * held.std()))
     plain = sorted({t for t in ordinary if len(t) <= LONGEST}, key=lambda t: (xxhash.xxh3_64_intdigest(t), t))
     if not plain or not tables:
         return Models(tables, thresholds, None, states)
-    # bare credentials are among the drawn tokens: those that a kind explains better than the other tokens do go
-    kinds, gone = Models(tables, thresholds, None, states), True
-    while gone and plain:
-        _, held = infer_checked(plain, ALPHAS[:1])
-        ok = kinds.accepted(plain, held * (np.fromiter(map(len, plain), np.int64, len(plain)) + 1), MARGIN / 2)
-        plain, gone = [t for t, out in zip(plain, ok) if not out], ok.any()
-    table = None
-    if plain:
-        automaton = Automaton(plain).infer(ALPHAS[0])
-        table, states["ordinary"] = Table(automaton), len(automaton.next)
-    return Models(tables, thresholds, table, states)
+    kinds, automaton = Models(tables, thresholds, None, states), None
+    while plain:
+        automaton, held = infer_checked(plain, ALPHAS[:1])
+        # bare credentials are among the drawn tokens: those go that a kind explains better than the tokens of the
+        # other folds do, until none is left; words and numbers always stay
+        taken = kinds.accepted(plain, held * (np.fromiter(map(len, plain), np.int64, len(plain)) + 1), MARGIN / 2)
+        if not taken.any():
+            break
+        plain, automaton = [t for t, out in zip(plain, taken) if not out], None
+    if automaton is not None:
+        states["ordinary"] = len(automaton.next)
+    return Models(tables, thresholds, Table(automaton, PRIOR) if automaton is not None else None, states)
 
 
 def parts_of(run: bytes) -> list[tuple[int, int]]:

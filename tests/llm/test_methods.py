@@ -163,6 +163,59 @@ def test_held_out_credentials_are_accepted_and_words_are_not():
     assert models.accepted(ordinary[1500:]).mean() <= 0.01
 
 
+@pytest.mark.parametrize("examples", [300, 8])
+def test_numbers_and_names_are_no_credentials(examples):
+    """Bare credentials with card numbers, phones, dates, names and words around them, learned from many or few examples."""
+    rng = np.random.default_rng(11)
+    alnum = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    kinds = {"assign": [drawn(rng, alnum, 24) for _ in range(500)], "access": [b"AKIA" + drawn(rng, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16) for _ in range(500)], "hex": hex_keys(rng, 500, 40)}
+    syllables = [a + b for a in "bdfgklmnprst" for b in ("a", "e", "i", "o", "u", "an", "er")]
+    words = ["".join(rng.choice(syllables, rng.integers(4, 7))).encode() for _ in range(3000)]
+    card = lambda: b"%d" % rng.integers(4 * 10**15, 6 * 10**15)
+    plain = words + [w.title() for w in words[:300]] + [card() for _ in range(60)] + [b"-".join(b"%04d" % n for n in rng.integers(0, 10**4, 4)) for _ in range(30)] + [b"2024-%02d-%02d" % (m, d) for m in range(1, 13) for d in (3, 17)] + [b"+52%d" % rng.integers(10**9, 10**10) for _ in range(30)] + [b"INVOICE-%d" % n for n in range(1000, 1040)]
+    plain = [w for w in plain if len(w) >= 8]
+    rng.shuffle(plain)
+    models = secret_automata.learn({k: v[:examples] for k, v in kinds.items()}, plain[: len(plain) // 2])
+    assert set(models.states) == {"assign", "access", "hex", "ordinary"}
+    bare, other = [t for v in kinds.values() for t in v[300:]], plain[len(plain) // 2 :]
+    text = b" ".join(x for pair in zip(bare, other) for x in pair) + b" " + b" ".join(other[len(bare) :])
+    found = [text[s:e] for _, s, e in secret_automata.model_spans(text, settled(models, text), [])]
+    right = set(found) & set(bare)
+    assert len(right) >= 0.9 * len(found)
+    for k, v in kinds.items():
+        assert len(right & set(v[300:])) >= 0.9 * 200, k
+    assert not any(t.isdigit() for t in found) and not models.accepted([card() for _ in range(500)]).any()
+
+
+def settled(models, text):
+    judge = secret_automata.Judge(models)
+    judge.settle(set(secret_automata.RUN.findall(text)))
+    return judge
+
+
+def test_merging_goes_by_visits():
+    """The heap of open states gives the order of a search through all of them at each step."""
+    rng = np.random.default_rng(8)
+    tokens = hex_keys(rng, 60, 12) + [b"ab-" + drawn(rng, b"xyz", 9) for _ in range(60)]
+    fast = secret_automata.Automaton(tokens).infer(0.05)
+    a = secret_automata.Automaton(tokens)
+    settled_, seen = [0], {0}
+    while True:
+        open_ = [(-a.visits[t], r, c, t) for r in settled_ for c, t in a.next[r].items() if t not in seen]
+        if not open_:
+            break
+        _, parent, symbol, child = min(open_)
+        best = min(((d, r) for r in settled_ if (d := a.distance(r, child, 0.05)) is not None), default=None)
+        if best is None:
+            settled_.append(child)
+            seen.add(child)
+        else:
+            a.next[parent][symbol] = best[1]
+            a.fold(best[1], child)
+    slow = a.reachable(settled_)
+    assert (fast.next, fast.count, fast.end, fast.visits) == (slow.next, slow.count, slow.end, slow.visits)
+
+
 def test_parts_of_long_tokens_are_judged():
     rng = np.random.default_rng(5)
     keys = hex_keys(rng, 120, 40)
