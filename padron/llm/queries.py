@@ -38,7 +38,7 @@ def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_spans.remove_repeats(spark, table(spark, sf_dir, "documents"))
+    return sentence_spans.remove_repeats(spark, table(spark, sf_dir, "documents"), sentence_spans.PRODUCTION_WORDS)
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

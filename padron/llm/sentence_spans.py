@@ -2,7 +2,7 @@
 
 Sentences of over PIECE words are cut into parts at words that their content chooses.
 From every part starts, and in every part ends, one run: the shortest one of at least
-MIN_SENTENCES parts and MIN_WORDS words. Runs are hashed and joined over the whole corpus;
+MIN_SENTENCES parts and of as many words as the caller asks for (none by default). Runs are hashed and joined over the whole corpus;
 the first place of a run keeps it, and parts that any later place covers go.
 """
 
@@ -15,10 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from padron.llm.common import discard, materialize, mix64
+from padron.llm.common import discard, materialize, mix64, small_batches
 from padron.llm.oph_minhash import WordHashes
 
-MIN_SENTENCES, MIN_WORDS = 2, 16
+MIN_SENTENCES = 2
+#: Words that a repeated run has at least in production: "Yes. No." in two texts says nothing about them.
+PRODUCTION_WORDS = 16
 #: Words of a part at most; longer sentences are cut.
 PIECE = 16
 
@@ -92,7 +94,7 @@ def sentences(text: bytes | None) -> list[bytes]:
     their cuts follow from the words around them, so any 51 consecutive words hold the
     same run of whole parts wherever they stand: the first and the last common cut lie
     at most PIECE words from the ends, and the 19 words or more between them are
-    MIN_WORDS and more than one part.
+    PRODUCTION_WORDS and more than one part.
     """
     parts = _split(text)
     units = _Units([parts])
@@ -113,15 +115,15 @@ def sentences(text: bytes | None) -> list[bytes]:
     return out
 
 
-def _runs(units: _Units) -> tuple[np.ndarray, ...]:
+def _runs(units: _Units, min_words: int) -> tuple[np.ndarray, ...]:
     """(text, hash, check, first, last) of the runs; hash and check are two polynomials, 128 bits together."""
     k = np.arange(len(units.starts))
     if not len(k):
         return k, k, k, k, k
     edges, text = np.append(units.starts, units.n), units.text
     # the first part with which the run has enough words, and the last from which it has
-    stop = np.maximum(np.searchsorted(edges, edges[:-1] + MIN_WORDS) - 1, k + MIN_SENTENCES - 1)
-    start = np.minimum(np.searchsorted(edges, edges[1:] - MIN_WORDS, "right") - 1, k - MIN_SENTENCES + 1)
+    stop = np.maximum(np.searchsorted(edges, edges[:-1] + min_words) - 1, k + MIN_SENTENCES - 1)
+    start = np.minimum(np.searchsorted(edges, edges[1:] - min_words, "right") - 1, k - MIN_SENTENCES + 1)
     ahead = (stop < len(k)) & (text[np.minimum(stop, len(k) - 1)] == text)
     behind = (start >= 0) & (text[np.maximum(start, 0)] == text) & (stop[np.maximum(start, 0)] != k)
     # texts in which no run is long enough
@@ -143,7 +145,7 @@ def _runs(units: _Units) -> tuple[np.ndarray, ...]:
     return text[i], *both, units.place[i], units.place[j]
 
 
-def runs(parts: list[bytes]) -> list[tuple[tuple[int, int], int, int]]:
+def runs(parts: list[bytes], min_words: int = 0) -> list[tuple[tuple[int, int], int, int]]:
     """(hash, first, last) of the shortest run from each part and of the shortest run up to each part.
 
     A part that any longer run holds stands in one of these within that run, so
@@ -151,11 +153,11 @@ def runs(parts: list[bytes]) -> list[tuple[tuple[int, int], int, int]]:
     which only whole copies share. Parts without a word do not count. Runs compare
     lower-cased words (A-Z), so spacing does not matter.
     """
-    _, h, c, i, j = _runs(_Units([parts]))
+    _, h, c, i, j = _runs(_Units([parts]), min_words)
     return list(zip(zip(h.tolist(), c.tolist()), i.tolist(), j.tolist()))
 
 
-def duplicate_spans(documents: DataFrame) -> DataFrame:
+def duplicate_spans(documents: DataFrame, min_words: int = 0) -> DataFrame:
     """(doc_id, row, first, last) of each repeated run but the first of its hash.
 
     The first is that with the smallest (doc_id, row, first); within a document
@@ -167,7 +169,7 @@ def duplicate_spans(documents: DataFrame) -> DataFrame:
         for b in batches:
             for a in range(0, b.num_rows, 200):
                 ids, rows, texts = b.slice(a, 200).columns
-                at, hashes, checks, firsts, lasts = _runs(_Units([_split(t) for t in texts.to_pylist()]))
+                at, hashes, checks, firsts, lasts = _runs(_Units([_split(t) for t in texts.to_pylist()]), min_words)
                 at = pa.array(at)
                 yield pa.RecordBatch.from_arrays([ids.take(at), rows.take(at), pa.array(hashes, pa.int64()), pa.array(checks, pa.int64()), pa.array(firsts.astype(np.int32)), pa.array(lasts.astype(np.int32))], ["doc_id", "row", "hash", "check", "first", "last"])
 
@@ -183,14 +185,17 @@ def duplicate_spans(documents: DataFrame) -> DataFrame:
     return spans
 
 
-def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
+def remove_repeats(spark: SparkSession, documents: DataFrame, min_words: int = 0) -> DataFrame:
     """(doc_id, n_sentences, n_removed, kept_text) of each row of documents(doc_id, text).
 
+    Any run of two or more parts goes where it is not the first of its kind; with min_words, only runs of so many words,
+    and whole copies of shorter texts.
     Null texts stay null with 0 sentences, empty ones stay empty. A null id sorts
     before all others. Equal rows (same id and text) are one place and are treated
     alike. Columns other than doc_id and text are not looked at.
     """
-    spans = duplicate_spans(documents)
+    small_batches(spark)
+    spans = duplicate_spans(documents, min_words)
     # a document has as many spans as sentences at most
     by_row = spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     body = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text"))

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on rows of every awkward kind."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -351,16 +352,49 @@ def test_nn_descent(spark):
 # ---- 8 ----
 
 
-def brute_spans(rows):
+def plain_parts(text):
+    """The text's parts, written anew: sentences, then cuts before the smallest hash of every 16 words of a long one."""
+    sentences, start = [], 0
+    for m in re.finditer(rb"[.!?]+\s*|\n\s*", text):
+        sentences.append(text[start : m.end()])
+        start = m.end()
+    sentences += [text[start:]] if start < len(text) else []
+    out = []
+    for s in sentences:
+        words = [(m.start(), m.end()) for m in re.finditer(rb"\S+", s)]
+        cuts = set()
+        if len(words) > 16:
+            high = [int(sentence_spans._words[s[a:b].lower()]) >> 32 for a, b in words]
+            for k in range(len(words) - 15):
+                low = min(high[k : k + 16])
+                cuts.add(max(i for i in range(k, k + 16) if high[i] == low))
+        edges = [0, *[words[c][0] for c in sorted(cuts - {0})], len(s)]
+        out += [s[a:b] for a, b in zip(edges, edges[1:])]
+    return out
+
+
+def brute_spans(rows, min_words, longer=False):
+    """The shortest runs of two or more parts with enough words from and up to each part, against all others; or all
+    longer ones too, then equal part by part."""
     seen, places = {}, []
-    for i, t in rows:
-        for h, a, b in sentence_spans.runs(sentence_spans.sentences((t or "").encode())):
-            places.append((h, (i, t), a, b))
-    for h, row, a, _ in sorted(places, key=lambda p: (p[1][0], p[1][1], p[2])):
+    for i, t in {(i, t) for i, t in rows}:
+        words = [p.lower().split() for p in plain_parts((t or "").encode())]
+        real = [k for k, w in enumerate(words) if w]
+        enough = [(x, y) for x in range(len(real)) for y in range(x + 1, len(real)) if sum(len(words[k]) for k in real[x : y + 1]) >= min_words]
+        first, last = {}, {}
+        for x, y in enough:
+            first[x], last[y] = min(y, first.get(x, y)), max(x, last.get(y, x))
+        chosen = set(enough) if longer else set(first.items()) | {(x, y) for y, x in last.items()}
+        said = lambda x, y: tuple(tuple(words[k]) for k in real[x : y + 1]) if longer else tuple(w for k in real[x : y + 1] for w in words[k])
+        own = [(said(x, y), real[x], real[y]) for x, y in chosen]
+        if not own and real:
+            own = [(("whole", *[w for k in real for w in words[k]]), real[0], real[-1])]
+        places += [(h, (i, t), a, b) for h, a, b in own]
+    for h, row, a, _ in sorted(places, key=lambda p: (p[1][0], xxh64_of(p[1][1]), p[2])):
         seen.setdefault(h, (row, a))
     out = []
     for i, t in rows:
-        parts = sentence_spans.sentences((t or "").encode())
+        parts = plain_parts((t or "").encode())
         gone = set()
         for h, row, a, b in places:
             if row == (i, t) and seen[h] != (row, a):
@@ -369,9 +403,24 @@ def brute_spans(rows):
     return sorted(out, key=str)
 
 
-def test_sentence_spans(spark, texts):
-    rows = [(i, t) for i, t in texts if i is not None]
-    assert by_row(sentence_spans.remove_repeats(spark, documents(spark, rows))) == brute_spans(rows)
+def xxh64_of(text):
+    """Spark's xxhash64 of a text as a signed number."""
+    import xxhash
+
+    h = xxhash.xxh64_intdigest((text or "").encode(), seed=42)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+@pytest.mark.parametrize("min_words", [0, sentence_spans.PRODUCTION_WORDS])
+def test_sentence_spans(spark, texts, min_words):
+    odd = [(1, "alpha beta. gamma delta."), (2, "Zeta eta! alpha  beta.\ngamma delta. theta"), (3, "the. the. the. the."), (4, "one two three. " * 5), (5, "  \n\n . . "), (6, "No end"), (6, "other. text. of six."), (9, "alpha beta. gamma delta.")]
+    rows = [(i + 100, t if t is None else t[:700]) for i, t in texts if i is not None] + odd
+    assert by_row(sentence_spans.remove_repeats(spark, documents(spark, rows), min_words)) == brute_spans(rows, min_words)
+    # longer repeated runs would take nothing more
+    assert all(more[2] <= own[2] for own, more in zip(brute_spans(odd + rows[:60], min_words), brute_spans(odd + rows[:60], min_words, True)))
+    got = {r["doc_id"]: r["kept_text"] for r in sentence_spans.remove_repeats(spark, documents(spark, odd), min_words).collect()}
+    # two repeated sentences go, unless so few words are not to count
+    assert got[2] == ("Zeta eta! theta" if min_words == 0 else odd[1][1])
 
 
 def test_repeated_passages_of_over_50_words_are_caught(spark):
@@ -389,7 +438,7 @@ def test_repeated_passages_of_over_50_words_are_caught(spark):
             where[i] = len(before), passage
     whole = [(500, "One short title"), (501, "One short title"), (502, "Two. Words."), (503, "Two. Words."), (504, " ".join(draw(20)) + ". " + " ".join(draw(20)) + ". End. Of it.")]
     rows += whole + [(505, whole[-1][1]), (506, "One short title and more")]
-    got = {r["doc_id"]: r for r in sentence_spans.remove_repeats(spark, documents(spark, rows)).collect()}
+    got = {r["doc_id"]: r for r in sentence_spans.remove_repeats(spark, documents(spark, rows), sentence_spans.PRODUCTION_WORDS).collect()}
     for k in range(60):
         assert got[2 * k]["kept_text"] == rows[2 * k][1]
         _, passage = where[2 * k + 1]
