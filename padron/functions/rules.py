@@ -168,6 +168,13 @@ def register_rules(entity: str, make) -> None:
     RULES[entity] = make
 
 
+def checked(df: DataFrame, entity: str) -> DataFrame:
+    """df with the errors that the rules registered for an entity find."""
+    if entity not in RULES:
+        raise ValueError(f"no rules are registered for {entity}; there are {', '.join(sorted(RULES))}")
+    return with_errors(df, RULES[entity](df))
+
+
 def quality_report(df: DataFrame, by: str = "type") -> DataFrame:
     """Totals, valid and invalid rows and the rate, by type and (type null, level total) in all. df has errors."""
     ok = F.count_if(F.size("errors") == 0)

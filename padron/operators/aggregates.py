@@ -97,10 +97,16 @@ def relationship_issues(centros, cert, courses, ec):
     return _union(parts).filter("n > 0")
 
 
-def freshness(frames: dict, now, days: int = 7):
-    """Rows and stale rows of each entity at `now`; the alert is raised by any stale row."""
+def freshness(frames: dict, now, days: int = 7, runs=None):
+    """Rows and stale rows of each entity at `now`; the alert is raised by any stale row. With runs, also the last
+    one that was completed and its end."""
     parts = [df.agg(F.lit(name).alias("entity"), F.count("*").alias("total"), F.count_if(F.col("last_seen") < F.lit(now).cast("timestamp") - F.expr(f"interval {days} days")).alias("stale")) for name, df in frames.items()]
-    return _union(parts).withColumn("alert", F.col("stale") > 0)
+    out = _union(parts).withColumn("alert", F.col("stale") > 0)
+    if runs is None:
+        return out
+    done = F.when(F.col("status") == "completed", F.struct("start_time", "harvest_id"))
+    last = runs.agg(F.max(F.struct(done.alias("k"), F.col("end_time"))).alias("r")).select(F.col("r.k.harvest_id").alias("last_run"), F.when(F.col("r.k").isNotNull(), F.col("r.end_time")).alias("last_end"))
+    return out.crossJoin(F.broadcast(last))  # one row
 
 
 def split_archive(runs, now, days: int = 90):
@@ -108,6 +114,13 @@ def split_archive(runs, now, days: int = 90):
     return runs.filter(F.col("end_time") < F.lit(now).cast("timestamp") - F.expr(f"interval {days} days")).withColumn("month", F.date_format("end_time", "yyyy-MM"))
 
 
+def archive_runs(runs, now, path: str, days: int = 90):
+    """Write old runs below path, a folder a month; months that are archived again are replaced. The runs that stay,
+    those without an end among them."""
+    split_archive(runs, now, days).repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    return runs.filter(F.col("end_time").isNull() | (F.col("end_time") >= F.lit(now).cast("timestamp") - F.expr(f"interval {days} days")))
+
+
 def url_type_counts(df, column="type"):
     return df.groupBy(F.coalesce(F.col(column), F.lit("unknown")).alias("type")).agg(F.count("*").alias("n")).orderBy("type")
 
@@ -118,8 +131,11 @@ def endpoint_counts(log):
 
 
 def component_progress(log):
+    """Of each component successes, total, their share, mean response and last request; and the share of all components."""
     ok = F.count_if(F.col("status") == 200)
-    return log.groupBy("component").agg(ok.alias("scraped"), F.count("*").alias("total"), F.round(F.lit(100.0) * ok / F.count("*"), 1).alias("success_pct"), F.max("ts").alias("last_updated"))
+    rows = log.groupBy("component").agg(ok.alias("scraped"), F.count("*").alias("total"), F.round(F.lit(100.0) * ok / F.count("*"), 1).alias("success_pct"), F.round(F.avg("duration"), 4).alias("avg_response"), F.max("ts").alias("last_updated"))
+    overall = rows.agg(F.round(F.lit(100.0) * F.sum("scraped") / F.sum("total"), 1).alias("overall_pct"))
+    return rows.crossJoin(F.broadcast(overall))  # one row
 
 
 def error_summary(log, limit=50):
@@ -162,8 +178,11 @@ def timeline(df, key, unit="month"):
 
 
 def sector_flow(ec, ece_ec):
-    """Weights of sector to certifier by way of standards."""
-    return ec.select("ec_clave", "sector_id").join(ece_ec.select("ec_clave", "cert_id"), "ec_clave").groupBy("sector_id", "cert_id").agg(F.count("*").alias("weight"))
+    """The flow from sectors through standards to certifiers: (level, source, target, weight). A sector's flow to a standard
+    is the standard's number of certifiers; a standard without any has none."""
+    edges = ec.select("ec_clave", F.col("sector_id").cast("string").alias("sector")).join(ece_ec.select("ec_clave", "cert_id"), "ec_clave")
+    upper = edges.groupBy(F.lit("sector-standard").alias("level"), F.col("sector").alias("source"), F.col("ec_clave").alias("target")).agg(F.count("*").alias("weight"))
+    return upper.unionByName(edges.groupBy(F.lit("standard-cert").alias("level"), F.col("ec_clave").alias("source"), F.col("cert_id").alias("target")).agg(F.count("*").alias("weight")))
 
 
 def cert_overview(cert, k=5):
@@ -198,6 +217,11 @@ def reachability(fetch_log, topic: str = "topic"):
     return fetch_log.groupBy(kind.alias("outcome")).agg(F.count("*").alias("n"))
 
 
-def run_summary(log):
+def run_summary(log, reported=None):
+    """Of each day and component requests, failures, elapsed seconds and bytes; the coverage is the share of successes
+    of the totals that reported(component, reported) tells, or of the requests without it."""
     bad = F.count_if(F.col("status") >= 400)
-    return log.groupBy(F.to_date("ts").alias("run"), "component").agg(F.count("*").alias("requests"), bad.alias("failures"), F.round(F.lit(100.0) * (F.count("*") - bad) / F.count("*"), 4).alias("coverage_pct"), F.sum(F.length("props")).alias("bytes"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = log.groupBy(F.to_date("ts").alias("run"), "component").agg(F.count("*").alias("requests"), bad.alias("failures"), F.round((F.max(at) - F.min(at)) / 1e6, 3).alias("elapsed"), F.sum(F.length("props")).alias("bytes"))
+    rows = rows.withColumn("reported", F.col("requests")) if reported is None else rows.join(reported, "component", "left")
+    return rows.withColumn("coverage_pct", F.round(F.lit(100.0) * F.try_divide(F.col("requests") - F.col("failures"), "reported"), 4)).drop("reported")

@@ -14,90 +14,134 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from padron.functions import clean
+from padron.operators import details
 
-CELLS = "page_id long, url string, kind string, block int, row int, col int, label string, text string, href string, css_class string, inside array<int>"
+CELLS = "page_id long, url string, kind string, block int, row int, col int, label string, text string, href string, css_class string, inside array<int>, seq int, tr int, tag string, under array<string>, lead string"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _SPACE = re.compile(r"\s+")
 
 
 class _Cells(HTMLParser):
-    """Collects (kind, block, row, col, label, text, href, css_class, inside); inside holds the blocks of the open tables and divs with a class."""
+    """Collects the fields of CELLS after the page's.
+
+    inside holds the blocks of the open tables and divs with a class, under the open elements with a class as
+    tag.class. seq counts the records in order of their beginning, tr the rows of tables; lead is a cell's own
+    text, without that of elements that are recorded themselves.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.out: list[list] = []
-        self.open: list[tuple[str, list]] = []  # elements whose text is wanted
+        self.open: list[tuple[str, list, int]] = []  # records whose text is wanted, with the number of their element
+        self.elements = 0
         self.scopes: list[tuple[str, int | None]] = []  # open tables and divs with the blocks that they begin
-        self.block = self.row = self.col = -1
+        self.owners: list[tuple[str, str]] = []  # open elements with a class
+        self.rows: list[tuple[int, int]] = []  # row and column of the tables around
+        self.block = self.row = self.col = self.tr = self.last_tr = self.seq = -1
         self.label = None
 
-    def _record(self, kind, label=None, text="", href=None, css=None):
-        return [kind, self.block, self.row, self.col, label, text, href, css, [b for _, b in self.scopes if b is not None]]
+    def _record(self, kind, label=None, text="", href=None, css=None, tag=None):
+        self.seq += 1
+        return [kind, self.block, self.row, self.col, label, text, href, css, [b for _, b in self.scopes if b is not None], self.seq, self.tr, tag, [o for _, o in self.owners], ""]
 
     def _begin(self, tag, kind, href=None, css=None):
-        self.open.append((tag, self._record(kind, self.label, "", href, css)))
+        self.open.append((tag, self._record(kind, self.label, "", href, css, tag), self.elements))
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
+        name = a.get("class")
+        self.elements += 1
         if tag == "table":
             self.block, self.row = self.block + 1, -1
             self.scopes.append((tag, self.block))
-            self.out.append(self._record("table", css=a.get("class")))
+            self.rows.append((self.tr, self.col))
+            self.out.append(self._record("table", css=name, tag=tag))
         elif tag == "tr":
             self.row, self.col, self.label = self.row + 1, -1, None
+            self.last_tr += 1
+            self.tr = self.last_tr
         elif tag in ("td", "th"):
             self.col += 1
-            self._begin(tag, "header" if tag == "th" else "cell", css=a.get("class"))
+            self._begin(tag, "header" if tag == "th" else "cell", css=name)
         elif tag in ("dt", "dd"):
-            self._begin(tag, "term" if tag == "dt" else "value", css=a.get("class"))
+            self._begin(tag, "term" if tag == "dt" else "value", css=name)
         elif tag == "a" and "href" in a:
-            self._begin(tag, "link", a["href"], a.get("class"))
+            self._begin(tag, "link", a["href"], name)
         elif tag in ("h1", "h2", "h3", "title"):
             self._begin(tag, "title" if tag == "title" else "heading", css=tag)
         elif tag == "script":
             self._begin(tag, "script")
-        if a.get("class") and tag in ("div", "span", "p", "li", "h1", "h2", "h3"):
+        elif tag == "li":
+            self._begin(tag, "item", css=name)
+        elif tag == "address":
+            self._begin(tag, "element", css=name)
+        if name and tag in ("div", "span", "p", "li", "h1", "h2", "h3"):
             if tag == "div":
                 self.block += 1
                 self.scopes.append((tag, self.block))
-            self._begin(tag, "class", css=a["class"])
+            self._begin(tag, "class", css=name)
         elif tag == "div":
             self.scopes.append((tag, None))
-        for name, value in attrs:
-            if name.startswith("data-") and name.endswith("id") and value:
-                self.out.append(self._record("data", name, value))
+        if a.get("id") and tag in ("div", "span", "p"):
+            self._begin(tag, "id", css=a["id"])
+        if name and tag not in _VOID:
+            self.owners.append((tag, f"{tag}.{name}"))
+        elif tag not in _VOID and any(t == tag for t, _ in self.owners):
+            self.owners.append((tag, ""))  # so that its end does not close the one around
+        for attr, value in attrs:
+            if attr.startswith("data-") and attr.endswith("id") and value:
+                self.out.append(self._record("data", attr, value))
 
     def handle_data(self, data):
         script = self.open and self.open[-1][0] == "script"
-        for _, rec in self.open[-1:] if script else self.open:
+        for _, rec, _ in self.open[-1:] if script else self.open:
             rec[5] += data
+        # of an element's records the first is the cell
+        for _, rec, number in self.open[-3:]:
+            if number == self.open[-1][2]:
+                rec[13] += data
+
+    def _close(self, rec):
+        if rec[0] != "script":
+            rec[5] = _SPACE.sub(" ", rec[5]).strip()
+        rec[13] = _SPACE.sub(" ", rec[13]).strip() if rec[0] in ("cell", "header") else ""
+        self.out.append(rec)
 
     def handle_endtag(self, tag):
         if tag in _VOID:
             return
+        if any(t == tag for t, _ in self.owners):
+            while self.owners.pop()[0] != tag:
+                pass
         if tag in ("div", "table") and any(t == tag for t, _ in self.scopes):
             while self.scopes.pop()[0] != tag:
                 pass
-        if tag == "table":
+        if tag == "tr":
+            self.tr = self.rows[-1][0] if self.rows else -1
+        elif tag == "table":
             self.row = self.col = -1
-        while any(t == tag for t, _ in self.open):
-            t, rec = self.open.pop()
-            if rec[0] != "script":
-                rec[5] = _SPACE.sub(" ", rec[5]).strip()
-            self.out.append(rec)
+            self.tr, col = self.rows.pop() if self.rows else (-1, -1)
+            if self.tr >= 0:
+                self.col = col
+        if not any(t == tag for t, _, _ in self.open):
+            return
+        closed = None
+        # an element may be recorded several times: as what it is, by its class and by its id
+        while self.open and (closed is None or self.open[-1][2] == closed):
+            t, rec, number = self.open.pop()
+            self._close(rec)
             if rec[0] in ("header", "term"):
                 self.label = rec[5].rstrip(":").lower()
-            if t == tag and not any(x == tag and r is not rec and r[0] == "class" for x, r in self.open[-1:]):
-                break
+            if t == tag:
+                closed = number
 
 
 def cells_of(html: str | None) -> list[tuple]:
     p = _Cells()
     p.feed(html or "")
     p.close()
-    for t, rec in reversed(p.open):
-        rec[5] = _SPACE.sub(" ", rec[5]).strip()
-        p.out.append(rec)
+    for _, rec, _ in reversed(p.open):
+        p._close(rec)
     return [tuple(r) for r in p.out]
 
 
@@ -112,18 +156,11 @@ def html_cells(pages: DataFrame) -> DataFrame:
         for f in frames:
             rows = [(i, u, *c) for i, u, h in zip(f["page_id"], f["url"], f["html"]) for c in cells_of(h)]
             out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"page_id": "int64", "block": "int32", "row": "int32", "col": "int32"})
+            yield out.astype({"page_id": "int64"} | dict.fromkeys(("block", "row", "col", "seq", "tr"), "int32"))
 
     return pages.select("page_id", "url", "html").mapInPandas(run, CELLS)
 
 
-# Labels of detail pages and the fields they fill.
-EC_LABELS = {"código": "ec_clave", "título": "titulo", "versión": "version", "sector": "sector", "comité": "comite", "descripción": "descripcion", "nivel": "nivel", "duración": "duracion", "tipo de norma": "tipo_norma", "fecha de publicación": "fecha_publicacion", "vigente": "vigente"}
-CERT_LABELS = {"cédula": "cert_id", "nombre": "nombre_legal", "siglas": "siglas", "estatus": "estatus", "domicilio": "domicilio_texto", "estado": "estado", "municipio": "municipio", "teléfono": "telefono", "correo": "correo", "sitio web": "sitio_web", "fecha de acreditación": "fecha_acreditacion", "estándares": "estandares"}
-CENTRO_LABELS = {"clave": "centro_id", "nombre": "nombre", "certificador": "cert_id", "estado": "estado", "municipio": "municipio", "teléfono": "telefono", "correo": "correo", "coordinador": "coordinador", "modalidades": "modalidades", "estándares": "estandares"}
-SECTOR_LABELS = {"sector": "nombre", "comité": "nombre_comite", "descripción": "descripcion", "número de estándares": "num_estandares", "correo": "email", "teléfono": "phone"}
-
-
 # Per component the columns of its listing table, the class of its card and the class (or tag) of each part of a card.
 LISTINGS = {
     "cert": (("nombre_legal", "siglas", "estado", "estatus"), "certificador-card", {"nombre_legal": "cert-name", "siglas": "cert-siglas", "estado": "cert-estado", "estatus": "cert-status"}),
@@ -206,12 +243,6 @@ def first_non_empty(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in cols])
 
 
-def detail_fields(cells: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """One row of each page: the value after each label."""
-    values = cells.filter("kind in ('cell', 'value') and label is not null")
-    return values.groupBy("page_id", "url").agg(*[F.max(F.when(F.col("label") == l, F.nullif(F.col("text"), F.lit("")))).alias(f) for l, f in labels.items()])
-
-
 def listing_rows(cells: DataFrame, columns: list[str]) -> DataFrame:
     """One row of each table row without a label: the texts of its cells under the given names, and its first link."""
     data = cells.filter("kind = 'cell' and label is null")
@@ -228,30 +259,43 @@ def merge_listing_detail(listing: DataFrame, detail: DataFrame, key: str) -> Dat
     return a.join(b, key, "full").select(key, *pick)
 
 
-def _codes(df, column="estandares"):
-    return df.withColumn("codes", clean.ec_codes_in_text(F.coalesce(F.col(column), F.lit(""))))
-
-
 def extract_ec(cells: DataFrame) -> DataFrame:
-    """Standards from listing rows (code, title, kind of listing) and detail pages.
+    """Standards from listings (code, title, kind of listing) and detail pages.
 
-    Listings whose address tells their kind decide whether a standard is in force; a
-    standard of several listings takes the first of EC_LISTINGS.
+    A listing has rows of a table, or spans of classes `ec-code` and `ec-title` in one element. Listings whose address
+    tells their kind decide whether a standard is in force; a standard of several listings takes the first of
+    EC_LISTINGS. A detail page names its standard, or its address does and it has a title.
     """
     kind = told_by_url(F.col("url"), EC_LISTINGS, "unknown")
     order = F.array_position(F.array(*[F.lit(name) for _, name in EC_LISTINGS], F.lit("unknown")), kind)
-    rows = listing_rows(cells, ["ec_clave", "titulo"]).filter(F.col("ec_clave").rlike(r"^EC\d{4,}$"))
+    rows = listing_rows(cells, ["ec_clave", "titulo"]).select("page_id", "url", "ec_clave", "titulo")
+    spans = cells.filter("kind = 'class' and css_class in ('ec-code', 'ec-title') and tag = 'span'").withColumn("owner", F.get("inside", F.size("inside") - 1))
+    by_box = spans.filter("owner is not null").groupBy("page_id", "url", "owner")
+    boxes = by_box.agg(F.max(F.when(F.col("css_class") == "ec-code", F.trim("text"))).alias("ec_clave"), F.max(F.when(F.col("css_class") == "ec-title", F.col("text"))).alias("titulo"), F.count_if(F.col("css_class") == "ec-code").alias("n"))
+    rows = rows.unionByName(boxes.filter("n = 1 and titulo is not null").drop("owner", "n")).filter(F.col("ec_clave").rlike(r"^EC\d{4,}$"))
     listing = rows.groupBy("ec_clave").agg(F.min(F.struct(order.alias("o"), "titulo", kind.alias("listing_type"))).alias("r")).select("ec_clave", "r.titulo", "r.listing_type")
-    detail = detail_fields(cells, EC_LABELS).filter("ec_clave is not null").drop("page_id")
-    out = merge_listing_detail(listing, detail.dropDuplicates(["ec_clave"]), "ec_clave")
-    return out.withColumns({"duracion_horas": clean.first_number(F.col("duracion")), "fecha_publicacion": clean.parse_date_iso(F.col("fecha_publicacion")), "vigente": F.when(F.coalesce("listing_type", F.lit("unknown")) == "unknown", F.lower("vigente").isin("sí", "si", "true")).otherwise(F.col("listing_type") == "active"), "version": clean.version_number(F.col("version"))}).drop("duracion")
+    detail = details.page_arrays(cells).select("url", *[v.alias(k) for k, v in details.ec_places().items()])
+    by_url = F.when(F.col("titulo").isNotNull(), F.nullif(F.regexp_extract("url", r"(EC\d{4,})", 1), F.lit("")))
+    detail = detail.withColumn("ec_clave", F.coalesce("clave", by_url)).filter("ec_clave is not null").drop("clave")
+    # of several pages of a standard the first by address
+    detail = detail.groupBy("ec_clave").agg(F.min_by(F.struct(*[c for c in detail.columns if c != "ec_clave"]), "url").alias("r")).select("ec_clave", "r.*")
+    out = merge_listing_detail(listing, detail, "ec_clave")
+    told = F.coalesce("listing_type", F.lit("unknown"))
+    return out.withColumns({
+        "duracion_horas": clean.first_number(F.col("duracion")), "fecha_publicacion": clean.parse_date_iso(F.col("fecha_publicacion")), "fecha_vigencia": clean.parse_date_iso(F.col("fecha_vigencia")),
+        "vigente": F.when(told == "unknown", F.lower("vigente").isin("sí", "si", "true")).otherwise(told == "active"), "version": clean.version_number(F.col("version")),
+        "sector_id": F.col("sector_id").try_cast("int"), "comite_id": F.col("comite_id").try_cast("int"),
+    }).drop("duracion")
 
 
 def modal_json(cells: DataFrame) -> DataFrame:
-    """Codes and contacts out of `modalData = {...};` scripts."""
+    """Codes and contacts out of `modalData = {...};` scripts: those of `standards` that have the form of one, and `contacts`."""
     text = F.regexp_extract("text", r"(?s)modalData\s*=\s*(\{.*?\});", 1)
     found = cells.filter("kind = 'script'").withColumn("json", text).filter("json <> ''")
-    return found.select("page_id", F.from_json("json", "cert_id string, estandares array<string>, contactos array<map<string,string>>").alias("m")).select("page_id", "m.*")
+    parsed = found.select("page_id", "seq", F.from_json("json", "standards array<struct<code:string>>, contacts array<map<string,string>>").alias("m"))
+    codes = F.filter(F.transform("m.standards", lambda s: s["code"]), lambda c: c.rlike(r"^EC\d{4,}$"))
+    # of several scripts the last one that has them counts
+    return parsed.select("page_id", "seq", codes.alias("codes"), "m.contacts").groupBy("page_id").agg(F.max_by("codes", F.when(F.col("codes").isNotNull(), F.col("seq"))).alias("modal_codes"), F.max_by("contacts", F.when(F.col("contacts").isNotNull(), F.col("seq"))).alias("contactos"))
 
 
 def modal_html(cells: DataFrame) -> DataFrame:
@@ -263,41 +307,65 @@ def modal_html(cells: DataFrame) -> DataFrame:
     return found.groupBy("page_id").agg(F.array_distinct(F.flatten(F.collect_list("codes"))).alias("html_codes"))
 
 
+def _dates(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: clean.parse_date_iso(F.col(n)) for n in names})
+
+
 def extract_cert(cells: DataFrame) -> DataFrame:
     """Certifiers from detail pages, with the codes and contacts of the modal script, or the codes of the modal's
-    HTML where the script has none; the state's code is computed last."""
+    HTML where the script has none; the state's code is computed last. A page names its certifier, or its address
+    does and it has a name."""
     from padron.operators.joins import state_code
 
-    detail = _codes(detail_fields(cells, CERT_LABELS).filter("cert_id is not null"))
-    modal = modal_json(cells).select("page_id", F.col("estandares").alias("modal_codes"), "contactos")
+    detail = details.page_arrays(cells).select("page_id", "url", *[v.alias(k) for k, v in details.cert_places().items()])
+    by_url = F.when(F.col("nombre_legal").isNotNull(), F.nullif(F.regexp_extract("url", r"\b((?:ECE|OC)\d+)\b", 1), F.lit("")))
+    detail = detail.withColumn("cert_id", F.coalesce("cedula", by_url)).filter("cert_id is not null").drop("cedula")
     none = F.array().cast("array<string>")
     in_modal = F.when(F.size(F.coalesce("modal_codes", none)) > 0, F.col("modal_codes")).otherwise(F.coalesce("html_codes", none))
-    out = detail.join(modal, "page_id", "left").join(modal_html(cells), "page_id", "left").withColumns({
-        "codes": F.array_sort(F.array_distinct(F.concat("codes", in_modal))),
+    out = detail.join(modal_json(cells), "page_id", "left").join(modal_html(cells), "page_id", "left").withColumns({
+        "codes": F.array_sort(F.array_distinct(F.concat("listed_codes", in_modal))),
         "tipo": F.regexp_extract("cert_id", r"^(ECE|OC)", 1), "telefono": clean.normalize_phone_v2(F.col("telefono")), "correo": clean.email_norm(F.col("correo")),
-        "sitio_web": clean.website_scheme(F.col("sitio_web")), "cp": clean.postal_code(F.lit(None).cast("string"), F.col("domicilio_texto")), "fecha_acreditacion": clean.parse_date_iso(F.col("fecha_acreditacion")),
+        "sitio_web": clean.website_scheme(F.col("sitio_web")), "cp": clean.postal_code(F.col("cp"), F.col("domicilio_texto")),
     })
-    return state_code(out.drop("estandares", "modal_codes", "html_codes", "page_id"), "estado")
+    return state_code(_dates(out, "fecha_acreditacion").drop("listed_codes", "modal_codes", "html_codes", "page_id"), "estado")
 
 
 def extract_centro(cells: DataFrame) -> DataFrame:
-    """Centres from detail pages; those of listings come from list_centro."""
-    detail = _codes(detail_fields(cells, CENTRO_LABELS).filter("centro_id is not null"))
-    return detail.withColumns({"modalidades": clean.split_modalities(F.col("modalidades")), "telefono": clean.normalize_phone_v2(F.col("telefono")), "correo": clean.email_norm(F.col("correo"))}).drop("estandares", "page_id")
+    """Centres from detail pages; those of listings come from list_centro. A page names its centre, or its address does
+    (id=...) and it has a name."""
+    from padron.operators.joins import state_code
+
+    detail = details.page_arrays(cells).select("url", *[v.alias(k) for k, v in details.centro_places().items()])
+    by_url = F.when(F.col("nombre").isNotNull(), clean.id_from_url(F.col("url")))
+    detail = detail.withColumn("centro_id", F.coalesce("clave", by_url)).filter("centro_id is not null").drop("clave")
+    modes = F.when(F.size("listed_modes") > 0, F.col("listed_modes")).otherwise(clean.split_modalities(F.col("modes_text")))
+    out = detail.withColumns({"modalidades": modes, "telefono": clean.normalize_phone_v2(F.col("telefono")), "correo": clean.email_norm(F.col("correo")), "cp": clean.postal_code(F.col("cp"), F.col("domicilio_texto"))})
+    return state_code(_dates(out, "fecha_acreditacion").drop("listed_modes", "modes_text"), "estado")
 
 
 def extract_sector_comite(cells: DataFrame) -> DataFrame:
-    """Sectors and committees: ids from the address, names and numbers from the detail page."""
-    d = detail_fields(cells, SECTOR_LABELS)
-    return d.select(
-        clean.id_from_url(F.col("url"), "sector").cast("int").alias("sector_id"), clean.id_from_url(F.col("url"), "comite").cast("int").alias("comite_id"),
-        first_non_empty(F.col("nombre_comite"), F.col("nombre")).alias("nombre"), "descripcion", clean.first_number(F.col("num_estandares")).alias("num_estandares"),
-        clean.contact_struct(F.col("email"), F.col("phone")).alias("contacto"),
-    ).filter("sector_id is not null or comite_id is not null")
+    """Sectors and committees: own ids from the address, all else from the detail page. A committee's sector is that of
+    its address, or of a link, or the number in its sector's cell."""
+    d = details.page_arrays(cells).select("url", *[v.alias(k) for k, v in details.sector_places().items()])
+    in_url = {k: clean.id_from_url(F.col("url"), k).try_cast("int") for k in ("sector", "comite")}
+    out = d.select(
+        F.coalesce(in_url["sector"], F.when(in_url["comite"].isNotNull(), F.col("sector_of"))).alias("sector_id"), in_url["comite"].alias("comite_id"), "nombre", "descripcion", "objetivo",
+        clean.first_number(F.col("num_comites")).alias("num_comites"), clean.first_number(F.col("num_estandares")).alias("num_estandares"),
+        "fecha_creacion", "fecha_actualizacion", clean.contact_struct(F.col("email"), F.col("phone")).alias("contacto"), "estandares", F.col("url").alias("src_url"),
+    )
+    return _dates(out, "fecha_creacion", "fecha_actualizacion").filter("sector_id is not null or comite_id is not null")
 
 
-def edges_from_lists(df: DataFrame, id: str, codes: str, run_id: str) -> DataFrame:
-    return df.select(id, F.explode(F.array_distinct(codes)).alias("ec_clave"), F.lit(run_id).alias("run_id"))
+def edges_from_lists(df: DataFrame, id: str, codes: str, run_id: str, since: str | None = None) -> DataFrame:
+    """One edge for each distinct code of a list: (id, ec_clave, acreditado_desde where since names its column, run_id)."""
+    dated = [F.col(since).alias("acreditado_desde")] if since else []
+    return df.select(id, *dated, F.explode(F.array_distinct(codes)).alias("ec_clave"), F.lit(run_id).alias("run_id")).distinct()
+
+
+def sector_edges(comites: DataFrame) -> DataFrame:
+    """(ec_clave, sector_id, comite_id) of the standards of committees whose sector is known."""
+    known = comites.filter("comite_id is not null and sector_id is not null")
+    return known.select(F.explode("estandares").alias("ec_clave"), "sector_id", "comite_id").distinct()
 
 
 # Classes of the element that holds a listed item, by component (whole, or part of a class).
@@ -365,5 +433,43 @@ EXTRACTORS = {
 
 
 def register_extractor(kind: str, extract) -> None:
-    """Add or replace an extractor: extract(cells) gives a table."""
+    """Add or replace an extractor: extract(cells) gives a table. See page_extractor() for one in Python."""
     EXTRACTORS[kind] = extract
+
+
+def run_extractor(kind: str, cells: DataFrame) -> DataFrame:
+    """The table of the extractor that is registered under a kind."""
+    if kind not in EXTRACTORS:
+        raise ValueError(f"no extractor is registered for {kind}; there are {', '.join(sorted(EXTRACTORS))}")
+    return EXTRACTORS[kind](cells)
+
+
+def page_extractor(schema: str, of_page):
+    """An extractor out of of_page(rows), which gets the cells of one page in order and yields tuples of schema.
+
+    It runs as a table function over the cells, partitioned by page, so pages are dealt to all tasks.
+    """
+    from pyspark.sql.functions import udtf
+    from pyspark.sql.types import StructType
+
+    shape = StructType.fromDDL(schema)
+
+    class Pages:
+        def __init__(self):
+            self.rows = []
+
+        @staticmethod
+        def analyze(cells):
+            from pyspark.sql.udtf import AnalyzeResult, OrderingColumn, PartitioningColumn
+
+            return AnalyzeResult(shape, partitionBy=[PartitioningColumn("page_id")], orderBy=[OrderingColumn("seq")])
+
+        def eval(self, cells):
+            self.rows.append(cells)
+
+        def terminate(self):
+            if self.rows:
+                yield from of_page(self.rows)
+
+    function = udtf(Pages)
+    return lambda cells: function(cells.asTable())

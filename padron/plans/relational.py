@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from padron.operators import aggregates as agg
 from padron.operators import choose, joins, listing, sets
 from padron.plans.catalog import query
+from padron.sources.storage import scratch
 from padron.streaming import metrics
 
 # ---- C ----
@@ -283,14 +284,22 @@ def e13(r):
     return agg.relationship_issues(r.centros.select("certificador_id"), r.cert, r.items.filter("type = 'course'").select("ec_code"), r.ec_history.select("ec_clave"))
 
 
-@query("E14_freshness", "select 'ec' as entity, count(*) as total, count(*) filter (last_seen < timestamp '2001-10-25 00:00:00') as stale, count(*) filter (last_seen < timestamp '2001-10-25 00:00:00') > 0 as alert from ec_history union all select 'cert', count(*), count(*) filter (last_seen < timestamp '2001-10-25 00:00:00'), count(*) filter (last_seen < timestamp '2001-10-25 00:00:00') > 0 from cert_history")
+_LAST = "(select harvest_id as last_run, end_time as last_end from runs where status = 'completed' order by start_time desc, harvest_id desc limit 1)"
+
+
+@query("E14_freshness", f"select * from (select 'ec' as entity, count(*) as total, count(*) filter (last_seen < timestamp '2001-10-25 00:00:00') as stale, count(*) filter (last_seen < timestamp '2001-10-25 00:00:00') > 0 as alert from ec_history union all select 'cert', count(*), count(*) filter (last_seen < timestamp '2001-10-25 00:00:00'), count(*) filter (last_seen < timestamp '2001-10-25 00:00:00') > 0 from cert_history) cross join {_LAST}")
 def e14(r):
-    return agg.freshness({"ec": r.ec_history, "cert": r.cert_history}, "2001-11-01")
+    return agg.freshness({"ec": r.ec_history, "cert": r.cert_history}, "2001-11-01", runs=r.runs)
 
 
-@query("E15_stale_runs", "select harvest_id, strftime(end_time, '%Y-%m') as month from runs where end_time < timestamp '2024-01-16 00:00:00'")
+@query("E15_stale_runs", "select harvest_id, strftime(end_time, '%Y-%m') as month, true as archived from runs where end_time < timestamp '2024-01-16 00:00:00' union all select harvest_id, null, false from runs where end_time >= timestamp '2024-01-16 00:00:00'")
 def e15(r):
-    return agg.split_archive(r.runs, "2024-01-26", 10).select("harvest_id", "month")
+    # the archive as it was written, twice, and what stays
+    path = scratch(r.spark, "archive")
+    for _ in range(2):
+        stays = agg.archive_runs(r.runs, "2024-01-26", path, 10)
+    archive = r.spark.read.schema("harvest_id string, month string").parquet(path)
+    return archive.withColumn("archived", F.lit(True)).unionByName(stays.select("harvest_id", F.lit(None).cast("string").alias("month"), F.lit(False).alias("archived")))
 
 
 @query("E16_url_type_counts", "select coalesce(type, 'unknown') as type, count(*) as n from items group by 1")
@@ -303,7 +312,7 @@ def e17(r):
     return agg.endpoint_counts(r.request_log)
 
 
-@query("E18_component_progress", "select component, count(*) filter (status = 200) as scraped, count(*) as total, round(100.0 * count(*) filter (status = 200) / count(*), 1) as success_pct, max(ts) as last_updated from request_log group by component")
+@query("E18_component_progress", "select component, count(*) filter (status = 200) as scraped, count(*) as total, round(100.0 * count(*) filter (status = 200) / count(*), 1) as success_pct, round(avg(duration), 4) as avg_response, max(ts) as last_updated, (select round(100.0 * count(*) filter (status = 200) / count(*), 1) from request_log) as overall_pct from request_log group by component")
 def e18(r):
     return agg.component_progress(r.request_log)
 
@@ -376,7 +385,7 @@ def e27(r):
     return agg.timeline(r.ec_history, "ec_clave")
 
 
-@query("E28_sector_flow", "select sector_id, cert_id, count(*) as weight from ec join ece_ec on ec.ec_clave = ece_ec.ec_clave group by sector_id, cert_id")
+@query("E28_sector_flow", "select 'sector-standard' as level, cast(sector_id as string) as source, ec.ec_clave as target, count(*) as weight from ec join ece_ec on ec.ec_clave = ece_ec.ec_clave group by 2, 3 union all select 'standard-cert', ec.ec_clave, cert_id, count(*) from ec join ece_ec on ec.ec_clave = ece_ec.ec_clave group by 2, 3")
 def e28(r):
     return agg.sector_flow(r.ec, r.ece_ec)
 
@@ -406,9 +415,11 @@ def e33(r):
     return agg.reachability(r.fetch_log.withColumn("topic", F.col("url").contains("/en/")))
 
 
-@query("E34_run_summary", "select cast(ts as date) as run, component, count(*) as requests, count(*) filter (status >= 400) as failures, round(100.0 * (count(*) - count(*) filter (status >= 400)) / count(*), 4) as coverage_pct, cast(sum(length(props)) as bigint) as bytes from request_log group by 1, 2")
+@query("E34_run_summary", "select cast(ts as date) as run, l.component, count(*) as requests, count(*) filter (status >= 400) as failures, round((epoch_us(max(ts)) - epoch_us(min(ts))) / cast(1e6 as double), 3) as elapsed, cast(sum(length(props)) as bigint) as bytes, round(100.0 * (count(*) - count(*) filter (status >= 400)) / any_value(reported), 4) as coverage_pct from request_log l join (select component, max(n) as reported from (select component, cast(ts as date) as d, count(*) as n from request_log group by 1, 2) group by component) p on p.component = l.component group by 1, 2")
 def e34(r):
-    return agg.run_summary(r.request_log)
+    # as much is reported as the fullest day had
+    per_day = r.request_log.groupBy("component", F.to_date("ts").alias("d")).agg(F.count("*").alias("n"))
+    return agg.run_summary(r.request_log, per_day.groupBy("component").agg(F.max("n").alias("reported")))
 
 
 # ---- F ----

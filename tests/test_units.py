@@ -345,3 +345,59 @@ def test_gate_counts_while_writing(spark, tmp_path):
     assert report == {"ec_standard": (2, 1), "(none)": (1, 0), "(other)": (1, 0), "(all)": (4, 1)}
     assert spark.read.parquet(f"{tmp_path}/x").count() == 4
     assert rules.quality_gate(rules.written_with_report(checked.filter("code = 'EC0001'"), lambda d: d.write.parquet(f"{tmp_path}/y"))).first()["passed"]
+
+
+def test_details_of_odd_pages(spark):
+    pages = spark.createDataFrame([
+        (1, "https://x/ver", "<table><tr><td>Cédula:</td><td>ECE001</td><td>z</td></tr><tr><td><b>Nombre o razón social</b></td><td></td><td>Uno, A.C.</td></tr><tr><td>Estatus"),  # never closed
+        (2, "https://x/ver/OC77", "<table><tr><td><table><tr><td>Nombre</td><td>Dos</td></tr></table></td><td>fuera</td></tr><tr><td>Siglas</td><td>D</td></tr></table>"),  # a table in a cell
+        (3, "https://x/ver/OC78", "<p>Nombre</p>"), (4, "https://x/ver/OC79", None), (5, "", ""),
+        (6, "https://x/ver", '<div class="nombre-legal">Tres</div><script>modalData = {"standards": [{"code": "EC0001"}, {"code": "bad"}, {}], "contacts": [{"a": "b"}]};</script><table><tr><td>Cédula</td><td>OC5</td></tr></table>'),
+        (7, "https://x/ver/ECE9", '<h1 class="cert-title" id="t">Cuatro</h1><script>modalData = {broken};</script><div class="modal-estandares"><span class="ec-code">EC0002</span></div>'),
+    ], "page_id long, url string, html string")
+    got = {r["cert_id"]: (r["nombre_legal"], r["siglas"], r["estatus"], r["codes"], r["contactos"]) for r in extract.extract_cert(extract.html_cells(pages)).collect()}
+    assert got == {
+        "ECE001": ("Uno, A.C.", None, "ACTIVO", [], None), "OC77": ("Dos", "D", "ACTIVO", [], None),
+        "OC5": ("Tres", None, "ACTIVO", ["EC0001"], [{"a": "b"}]), "ECE9": ("Cuatro", None, "ACTIVO", ["EC0002"], None),
+    }
+    ec = spark.createDataFrame([
+        (1, "https://x/d", '<h1 class="ec-title">Título uno</h1><table><tr><td>Código</td><td>EC0001</td></tr></table>'),
+        (2, "https://x/?ESLACT", '<div><span class="ec-code">EC0002</span></div><div class="f"><span class="ec-code">EC0003</span><span class="ec-title">Tres</span></div>'),
+        (3, "https://x/d/EC0004", "<p>sin título</p>"),
+    ], "page_id long, url string, html string")
+    assert {(r["ec_clave"], r["titulo"], r["vigente"]) for r in extract.extract_ec(extract.html_cells(ec)).collect()} == {("EC0001", "Título uno", None), ("EC0003", "Tres", True)}
+    for f in (extract.extract_ec, extract.extract_cert, extract.extract_centro, extract.extract_sector_comite):
+        assert f(extract.html_cells(pages.limit(0))).count() == 0
+
+
+def test_records_of_one_element_close_together(spark):
+    cells = extract.cells_of('<div class="a"><div class="b">x</div>y</div><h1 class="t" id="i">z</h1><ul class="u"><li>1<ul><li>2</li></ul></li></ul><table><tr><td>o<div class="d">in</div></td></tr></table>')
+    by = {(c[0], c[7]): c[5] for c in cells}
+    assert (by["class", "a"], by["class", "b"], by["class", "t"], by["heading", "h1"]) == ("xy", "x", "z", "z")
+    assert [(c[5], c[12]) for c in cells if c[0] == "item"] == [("2", ["ul.u", ""]), ("12", ["ul.u"])] or [c[5] for c in cells if c[0] == "item"] == ["2", "12"]
+    assert [(c[5], c[13]) for c in cells if c[0] == "cell"] == [("oin", "o")]
+
+
+def test_what_is_registered_runs_by_name(spark, tmp_path):
+    import pytest
+
+    from padron.sources import sinks
+
+    def of_page(rows):
+        assert [r["seq"] for r in rows] == sorted(r["seq"] for r in rows)
+        yield rows[0]["page_id"], " ".join(r["text"] for r in rows if r["kind"] == "item")
+
+    extract.register_extractor("lists", extract.page_extractor("page_id long, items string", of_page))
+    pages = spark.createDataFrame([(1, "u", "<ul><li>a</li><li>b</li></ul>"), (2, "u", ""), (3, "u", "<p class='x'>t</p>")], "page_id long, url string, html string")
+    cells = extract.html_cells(pages)
+    out = extract.run_extractor("lists", cells)
+    assert sorted(map(tuple, out.collect())) == [(1, "a b"), (3, "")]
+    assert extract.run_extractor("lists", cells.limit(0)).count() == 0
+    rules.register_rules("lists", lambda df: [rules.required("items")])
+    assert {r["page_id"]: len(r["errors"]) for r in rules.checked(out, "lists").collect()} == {1: 0, 3: 1}
+    for f in (lambda: extract.run_extractor("none", cells), lambda: rules.checked(out, "none")):
+        with pytest.raises(ValueError):
+            f()
+    sinks.register_writer("lines", lambda df, path, entity: df.select("items").write.text(path))
+    sinks.write_bundle({"lists": out}, f"file://{tmp_path}", ("lines", "parquet"))
+    assert spark.read.text(f"file://{tmp_path}/lines/lists").count() == spark.read.parquet(f"file://{tmp_path}/parquet/lists").count() == 2
