@@ -135,9 +135,21 @@ def hot_subset_cert(cert: DataFrame) -> DataFrame:
     return cert.filter(F.col("estatus") == "Vigente").select("cert_id", "tipo", "nombre_legal", "estado", "estado_inegi")
 
 
+def folded_words(text: Column) -> Column:
+    """Words of a text in lower case and without accents; none of a null one."""
+    words = F.filter(F.split(F.lower(fold_accents(text)), r"[^a-z0-9]+"), lambda w: w != "")
+    return F.coalesce(words, F.array().cast("array<string>"))
+
+
 def token_search(df: DataFrame, q: str, fields: list[str]) -> DataFrame:
     """Rows with at least one word of q among the words of the fields; case and accents do not matter."""
-    text = F.lower(fold_accents(F.concat_ws(" ", *fields)))
-    wanted = F.split(F.lower(fold_accents(F.lit(q))), r"[^a-z0-9]+")
-    wanted = F.filter(wanted, lambda w: w != "")
-    return df.filter(F.arrays_overlap(F.split(text, r"[^a-z0-9]+"), wanted))
+    return df.filter(F.arrays_overlap(folded_words(F.concat_ws(" ", *fields)), folded_words(F.lit(q))))
+
+
+def page_after(df: DataFrame, keys: list[str], last: tuple | None, limit: int) -> DataFrame:
+    """The next page after the last row's keys, in order of the keys, which must not be null: the scan skips what lies before,
+    at any depth, where an offset reads and sorts it."""
+    if last is not None:
+        tests = [reduce(lambda a, b: a & b, [*[F.col(k) == F.lit(v) for k, v in zip(keys[:i], last)], F.col(keys[i]) > F.lit(last[i])]) for i in range(len(keys))]
+        df = df.filter(reduce(or_, tests))
+    return df.orderBy(*keys).limit(limit)

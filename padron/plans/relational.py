@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from padron.operators import aggregates as agg
 from padron.operators import choose, joins, listing, sets
+from padron.operators.wordindex import WordIndex
 from padron.plans.catalog import query
 from padron.sources.storage import scratch
 from padron.streaming import metrics
@@ -97,6 +98,41 @@ def c15(r):
     return listing.token_search(r.ec, "Ríng SMALL", ["titulo"]).select("ec_clave", "titulo")
 
 
+_NOW = "(select ec_clave, case when comite_id < 5 then 'SMALL thing' else titulo end as titulo, descripcion from ec)"
+_FOUND = "list_filter(['ring', 'small', 's2'], lambda w: list_contains(string_split_regex(lower({0}), '[^a-z0-9]+'), w))"
+
+
+@query("C15_index_matches", f"select ec_clave, titulo from {_NOW} where len({_FOUND.format('titulo')}) > 0")
+def c15b(r):
+    index = WordIndex(r.spark, scratch(r.spark, "words"), 32)
+    index.add(r.ec, "ec", "ec_clave", ["titulo"], 0)
+    # the titles of some committees change; what the index knew of them is no match any more
+    now = r.ec.withColumn("titulo", F.when(F.col("comite_id") < 5, "SMALL thing").otherwise(F.col("titulo")))
+    index.add(now.filter("comite_id < 5"), "ec", "ec_clave", ["titulo"], 1)
+    return index.matches(now, "ec", "ec_clave", ["titulo"], "Ríng small S2").select("ec_clave", "titulo")
+
+
+_TEXTS = "(select 'ec' as entity, ec_clave as key, concat_ws(' ', titulo, descripcion) as t from ec union all select 'cert', cert_id, concat_ws(' ', nombre_legal, siglas) from cert)"
+_HITS = f"(select entity, key, unnest({_FOUND.format('t')}) as word from {_TEXTS})"
+
+
+@query("C15_index_search", f"select entity, key, string_agg(word, ',' order by word) as words, round(sum(w), 9) as score from {_HITS} join (select word, 1.0::double / count(*) as w from {_HITS} group by word) using (word) group by entity, key")
+def c15c(r):
+    # one index over two entities
+    index = WordIndex(r.spark, scratch(r.spark, "words"), 32)
+    index.add(r.ec, "ec", "ec_clave", ["titulo", "descripcion"], 0)
+    index.add(r.cert, "cert", "cert_id", ["nombre_legal", "siglas"], 0)
+    return index.search("small Ring s2 none").select("entity", "key", F.array_join("words", ",").alias("words"), "score")
+
+
+@query("C8_page_after", "select ec_clave, titulo from (select *, row_number() over (order by ec_clave) as n from ec) where n > 60 and n <= 120")
+def c8b(r):
+    # the second page, by the last key of the first
+    rows = r.ec.select("ec_clave", "titulo")
+    first = listing.page_after(rows, ["ec_clave"], None, 60)
+    return listing.page_after(rows, ["ec_clave"], (first.agg(F.max("ec_clave")).first()[0],), 60)
+
+
 # ---- D ----
 
 

@@ -401,3 +401,36 @@ def test_what_is_registered_runs_by_name(spark, tmp_path):
     sinks.register_writer("lines", lambda df, path, entity: df.select("items").write.text(path))
     sinks.write_bundle({"lists": out}, f"file://{tmp_path}", ("lines", "parquet"))
     assert spark.read.text(f"file://{tmp_path}/lines/lists").count() == spark.read.parquet(f"file://{tmp_path}/parquet/lists").count() == 2
+
+
+def test_word_index_reads_the_asked_words_alone(spark, tmp_path):
+    from padron.operators.wordindex import WordIndex
+
+    rows = [(f"k{i}", f"Común palabra{i % 50}") for i in range(500)] + [("n", None), (None, "palabra1"), ("e", ""), ("long", "x " * 9000 + "palabra7")]
+    df = spark.createDataFrame(rows, "k string, t string")
+    index = WordIndex(spark, f"file://{tmp_path}/i", 16)
+    assert index.search("a").count() == 0
+    index.add(df, "e", "k", ["t"], 0)
+    for q in ("PALABRA7 nada", "comun", "palabrá1, palabra2!", "", "...", "x"):
+        assert sorted(map(tuple, index.matches(df, "e", "k", ["t"], q).collect())) == sorted(r for r in map(tuple, listing.token_search(df, q, ["t"]).collect()) if r[0] is not None)
+    found = index.postings("palabra7 palabra8")
+    read = {f.split("bucket=")[1].split("/")[0] for f in found.inputFiles()}
+    assert len(read) <= 2 < 16
+    best = index.search("comun palabra7", 3).collect()
+    assert [(r["key"], r["words"]) for r in best] == [("k107", ["comun", "palabra7"]), ("k157", ["comun", "palabra7"]), ("k207", ["comun", "palabra7"])]
+    # a batch that is added again replaces itself; a changed row is found by its new words alone
+    changed = spark.createDataFrame([("k7", "otra")], "k string, t string")
+    for _ in range(2):
+        index.add(changed, "e", "k", ["t"], 1)
+    now = df.filter("k is distinct from 'k7'").unionByName(changed)
+    assert [r["k"] for r in index.matches(now, "e", "k", ["t"], "otra").collect()] == ["k7"]
+    assert "k7" not in {r["k"] for r in index.matches(now, "e", "k", ["t"], "palabra7").collect()}
+    assert index.postings("otra").count() == 1
+
+
+def test_pages_after_the_last_row(spark):
+    df = spark.createDataFrame([(a, b) for a in (1, 2, 3) for b in ("x", "y")], "a int, b string")
+    seen, last = [], None
+    while rows := [tuple(r) for r in listing.page_after(df, ["a", "b"], last, 4).collect()]:
+        seen, last = seen + rows, rows[-1]
+    assert seen == sorted(seen) and len(seen) == 6
