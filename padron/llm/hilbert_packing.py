@@ -2,7 +2,7 @@
 
 Documents get a vector of hashed byte strings, projected to a few dimensions and placed on
 a Hilbert curve. Sorting by ranges of the curve's key brings similar documents next to
-each other; each range, of about equal bytes, then cuts its stream of tokens into sequences.
+each other, at any density of the curve; each range then cuts its stream of tokens into sequences.
 """
 
 from __future__ import annotations
@@ -22,9 +22,8 @@ from padron.llm.common import mix64, shuffle_partitions, small_batches
 
 LENGTH, END = 2048, 1
 DIMENSIONS, BITS = 4, 12
-#: Bytes of text a range of the curve holds, and cells of the curve whose bytes are counted.
+#: Bytes of text that a range of the curve holds on average.
 PARTITION_BYTES = 24_000_000
-CELL_BITS = 14
 
 
 def default_tokenizer() -> str:
@@ -127,40 +126,28 @@ def hilbert_key(points: np.ndarray) -> np.ndarray:
 
 
 def with_curve_key(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, curve) of each row."""
+    """(doc_id, text, place, curve) of each row; place tells rows apart by where they were read."""
 
     def run(batches):
         for b in batches:
             texts = b.column(1).to_pylist()
             points = np.array([coordinates(t) for t in texts]).reshape(-1, DIMENSIONS)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hilbert_key(points), pa.int64())], ["doc_id", "text", "curve"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hilbert_key(points), pa.int64())], ["doc_id", "text", "place", "curve"])
 
-    body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return body.mapInArrow(run, "doc_id long, text binary, curve long")
+    body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.monotonically_increasing_id().alias("place"))
+    return body.mapInArrow(run, "doc_id long, text binary, place long, curve long")
 
 
-def ranges(cells: dict[int, int], parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first range, number of ranges) of every cell of the curve, in order, with about equal bytes in each range.
+def along_the_curve(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """with_curve_key() in ranges of the curve, sorted within them; PARTITION_BYTES a range on average.
 
-    cells: bytes by cell. A cell heavier than a range is dealt to several of its own.
+    Ties of the curve go by id, text and place, so a dense cell, copies of one text and even equal rows are cut into
+    several ranges like any others, and what is alike stays together.
     """
-    n = 1 << CELL_BITS
-    size = np.zeros(n)
-    size[list(cells)] = list(cells.values())
-    target = max(1.0, size.sum() / parts)
-    first, count = np.zeros(n, np.int64), np.ones(n, np.int64)
-    at, held = 0, 0.0
-    for c in range(n):
-        if size[c] > target:
-            at += held > 0
-            first[c], count[c] = at, int(np.ceil(size[c] / target))
-            at, held = at + int(count[c]), 0.0
-            continue
-        if held + size[c] > target:
-            at, held = at + 1, 0.0
-        first[c] = at
-        held += size[c]
-    return first, count
+    total = documents.agg(F.sum(F.coalesce(F.octet_length(F.col("text").cast("binary")), F.lit(0)) + 64)).first()[0] or 0
+    parts = max(shuffle_partitions(spark), -(-total // PARTITION_BYTES))
+    keys = ["curve", "doc_id", "th", "place"]
+    return with_curve_key(documents).withColumn("th", F.xxhash64("text")).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
 
 
 def last_lengths(n: int) -> list[int]:
@@ -179,18 +166,7 @@ def pack(spark: SparkSession, documents: DataFrame, tokenizer: str | None = None
     """
     path = tokenizer or default_tokenizer()
     small_batches(spark)
-    placed = with_curve_key(documents)
-    cell = F.shiftright("curve", DIMENSIONS * BITS - CELL_BITS).cast("int")
-    # a row of each cell comes back; a row without text counts for something too
-    weighed = placed.groupBy(cell.alias("cell")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64).alias("bytes")).collect()
-    cells = {r["cell"]: r["bytes"] for r in weighed}
-    parts = max(shuffle_partitions(spark), -(-sum(cells.values()) // PARTITION_BYTES))
-    first, count = ranges(cells, parts)
-    table = spark.createDataFrame(pa.table({"cell": pa.array(np.arange(len(first)), pa.int32()), "first": pa.array(first), "count": pa.array(count)}))
-    # 2^CELL_BITS rows at any size; copies of one text and id in a heavy cell are told apart by where they were read
-    salt = F.xxhash64("curve", "doc_id", F.spark_partition_id())
-    dealt = placed.withColumn("cell", cell).join(F.broadcast(table), "cell").withColumn("range", (F.col("first") + F.pmod(salt, "count")).cast("int"))
-    ordered = dealt.select("doc_id", "text", "curve", "range").repartitionById(int((first + count).max()), "range").sortWithinPartitions("curve", "doc_id", F.xxhash64("text"))
+    ordered = along_the_curve(spark, documents)
 
     def run(batches):
         sequence, held, pending = TaskContext.get().partitionId() << 40, 0, []

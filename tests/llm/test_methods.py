@@ -248,17 +248,39 @@ def test_like_documents_share_sequences(spark):
     assert all(n == 2048 or n & (n - 1) == 0 for n in tokens)
 
 
-def test_ranges_hold_about_equal_bytes():
+def test_dense_cells_are_cut_along_the_curve(spark, monkeypatch):
+    """Half of the rows in one small part of the curve, many of them copies: ranges are about equal, in order, and neighbours stay."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(hilbert_packing, "PARTITION_BYTES", 20_000)
     rng = np.random.default_rng(7)
-    cells = {int(c): int(b) for c, b in zip(rng.integers(0, 1 << hilbert_packing.CELL_BITS, 3000), rng.pareto(1.0, 3000) * 1000 + 1)}
-    cells[77] = sum(cells.values()) // 2
-    first, count = hilbert_packing.ranges(cells, 50)
-    load = {}
-    for c, b in cells.items():
-        for k in range(int(count[c])):
-            load[int(first[c]) + k] = load.get(int(first[c]) + k, 0) + b / count[c]
-    assert max(load.values()) <= 1.01 * sum(cells.values()) / 50
-    assert (np.diff(first) >= 0).all() and count[77] >= 16
+    base = [f"w{i}" for i in range(80)]
+    near = [(i, " ".join(base[:70] + rng.choice(base, 3).tolist())) for i in range(400)]
+    copies = [(1000 + i % 150, "copy of one text " * 20) for i in range(300)]
+    other = [(3000 + i, " ".join(f"{c}{x}" for c in rng.choice(list("abcdef"), 3) for x in rng.integers(0, 99, 20))) for i in range(300)]
+    df = documents(spark, near + copies + other)
+    got = hilbert_packing.along_the_curve(spark, df).select(F.spark_partition_id().alias("range"), "curve", "doc_id").collect()
+    sizes = np.bincount([r["range"] for r in got])
+    assert len(sizes) > 12 and sizes.max() <= 2.5 * sizes.mean()
+    # ranges follow the curve, and no key is dealt about
+    spans = {}
+    for r in got:
+        lo, hi = spans.get(r["range"], (r["curve"], r["curve"]))
+        spans[r["range"]] = min(lo, r["curve"]), max(hi, r["curve"])
+    ordered = [spans[k] for k in sorted(spans)]
+    assert all(a[1] <= b[0] for a, b in zip(ordered, ordered[1:]))
+    assert len({r["range"] for r in got if 1000 <= r["doc_id"] < 3000}) >= 3
+    pieces = hilbert_packing.pack(spark, df)
+    assert pieces.count() >= 1000 and pieces.select("doc_id").distinct().count() == 850
+
+
+def test_equal_rows_fill_several_ranges(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(hilbert_packing, "PARTITION_BYTES", 2_000)
+    df = documents(spark, [(1, "the same row, again and again")] * 300)
+    got = hilbert_packing.along_the_curve(spark, df).groupBy(F.spark_partition_id()).count().collect()
+    assert len(got) > 5 and max(r["count"] for r in got) < 100
 
 
 # ---- 6 ----
