@@ -324,6 +324,27 @@ def test_shared_counts_of_a_block():
 # ---- 7 ----
 
 
+def test_recall_is_measured_where_nothing_links(spark, monkeypatch):
+    """Random vectors have no links: planted pairs tell whether any would be found, and a graph that finds none fails."""
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 32)))] + [(400, None), (401, [0.0] * 32), (402, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nn_descent.near_duplicates(spark, df).collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got} == {(i, 0, i, True) for i in range(403)}
+    classes = spark.createDataFrame([(7, 7, 1, 32, np.eye(32)[3].tobytes())], "node long, first long, weight long, dim int, unit binary")
+    partner = np.frombuffer(nn_descent.planted(classes).first()["unit"], np.float64)
+    assert nn_descent.COSINE <= partner[3] <= nn_descent.COSINE + 1e-5 and abs(partner @ partner - 1) < 1e-12
+    monkeypatch.setattr(nn_descent, "TRIES", 1)
+    found = nn_descent.confirmed
+    monkeypatch.setattr(nn_descent, "confirmed", lambda graph, nodes: found(graph, nodes).limit(0))
+    with pytest.raises(RuntimeError):
+        nn_descent.near_duplicates(spark, df)
+    # with many true links the audit itself sees that they are missing
+    many = spark.createDataFrame([(i, (np.eye(16)[i % 16] + 0.01 * v).tolist()) for i, v in enumerate(rng.normal(size=(300, 16)))], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError):
+        nn_descent.near_duplicates(spark, many)
+
+
 def test_every_component_of_vectors(spark, monkeypatch):
     monkeypatch.setattr(nn_descent, "BLOCK", 8)
     rng = np.random.default_rng(9)
