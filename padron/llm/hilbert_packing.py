@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import base64
+import math
 import re
 import zlib
 
@@ -22,8 +23,9 @@ from padron.llm.common import mix64, shuffle_partitions, small_batches
 
 LENGTH, END = 2048, 1
 DIMENSIONS, BITS = 4, 12
-#: Bytes of text that a range of the curve holds on average.
-PARTITION_BYTES = 24_000_000
+#: Bytes of text that a range of the curve holds on average; with more than LARGE in all, ranges grow with the root of the
+#: input as their number does, so that 100 TB make 130,000 ranges.
+PARTITION_BYTES, LARGE = 24_000_000, 100_000_000_000
 
 
 def default_tokenizer() -> str:
@@ -139,13 +141,14 @@ def with_curve_key(docs: DataFrame) -> DataFrame:
 
 
 def along_the_curve(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """with_curve_key() in ranges of the curve, sorted within them; PARTITION_BYTES a range on average.
+    """with_curve_key() in ranges of the curve, sorted within them; PARTITION_BYTES or more a range on average.
 
     Ties of the curve go by id, text and place, so a dense cell, copies of one text and even equal rows are cut into
     several ranges like any others, and what is alike stays together.
     """
     total = documents.agg(F.sum(F.coalesce(F.octet_length(F.col("text").cast("binary")), F.lit(0)) + 64)).first()[0] or 0
-    parts = max(shuffle_partitions(spark), -(-total // PARTITION_BYTES))
+    held = PARTITION_BYTES * max(1.0, (total / LARGE) ** 0.5)
+    parts = max(shuffle_partitions(spark), math.ceil(total / held))
     keys = ["curve", "doc_id", "th", "place"]
     return with_curve_key(documents).withColumn("th", F.xxhash64("text")).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
 
