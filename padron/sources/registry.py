@@ -125,10 +125,16 @@ class Registry:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def sql(self, text: str) -> DataFrame:
-        tables = {t: self.base(t) for t in BASE_TABLES if re.search(rf"\b{t}\b", with_views(text))}
-        for t, df in tables.items():
-            df.createOrReplaceTempView(t)
-        return self.spark.sql(with_views(text))
+        """A query over the views; the session's own temporary views are left alone."""
+        frames: dict[str, DataFrame] = {}
+
+        def named(m):
+            frames[m[2]] = self.base(m[2])
+            return f"{m[1]} {{{m[2]}}}"
+
+        body = with_views(text).replace("{", "{{").replace("}", "}}")
+        body = re.sub(rf"\b(from|join)\s+({'|'.join(BASE_TABLES)})\b", named, body, flags=re.I)
+        return self.spark.sql(body, **frames)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in VIEWS:
