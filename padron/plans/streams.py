@@ -96,12 +96,12 @@ def m2b(r):
 def m3(r):
     src = scratch(r.spark, "upsert-in")
     df = r.documents.select(F.expr(_KEY).alias("k"), "lang", C("doc_id").alias("extracted_at"))
-    # two files, and so two batches, of which the one written later has the larger ids; keys of the middle are in both
+    out, cp = scratch(r.spark, "upsert-out"), scratch(r.spark, "cp")
+    # two batches, of which the later has the larger ids; keys of the middle are in both
     middle = df.agg(F.expr("percentile_approx(extracted_at, 0.5)")).first()[0] or 0
     for half in (C("extracted_at") <= middle, C("extracted_at") > middle):
-        df.filter(half).coalesce(1).write.mode("append").parquet(src)
-    out = scratch(r.spark, "upsert-out")
-    items.stream_upsert(items.read_stream(r.spark, src, df.schema, 1), out, "k", ["lang", "extracted_at"], scratch(r.spark, "cp"), buckets=16).awaitTermination()
+        df.filter(half).write.mode("append").parquet(src)
+        items.stream_upsert(items.read_stream(r.spark, src, df.schema), out, "k", ["lang", "extracted_at"], cp, buckets=16).awaitTermination()
     return MergeTable(r.spark, out, "k", ["lang", "extracted_at"], 16).rows().select("k", "lang", C("extracted_at").alias("last_seen"))
 
 
