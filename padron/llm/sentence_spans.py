@@ -116,7 +116,7 @@ def sentences(text: bytes | None) -> list[bytes]:
 
 
 def _runs(units: _Units, min_words: int) -> tuple[np.ndarray, ...]:
-    """(text, hash, check, first, last) of the runs; hash and check are two polynomials, 128 bits together."""
+    """(text, hash, check, first, last) of the runs; hash and check are two polynomials, of which 96 bits are joined on."""
     k = np.arange(len(units.starts))
     if not len(k):
         return k, k, k, k, k
@@ -171,11 +171,11 @@ def duplicate_spans(documents: DataFrame, min_words: int = 0) -> DataFrame:
                 ids, rows, texts = b.slice(a, 200).columns
                 at, hashes, checks, firsts, lasts = _runs(_Units([_split(t) for t in texts.to_pylist()]), min_words)
                 at = pa.array(at)
-                yield pa.RecordBatch.from_arrays([ids.take(at), rows.take(at), pa.array(hashes, pa.int64()), pa.array(checks, pa.int64()), pa.array(firsts.astype(np.int32)), pa.array(lasts.astype(np.int32))], ["doc_id", "row", "hash", "check", "first", "last"])
+                yield pa.RecordBatch.from_arrays([ids.take(at), rows.take(at), pa.array(hashes, pa.int64()), pa.array((checks >> 32).astype(np.int32)), pa.array(firsts.astype(np.int32)), pa.array(lasts.astype(np.int32))], ["doc_id", "row", "hash", "check", "first", "last"])
 
     body = documents.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text"))
     # the texts are cut once; what is written are places
-    places = materialize(body.mapInArrow(run, "doc_id long, row long, hash long, check long, first int, last int"))
+    places = materialize(body.mapInArrow(run, "doc_id long, row long, hash long, check int, first int, last int"))
     # partial minima and counts leave the map side: a run in a third of all rows is one row a task. They are
     # written before the join: two plain exchanges can split a hot hash
     heads = materialize(places.groupBy("hash", "check").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("head")).where("n > 1").select("hash", "check", "head"))
