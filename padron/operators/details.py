@@ -1,115 +1,185 @@
 """Fields of detail pages: for each field, the places where its value may stand, in order of preference.
 
-A page's cells are one sorted array; a place is an expression over it that gives all values found there, in
-order of the page. A field takes the first value that is not empty, a list field all values of the first place
-that has any.
+A place says which cells hold a value. Each cell gives an entry for every place that it is at, all other cells are
+dropped before the shuffle, and a page's entries are one small array. A field takes the first value that is not
+empty, a list field all values of the first place that has any.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PARTS = ("seq", "kind", "tag", "tr", "col", "label", "lead", "text", "href", "css_class", "under")
-
-
-def page_arrays(cells: DataFrame) -> DataFrame:
-    """(page_id, url, c): a page's cells in order; a page is bounded by its HTML."""
-    return cells.groupBy("page_id", "url").agg(F.sort_array(F.collect_list(F.struct(*PARTS))).alias("c"))
-
-
-def _where(test) -> Column:
-    return F.filter("c", test)
-
-
-def _texts(test) -> Column:
-    return F.transform(_where(test), lambda x: x["text"])
-
+ENTRY = "array<struct<field:int,rank:int,x:int,seq:int,value:string>>"
+#: Texts of label cells that places name; html_cells() notes them on the cells after a label.
+MARKS = (
+    "Acreditación", "Actualización", "C.P.", "Certificador", "Clave", "Comité", "Comités", "Coordinador", "Correo", "Creación", "Cédula", "Código", "Descripción", "Domicilio", "Duración", "Elementos",
+    "Estado", "Estatus", "Estándares", "Modalidad", "Municipio", "Nivel", "Nombre", "Objetivo", "Publicación", "Representante", "Responsable", "Sector", "Siglas", "Sitio", "Teléfono", "Tipo", "Título", "Versión", "Vigencia", "Vigente",
+)
 
-def _next(x, kinds=("cell",)):
-    """What follows x in its row of a table."""
-    return F.filter("c", lambda y: (y["tr"] == x["tr"]) & (y["col"] > x["col"]) & y["kind"].isin(*kinds))
 
+class Place(NamedTuple):
+    """Cells that pass a test, or those of a kind that follow a label in their row."""
 
-def _named(mark: str) -> Column:
-    """Cells whose own text holds the mark."""
-    return _where(lambda x: x["kind"].isin("cell", "header") & (x["tr"] >= 0) & x["lead"].contains(mark))
+    value: str | Column = "text"
+    test: Column | None = None
+    mark: str | None = None
+    kind: str = "cell"
+    nearest: bool = False
+    joined: bool = False
 
 
-def after(mark: str) -> Column:
+def after(mark: str) -> Place:
     """The first text that is not empty in the cells after one that holds the mark."""
-    return F.transform(_named(mark), lambda x: F.get(F.filter(F.transform(_next(x), lambda y: y["text"]), lambda t: t != ""), F.lit(0)))
+    return Place(mark=mark, nearest=True)
 
 
-def all_after(mark: str) -> Column:
+def all_after(mark: str) -> Place:
     """The texts of all cells after one that holds the mark, joined."""
-    return F.transform(_named(mark), lambda x: F.concat_ws(" ", F.filter(F.transform(_next(x), lambda y: y["text"]), lambda t: t != "")))
+    return Place(mark=mark, joined=True)
 
 
-def parts_after(mark: str, kind: str, field: str = "text") -> Column:
+def parts_after(mark: str, kind: str, field: str = "text") -> Place:
     """Links or list items in the cells after one that holds the mark."""
-    return F.flatten(F.transform(_named(mark), lambda x: F.transform(_next(x, (kind,)), lambda y: y[field])))
+    return Place(field, mark=mark, kind=kind)
 
 
-def labelled(label: str) -> Column:
+def labelled(label: str) -> Place:
     """Values whose header or term is the label, whole and in any case."""
-    return _texts(lambda x: x["kind"].isin("cell", "value") & (x["label"] == label))
+    return Place(test=F.col("kind").isin("cell", "value") & (F.col("label") == label))
 
 
-def of_class(tag: str, name: str) -> Column:
-    return _texts(lambda x: (x["kind"] == "class") & (x["tag"] == tag) & (x["css_class"] == name))
+def _element(kind: str, tag: str) -> Column:
+    return (F.col("kind") == kind) & (F.col("tag") == tag)
 
 
-def of_class_like(tag: str, part: str) -> Column:
-    return _texts(lambda x: (x["kind"] == "class") & (x["tag"] == tag) & x["css_class"].contains(part))
+def of_class(tag: str, name: str) -> Place:
+    return Place(test=_element("class", tag) & (F.col("css_class") == name))
 
 
-def of_id(tag: str, name: str) -> Column:
-    return _texts(lambda x: (x["kind"] == "id") & (x["tag"] == tag) & (x["css_class"] == name))
+def of_class_like(tag: str, part: str) -> Place:
+    return Place(test=_element("class", tag) & F.col("css_class").contains(part))
 
 
-def of_tag(tag: str) -> Column:
-    return _texts(lambda x: x["kind"].isin("heading", "element") & (x["tag"] == tag))
+def of_id(tag: str, name: str) -> Place:
+    return Place(test=_element("id", tag) & (F.col("css_class") == name))
 
 
-def items_in(owner: str) -> Column:
-    """List items below an element, written tag.class."""
-    return _texts(lambda x: (x["kind"] == "item") & F.array_contains(x["under"], owner))
-
-
-def classed_in(owner: str, tag: str, name: str) -> Column:
-    return _texts(lambda x: (x["kind"] == "class") & (x["tag"] == tag) & (x["css_class"] == name) & F.array_contains(x["under"], owner))
-
+def of_tag(tag: str) -> Place:
+    return Place(test=F.col("kind").isin("heading", "element") & (F.col("tag") == tag))
 
-def links_in(owner: str, part: str) -> Column:
-    return _texts(lambda x: (x["kind"] == "link") & x["href"].contains(part) & F.array_contains(x["under"], owner))
 
-
-def link_texts(part: str) -> Column:
-    return _texts(lambda x: (x["kind"] == "link") & x["href"].contains(part))
+def items_in(owner: str) -> Place:
+    """List items below an element, written tag.class."""
+    return Place(test=(F.col("kind") == "item") & F.array_contains("under", owner))
 
 
-def from_links(pattern: str, *parts: str) -> Column:
-    """What the pattern finds in the addresses of links that hold all parts."""
+def classed_in(owner: str, tag: str, name: str) -> Place:
+    return Place(test=_element("class", tag) & (F.col("css_class") == name) & F.array_contains("under", owner))
 
-    def test(x):
-        ok = x["kind"] == "link"
-        for p in parts:
-            ok = ok & x["href"].contains(p)
-        return ok
 
-    return F.transform(_where(test), lambda x: F.regexp_extract(x["href"], pattern, 1))
+def links_in(owner: str, part: str) -> Place:
+    return Place(test=(F.col("kind") == "link") & F.col("href").contains(part) & F.array_contains("under", owner))
 
 
-def first(*places: Column) -> Column:
-    """The first value that is not empty, place by place."""
-    return F.coalesce(*[F.get(F.filter(p, lambda v: F.trim(v) != ""), F.lit(0)) for p in places])
+def link_texts(part: str) -> Place:
+    return Place(test=(F.col("kind") == "link") & F.col("href").contains(part))
 
 
-def many(*places: Column) -> Column:
-    """All values of the first place that has one."""
-    kept = [F.transform(F.filter(p, lambda v: F.trim(v) != ""), lambda v: F.trim(v)) for p in places]
-    return F.coalesce(*[F.when(F.size(k) > 0, k) for k in kept], F.array().cast("array<string>"))
+def from_links(pattern: str, *parts: str) -> Place:
+    """What the pattern finds in the addresses of links that hold all parts."""
+    test = F.col("kind") == "link"
+    for p in parts:
+        test = test & F.col("href").contains(p)
+    return Place(F.regexp_extract("href", pattern, 1), test)
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also where body uses it within a function of array elements."""
+    return F.transform(F.array(value), body)[0]
+
+
+class Fields:
+    """The places of a kind of page, numbered; first() and many() are columns over a page's entries."""
+
+    def __init__(self):
+        self.fields: list[tuple[Place, ...]] = []
+
+    def _own(self, places) -> Column:
+        for p in places:
+            if p.mark and p.mark not in MARKS:
+                raise ValueError(f"{p.mark} is none of the marks that cells note")
+        self.fields.append(places)
+        i = len(self.fields) - 1
+        return F.filter("c", lambda e: e["field"] == i)
+
+    def first(self, *places: Place) -> Column:
+        """The first value that is not empty, place by place."""
+        own = self._own(places)
+        best = F.array_min(own)
+        joined = [r for r, p in enumerate(places) if p.joined]
+        if not joined:
+            return best["value"]
+
+        def whole(b):
+            parts = F.filter(own, lambda e: (e["rank"] == b["rank"]) & (e["x"] == b["x"]))
+            return F.when(b["rank"].isin(joined), F.array_join(F.transform(F.array_sort(parts), lambda e: e["value"]), " ")).otherwise(b["value"])
+
+        return let(best, whole)
+
+    def many(self, *places: Place) -> Column:
+        """All values of the first place that has one."""
+        own = self._own(places)
+        kept = let(F.array_min(own)["rank"], lambda r: F.filter(own, lambda e: e["rank"] == r))
+        return F.transform(F.array_sort(kept), lambda e: F.trim(e["value"]))
+
+    def _plain(self):
+        return [(i, rank, p, F.col(p.value) if isinstance(p.value, str) else p.value) for i, places in enumerate(self.fields) for rank, p in enumerate(places) if not p.mark]
+
+    def wanted(self) -> Column:
+        """Whether a cell gives entries: a test of its own columns that needs no arrays. A page's first cell
+        always gives one, so that no page is lost."""
+        test = (F.col("seq") == 0) | (F.size("labels") > 0)
+        for _, _, p, _ in self._plain():
+            test = test | F.coalesce(p.test, F.lit(False))
+        return test
+
+    def entries(self) -> Column:
+        """The entries of one cell, one by one concatenated, as functions of array elements are slow."""
+        none = F.array().cast(ENTRY)
+        parts = [F.when(F.col("seq") == 0, F.array(_entry(-1, 0, F.lit(None).cast("string")))).otherwise(none)]
+        parts += [F.when(p.test & (F.trim(value) != ""), F.array(_entry(i, rank, value))).otherwise(none) for i, rank, p, value in self._plain()]
+        marked: dict[str, list] = {}
+        for i, places in enumerate(self.fields):
+            for rank, p in enumerate(places):
+                if p.mark:
+                    marked.setdefault(f"{p.kind} {p.mark}", []).append(F.struct(F.lit(i).alias("field"), F.lit(rank).alias("rank"), F.lit(p.nearest).alias("nearest"), F.lit(p.value == "href").alias("href")))
+        where = F.create_map(*[x for key, uses in marked.items() for x in (F.lit(key), F.array(*uses))])
+
+        def of_label(n):
+            uses = F.filter(F.element_at(where, F.concat_ws(" ", "kind", n["mark"])), lambda u: ~u["nearest"] | n["nearest"])
+            return F.coalesce(F.transform(uses, lambda u: _entry(u["field"], u["rank"], F.when(u["href"], F.col("href")).otherwise(F.col("text")), n["seq"])), none)
+
+        after_labels = F.filter(F.flatten(F.transform("labels", of_label)), lambda e: F.trim(e["value"]) != "")
+        return F.concat(*parts, F.when(F.size("labels") > 0, after_labels).otherwise(none))
+
+
+def _entry(field, rank, value: Column, x=0) -> Column:
+    parts = [v if isinstance(v, Column) else F.lit(v) for v in (field, rank, x)]
+    return F.struct(parts[0].cast("int").alias("field"), parts[1].cast("int").alias("rank"), parts[2].cast("int").alias("x"), F.col("seq").alias("seq"), value.alias("value"))
+
+
+def page_fields(cells: DataFrame, places, keep: Column | None = None, *gathered: Column) -> DataFrame:
+    """(page_id, url, fields of places, gathered): one row a page, in one pass over its cells. keep names
+    further cells that the aggregates `gathered` want."""
+    f = Fields()
+    columns = places(f)
+    wanted = f.wanted()
+    rows = cells.filter(wanted if keep is None else wanted | keep).withColumn("e", F.when(wanted, f.entries()))
+    pages = rows.groupBy("page_id", "url").agg(F.flatten(F.collect_list("e")).alias("c"), *gathered)
+    return pages.select("page_id", "url", *[v.alias(k) for k, v in columns.items()], *[c for c in pages.columns if c not in ("page_id", "url", "c")])
 
 
 def codes_in(values: Column) -> Column:
@@ -121,78 +191,78 @@ def codes_in(values: Column) -> Column:
 # The places of each field, with the labels, classes and ids that pages use.
 
 
-def ec_places() -> dict[str, Column]:
+def ec_places(f: Fields) -> dict[str, Column]:
     return {
-        "clave": first(labelled("código"), after("Código"), after("Clave"), of_class("span", "ec-clave")),
-        "titulo": first(of_class("h1", "ec-title"), of_class("div", "titulo-estandar"), after("Título"), of_id("span", "titulo"), labelled("título")),
-        "version": first(after("Versión"), of_class("span", "version"), labelled("versión")),
-        "sector": first(after("Sector"), labelled("sector")),
-        "sector_id": first(from_links(r"sector=(\d+)", "sector=")),
-        "comite": first(after("Comité"), labelled("comité")),
-        "comite_id": first(from_links(r"comite=(\d+)", "comite=")),
-        "descripcion": first(of_class("div", "descripcion"), all_after("Descripción"), of_id("div", "descripcion"), labelled("descripción")),
-        "competencias": many(items_in("ul.competencias"), of_class("div", "competencia-item"), parts_after("Elementos", "item")),
-        "nivel": first(after("Nivel"), labelled("nivel")),
-        "duracion": first(after("Duración"), labelled("duración")),
-        "tipo_norma": first(after("Tipo"), labelled("tipo de norma")),
-        "fecha_publicacion": first(after("Publicación"), labelled("fecha de publicación")),
-        "fecha_vigencia": first(after("Vigencia"), labelled("fecha de vigencia")),
-        "perfil_evaluador": first(of_class_like("div", "perfil-evaluador")),
-        "criterios_evaluacion": many(items_in("div.criterios")),
-        "vigente": first(labelled("vigente"), after("Vigente")),
+        "clave": f.first(labelled("código"), after("Código"), after("Clave"), of_class("span", "ec-clave")),
+        "titulo": f.first(of_class("h1", "ec-title"), of_class("div", "titulo-estandar"), after("Título"), of_id("span", "titulo"), labelled("título")),
+        "version": f.first(after("Versión"), of_class("span", "version"), labelled("versión")),
+        "sector": f.first(after("Sector"), labelled("sector")),
+        "sector_id": f.first(from_links(r"sector=(\d+)", "sector=")),
+        "comite": f.first(after("Comité"), labelled("comité")),
+        "comite_id": f.first(from_links(r"comite=(\d+)", "comite=")),
+        "descripcion": f.first(of_class("div", "descripcion"), all_after("Descripción"), of_id("div", "descripcion"), labelled("descripción")),
+        "competencias": f.many(items_in("ul.competencias"), of_class("div", "competencia-item"), parts_after("Elementos", "item")),
+        "nivel": f.first(after("Nivel"), labelled("nivel")),
+        "duracion": f.first(after("Duración"), labelled("duración")),
+        "tipo_norma": f.first(after("Tipo"), labelled("tipo de norma")),
+        "fecha_publicacion": f.first(after("Publicación"), labelled("fecha de publicación")),
+        "fecha_vigencia": f.first(after("Vigencia"), labelled("fecha de vigencia")),
+        "perfil_evaluador": f.first(of_class_like("div", "perfil-evaluador")),
+        "criterios_evaluacion": f.many(items_in("div.criterios")),
+        "vigente": f.first(labelled("vigente"), after("Vigente")),
     }
 
 
-def _contact() -> dict[str, Column]:
+def _contact(f: Fields) -> dict[str, Column]:
     return {
-        "estado": F.upper(first(after("Estado"), labelled("estado"))),
-        "municipio": first(after("Municipio"), labelled("municipio")),
-        "cp": first(after("C.P.")),
-        "telefono": first(after("Teléfono"), labelled("teléfono")),
-        "correo": first(after("Correo"), link_texts("mailto:"), labelled("correo")),
-        "fecha_acreditacion": first(after("Acreditación"), labelled("fecha de acreditación")),
+        "estado": F.upper(f.first(after("Estado"), labelled("estado"))),
+        "municipio": f.first(after("Municipio"), labelled("municipio")),
+        "cp": f.first(after("C.P.")),
+        "telefono": f.first(after("Teléfono"), labelled("teléfono")),
+        "correo": f.first(after("Correo"), link_texts("mailto:"), labelled("correo")),
+        "fecha_acreditacion": f.first(after("Acreditación"), labelled("fecha de acreditación")),
     }
 
 
-def cert_places() -> dict[str, Column]:
-    return _contact() | {
-        "cedula": first(labelled("cédula"), after("Cédula")),
-        "nombre_legal": first(after("Nombre"), of_class("h1", "cert-title"), of_class("div", "nombre-legal"), labelled("nombre")),
-        "siglas": first(after("Siglas"), labelled("siglas")),
-        "estatus": F.coalesce(first(after("Estatus"), of_class("span", "status"), labelled("estatus")), F.lit("ACTIVO")),
-        "domicilio_texto": first(all_after("Domicilio"), of_class("div", "domicilio"), labelled("domicilio")),
-        "sitio_web": first(parts_after("Sitio", "link", "href"), after("Sitio"), labelled("sitio web")),
-        "representante_legal": first(after("Representante"), labelled("representante legal")),
-        "listed_codes": codes_in(many(after("Estándares"), labelled("estándares"))),
+def cert_places(f: Fields) -> dict[str, Column]:
+    return _contact(f) | {
+        "cedula": f.first(labelled("cédula"), after("Cédula")),
+        "nombre_legal": f.first(after("Nombre"), of_class("h1", "cert-title"), of_class("div", "nombre-legal"), labelled("nombre")),
+        "siglas": f.first(after("Siglas"), labelled("siglas")),
+        "estatus": F.coalesce(f.first(after("Estatus"), of_class("span", "status"), labelled("estatus")), F.lit("ACTIVO")),
+        "domicilio_texto": f.first(all_after("Domicilio"), of_class("div", "domicilio"), labelled("domicilio")),
+        "sitio_web": f.first(parts_after("Sitio", "link", "href"), after("Sitio"), labelled("sitio web")),
+        "representante_legal": f.first(after("Representante"), labelled("representante legal")),
+        "listed_codes": codes_in(f.many(after("Estándares"), labelled("estándares"))),
     }
 
 
-def centro_places() -> dict[str, Column]:
-    return _contact() | {
-        "clave": first(labelled("clave"), after("Clave")),
-        "nombre": first(of_class("h1", "centro-title"), after("Nombre"), of_class("div", "nombre-centro"), labelled("nombre")),
-        "cert_id": F.coalesce(first(from_links("id=([^&]+)", "CERT", "id=")), F.nullif(F.regexp_extract(first(after("Certificador"), labelled("certificador")), r"\b((?:ECE|OC)\d+)\b", 1), F.lit(""))),
-        "domicilio_texto": first(all_after("Domicilio"), of_class("div", "domicilio"), of_tag("address"), labelled("domicilio")),
-        "responsable": first(after("Responsable"), labelled("responsable")),
-        "coordinador": first(after("Coordinador"), labelled("coordinador")),
-        "listed_modes": many(parts_after("Modalidad", "item")),
-        "modes_text": first(after("Modalidad"), labelled("modalidades")),
-        "codes": codes_in(many(classed_in("div.estandares", "span", "ec-code"), parts_after("Estándares", "item"), items_in("ul.ec-list"), labelled("estándares"), after("Estándares"))),
+def centro_places(f: Fields) -> dict[str, Column]:
+    return _contact(f) | {
+        "clave": f.first(labelled("clave"), after("Clave")),
+        "nombre": f.first(of_class("h1", "centro-title"), after("Nombre"), of_class("div", "nombre-centro"), labelled("nombre")),
+        "cert_id": F.coalesce(f.first(from_links("id=([^&]+)", "CERT", "id=")), F.nullif(F.regexp_extract(f.first(after("Certificador"), labelled("certificador")), r"\b((?:ECE|OC)\d+)\b", 1), F.lit(""))),
+        "domicilio_texto": f.first(all_after("Domicilio"), of_class("div", "domicilio"), of_tag("address"), labelled("domicilio")),
+        "responsable": f.first(after("Responsable"), labelled("responsable")),
+        "coordinador": f.first(after("Coordinador"), labelled("coordinador")),
+        "listed_modes": f.many(parts_after("Modalidad", "item")),
+        "modes_text": f.first(after("Modalidad"), labelled("modalidades")),
+        "codes": codes_in(f.many(classed_in("div.estandares", "span", "ec-code"), parts_after("Estándares", "item"), items_in("ul.ec-list"), labelled("estándares"), after("Estándares"))),
     }
 
 
-def sector_places() -> dict[str, Column]:
+def sector_places(f: Fields) -> dict[str, Column]:
     """Of sectors and committees alike."""
     return {
-        "nombre": first(of_tag("h1"), after("Nombre"), of_class("div", "entity-name"), labelled("comité"), labelled("sector")),
-        "descripcion": first(of_class("div", "descripcion"), all_after("Descripción"), of_class("p", "description"), labelled("descripción")),
-        "objetivo": first(after("Objetivo"), labelled("objetivo")),
-        "num_comites": first(after("Comités"), labelled("número de comités")),
-        "num_estandares": first(after("Estándares"), labelled("número de estándares")),
-        "sector_of": F.coalesce(first(from_links(r"id=([^&]+)", "SECTOR", "id=")).try_cast("int"), F.regexp_extract(first(after("Sector")), r"\b(\d+)\b", 1).try_cast("int")),
-        "fecha_creacion": first(after("Creación")),
-        "fecha_actualizacion": first(after("Actualización")),
-        "email": F.lower(first(after("Correo"), labelled("correo"))),
-        "phone": first(after("Teléfono"), labelled("teléfono")),
-        "estandares": codes_in(many(links_in("div.estandares", "EC"), items_in("ul.ec-list"), parts_after("Estándares", "link"))),
+        "nombre": f.first(of_tag("h1"), after("Nombre"), of_class("div", "entity-name"), labelled("comité"), labelled("sector")),
+        "descripcion": f.first(of_class("div", "descripcion"), all_after("Descripción"), of_class("p", "description"), labelled("descripción")),
+        "objetivo": f.first(after("Objetivo"), labelled("objetivo")),
+        "num_comites": f.first(after("Comités"), labelled("número de comités")),
+        "num_estandares": f.first(after("Estándares"), labelled("número de estándares")),
+        "sector_of": F.coalesce(f.first(from_links(r"id=([^&]+)", "SECTOR", "id=")).try_cast("int"), F.regexp_extract(f.first(after("Sector")), r"\b(\d+)\b", 1).try_cast("int")),
+        "fecha_creacion": f.first(after("Creación")),
+        "fecha_actualizacion": f.first(after("Actualización")),
+        "email": F.lower(f.first(after("Correo"), labelled("correo"))),
+        "phone": f.first(after("Teléfono"), labelled("teléfono")),
+        "estandares": codes_in(f.many(links_in("div.estandares", "EC"), items_in("ul.ec-list"), parts_after("Estándares", "link"))),
     }

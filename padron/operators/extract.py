@@ -1,11 +1,12 @@
 """K1 to K9: entities and edges out of stored HTML pages.
 
-One mapInPandas turns a page into a flat table of cells; everything after it is
+One mapInArrow turns a page into a flat table of cells; everything after it is
 column expressions on that table.
 """
 
 from __future__ import annotations
 
+import html as entities
 import re
 from html.parser import HTMLParser
 
@@ -16,16 +17,25 @@ from pyspark.sql import functions as F
 from padron.functions import clean
 from padron.operators import details
 
-CELLS = "page_id long, url string, kind string, block int, row int, col int, label string, text string, href string, css_class string, inside array<int>, seq int, tr int, tag string, under array<string>, lead string"
+CELLS = "page_id long, url string, kind string, block int, row int, col int, label string, text string, href string, css_class string, inside array<int>, seq int, tr int, tag string, under array<string>, lead string, labels array<struct<mark: string, seq: int, nearest: boolean>>"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _SPACE = re.compile(r"\s+")
+_MARK = re.compile("|".join(map(re.escape, details.MARKS)))
+# Plain markup, which needs no parser: text, tags in lower case whose attributes are quoted and hold no references.
+_TAG = re.compile(r"""([^<]*)(?:<(?:/([a-z][a-z0-9]*)|([a-z][a-z0-9]*)((?:\ [a-z][a-z-]*="[^"<>]*")*))>|\Z)""")
+_ATTR = re.compile(r"""([a-z][a-z-]*)="([^"]*)\"""")
+#: Elements whose content is not markup.
+_RAW = {"script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
+#: A batch of cells ends at so many cells or characters.
+_CELLS_A_BATCH, _TEXT_A_BATCH = 20_000, 8_000_000
 
 
 class _Cells(HTMLParser):
     """Collects the fields of CELLS after the page's.
 
     inside holds the blocks of the open tables and divs with a class, under the open elements with a class as
-    tag.class. seq counts the records in order of their beginning, tr the rows of tables; lead is a cell's own
+    tag.class; labels the cells before in the same row of a table that hold a mark of details.MARKS, with their seq and whether
+    no text stands between. seq counts the records in order of their beginning, tr the rows of tables; lead is a cell's own
     text, without that of elements that are recorded themselves.
     """
 
@@ -136,29 +146,103 @@ class _Cells(HTMLParser):
                 closed = number
 
 
+def _plain(html: str) -> list[tuple] | None:
+    """The tokens (text, end tag, start tag, attributes) of plain markup; None where it takes a parser."""
+    tokens, at, raw = [], 0, None
+    for m in _TAG.finditer(html):
+        if m.start() != at:
+            return None
+        at = m.end()
+        text, end, start, attrs = m.groups()
+        if raw and end != raw or start == "plaintext":
+            return None
+        if text and "&" in text and raw not in ("script", "style"):
+            if raw and raw != "title":
+                return None
+            text = entities.unescape(text)
+        if attrs and "&" in attrs and entities.unescape(attrs) != attrs:
+            return None
+        tokens.append((text, end, start, attrs))
+        raw = start if start in _RAW else None
+        if at == len(html) and not end and not start:
+            break
+    return tokens if at == len(html) and raw is None else None
+
+
+def _feed(p: _Cells, html: str) -> None:
+    tokens = _plain(html)
+    if tokens is None:
+        p.feed(html)
+        p.close()
+        return
+    for text, end, start, attrs in tokens:
+        if text:
+            p.handle_data(text)
+        if start:
+            p.handle_starttag(start, _ATTR.findall(attrs) if attrs else [])
+        elif end:
+            p.handle_endtag(end)
+
+
+def _labels(out: list[list]) -> None:
+    """Adds to each record the labels before it in its row."""
+    marked: dict[int, list] = {}
+    for r in out:
+        if r[0] in ("cell", "header") and r[10] >= 0 and r[13] and _MARK.search(r[13]):
+            marked.setdefault(r[10], []).append((r[9], r[3], [m for m in details.MARKS if m in r[13]]))
+    first: dict[tuple[int, int], int] = {}
+    for r in out:
+        if r[0] == "cell" and r[5] and r[10] in marked:
+            for seq, col, _ in marked[r[10]]:
+                if col < r[3]:
+                    first[r[10], seq] = min(first.get((r[10], seq), r[9]), r[9])
+    for r in out:
+        near = marked.get(r[10], ()) if r[0] in ("cell", "link", "item") else ()
+        r.append([{"mark": m, "seq": seq, "nearest": first.get((r[10], seq)) == r[9]} for seq, col, marks in near if col < r[3] for m in marks])
+
+
 def cells_of(html: str | None) -> list[tuple]:
     p = _Cells()
-    p.feed(html or "")
-    p.close()
+    _feed(p, html or "")
     for _, rec, _ in reversed(p.open):
         p._close(rec)
+    _labels(p.out)
     return [tuple(r) for r in p.out]
 
 
 def html_cells(pages: DataFrame) -> DataFrame:
     """The cells of pages(page_id, url, html): table cells with the header or term before them as
-    label, links, headings, titles, scripts, tables, ids in data attributes and elements with a class."""
-    import pandas as pd
+    label, links, headings, titles, scripts, tables, ids in data attributes and elements with a class.
+
+    Pages are dealt to all tasks before they are parsed, as a small file may hold many; a worker holds a batch of cells."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    spark = pages.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    shape = StructType.fromDDL(CELLS)
+
+    def run(batches):
+        schema = to_arrow_schema(shape)
 
-    names = [c.split()[0] for c in CELLS.split(", ")]
+        def table(rows):
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows) if rows else [[]] * len(schema), schema.types)], schema=schema)
 
-    def run(frames):
-        for f in frames:
-            rows = [(i, u, *c) for i, u, h in zip(f["page_id"], f["url"], f["html"]) for c in cells_of(h)]
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"page_id": "int64"} | dict.fromkeys(("block", "row", "col", "seq", "tr"), "int32"))
+        rows, held = [], 0
+        for batch in batches:
+            for i, u, h in zip(*batch.columns):
+                i, u = i.as_py(), u.as_py()
+                for c in cells_of(h.as_py()):
+                    rows.append((i, u, *c))
+                    held += len(c[5])
+                    if len(rows) >= _CELLS_A_BATCH or held >= _TEXT_A_BATCH:
+                        yield table(rows)
+                        rows, held = [], 0
+        yield table(rows)
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, CELLS)
+    dealt = pages.select(F.col("page_id").cast("long"), "url", "html").repartition(tasks, "page_id", "url")
+    return dealt.mapInArrow(run, CELLS)
 
 
 # Per component the columns of its listing table, the class of its card and the class (or tag) of each part of a card.
@@ -268,18 +352,38 @@ def extract_ec(cells: DataFrame) -> DataFrame:
     """
     kind = told_by_url(F.col("url"), EC_LISTINGS, "unknown")
     order = F.array_position(F.array(*[F.lit(name) for _, name in EC_LISTINGS], F.lit("unknown")), kind)
-    rows = listing_rows(cells, ["ec_clave", "titulo"]).select("page_id", "url", "ec_clave", "titulo")
-    spans = cells.filter("kind = 'class' and css_class in ('ec-code', 'ec-title') and tag = 'span'").withColumn("owner", F.get("inside", F.size("inside") - 1))
-    by_box = spans.filter("owner is not null").groupBy("page_id", "url", "owner")
-    boxes = by_box.agg(F.max(F.when(F.col("css_class") == "ec-code", F.trim("text"))).alias("ec_clave"), F.max(F.when(F.col("css_class") == "ec-title", F.col("text"))).alias("titulo"), F.count_if(F.col("css_class") == "ec-code").alias("n"))
-    rows = rows.unionByName(boxes.filter("n = 1 and titulo is not null").drop("owner", "n")).filter(F.col("ec_clave").rlike(r"^EC\d{4,}$"))
-    listing = rows.groupBy("ec_clave").agg(F.min(F.struct(order.alias("o"), "titulo", kind.alias("listing_type"))).alias("r")).select("ec_clave", "r.titulo", "r.listing_type")
-    detail = details.page_arrays(cells).select("url", *[v.alias(k) for k, v in details.ec_places().items()])
-    by_url = F.when(F.col("titulo").isNotNull(), F.nullif(F.regexp_extract("url", r"(EC\d{4,})", 1), F.lit("")))
-    detail = detail.withColumn("ec_clave", F.coalesce("clave", by_url)).filter("ec_clave is not null").drop("clave")
-    # of several pages of a standard the first by address
-    detail = detail.groupBy("ec_clave").agg(F.min_by(F.struct(*[c for c in detail.columns if c != "ec_clave"]), "url").alias("r")).select("ec_clave", "r.*")
-    out = merge_listing_detail(listing, detail, "ec_clave")
+    f = details.Fields()
+    places = details.ec_places(f)
+    # one pass: a page's fields are unit 0, a row of a listing's table is unit 1, the spans of one element unit 2
+    owner = F.get("inside", F.size("inside") - 1)
+    in_row = (F.col("kind") == "cell") & F.col("label").isNull() & F.col("col").isin(0, 1)
+    in_box = (F.col("kind") == "class") & F.col("css_class").isin("ec-code", "ec-title") & (F.col("tag") == "span") & owner.isNotNull()
+    code = F.col("css_class") == "ec-code"
+    none, detailed = F.array().cast(details.ENTRY), f.wanted()
+    units = F.array(
+        F.struct(F.lit(0).alias("unit"), F.lit(0).alias("a"), F.lit(0).alias("b"), F.when(detailed, f.entries()).otherwise(none).alias("c")),
+        F.struct(F.lit(1).alias("unit"), F.col("block").alias("a"), F.col("row").alias("b"), F.when(in_row, F.array(details._entry(F.col("col"), 0, F.col("text")))).otherwise(none).alias("c")),
+        F.struct(F.lit(2).alias("unit"), F.coalesce(owner, F.lit(-1)).alias("a"), F.lit(0).alias("b"), F.when(in_box, F.array(details._entry(F.when(code, 0).otherwise(1), 0, F.when(code, F.trim("text")).otherwise(F.col("text"))))).otherwise(none).alias("c")),
+    )
+    met = cells.filter(detailed | in_row | in_box).select("page_id", "url", F.inline(units)).filter(F.size("c") > 0)
+    met = met.groupBy("page_id", "url", "unit", "a", "b").agg(F.flatten(F.collect_list("c")).alias("c"))
+
+    def of_field(i):
+        return F.transform(F.filter("c", lambda e: e["field"] == i), lambda e: e["value"])
+
+    part = [of_field(0), of_field(1)]
+    fields = ["url", *[k for k in places if k != "clave"]]
+    listed_row = F.struct(order.alias("o"), F.array_max(part[1]).alias("titulo"), kind.alias("listing_type"))
+    detail_row = F.struct(*[(F.col("url") if k == "url" else places[k]).alias(k) for k in fields])
+    of_row = F.when((F.col("unit") == 1) | ((F.size(part[0]) == 1) & (F.size(part[1]) > 0)), F.array_max(part[0]))
+    own = F.coalesce(places["clave"], F.when(places["titulo"].isNotNull(), F.nullif(F.regexp_extract("url", r"(EC\d{4,})", 1), F.lit(""))))
+    facts = met.select(
+        F.when(F.col("unit") == 0, own).otherwise(F.when(of_row.rlike(r"^EC\d{4,}$"), of_row)).alias("ec_clave"),
+        F.when(F.col("unit") > 0, listed_row).alias("l"), F.when(F.col("unit") == 0, detail_row).alias("d"), F.when(F.col("unit") == 0, F.col("url")).alias("at"),
+    ).filter("ec_clave is not null")
+    # of several pages of a standard the first by address; what a listing says comes before
+    one = facts.groupBy("ec_clave").agg(F.min("l").alias("l"), F.min_by("d", "at").alias("d"))
+    out = one.select("ec_clave", F.coalesce("l.titulo", "d.titulo").alias("titulo"), "l.listing_type", *[f"d.{c}" for c in fields if c != "titulo"])
     told = F.coalesce("listing_type", F.lit("unknown"))
     return out.withColumns({
         "duracion_horas": clean.first_number(F.col("duracion")), "fecha_publicacion": clean.parse_date_iso(F.col("fecha_publicacion")), "fecha_vigencia": clean.parse_date_iso(F.col("fecha_vigencia")),
@@ -288,23 +392,31 @@ def extract_ec(cells: DataFrame) -> DataFrame:
     }).drop("duracion")
 
 
-def modal_json(cells: DataFrame) -> DataFrame:
-    """Codes and contacts out of `modalData = {...};` scripts: those of `standards` that have the form of one, and `contacts`."""
-    text = F.regexp_extract("text", r"(?s)modalData\s*=\s*(\{.*?\});", 1)
-    found = cells.filter("kind = 'script'").withColumn("json", text).filter("json <> ''")
-    parsed = found.select("page_id", "seq", F.from_json("json", "standards array<struct<code:string>>, contacts array<map<string,string>>").alias("m"))
-    codes = F.filter(F.transform("m.standards", lambda s: s["code"]), lambda c: c.rlike(r"^EC\d{4,}$"))
-    # of several scripts the last one that has them counts
-    return parsed.select("page_id", "seq", codes.alias("codes"), "m.contacts").groupBy("page_id").agg(F.max_by("codes", F.when(F.col("codes").isNotNull(), F.col("seq"))).alias("modal_codes"), F.max_by("contacts", F.when(F.col("contacts").isNotNull(), F.col("seq"))).alias("contactos"))
+def modal_json() -> list[Column]:
+    """Aggregates over a page's cells: codes and contacts out of `modalData = {...};` scripts, those of `standards` that have the
+    form of one, and `contacts`. Of several scripts the last one that has them counts."""
+    text = F.when(F.col("kind") == "script", F.regexp_extract("text", r"(?s)modalData\s*=\s*(\{.*?\});", 1))
+    m = F.from_json(text, "standards array<struct<code:string>>, contacts array<map<string,string>>")
+    codes = F.filter(F.transform(m["standards"], lambda s: s["code"]), lambda c: c.rlike(r"^EC\d{4,}$"))
+    return [F.max_by(v, F.when(v.isNotNull(), F.col("seq"))).alias(n) for n, v in (("modal_codes", codes), ("contactos", m["contacts"]))]
+
+
+def _in_modal() -> Column:
+    return (F.col("kind") == "class") & F.col("css_class").isin("ec-code", "modal-estandares")
 
 
-def modal_html(cells: DataFrame) -> DataFrame:
-    """Codes in spans of class `ec-code` inside a `modal-estandares`: (page_id, html_codes)."""
-    spans = cells.filter("kind = 'class'").withColumn("owner", F.explode("inside"))
-    box = F.max((F.col("block") == F.col("owner")) & (F.col("css_class") == "modal-estandares"))
+def modal_html() -> Column:
+    """Aggregate over a page's cells: what html_codes() reads."""
     code = F.when((F.col("css_class") == "ec-code") & F.trim("text").rlike(r"^EC\d{4,}$"), F.trim("text"))
-    found = spans.groupBy("page_id", "owner").agg(box.alias("box"), F.collect_set(code).alias("codes")).filter("box")
-    return found.groupBy("page_id").agg(F.array_distinct(F.flatten(F.collect_list("codes"))).alias("html_codes"))
+    box = F.when((F.col("css_class") == "modal-estandares") & F.array_contains("inside", F.col("block")), F.col("block"))
+    return F.collect_list(F.when(_in_modal(), F.struct(code.alias("code"), box.alias("box"), "inside"))).alias("modal")
+
+
+def html_codes() -> Column:
+    """Codes in spans of class `ec-code` inside a `modal-estandares`."""
+    boxes = F.array_compact(F.transform("modal", lambda m: m["box"]))
+    inside = details.let(boxes, lambda b: F.filter("modal", lambda m: m["code"].isNotNull() & F.arrays_overlap(m["inside"], b)))
+    return F.array_distinct(F.transform(inside, lambda m: m["code"]))
 
 
 def _dates(df: DataFrame, *names: str) -> DataFrame:
@@ -317,17 +429,17 @@ def extract_cert(cells: DataFrame) -> DataFrame:
     does and it has a name."""
     from padron.operators.joins import state_code
 
-    detail = details.page_arrays(cells).select("page_id", "url", *[v.alias(k) for k, v in details.cert_places().items()])
+    detail = details.page_fields(cells, details.cert_places, (F.col("kind") == "script") | _in_modal(), *modal_json(), modal_html())
     by_url = F.when(F.col("nombre_legal").isNotNull(), F.nullif(F.regexp_extract("url", r"\b((?:ECE|OC)\d+)\b", 1), F.lit("")))
     detail = detail.withColumn("cert_id", F.coalesce("cedula", by_url)).filter("cert_id is not null").drop("cedula")
     none = F.array().cast("array<string>")
-    in_modal = F.when(F.size(F.coalesce("modal_codes", none)) > 0, F.col("modal_codes")).otherwise(F.coalesce("html_codes", none))
-    out = detail.join(modal_json(cells), "page_id", "left").join(modal_html(cells), "page_id", "left").withColumns({
+    in_modal = F.when(F.size(F.coalesce("modal_codes", none)) > 0, F.col("modal_codes")).otherwise(html_codes())
+    out = detail.withColumns({
         "codes": F.array_sort(F.array_distinct(F.concat("listed_codes", in_modal))),
         "tipo": F.regexp_extract("cert_id", r"^(ECE|OC)", 1), "telefono": clean.normalize_phone_v2(F.col("telefono")), "correo": clean.email_norm(F.col("correo")),
         "sitio_web": clean.website_scheme(F.col("sitio_web")), "cp": clean.postal_code(F.col("cp"), F.col("domicilio_texto")),
     })
-    return state_code(_dates(out, "fecha_acreditacion").drop("listed_codes", "modal_codes", "html_codes", "page_id"), "estado")
+    return state_code(_dates(out, "fecha_acreditacion").drop("listed_codes", "modal_codes", "modal", "page_id"), "estado")
 
 
 def extract_centro(cells: DataFrame) -> DataFrame:
@@ -335,7 +447,7 @@ def extract_centro(cells: DataFrame) -> DataFrame:
     (id=...) and it has a name."""
     from padron.operators.joins import state_code
 
-    detail = details.page_arrays(cells).select("url", *[v.alias(k) for k, v in details.centro_places().items()])
+    detail = details.page_fields(cells, details.centro_places).drop("page_id")
     by_url = F.when(F.col("nombre").isNotNull(), clean.id_from_url(F.col("url")))
     detail = detail.withColumn("centro_id", F.coalesce("clave", by_url)).filter("centro_id is not null").drop("clave")
     modes = F.when(F.size("listed_modes") > 0, F.col("listed_modes")).otherwise(clean.split_modalities(F.col("modes_text")))
@@ -346,7 +458,7 @@ def extract_centro(cells: DataFrame) -> DataFrame:
 def extract_sector_comite(cells: DataFrame) -> DataFrame:
     """Sectors and committees: own ids from the address, all else from the detail page. A committee's sector is that of
     its address, or of a link, or the number in its sector's cell."""
-    d = details.page_arrays(cells).select("url", *[v.alias(k) for k, v in details.sector_places().items()])
+    d = details.page_fields(cells, details.sector_places).drop("page_id")
     in_url = {k: clean.id_from_url(F.col("url"), k).try_cast("int") for k in ("sector", "comite")}
     out = d.select(
         F.coalesce(in_url["sector"], F.when(in_url["comite"].isNotNull(), F.col("sector_of"))).alias("sector_id"), in_url["comite"].alias("comite_id"), "nombre", "descripcion", "objetivo",

@@ -110,20 +110,18 @@ def state_code(df: DataFrame, column: str, codes=STATE_CODES) -> DataFrame:
     """df with estado_inegi: the code of the state named in column.
 
     Short forms count first; then the exact name, the name without "ESTADO DE " or
-    "EDO. ", then either name within the other, in the official order. Distinct
-    names meet the fixed list of states, and the answer is joined back.
+    "EDO. ", then either name within the other, in the official order. The states are a
+    fixed list, so the code is an expression on each row and df is computed once.
     """
-    spark = df.sparkSession
-    dim = spark.createDataFrame([(i, n.upper(), c) for i, (n, c) in enumerate(codes)], "ordinal int, state string, code string")
+    states = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(n.upper()).alias("state"), F.lit(c).alias("code")) for i, (n, c) in enumerate(codes)])
     alias = F.create_map(*[F.lit(x) for k, v in STATE_ALIASES.items() for x in (k, v)])
-    names = df.select(column).filter(F.col(column).isNotNull()).distinct()
     clean = F.upper(F.coalesce(F.element_at(alias, F.lower(F.trim(column))), F.trim(column)))
     bare = F.regexp_replace(clean, r"^(ESTADO DE |EDO\. )", "")
-    names = names.withColumn("clean", clean).withColumn("bare", bare).filter("bare <> ''")
-    rank = F.when(F.col("clean") == F.col("state"), 0).when(F.col("bare") == F.col("state"), 1).when(F.col("state").contains(F.col("bare")) | F.col("bare").contains(F.col("state")), 2)
-    met = names.join(F.broadcast(dim), F.col("state").contains(F.col("bare")) | F.col("clean").contains(F.col("state")) | F.col("bare").contains(F.col("state")))
-    best = met.withColumn("rank", rank).groupBy(column).agg(F.min_by("code", F.struct("rank", "ordinal")).alias("estado_inegi"))
-    return df.join(best, column, "left")
+    named = df.withColumn("_clean", clean).withColumn("_bare", bare)
+    clean, bare = F.col("_clean"), F.col("_bare")
+    met = F.filter(states, lambda s: (bare != "") & (s["state"].contains(bare) | clean.contains(s["state"]) | bare.contains(s["state"])))
+    ranked = F.transform(met, lambda s: F.struct(F.when(clean == s["state"], 0).when(bare == s["state"], 1).when(s["state"].contains(bare) | bare.contains(s["state"]), 2).alias("rank"), s["ordinal"], s["code"].alias("code")))
+    return named.select(column, *[c for c in df.columns if c != column], F.array_min(ranked)["code"].alias("estado_inegi"))
 
 
 def related_entities(clave: str, ec, ece_ec, cert, centro_ec, centros, sectores, comites) -> DataFrame:

@@ -118,7 +118,7 @@ def next_page(cells: DataFrame) -> DataFrame:
         hit = F.lower("text") == mark
         rank = F.when(hit, i) if rank is None else rank.when(hit, i)
     found = cells.filter("kind = 'link'").withColumn("rank", rank).filter("rank is not null")
-    return found.groupBy("page_id", "url").agg(F.min_by("href", F.struct("rank", "href")).alias("href")).select("page_id", absolute(F.col("url"), F.col("href")).alias("target"))
+    return found.groupBy("page_id", "url").agg(F.min_by("href", F.struct("rank", "href")).alias("href")).select("page_id", "url", absolute(F.col("url"), F.col("href")).alias("target"))
 
 
 def endpoint_registry(log: DataFrame) -> DataFrame:

@@ -410,8 +410,7 @@ def l9(r):
 
 @query("L10_next_page_edges", "select distinct concat('https://example.org/list/', '?p=2') as target, comite_id from ec")
 def l10(r):
-    pages = _ec_pages(r)
-    found = linkgraph.next_page(extract.html_cells(pages)).join(pages.select("page_id", "url"), "page_id")
+    found = linkgraph.next_page(extract.html_cells(_ec_pages(r)))
     return found.select(F.concat(F.lit("https://example.org/list/"), F.regexp_extract("target", r"(\?p=2)$", 1)).alias("target"), F.regexp_extract("url", r"/list/(\d+)", 1).cast("bigint").alias("comite_id")).distinct()
 
 
