@@ -118,7 +118,8 @@ def since(df: DataFrame, moment, column: str = "last_seen") -> DataFrame:
 
 def item_explorer(items: DataFrame, type=None, status=None, q=None, number=1, per_page=20):
     df = multi_field_search(equal_to(items, type=type, status=status), q, ["title", "code"])
-    return page(df.select("type", "code", "title", "status"), ["type", "code"], (number - 1) * per_page, per_page)
+    # a code may repeat: of equal ones the smaller id comes first
+    return page(df.select("type", "code", "title", "status", "item_id"), ["type", "code", "item_id"], (number - 1) * per_page, per_page).drop("item_id")
 
 
 def by_key(df: DataFrame, key: str, value, pattern: str | None = None) -> DataFrame:

@@ -77,7 +77,7 @@ def c11(r):
 _STATUS = "case when item_id % 3 = 0 then 'invalid' else 'valid' end"
 
 
-@query("C12_item_explorer", f"select type, code, title, {_STATUS} as status from items where type = 'ec_standard' and {_STATUS} = 'valid' and (title ilike '%the%' or code ilike '%the%') order by type, code limit 20 offset 20")
+@query("C12_item_explorer", f"select type, code, title, {_STATUS} as status from items where type = 'ec_standard' and {_STATUS} = 'valid' and (title ilike '%the%' or code ilike '%the%') order by type, code, item_id limit 20 offset 20")
 def c12(r):
     return listing.item_explorer(r.items.withColumn("status", F.expr(_STATUS)), type="ec_standard", status="valid", q="the", number=2, per_page=20)
 
