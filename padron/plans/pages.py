@@ -281,7 +281,7 @@ def _outline(rows):
     yield rows[0]["page_id"], sum(x["kind"] == "link" for x in rows), heads[0] if heads else None
 
 
-@query("K_registered_extractor", "select page_id, cast(len(regexp_extract_all(html, '<a href=\"')) as int) as links, trim(regexp_replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) as heading, case when len(regexp_extract_all(html, '<a href=\"')) > 5 then 'links:many' else '' end as errors from pages")
+@query("K_registered_extractor", "select page_id, cast(len(regexp_extract_all(html, '<a href=\"')) as int) as links, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;?', '\"', 'g'), '&#0*39;|&#[xX]0*27;', '''', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) as heading, case when len(regexp_extract_all(html, '<a href=\"')) > 5 then 'links:many' else '' end as errors from pages")
 def k_registered(r):
     # an extractor and rules of a user's own, run by their names
     extract.register_extractor("outline", extract.page_extractor("page_id long, links int, heading string", _outline))
