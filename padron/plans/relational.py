@@ -373,12 +373,14 @@ _EDGES = (0.5, 1.0, 5.0, 10.0, 50.0, 100.0, 500.0)
 
 @query("E22_latency_quantile", """select component, cast(round(case when le0 >= r then case when le0 = 0 then 0 else 0.5 * r / le0 end when le1 >= r then 0.5 + 0.5 * (r - le0) / (le1 - le0)
     when le2 >= r then 1 + 4 * (r - le1) / (le2 - le1) when le3 >= r then 5 + 5 * (r - le2) / (le3 - le2) when le4 >= r then 10 + 40 * (r - le3) / (le4 - le3)
-    when le5 >= r then 50 + 50 * (r - le4) / (le5 - le4) when le6 >= r then 100 + 400 * (r - le5) / (le6 - le5) else 500 end, 6) as double) as bucketed
+    when le5 >= r then 50 + 50 * (r - le4) / (le5 - le4) when le6 >= r then 100 + 400 * (r - le5) / (le6 - le5) else 500 end, 6) as double) as bucketed, round(exact, 6) as exact
     from (select component, cast(count(*) as double) * 0.95 as r, count(*) filter (duration <= 0.5) as le0, count(*) filter (duration <= 1) as le1, count(*) filter (duration <= 5) as le2, count(*) filter (duration <= 10) as le3,
-    count(*) filter (duration <= 50) as le4, count(*) filter (duration <= 100) as le5, count(*) filter (duration <= 500) as le6 from request_log group by component)""")
+    count(*) filter (duration <= 50) as le4, count(*) filter (duration <= 100) as le5, count(*) filter (duration <= 500) as le6, quantile_cont(duration, 0.95) as exact from request_log group by component)""")
 def e22(r):
     by_host = metrics.latency_summaries(r.request_log.withColumn("ts", F.col("ts").cast("timestamp")), ("component", "host"), bounds=_EDGES)
-    return metrics.merge_summaries(by_host, ["component"], bounds=_EDGES).select("component", F.round(metrics.bucket_quantile(0.95, _EDGES), 6).alias("bucketed"))
+    merged = metrics.merge_summaries(by_host, ["component"], bounds=_EDGES).select("component", F.round(metrics.bucket_quantile(0.95, _EDGES), 6).alias("bucketed"))
+    exact = metrics.exact_quantile(r.request_log, 0.95, "component").withColumnRenamed("component", "c")
+    return merged.join(exact, F.col("component").eqNullSafe(F.col("c")), "left").select("component", "bucketed", F.round("exact", 6).alias("exact"))
 
 
 @query("E22_latency_sketch", "select component, q, count(*) as n, true as within from request_log cross join (select unnest([50, 95]) as q) group by component, q")

@@ -226,6 +226,31 @@ def sketch_quantile(q: float, sketch: str = "sketch") -> Column:
     return F.kll_sketch_get_quantile_double(sketch, F.lit(q))
 
 
+def exact_quantile(df: DataFrame, q: float, key: str = "host", value: str = "duration") -> DataFrame:
+    """Batch: (key, exact), the quantile of each group's values itself, linear between the two ranks around it.
+
+    Values are counted in a few ranges around a sketch's answer, each known by its own smallest and largest value; the counts
+    say in which of them the ranks lie, and the values of those alone are sorted. The sketch decides how small the ranges are, never
+    what the answer is. Null values do not count.
+    """
+    rows = df.select(F.col(key).alias("_key"), F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    ends = [min(max(q + d, 0.0), 1.0) for d in (-0.05, -0.02, 0.0, 0.02, 0.05)]
+    one = rows.groupBy(F.col("_key").alias("_of")).agg(F.kll_sketch_agg_double("_v", F.lit(SKETCH_K)).alias("_sketch"))
+    one = one.select("_of", F.array(*[F.kll_sketch_get_quantile_double("_sketch", F.lit(e)) for e in ends]).alias("_ends"))
+    above = sum(((F.col("_v") > F.col("_ends")[i]).cast("int") for i in range(1, len(ends))), (F.col("_v") > F.col("_ends")[0]).cast("int"))
+    same_key = F.col("_key").eqNullSafe(F.col("_of"))
+    counts = rows.join(one, same_key).groupBy("_of", above.alias("_range")).agg(F.count("*").alias("_in"), F.min("_v").alias("_from"), F.max("_v").alias("_to"))
+    of_key = W.partitionBy("_of")
+    before = F.coalesce(F.sum("_in").over(of_key.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    aim = (F.sum("_in").over(of_key) - 1) * F.lit(q)
+    held = counts.select("_of", "_in", "_from", "_to", before.alias("_before"), F.floor(aim).alias("_low"), F.ceil(aim).alias("_high"), (aim - F.floor(aim)).alias("_part"))
+    held = held.filter("_before <= _high and _before + _in > _low").drop("_in")
+    rank = F.col("_before") + F.row_number().over(W.partitionBy("_key", "_from").orderBy("_v")) - 1
+    met = rows.join(held, same_key & F.col("_v").between(F.col("_from"), F.col("_to"))).withColumn("_rank", rank)
+    low, high = F.min("_v"), F.max("_v")
+    return met.filter("_rank in (_low, _high)").groupBy(F.col("_key").alias(key)).agg((low + (high - low) * F.max("_part")).alias("exact"))
+
+
 def bucket_quantile(q: float, bounds=BOUNDS) -> Column:
     """Quantile of a summary read from its histogram: linear within the bucket that holds it; the last bound where it
     lies beyond all of them, as histogram counters have it."""
