@@ -299,9 +299,10 @@ def k8(r):
 @query("K8_sector_edges", "select ec_clave, cast(c.sector_id as int) as sector_id, cast(c.comite_id as int) as comite_id from ec_sector e join comites c on c.comite_id = e.comite_id where c.comite_id % 2 = 0")
 def k8b(r):
     # committees with an odd id name no sector
-    lists = r.ec_sector.groupBy("comite_id").agg(F.concat(F.collect_list("ec_clave"), F.collect_list("ec_clave")).alias("codes"))
+    # pages of at most a hundred standards, each named twice
+    lists = r.ec_sector.groupBy("comite_id", _hundred("ec_clave")).agg(F.concat(F.collect_list("ec_clave"), F.collect_list("ec_clave")).alias("codes"))
     owner = F.when(C("comite_id") % 2 == 0, _pair("Sector", _html("núm. ", C("sector_id"))))
-    pages = _page(r.comites.join(lists, "comite_id"), _html("https://example.org/comite/", C("comite_id")), F.lit("<table>"), F.coalesce(owner, F.lit("")), _html("</table><ul class=\"ec-list\">", _list(C("codes")), "</ul>"))
+    pages = _page(r.comites.join(lists, "comite_id"), _html("https://example.org/comite/", C("comite_id"), "?part=", C("part")), F.lit("<table>"), F.coalesce(owner, F.lit("")), _html("</table><ul class=\"ec-list\">", _list(C("codes")), "</ul>"))
     return extract.sector_edges(extract.extract_sector_comite(extract.html_cells(pages)))
 
 
