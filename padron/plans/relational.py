@@ -235,7 +235,9 @@ def d16(r):
 def d16b(r):
     # every day on which there was an order
     moments = r.orders.select((F.col("o_orderdate").cast("timestamp") + F.expr("interval 12 hours")).alias("t")).distinct()
-    return joins.snapshots_at(r.ec_history, moments).groupBy("t").agg(F.count("*").alias("n"))
+    # versions that are valid over the same time meet the moments once, with their number
+    spans = r.ec_history.groupBy("first_seen", "last_seen").agg(F.count("*").alias("n"))
+    return joins.snapshots_at(spans, moments).groupBy("t").agg(F.sum("n").alias("n"))
 
 
 @query("D17_cert_by_state_docs", "select estado, tipo, count(*) as count, count(distinct ec_clave) as standards from cert c left join ece_ec x on c.cert_id = x.cert_id where estatus = 'Vigente' group by estado, tipo")
