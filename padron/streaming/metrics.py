@@ -4,9 +4,8 @@ where the docstring does not say otherwise."""
 from __future__ import annotations
 
 from contextlib import contextmanager
-from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -104,8 +103,14 @@ def failure_streaks(df: DataFrame, threshold: int = 5, group: str = "endpoint",
     return out.select(group, "failures", "first", "opened", (F.col("opened") + F.expr(f"interval {cooldown} seconds")).alias("until"))
 
 
+#: So many requests at most in one value of a circuit's state.
+REQUESTS_A_VALUE = 100_000
+
+
 class Circuit(StatefulProcessor):
-    """One group's circuit; see failure_streaks_stream(). Times are microseconds, timers milliseconds."""
+    """One group's circuit; see failure_streaks_stream(). Times are microseconds, timers milliseconds.
+
+    Requests that wait are kept in bulk, as arrays of four numbers each: time, whether the id is known, id, whether it succeeded."""
 
     def __init__(self, group: str, threshold: int, cooldown: int):
         self.group, self.threshold, self.cooldown = group, threshold, cooldown * 1_000_000
@@ -113,48 +118,75 @@ class Circuit(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.circuit = handle.getValueState("circuit", "mode string, failures int, until long")
-        self.waiting = handle.getListState("waiting", "at long, id long, status int")
+        self.waiting = handle.getListState("waiting", "requests binary")
+
+    def _wake(self, at: int) -> None:
+        self.handle.registerTimer(-(-int(at) // 1000))
+
+    @staticmethod
+    def _values(requests) -> list[tuple[bytes]]:
+        return [(requests[i : i + REQUESTS_A_VALUE].tobytes(),) for i in range(0, len(requests), REQUESTS_A_VALUE)]
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [(r["_at"], r["_id"], r["_status"]) for r in rows]
-        self.waiting.appendList(new)
-        for ms in {-(-at // 1000) for at, _, _ in new}:
-            self.handle.registerTimer(ms)
+        for batch in rows:
+            if len(batch):
+                new = batch[["at_us", "known", "id", "good"]].to_numpy("int64")
+                self.waiting.appendList(self._values(new))
+                # one timer for all that waits: when it goes off, all that is due counts, and the rest gets the next one
+                self._wake(new[:, 0].min())
         return iter(())
 
+    def _waiting(self):
+        """What waits, in order."""
+        import numpy as np
+
+        values = [np.frombuffer(v[0], "int64").reshape(-1, 4) for v in self.waiting.get()] if self.waiting.exists() else []
+        held = np.concatenate(values) if values else np.empty((0, 4), "int64")
+        return held[np.lexsort((held[:, 2], held[:, 1], held[:, 0]))]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        import pandas as pd
+
         # all that the watermark has passed counts at once; further timers of this batch find nothing left to do
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.waiting.get()) if self.waiting.exists() else []
-        due, later = sorted((tuple(r) for r in held if r[0] <= now), key=lambda r: (r[0], r[1] is not None, r[1] or 0)), [tuple(r) for r in held if r[0] > now]
+        held = self._waiting()
+        due = int((held[:, 0] <= now).sum())
+        if due < len(held):
+            self._wake(held[due, 0])
         if due:
-            self.waiting.put(later) if later else self.waiting.clear()
+            self.waiting.clear()
+            if due < len(held):
+                self.waiting.put(self._values(held[due:]))
         mode, failures, until = self.circuit.get() if self.circuit.exists() else ("closed", 0, 0)
         out = []
 
         def change(at, state):
-            out.append(Row(**{self.group: key[0], "at": datetime.fromtimestamp(at // 1_000_000, timezone.utc).replace(microsecond=at % 1_000_000), "state": state}))
+            out.append((at, state))
             return state
 
-        for at, _, status in due:
+        for at, good in zip(held[:due, 0].tolist(), held[:due, 3].tolist()):
             if mode == "open" and at >= until:
                 mode = change(until, "half-open")
             if mode == "open":
                 continue
-            if status is not None and status < 400:
+            if good:
                 mode, failures = change(at, "closed") if mode == "half-open" else mode, 0
                 continue
             failures += 1
             if failures >= self.threshold or mode == "half-open":
                 mode, failures, until = change(at, "open"), 0, at + self.cooldown
-                self.handle.registerTimer(-(-until // 1000))
         if mode == "open" and until <= now:
             mode = change(until, "half-open")
         if (mode, failures) == ("closed", 0):
             self.circuit.clear()
         else:
             self.circuit.update((mode, failures, until))
-        return iter(out)
+        if mode == "open":
+            self._wake(until)
+        if not out:
+            return iter(())
+        at, state = zip(*out)
+        return iter([pd.DataFrame({self.group: pd.Series([key[0]] * len(out), dtype=object), "at": pd.to_datetime(pd.Series(at, dtype="int64"), unit="us", utc=True), "state": list(state)})])
 
     def close(self) -> None:
         pass
@@ -170,9 +202,11 @@ def failure_streaks_stream(df: DataFrame, threshold: int = 5, cooldown: int = 30
     batches matters; later ones are dropped as late. A circuit that is closed and without failures keeps no state.
     Needs the state store of state_store(). A null group is one group; rows without a time are left out.
     """
-    rows = df.filter(F.col(time).isNotNull()).withWatermark(time, delay).select(group, F.col(time).alias("_time"), F.unix_micros(time).alias("_at"), F.col(tiebreak).cast("long").alias("_id"), F.col("status").cast("int").alias("_status"))
+    id = F.col(tiebreak).cast("long")
+    numbers = {"at_us": F.unix_micros(time), "known": id.isNotNull(), "id": F.coalesce(id, F.lit(0)), "good": F.coalesce(F.col("status").cast("int") < 400, F.lit(False))}
+    rows = df.filter(F.col(time).isNotNull()).withWatermark(time, delay).select(group, F.col(time).alias("_time"), *[v.cast("long").alias(n) for n, v in numbers.items()])
     kind = dict(df.dtypes)[group]
-    return rows.groupBy(group).transformWithState(Circuit(group, threshold, cooldown), f"{group} {kind}, at timestamp, state string", "Append", "EventTime")
+    return rows.groupBy(group).transformWithStateInPandas(Circuit(group, threshold, cooldown), f"{group} {kind}, at timestamp, state string", "Append", "EventTime")
 
 
 @contextmanager
