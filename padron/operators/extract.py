@@ -469,9 +469,12 @@ def extract_sector_comite(cells: DataFrame) -> DataFrame:
 
 
 def edges_from_lists(df: DataFrame, id: str, codes: str, run_id: str, since: str | None = None) -> DataFrame:
-    """One edge for each distinct code of a list: (id, ec_clave, acreditado_desde where since names its column, run_id)."""
+    """One edge for each distinct code of a list: (id, ec_clave, acreditado_desde where since names its column, run_id).
+
+    Lists of an id are put together before they are unfolded, so no task keeps a table of all its edges to tell repeats."""
     dated = [F.col(since).alias("acreditado_desde")] if since else []
-    return df.select(id, *dated, F.explode(F.array_distinct(codes)).alias("ec_clave"), F.lit(run_id).alias("run_id")).distinct()
+    lists = df.select(id, *dated, F.col(codes).alias("_codes")).groupBy(id, *["acreditado_desde"] * bool(since)).agg(F.flatten(F.collect_list("_codes")).alias("_codes"))
+    return lists.select(id, *["acreditado_desde"] * bool(since), F.explode(F.array_distinct("_codes")).alias("ec_clave"), F.lit(run_id).alias("run_id"))
 
 
 def sector_edges(comites: DataFrame) -> DataFrame:
