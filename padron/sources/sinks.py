@@ -19,9 +19,9 @@ def register_writer(fmt: str, write) -> None:
     WRITERS[fmt] = write
 
 
-def write_json_records(df: DataFrame, path: str) -> None:
+def write_json_records(df: DataFrame, path: str, compression: str = "none") -> None:
     dates = [c for c, t in df.dtypes if t in ("date", "timestamp", "timestamp_ntz")]
-    iso_dates(df, dates).write.mode("overwrite").json(path)
+    iso_dates(df, dates).write.mode("overwrite").json(path, compression=compression)
 
 
 def write_json_envelope(frames: dict[str, DataFrame], path: str, filters: dict | None = None) -> None:
@@ -59,9 +59,10 @@ register_writer("parquet", lambda df, path, entity: write_parquet(df, path))
 
 def write_bundle(frames: dict[str, DataFrame], directory: str, formats=("json", "csv", "parquet"), shapes: dict[str, DataFrame] | None = None) -> None:
     """All tables in all formats, each table computed once: Parquet is written first, into the bundle or the shared
-    folder, and the other formats read it. shapes (graph, nested documents) go as JSON under their names."""
+    folder, and the other formats read it. shapes (graph, nested documents) go as JSON under their names,
+    compressed, as they repeat the names of each edge."""
     for name, df in (shapes or {}).items():
-        write_json_records(df, f"{directory}/{name}")
+        write_json_records(df, f"{directory}/{name}", "gzip")
     for name, df in frames.items():
         spark = df.sparkSession
         once = f"{directory}/parquet/{name}" if "parquet" in formats else scratch(spark, "bundle")
