@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from padron.operators.joins import count_children, orphans
+from padron.sources.storage import dealt
 
 
 def _union(frames):
@@ -179,8 +180,8 @@ def timeline(df, key, unit="month"):
 
 def sector_flow(ec, ece_ec):
     """The flow from sectors through standards to certifiers: (level, source, target, weight). A sector's flow to a standard
-    is the standard's number of certifiers; a standard without any has none."""
-    edges = ec.select("ec_clave", F.col("sector_id").cast("string").alias("sector")).join(ece_ec.select("ec_clave", "cert_id"), "ec_clave")
+    is the standard's number of certifiers; a standard without any has none. Edges are dealt by standard once, for the join and both counts."""
+    edges = ec.select("ec_clave", F.col("sector_id").cast("string").alias("sector")).join(dealt(ece_ec.select("ec_clave", "cert_id"), "ec_clave"), "ec_clave")
     upper = edges.groupBy(F.lit("sector-standard").alias("level"), F.col("sector").alias("source"), F.col("ec_clave").alias("target")).agg(F.count("*").alias("weight"))
     return upper.unionByName(edges.groupBy(F.lit("standard-cert").alias("level"), F.col("ec_clave").alias("source"), F.col("cert_id").alias("target")).agg(F.count("*").alias("weight")))
 

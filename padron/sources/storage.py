@@ -1,11 +1,17 @@
-"""The shared folder of a session, and the few file operations that tables in it need."""
+"""How rows are dealt to tasks; the shared folder of a session, and the few file operations that tables in it need."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by keys to a number of tasks that Spark does not lower, as a few small shuffled bytes may be many groups to keep."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *keys)
 
 
 def shared_dir(spark: SparkSession) -> str:
