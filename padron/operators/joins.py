@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from padron.schemas import STATE_ALIASES, STATE_CODES
+from padron.sources.storage import dealt
 
 
 def ec_certificadores(ec: DataFrame, ece_ec: DataFrame, cert: DataFrame) -> DataFrame:
@@ -175,8 +176,10 @@ def snapshots_at(df: DataFrame, moments: DataFrame, days: int = 30) -> DataFrame
 
 
 def cert_state_standards(cert, ece_ec):
-    rows = cert.filter(F.col("estatus") == "Vigente").join(ece_ec, "cert_id", "left")
-    return rows.groupBy("estado", "tipo").agg(F.count("*").alias("count"), F.countDistinct("ec_clave").alias("standards")).orderBy(F.desc("count"), "estado", "tipo")
+    """Certifiers in force by state and kind: a row for each accreditation, or for a certifier without any, and different standards."""
+    rows = cert.filter(F.col("estatus") == "Vigente").join(dealt(ece_ec.select("cert_id", "ec_clave"), "cert_id"), "cert_id", "left")
+    each = dealt(rows.select("estado", "tipo", "ec_clave"), "estado", "tipo", "ec_clave").groupBy("estado", "tipo", "ec_clave").agg(F.count("*").alias("n"))
+    return each.groupBy("estado", "tipo").agg(F.sum("n").alias("count"), F.count("ec_clave").alias("standards")).orderBy(F.desc("count"), "estado", "tipo")
 
 
 def centros_of_cert(centros, cert_id):
