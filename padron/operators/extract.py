@@ -273,26 +273,39 @@ def listed(cells: DataFrame, component: str) -> DataFrame:
     columns, card, parts = LISTINGS[component]
     css = F.coalesce("css_class", F.lit(""))
     classes = F.split(css, " ")
-    by_page = cells.repartition("page_id")
+    cell, link, data = F.col("kind") == "cell", F.col("kind") == "link", F.col("kind") == "data"
     linked = F.nullif(F.regexp_extract(F.coalesce("href", F.lit("")), "id=([^&]+)", 1), F.lit(""))
-    first_link, first_data = F.min(F.when(F.col("kind") == "link", linked)), F.min(F.when(F.col("kind") == "data", F.col("text")))
-    table = F.max((F.col("kind") == "table") & F.array_contains(classes, "table")).over(W.partitionBy("page_id", "block"))
-    rows = by_page.withColumn("table", table).filter("table and row > 0").groupBy("page_id", "url", "block", "row").agg(
-        F.count_if(F.col("kind") == "cell").alias("cells"), F.coalesce(first_link, first_data).alias("id"),
-        *[F.max(F.when((F.col("kind") == "cell") & (F.col("col") == i), F.col("text"))).alias(c) for i, c in enumerate(columns)])
-    forms = rows.filter("cells > 0").select("page_id", "url", F.lit(0).alias("rank"), "id", *columns)
 
     def part(c):
         return F.array_contains(classes, c) if c != "h3" else (F.col("kind") == "heading") & (css == c)
 
-    owned = by_page.filter("kind in ('class', 'heading', 'link', 'data')").withColumn("owner", F.explode("inside"))
-    boxes = owned.groupBy("page_id", "url", "owner").agg(
-        F.max((F.col("kind") == "class") & (F.col("block") == F.col("owner")) & F.array_contains(classes, card)).alias("card"), F.coalesce(first_data, first_link).alias("id"),
-        *[(F.max(F.when(part(parts[c]), F.col("text"))) if c in parts else F.lit(None).cast("string")).alias(c) for c in columns])
-    forms = forms.unionByName(boxes.filter("card").select("page_id", "url", F.lit(1).alias("rank"), "id", *columns))
+    def unit(rank, a, b):
+        return F.struct(F.lit(rank).alias("rank"), a.alias("a"), b.alias("b"))
+
+    # one pass: units of rank 0 are rows of a block, and at -1 its table, of rank 1 blocks around a cell, of rank 2 links to a centre
+    none = F.array().cast("array<struct<rank:int,a:int,b:int>>")
+    titled = (F.col("kind") == "table") & F.array_contains(classes, "table")
+    units = [
+        F.when(F.col("row") > 0, F.array(unit(0, F.col("block"), F.col("row")))).when(titled, F.array(unit(0, F.col("block"), F.lit(-1)))).otherwise(none),
+        F.when(F.col("kind").isin("class", "heading", "link", "data"), F.transform("inside", lambda o: unit(1, o, F.lit(0)))).otherwise(none),
+    ]
     if component == "centro":
-        links = by_page.filter("kind = 'link' and href like '%CENTRO%'").select("page_id", "url", F.lit(2).alias("rank"), linked.alias("id"), *[(F.col("text") if c == "nombre" else F.lit(None).cast("string")).alias(c) for c in columns])
-        forms = forms.unionByName(links.filter("id is not null"))
+        units.append(F.when(link & F.col("href").like("%CENTRO%") & linked.isNotNull(), F.array(unit(2, F.col("seq"), F.lit(0)))).otherwise(none))
+    rank, text = F.col("rank"), F.col("text")
+
+    def value(i, c):
+        of_card = F.when(part(parts[c]), text) if c in parts else F.lit(None).cast("string")
+        of_link = text if c == "nombre" else F.lit(None).cast("string")
+        return F.max(F.when(rank == 0, F.when(cell & (F.col("col") == i), text)).when(rank == 1, of_card).otherwise(of_link)).alias(c)
+
+    met = cells.repartition("page_id").withColumn("unit", F.explode(F.concat(*units))).select("*", "unit.*")
+    met = met.groupBy("page_id", "url", "rank", "a", "b").agg(
+        F.count_if(cell).alias("cells"), F.min(F.when(link, linked)).alias("link"), F.min(F.when(data, text)).alias("data"),
+        F.max((F.col("kind") == "class") & (F.col("block") == F.col("a")) & F.array_contains(classes, card)).alias("card"),
+        *[value(i, c) for i, c in enumerate(columns)])
+    of_table = F.max(F.col("b") == -1).over(W.partitionBy("page_id", "rank", "a"))
+    forms = met.withColumn("table", of_table).filter(F.when(rank == 0, F.col("table") & (F.col("b") > 0) & (F.col("cells") > 0)).when(rank == 1, F.col("card")).otherwise(True))
+    forms = forms.withColumn("id", F.when(rank == 1, F.coalesce("data", "link")).otherwise(F.coalesce("link", "data")))
     best = forms.withColumn("best", F.min("rank").over(W.partitionBy("page_id"))).filter("rank = best")
     form = F.element_at(F.array(*[F.lit(f) for f in ("table", "card", "link")]), F.col("rank") + 1)
     texts = [(clean.first_number(F.col(c)) if c.startswith("num_") else F.nullif(F.trim(c), F.lit(""))).alias(c) for c in columns]
