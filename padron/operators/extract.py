@@ -525,8 +525,22 @@ def extract_v1_items(cells: DataFrame, component: str) -> DataFrame:
     for c in V1_CONTAINERS[component]:
         holds = holds | css.contains(c)
     box = (F.col("kind") == "class") & holds
+    # one pass: each block's parts are aggregates, which the blocks of a container then put together
+    kind = (F.col("kind") == "class") & ~box
+    plain = kind
+    for classes, _ in V1_PARTS[component].values():
+        for c in classes:
+            plain = plain & ~F.array_contains(F.split(css, " "), c)
+    found = {}
+    for f, (classes, marks) in V1_PARTS[component].items():
+        marked = F.lit(False)
+        for m in marks:
+            marked = marked | F.col("text").contains(m)
+        by_class = F.when(kind & F.arrays_overlap(F.split(css, " "), F.array(*[F.lit(c) for c in classes])), F.col("text")) if classes else F.lit(None).cast("string")
+        found |= {f"{f} by class": by_class, f"{f} by text": F.when(plain & marked, F.col("text"))}
+    found["email"] = F.when((F.col("kind") == "link") & F.col("href").startswith("mailto:"), F.regexp_extract("href", "^mailto:([^?]*)", 1))
     # a div with a class starts a block: the blocks of a page are known by whether they begin a container
-    blocks = cells.filter("block >= 0").groupBy("page_id", "block").agg(F.max(box).alias("begins"), F.min(F.when(F.col("kind") == "class", css)).alias("classes"))
+    blocks = cells.filter("block >= 0").groupBy("page_id", "block").agg(F.max(box).alias("begins"), F.min(F.when(F.col("kind") == "class", css)).alias("classes"), *[F.max(v).alias(n) for n, v in found.items()])
     inner = F.lit(False)
     for classes, _ in V1_PARTS[component].values():
         for c in classes:
@@ -534,22 +548,9 @@ def extract_v1_items(cells: DataFrame, component: str) -> DataFrame:
     order = W.partitionBy("page_id").orderBy("block")
     # a block that is neither a container nor a part ends the one before
     state = F.when(F.col("begins"), F.col("block")).when(inner, F.lit(None)).otherwise(F.lit(-1))
-    item = blocks.select("page_id", "block", F.last(state, ignorenulls=True).over(order).alias("item"))
-    own = cells.filter("kind in ('class', 'link')").join(item.filter("item >= 0"), ["page_id", "block"])
-    fields = []
-    for f, (classes, marks) in V1_PARTS[component].items():
-        kind = (F.col("kind") == "class") & ~box
-        by_class = F.max(F.when(kind & F.arrays_overlap(F.split(css, " "), F.array(*[F.lit(c) for c in classes])), F.col("text"))) if classes else F.lit(None).cast("string")
-        plain = kind
-        for other, _ in V1_PARTS[component].values():
-            for c in other:
-                plain = plain & ~F.array_contains(F.split(css, " "), c)
-        marked = F.lit(False)
-        for m in marks:
-            marked = marked | F.col("text").contains(m)
-        fields.append(F.coalesce(by_class, F.max(F.when(plain & marked, F.col("text")))).alias(f))
-    mail = F.max(F.when((F.col("kind") == "link") & F.col("href").startswith("mailto:"), F.regexp_extract("href", "^mailto:([^?]*)", 1))).alias("email")
-    out = own.groupBy("page_id", "item").agg(*fields, mail)
+    own = blocks.withColumn("item", F.last(state, ignorenulls=True).over(order)).filter("item >= 0")
+    fields = [F.coalesce(F.max(f"{f} by class"), F.max(f"{f} by text")).alias(f) for f in V1_PARTS[component]]
+    out = own.groupBy("page_id", "item").agg(*fields, F.max("email").alias("email"))
     key = [k for k in V1_KEYS if k in out.columns]
     return out.filter(F.coalesce(*[F.nullif(F.trim(k), F.lit("")) for k in key]).isNotNull()).withColumn("type", F.lit(component)).drop("item")
 
