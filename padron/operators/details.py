@@ -29,6 +29,7 @@ class Place(NamedTuple):
     kind: str = "cell"
     nearest: bool = False
     joined: bool = False
+    label: str | None = None
 
 
 def after(mark: str) -> Place:
@@ -48,7 +49,7 @@ def parts_after(mark: str, kind: str, field: str = "text") -> Place:
 
 def labelled(label: str) -> Place:
     """Values whose header or term is the label, whole and in any case."""
-    return Place(test=F.col("kind").isin("cell", "value") & (F.col("label") == label))
+    return Place(test=F.col("kind").isin("cell", "value") & (F.col("label") == label), label=label)
 
 
 def _element(kind: str, tag: str) -> Column:
@@ -140,10 +141,14 @@ class Fields:
 
     def wanted(self) -> Column:
         """Whether a cell gives entries: a test of its own columns that needs no arrays. A page's first cell
-        always gives one, so that no page is lost."""
+        always gives one, so that no page is lost. Labels are one test, as the JVM compiles no method of over 8000 bytes."""
         test = (F.col("seq") == 0) | (F.size("labels") > 0)
+        labels = sorted({p.label for _, _, p, _ in self._plain() if p.label})
+        if labels:
+            test = test | F.coalesce(F.col("kind").isin("cell", "value") & F.col("label").isin(*labels), F.lit(False))
         for _, _, p, _ in self._plain():
-            test = test | F.coalesce(p.test, F.lit(False))
+            if not p.label:
+                test = test | F.coalesce(p.test, F.lit(False))
         return test
 
     def entries(self) -> Column:

@@ -20,6 +20,7 @@ from padron.operators import details
 CELLS = "page_id long, url string, kind string, block int, row int, col int, label string, text string, href string, css_class string, inside array<int>, seq int, tr int, tag string, under array<string>, lead string, labels array<struct<mark: string, seq: int, nearest: boolean>>"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _SPACE = re.compile(r"\s+")
+_NO_ATTRS: dict = {}
 _MARK = re.compile("|".join(map(re.escape, details.MARKS)))
 # Plain markup, which needs no parser: text, tags in lower case whose attributes are quoted and hold no references.
 _TAG = re.compile(r"""([^<]*)(?:<(?:/([a-z][a-z0-9]*)|([a-z][a-z0-9]*)((?:\ [a-z][a-z-]*="[^"<>]*")*))>|\Z)""")
@@ -58,7 +59,7 @@ class _Cells(HTMLParser):
         self.open.append((tag, self._record(kind, self.label, "", href, css, tag), self.elements))
 
     def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
+        a = dict(attrs) if attrs else _NO_ATTRS
         name = a.get("class")
         self.elements += 1
         if tag == "table":
@@ -92,13 +93,13 @@ class _Cells(HTMLParser):
             self._begin(tag, "class", css=name)
         elif tag == "div":
             self.scopes.append((tag, None))
-        if a.get("id") and tag in ("div", "span", "p"):
+        if a and a.get("id") and tag in ("div", "span", "p"):
             self._begin(tag, "id", css=a["id"])
         if name and tag not in _VOID:
             self.owners.append((tag, f"{tag}.{name}"))
-        elif tag not in _VOID and any(t == tag for t, _ in self.owners):
+        elif self.owners and tag not in _VOID and any(t == tag for t, _ in self.owners):
             self.owners.append((tag, ""))  # so that its end does not close the one around
-        for attr, value in attrs:
+        for attr, value in attrs or ():
             if attr.startswith("data-") and attr.endswith("id") and value:
                 self.out.append(self._record("data", attr, value))
 
@@ -112,15 +113,18 @@ class _Cells(HTMLParser):
                 rec[13] += data
 
     def _close(self, rec):
+        own, rec[13] = rec[13], ""
         if rec[0] != "script":
-            rec[5] = _SPACE.sub(" ", rec[5]).strip()
-        rec[13] = _SPACE.sub(" ", rec[13]).strip() if rec[0] in ("cell", "header") else ""
+            text = rec[5]
+            rec[5] = _SPACE.sub(" ", text).strip()
+            if rec[0] == "cell" or rec[0] == "header":
+                rec[13] = rec[5] if own == text else _SPACE.sub(" ", own).strip()
         self.out.append(rec)
 
     def handle_endtag(self, tag):
         if tag in _VOID:
             return
-        if any(t == tag for t, _ in self.owners):
+        if self.owners and any(t == tag for t, _ in self.owners):
             while self.owners.pop()[0] != tag:
                 pass
         if tag in ("div", "table") and any(t == tag for t, _ in self.scopes):
@@ -133,7 +137,7 @@ class _Cells(HTMLParser):
             self.tr, col = self.rows.pop() if self.rows else (-1, -1)
             if self.tr >= 0:
                 self.col = col
-        if not any(t == tag for t, _, _ in self.open):
+        if not self.open or self.open[-1][0] != tag and not any(t == tag for t, _, _ in self.open):
             return
         closed = None
         # an element may be recorded several times: as what it is, by its class and by its id
@@ -163,7 +167,7 @@ def _plain(html: str) -> list[tuple] | None:
         if attrs and "&" in attrs and entities.unescape(attrs) != attrs:
             return None
         tokens.append((text, end, start, attrs))
-        raw = start if start in _RAW else None
+        raw = start if start and start in _RAW else None
         if at == len(html) and not end and not start:
             break
     return tokens if at == len(html) and raw is None else None
@@ -190,6 +194,10 @@ def _labels(out: list[list]) -> None:
     for r in out:
         if r[0] in ("cell", "header") and r[10] >= 0 and r[13] and _MARK.search(r[13]):
             marked.setdefault(r[10], []).append((r[9], r[3], [m for m in details.MARKS if m in r[13]]))
+    if not marked:
+        for r in out:
+            r.append([])
+        return
     first: dict[tuple[int, int], int] = {}
     for r in out:
         if r[0] == "cell" and r[5] and r[10] in marked:
@@ -378,7 +386,8 @@ def extract_ec(cells: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("unit"), F.col("block").alias("a"), F.col("row").alias("b"), F.when(in_row, F.array(details._entry(F.col("col"), 0, F.col("text")))).otherwise(none).alias("c")),
         F.struct(F.lit(2).alias("unit"), F.coalesce(owner, F.lit(-1)).alias("a"), F.lit(0).alias("b"), F.when(in_box, F.array(details._entry(F.when(code, 0).otherwise(1), 0, F.when(code, F.trim("text")).otherwise(F.col("text"))))).otherwise(none).alias("c")),
     )
-    met = cells.filter(detailed | in_row | in_box).select("page_id", "url", F.inline(units)).filter(F.size("c") > 0)
+    # the units are a column of their own first, as Spark compiles a projection and interprets a generator's argument
+    met = cells.filter(detailed | in_row | in_box).select("page_id", "url", units.alias("units")).select("page_id", "url", F.inline("units")).filter(F.size("c") > 0)
     met = met.groupBy("page_id", "url", "unit", "a", "b").agg(F.flatten(F.collect_list("c")).alias("c"))
 
     def of_field(i):
